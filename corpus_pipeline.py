@@ -23,9 +23,14 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the row with the least id of every group (one of them if that row is repeated); rows without an id are judged by their group too."""
-    found = simhash.near_duplicates(docs, words=5, keep=docs.columns)
-    return found.filter(F.col("doc_id") == F.col("component_id")).dropDuplicates(["doc_id"]).select(*docs.columns)
+    """Keep the row with the least id of every group of near copies (one of them if that row is repeated) and rows without an id."""
+    found = simhash.copies(docs)
+    other = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__copy__"))
+    kept = docs.join(other, docs["doc_id"] == other["__copy__"], "left_anti")
+    again = found.groupBy("doc_id").count().filter("count > 1 and doc_id is not null")
+    if again.isEmpty():
+        return kept
+    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -62,10 +62,10 @@ def _fields(data: bytes):
         yield key >> 3, value
 
 
-def _string_hash(codes: np.ndarray) -> np.uint64:
-    h = np.uint64(0)
+def _string_hash(codes: list[int]) -> int:
+    h = 0
     for c in codes:
-        h = h * MULT + np.uint64(c) + np.uint64(1)
+        h = (h * int(MULT) + c + 1) & 0xFFFFFFFFFFFFFFFF
     return h
 
 
@@ -230,10 +230,9 @@ def compose(m: Fst, words: list[str]) -> list[list[int]]:
         codes[np.arange(width) < size[:, None]] = np.frombuffer("".join([words[i] for i in group]).encode("utf-32-le", "surrogatepass"), "<u4")
         n, inf = len(group), np.inf
         prefix = np.zeros((width + 1, n), np.uint64)
-        power = np.ones(width + 1, np.uint64)
+        power = np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(width, MULT))))
         for t in range(width):
             prefix[t + 1] = prefix[t] * MULT + codes[:, t] + np.uint64(1)
-            power[t + 1] = power[t] * MULT
         last = np.full((width + 1, n), -1, np.int64)
         step = np.zeros((width + 1, n), np.int64)
         cost = np.full((width + 1, n), inf)
