@@ -7,7 +7,8 @@ anchors at equal offsets, so no shard needs another one. Neighbouring factors mo
 a run of factors: the hash of the anchor, the hash of all bytes of the run, and where it lies.
 
 1. One scan gives the runs (two for every ``length - k + 1`` bytes on average).
-2. Runs whose anchor occurs once are dropped: counts by anchor, combined before the shuffle.
+2. One shuffle by anchor; runs whose anchor occurs once are dropped. A text has many anchors, so that a passage in a third
+   of all texts makes groups of a few hundredths of the runs.
 3. Where all runs of an anchor agree in all their bytes, each of their factors is a repeat.
 4. Elsewhere one run for each distinct content fetches its bytes. The factors of a shard are put in the order of their content and, among equals,
    of their position: the previous and the next smaller position of equal content are then neighbours, which gives the
@@ -27,7 +28,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,7 +123,7 @@ def _joined(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def runs(rows: DataFrame, length: int, k: int) -> DataFrame:
-    """(rk, doc, h, content, first, n, lead) of every run of rows (rk, doc, text)."""
+    """(rk, doc, h, content, place) of every run of rows (rk, doc, text); place packs first, n and lead as in ``unpacked``."""
 
     def scan(batches):
         for b in batches:
@@ -131,9 +132,14 @@ def runs(rows: DataFrame, length: int, k: int) -> DataFrame:
                 data, starts = _joined(raw[lo:hi])
                 text, h, content, first, n, lead = anchored_runs(data, starts, length, k)
                 at = pa.array(text + lo)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(h.view(np.int64)), pa.array(content.view(np.int64)), pa.array(first.astype(np.int32)), pa.array(n.astype(np.int16)), pa.array(lead.astype(np.int16))], names=["rk", "doc", "h", "content", "first", "n", "lead"])
+                yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(h.view(np.int64)), pa.array(content.view(np.int64)), pa.array(first << 24 | n << 12 | lead)], names=["rk", "doc", "h", "content", "place"])
 
-    return rows.select("rk", "doc", "text").mapInArrow(scan, "rk long, doc long, h long, content long, first int, n short, lead short")
+    return rows.select("rk", "doc", "text").mapInArrow(scan, "rk long, doc long, h long, content long, place long")
+
+
+def unpacked(place: str) -> tuple[Column, Column]:
+    """First factor and number of factors of a run."""
+    return F.shiftright(place, 24), F.shiftright(place, 12).bitwiseAND(F.lit(4095))
 
 
 def repeated_factors(data: np.ndarray, starts: np.ndarray, group: np.ndarray, length: int, keep_first: bool) -> np.ndarray:
@@ -162,7 +168,7 @@ def _resolver(length: int, keep_first: bool):
             if held is None or not len(held):
                 continue
             h = held.column("h").to_numpy()
-            cut = len(h) if b is None else int(np.searchsorted(h != h[-1], True) * 0 + (np.flatnonzero(h != h[-1])[-1] + 1 if (h != h[-1]).any() else 0))
+            cut = len(h) if b is None else int((h != h[-1]).sum())  # the last group may go on
             if not cut:
                 continue
             done, held = held.slice(0, cut), held.slice(cut)
@@ -187,11 +193,10 @@ def _resolve(table: pa.Table, length: int, keep_first: bool):
         begins = ends - n
         if not keep_first:
             rep |= np.repeat(copies[lo:hi] > 1, n)
-        marks = np.concatenate(([False], rep, [False]))
-        edge = marks[1:] != marks[:-1]
-        edge[np.append(begins, ends[-1:])] |= marks[np.append(begins, ends[-1:])] & marks[np.append(begins, ends[-1:]) + 1]
-        a = np.flatnonzero(rep & (~marks[:-2] | np.isin(np.arange(len(rep)), begins)))
-        z = np.flatnonzero(rep & (~marks[2:] | np.isin(np.arange(1, len(rep) + 1), ends))) + 1
+        head, tail = np.zeros(len(rep), bool), np.zeros(len(rep), bool)
+        head[begins] = tail[ends - 1] = True
+        a = np.flatnonzero(rep & (head | ~np.concatenate(([False], rep[:-1]))))
+        z = np.flatnonzero(rep & (tail | ~np.concatenate((rep[1:], [False])))) + 1
         row = np.searchsorted(ends, a, side="right")
         yield pa.RecordBatch.from_arrays([pa.array(h[lo:hi][row]), pa.array(content[lo:hi][row]), pa.array((a - begins[row]).astype(np.int32)), pa.array((z - begins[row]).astype(np.int32))], names=["h", "content", "a", "z"])
         lo = hi
@@ -208,51 +213,57 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
     By default every byte that a repeated factor covers goes. With ``keep_first`` the first copy (least id, then least
     position) stays. Ids are integers.
     """
+    if length - k + 1 > 4095:
+        raise ValueError("length - k must stay below 4095")
     keep = [id_col] if keep is None else [c for c in keep if c not in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")]
     doc = F.col(base.quoted(id_col)).cast("long")
     text = F.col(base.quoted(text_col))
-    row_key = F.xxhash64(F.coalesce(doc, F.lit(-1)), text)
     own = F.struct(*[F.col(base.quoted(c)).alias(f"c{i}") for i, c in enumerate(keep)])
-    rows = docs.select(row_key.alias("rk"), doc.alias("doc"), text.alias("text"))
-    found = base.materialised(runs(rows, length, k))
-    place = F.struct("doc", "first", "rk", "n", "lead")
-
-    by_anchor = found.groupBy("h").agg(F.count("*").alias("c"), F.min("content").alias("lo"), F.max("content").alias("hi"), *([F.min(F.struct("doc", "first", "rk")).alias("top")] if keep_first else [])).filter("c > 1")
-    shared = found.join(by_anchor.withColumnRenamed("h", "h2"), F.col("h") == F.col("h2")).drop("h2")
-    alike = shared.filter("lo = hi")
-    if keep_first:
-        alike = alike.filter(F.struct("doc", "first", "rk") != F.col("top"))
-    whole = alike.select("rk", F.col("first").alias("a"), (F.col("first") + F.col("n") + length - 1).alias("z"))
-
-    mixed = shared.filter("lo <> hi").select("rk", "doc", "h", "content", "first", "n", "lead")
-    heads = mixed.groupBy("h", "content").agg(F.count("*").alias("copies"), F.min(place).alias("at"))
-    wanted = heads.select(F.col("at.rk").alias("rk"), F.struct("h", "content", "copies", "at.first", "at.n", "at.lead", "at.doc").alias("w")).groupBy("rk").agg(F.collect_list("w").alias("wanted"))
-    fetched = rows.select("rk", "text").join(wanted, "rk").mapInArrow(_fetch(length), "h long, content long, copies long, doc long, first int, raw binary")
-    # The same text may stand in several rows of one id: one fetch of each content is enough.
-    order = ["h", "content"] if not keep_first else ["h", "doc", "first", "content"]
-    answers = fetched.repartition("h").sortWithinPartitions(*order).mapInArrow(_resolver(length, keep_first), "h long, content long, a int, z int").distinct()
+    side = docs.select(F.xxhash64(F.coalesce(doc, F.lit(-1)), text).alias("rk"), doc.alias("doc"), own.alias("own"), text.alias("text"))
+    # The order in which copies count; without keep_first the ids stay behind.
+    order = ["doc", "place", "rk"] if keep_first else ["place", "rk"]
+
+    found = runs(side.select("rk", (F.col("doc") if keep_first else F.lit(0).cast("long")).alias("doc"), "text"), length, k).select("h", "content", *order)
+    per_anchor = Window.partitionBy("h")
+    shared = found.withColumns({"c": F.count("*").over(per_anchor), "lo": F.min("content").over(per_anchor), "hi": F.max("content").over(per_anchor)}).filter("c > 1")
+    shared = base.materialised(shared.select("h", "content", *order, (F.col("lo") != F.col("hi")).alias("mixed")))
+
+    first, n = unpacked("place")
+    full = [F.col("rk"), first.alias("a"), (first + n + length - 1).alias("z")]
+    whole = shared.filter("not mixed")
+    mixed = shared.filter("mixed").drop("mixed")
+    heads = mixed.groupBy("h", "content").agg(F.count("*").alias("copies"), F.min(F.struct(*order)).alias("at"))
+    if keep_first:  # all copies of a content but the first go as a whole
+        tops = shared.groupBy(F.col("h").alias("h2"), F.col("content").alias("content2")).agg(F.min(F.struct(*order)).alias("top"))
+        later = shared.join(tops, (F.col("h") == F.col("h2")) & (F.col("content") == F.col("content2"))).filter(F.struct(*order) != F.col("top"))
+        whole = later
+    wanted = heads.select(F.col("at.rk").alias("rk"), F.struct("h", "content", "copies", *[F.col(f"at.{c}").alias(c) for c in order if c != "rk"]).alias("w")).groupBy("rk").agg(F.collect_list("w").alias("wanted")).withColumnRenamed("rk", "rk2")
+    texts = side.select("rk", "own", "text")
+    fetched = texts.join(wanted, F.col("rk") == F.col("rk2")).select("own", "text", "wanted").mapInArrow(_fetch(length), "h long, content long, copies long, doc long, place long, raw binary")
+    answers = fetched.repartition("h").sortWithinPartitions(*(["h", "doc", "place", "content"] if keep_first else ["h", "content"])).mapInArrow(_resolver(length, keep_first), "h long, content long, a int, z int").distinct()
     back = mixed.join(answers.select(F.col("h").alias("h2"), F.col("content").alias("content2"), "a", "z"), (F.col("h") == F.col("h2")) & (F.col("content") == F.col("content2")))
-    part = back.select("rk", (F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("z") + length - 1).alias("z"))
-    if keep_first:  # later runs of a content that already occurred are copies as a whole
-        tops = heads.select(F.col("h").alias("h2"), F.col("content").alias("content2"), F.col("at").alias("top"))
-        later = mixed.join(tops, (F.col("h") == F.col("h2")) & (F.col("content") == F.col("content2"))).filter(place != F.col("top"))
-        part = part.union(later.select("rk", F.col("first").alias("a"), (F.col("first") + F.col("n") + length - 1).alias("z")))
-    spans = whole.union(part).groupBy("rk").agg(F.collect_list(F.struct("a", "z")).alias("spans")).withColumnRenamed("rk", "rk2")
+    part = back.select("rk", (first + F.col("a")).alias("a"), (first + F.col("z") + length - 1).alias("z"))
+    spans = whole.select(*full).union(part).select("rk", F.shiftleft("a", 32).bitwiseOR(F.col("z")).alias("span"))
+    spans = spans.repartition("rk").groupBy(F.col("rk").alias("rk2")).agg(F.collect_list("span").alias("spans"))
 
     fields = [T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType())] + [T.StructField("kept_text", T.StringType())] * with_text
     schema = T.StructType([T.StructField(c, docs.schema[c].dataType) for c in keep] + fields)
-    sides = docs.select(row_key.alias("rk"), own.alias("own"), text.alias("text")).join(spans, F.col("rk") == F.col("rk2"), "left")
-    return sides.select(*[F.col(f"own.c{i}").alias(f"c{i}") for i in range(len(keep))], "text", "spans").mapInArrow(_cut(len(keep), schema.names, with_text), schema)
+    return texts.join(spans, F.col("rk") == F.col("rk2"), "left").select("own", "text", "spans").mapInArrow(_cut(len(keep), schema.names, with_text), schema)
 
 
 def _fetch(length: int):
     def run(batches):
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         for b in batches:
             texts, wanted = b.column(1).to_pylist(), b.column(2).to_pylist()
             for lo in range(0, len(texts), 64):
-                out = [(w["h"], w["content"], w["copies"], w["doc"], w["first"], raw[w["first"] : w["first"] + w["n"] + length - 1]) for t, ws in zip(texts[lo : lo + 64], wanted[lo : lo + 64], strict=True) for raw in [(t or "").encode("utf-8", "surrogatepass")] for w in ws]
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)], names=["h", "content", "copies", "doc", "first", "raw"])
+                out = []
+                for t, ws in zip(texts[lo : lo + 64], wanted[lo : lo + 64], strict=True):
+                    raw = (t or "").encode("utf-8", "surrogatepass")
+                    for w in ws:
+                        first, n = w["place"] >> 24, w["place"] >> 12 & 4095
+                        out.append((w["h"], w["content"], w["copies"], w.get("doc"), w["place"], raw[first : first + n + length - 1]))
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)], names=["h", "content", "copies", "doc", "place", "raw"])
 
     return run
 
@@ -271,10 +282,10 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def _cut(n_keep: int, names: list[str], with_text: bool):
     def run(batches):
         for b in batches:
-            texts, lists = b.column(n_keep).to_pylist(), b.column(n_keep + 1)
+            texts, lists = b.column(1).to_pylist(), b.column(2)
             offsets = lists.offsets.to_numpy()
-            flat = lists.values
-            a, z = flat.field(0).to_numpy(), flat.field(1).to_numpy()
+            flat = lists.values.to_numpy()
+            a, z = flat >> 32, flat & 0xFFFFFFFF
             size, gone, count, sha, kept_texts = [], [], [], [], []
             for i, t in enumerate(texts):
                 raw = (t or "").encode("utf-8", "surrogatepass")
@@ -291,7 +302,7 @@ def _cut(n_keep: int, names: list[str], with_text: bool):
                 if with_text:
                     kept_texts.append(kept.decode("utf-8", "ignore"))
             own = [pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(count, pa.int64()), pa.array(sha, pa.string())] + [pa.array(kept_texts, pa.string())] * with_text
-            yield pa.RecordBatch.from_arrays([b.column(i) for i in range(n_keep)] + own, names=names)
+            yield pa.RecordBatch.from_arrays([b.column(0).field(i) for i in range(n_keep)] + own, names=names)
 
     return run
 
