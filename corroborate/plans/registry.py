@@ -1,6 +1,337 @@
-"""Registered queries and their DuckDB SQL."""
+"""Registered queries over the given tables, and the same in DuckDB SQL."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import names
+from ..operators import claims as cl
+from ..operators import docindex, eav, evidence, harvest, matching, reports
+from . import adapters as ad
+from .adapters import sql
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+PAIRS = ("w", "m", "anchors", "pairs")
+CONFLICTS = (*PAIRS, "x")
+
+
+def register(oracle: str | None = None):
+    def keep(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return keep
+
+
+def _pairs(spark: SparkSession, d: str) -> DataFrame:
+    return evidence.conflict_pairs(evidence.warrant_group_members(ad.warrants(spark, d)))
+
+
+def _conflicts(spark: SparkSession, d: str) -> DataFrame:
+    p = evidence.classify_pairs(_pairs(spark, d)).filter("verdict <> 'corroborated'")
+    severity = F.when(F.substring("value_a", 1, 1) != F.substring("value_b", 1, 1), "critical").otherwise("moderate")
+    return p.select(F.concat("id_a", F.lit("|"), "id_b").alias("id"), "plant_id", "attribute_id", F.col("source_id_a").alias("source_a"), F.col("source_id_b").alias("source_b"), F.lit("RATING_DISAGREEMENT").alias("conflict_type"), severity.alias("severity"), F.when(F.col("plant_id") % 3 == 0, "resolved").otherwise("pending").alias("status"))
+
+
+@register(sql("SELECT plant_id, attribute_id, count(*) AS n_warrants FROM w WHERE status <> 'excluded' GROUP BY 1, 2 HAVING count(*) >= 2", "w"))
+def warrant_groups(spark, d):
+    return evidence.warrant_groups(ad.warrants(spark, d))
+
+
+@register(sql("SELECT w.plant_id, w.attribute_id, id, value FROM w JOIN (SELECT plant_id, attribute_id FROM w WHERE status <> 'excluded' AND warrant_type = 'external' GROUP BY 1, 2 HAVING count(*) >= 2) g USING (plant_id, attribute_id) WHERE status <> 'excluded'", "w"))
+def warrant_group_members(spark, d):
+    return evidence.warrant_group_members(ad.warrants(spark, d), "external").select("plant_id", "attribute_id", "id", "value")
+
+
+@register(sql("SELECT * FROM pairs", *PAIRS))
+def conflict_pairs(spark, d):
+    return _pairs(spark, d)
+
+
+@register(sql("SELECT id_a, id_b, CASE WHEN lower(trim(value_a)) = lower(trim(value_b)) THEN 'corroborated' ELSE 'REVIEW' END AS verdict FROM pairs", *PAIRS))
+def classify_pairs(spark, d):
+    return evidence.classify_pairs(_pairs(spark, d)).select("id_a", "id_b", "verdict")
+
+
+@register(sql("SELECT source_a, source_b, count(*) AS n, count_if(severity = 'critical') AS n_critical, count_if(severity = 'moderate') AS n_moderate, count_if(severity = 'minor') AS n_minor, count_if(status = 'pending') AS n_pending, count_if(status <> 'pending') AS n_resolved FROM x GROUP BY 1, 2", *CONFLICTS))
+def conflict_matrix(spark, d):
+    return reports.conflict_matrix(_conflicts(spark, d))
+
+
+@register(sql("SELECT 'total' AS dimension, 'all' AS key, count(*) AS n FROM x UNION ALL SELECT 'severity', severity, count(*) FROM x GROUP BY 2 UNION ALL SELECT 'type', conflict_type, count(*) FROM x GROUP BY 2", *CONFLICTS))
+def conflict_summary(spark, d):
+    return evidence.conflict_summary(_conflicts(spark, d))
+
+
+@register(sql("SELECT source, count(*) AS n, count_if(severity = 'critical') AS n_critical, count_if(status <> 'pending') AS n_resolved, round(100.0 * count_if(status <> 'pending') / count(*), 1) AS resolution_rate FROM (SELECT source_a AS source, severity, status FROM x UNION ALL SELECT source_b, severity, status FROM x) WHERE source IS NOT NULL GROUP BY 1", *CONFLICTS))
+def source_conflict_summary(spark, d):
+    return reports.source_conflict_summary(_conflicts(spark, d))
+
+
+@register(sql("SELECT conflict_type, severity, count(*) AS n FROM x WHERE (source_a = 'S1' AND source_b = 'S2') OR (source_a = 'S2' AND source_b = 'S1') GROUP BY 1, 2", *CONFLICTS))
+def pair_breakdown(spark, d):
+    return reports.pair_breakdown(_conflicts(spark, d), "S1", "S2")
+
+
+@register(sql("SELECT least(source_a, source_b) AS source_1, greatest(source_a, source_b) AS source_2, count(*) AS n FROM x WHERE source_a IS NOT NULL AND source_b IS NOT NULL GROUP BY 1, 2 ORDER BY n DESC, 1, 2 LIMIT 10", *CONFLICTS))
+def top_pairs(spark, d):
+    return reports.top_pairs(_conflicts(spark, d), 10)
+
+
+@register(sql("SELECT plant_id, count(*) AS n, max(CASE severity WHEN 'critical' THEN 3 WHEN 'moderate' THEN 2 ELSE 1 END) AS max_severity, count(DISTINCT attribute_id) AS n_attributes, count_if(status = 'pending') AS n_open, CASE WHEN count_if(status = 'pending') = 0 THEN 'complete' WHEN count_if(status = 'pending') < count(*) THEN 'in_progress' ELSE 'pending' END AS queue_status FROM x GROUP BY 1", *CONFLICTS))
+def conflict_queue(spark, d):
+    return reports.conflict_queue(_conflicts(spark, d))
+
+
+@register(sql("SELECT 'status' AS option, status AS value FROM x UNION SELECT 'severity', severity FROM x UNION SELECT 'type', conflict_type FROM x UNION SELECT 'source', source_a FROM x WHERE source_a IS NOT NULL UNION SELECT 'source', source_b FROM x WHERE source_b IS NOT NULL", *CONFLICTS))
+def filter_options(spark, d):
+    return reports.filter_options(_conflicts(spark, d))
+
+
+@register(sql("SELECT plant_id, attribute_id, count(DISTINCT value) AS n_values, string_agg(DISTINCT value, ', ' ORDER BY value) AS value_list FROM w GROUP BY 1, 2 HAVING count(DISTINCT value) > 1", "w"))
+def internal_conflicts(spark, d):
+    return evidence.internal_conflicts(ad.values(spark, d))
+
+
+@register(sql("SELECT id, plant_id, attribute_id, value FROM w JOIN (SELECT plant_id, attribute_id FROM w GROUP BY 1, 2 HAVING count(DISTINCT value) > 1 AND count(DISTINCT source_id) > 1) g USING (plant_id, attribute_id)", "w"))
+def audit_disagreements(spark, d):
+    return evidence.audit_disagreements(ad.values(spark, d)).select("id", "plant_id", "attribute_id", "value")
+
+
+@register(sql("SELECT plant_id, attribute_id, value, min(scan) AS scan FROM (SELECT w.plant_id, w.attribute_id, w.value, 1 AS scan FROM w JOIN (SELECT plant_id, attribute_id FROM w GROUP BY 1, 2 HAVING count(DISTINCT value) > 1 AND count(DISTINCT source_id) > 1) g USING (plant_id, attribute_id) UNION ALL SELECT plant_id, attribute_id, value, 2 FROM w WHERE value <> 'NO' AND value <> 'AF' UNION ALL SELECT plant_id, attribute_id, value, 3 FROM w WHERE source_id IS NULL) f WHERE NOT EXISTS (SELECT 1 FROM w k WHERE k.status = 'excluded' AND k.plant_id = f.plant_id AND k.attribute_id = f.attribute_id AND k.value = f.value) GROUP BY 1, 2, 3", "w"))
+def run_audit(spark, d):
+    attrs = ad.attributes(spark, d).withColumn("values_allowed", F.lit('[{"id":"NO","displayName":"no"},{"id":"AF","displayName":"af"}]'))
+    v = ad.values(spark, d)
+    return evidence.run_audit(v, attrs, v.filter("status = 'excluded'"))
+
+
+@register(sql("SELECT w.id, w.plant_id, e.genus AS plant_genus, e.species AS plant_species, w.attribute_id, a.name AS attribute_name, w.value, w.source_id, s.region AS source_region FROM w JOIN e ON w.plant_id = e.id JOIN a ON w.attribute_id = a.id LEFT JOIN s ON w.source_id = s.id", "w", "e", "a", "s"))
+def bootstrap_warrants(spark, d):
+    v = ad.values(spark, d).withColumn("source_value", F.col("value"))
+    out = evidence.bootstrap_warrants(v, ad.entities(spark, d), ad.attributes(spark, d), ad.sources(spark, d), "b1")
+    keyed = v.select(F.sha2(F.concat_ws("|", F.lit("existing"), "id"), 256).alias("id"), F.col("id").alias("vid")).distinct()
+    return out.join(keyed, "id").select(F.col("vid").alias("id"), "plant_id", "plant_genus", "plant_species", "attribute_id", "attribute_name", "value", "source_id", "source_region")
+
+
+@register(sql("SELECT plant_id, attribute_id FROM (SELECT e.id AS plant_id, a.id AS attribute_id FROM e CROSS JOIN a) EXCEPT SELECT plant_id, attribute_id FROM w", "w", "e", "a"))
+def gap_matrix(spark, d):
+    return eav.gap_matrix(ad.entities(spark, d), ad.attributes(spark, d), ad.values(spark, d))
+
+
+@register(sql("SELECT a.id AS attribute_id, a.name, count(DISTINCT w.plant_id) AS n_entities, (SELECT count(*) FROM e) AS total, floor(count(DISTINCT w.plant_id) / (SELECT count(*) FROM e)::DOUBLE * 1000 + 0.5) / 10 AS pct, (SELECT count(*) FROM e) - count(DISTINCT w.plant_id) AS gap FROM a LEFT JOIN w ON w.attribute_id = a.id GROUP BY 1, 2", "w", "e", "a"))
+def attribute_coverage(spark, d):
+    return eav.attribute_coverage(ad.entities(spark, d), ad.attributes(spark, d), ad.values(spark, d))
+
+
+@register(sql("SELECT e.id AS plant_id, count(DISTINCT w.attribute_id) AS n_filled, floor(count(DISTINCT w.attribute_id) / 4.0::DOUBLE * 1000 + 0.5) / 10 AS pct FROM e LEFT JOIN w ON w.plant_id = e.id AND w.attribute_id IN (1, 2, 3, 4) GROUP BY 1", "w", "e"))
+def entity_completeness(spark, d):
+    return eav.entity_completeness(ad.entities(spark, d), ad.values(spark, d), [1, 2, 3, 4])
+
+
+@register(sql("SELECT e.id, e.name, count(DISTINCT w.attribute_id) AS n_attributes, count(DISTINCT CASE WHEN w.attribute_id <= 3 THEN w.attribute_id END) AS n_keys FROM e LEFT JOIN w ON w.plant_id = e.id GROUP BY 1, 2", "w", "e"))
+def entity_list(spark, d):
+    return eav.entity_list(ad.entities(spark, d), ad.values(spark, d), [1, 2, 3]).select("id", "name", "n_attributes", "n_keys")
+
+
+@register(sql("SELECT DISTINCT plant_id FROM w WHERE attribute_id = 1 AND value IN ('RF', 'AF')", "w"))
+def entities_with(spark, d):
+    return eav.entities_with(ad.values(spark, d), 1, ["RF", "AF"])
+
+
+@register(sql("SELECT e.id FROM e WHERE e.id NOT IN (SELECT plant_id FROM w WHERE attribute_id = 7)", "w", "e"))
+def gap_entities(spark, d):
+    return eav.gap_entities(ad.entities(spark, d), ad.values(spark, d), 7).select("id")
+
+
+PRESETS = [("fire", 1, "AF"), ("fire", 1, "RF"), ("fire", 2, "NO"), ("water", 3, "NO")]
+
+
+@register(sql("SELECT 'fire' AS preset, plant_id FROM w GROUP BY plant_id HAVING count_if(attribute_id = 1 AND value IN ('AF', 'RF')) > 0 AND count_if(attribute_id = 2 AND value = 'NO') > 0 UNION ALL SELECT 'water', plant_id FROM w GROUP BY plant_id HAVING count_if(attribute_id = 3 AND value = 'NO') > 0", "w"))
+def apply_presets(spark, d):
+    return eav.apply_presets(ad.values(spark, d), spark.createDataFrame(PRESETS, "preset string, attribute_id long, value string"))
+
+
+@register("WITH RECURSIVE t AS (" + ad.CTE["t"] + "), p AS (SELECT id, name, name AS root_name, name AS path, 1 AS level FROM t WHERE parent IS NULL UNION ALL SELECT t.id, t.name, p.root_name, concat(p.path, ' > ', t.name), p.level + 1 FROM t JOIN p ON t.parent = p.id) SELECT * FROM p")
+def attribute_paths(spark, d):
+    return eav.attribute_paths(ad.tree(spark, d), 4)
+
+
+@register(sql("SELECT t.id, t.name, u.name AS parent_name FROM t LEFT JOIN t u ON t.parent = u.id", "t"))
+def attribute_parents(spark, d):
+    return eav.attribute_parents(ad.tree(spark, d)).select("id", "name", "parent_name")
+
+
+@register(sql("SELECT DISTINCT plant_id, attribute_id, source_id, s.name AS source_name FROM w JOIN s ON w.source_id = s.id", "w", "s"))
+def source_attribution(spark, d):
+    return eav.source_attribution(ad.values(spark, d), ad.sources(spark, d))
+
+
+@register(sql("SELECT plant_id, " + ", ".join(f"coalesce(string_agg(DISTINCT CASE WHEN attribute_id = {i} THEN value END, ', ' ORDER BY CASE WHEN attribute_id = {i} THEN value END), '') AS a{i}" for i in (1, 2, 3)) + " FROM w WHERE attribute_id IN (1, 2, 3) GROUP BY 1", "w"))
+def pivot_entities(spark, d):
+    return eav.pivot_entities(ad.values(spark, d), [1, 2, 3])
+
+
+@register(sql("SELECT plant_id, max(CASE WHEN attribute_id = 1 AND value = 'NO' THEN 1 ELSE 0 END) AS has_open, CAST(greatest(0, least(6, sum(CASE WHEN attribute_id = 2 AND value = 'NO' THEN 1 WHEN attribute_id = 2 AND value = 'RF' THEN 2 ELSE 0 END))) AS BIGINT) AS wildlife, CAST(greatest(-3, least(0, sum(CASE WHEN attribute_id = 3 AND value = 'AF' THEN -1 ELSE 0 END))) AS BIGINT) AS invasive, wildlife + invasive AS total FROM w GROUP BY 1", "w"))
+def value_matrix(spark, d):
+    return eav.value_matrix(ad.values(spark, d), {"open": (1, ["NO"])}, {"wildlife": (2, {"NO": 1, "RF": 2}, 0, 6), "invasive": (3, {"AF": -1}, -3, 0)})
+
+
+@register(sql("SELECT plant_id, attribute_id, count(*) AS n_warrants, count_if(warrant_type = 'external') AS n_external FROM w WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.plant_id = w.plant_id AND c.attribute_id = w.attribute_id) GROUP BY 1, 2 HAVING count(*) >= 2 AND count_if(warrant_type = 'external') >= 1", "w", "c"))
+def unsynthesized_pairs(spark, d):
+    return reports.unsynthesized_pairs(ad.warrants(spark, d), ad.claims(spark, d))
+
+
+@register(sql("SELECT c.id AS claim_id, count(*) AS n_later FROM c JOIN w USING (plant_id, attribute_id) WHERE c.status = 'approved' AND w.status <> 'excluded' AND w.created_at > c.approved_at GROUP BY 1", "w", "c"))
+def stale_claims(spark, d):
+    return cl.stale_claims(ad.claims(spark, d), ad.warrants(spark, d))
+
+
+@register(sql("SELECT plant_id, attribute_id, string_agg(DISTINCT value, ', ' ORDER BY value) AS current_value FROM w WHERE EXISTS (SELECT 1 FROM c WHERE c.plant_id = w.plant_id AND c.attribute_id = w.attribute_id AND c.status = 'approved') GROUP BY 1, 2", "w", "c"))
+def current_values(spark, d):
+    return cl.current_values(ad.values(spark, d), cl.syncable_claims(ad.claims(spark, d)))
+
+
+@register(sql("SELECT c.id, coalesce(edited_value, categorical_value, synthesized_text) AS new_value, v.current_value, z.n_later, z.n_later IS NOT NULL AS is_stale FROM c LEFT JOIN (SELECT plant_id, attribute_id, string_agg(DISTINCT value, ', ' ORDER BY value) AS current_value FROM w GROUP BY 1, 2) v USING (plant_id, attribute_id) LEFT JOIN (SELECT k.id, count(*) AS n_later FROM c k JOIN w USING (plant_id, attribute_id) WHERE k.status = 'approved' AND w.status <> 'excluded' AND w.created_at > k.approved_at GROUP BY 1) z ON z.id = c.id WHERE c.status = 'approved'", "w", "c"))
+def sync_preview(spark, d):
+    return cl.sync_preview(ad.claims(spark, d), ad.values(spark, d), ad.warrants(spark, d)).select("id", "new_value", "current_value", "n_later", "is_stale")
+
+
+VALUES_ONCE = "SELECT id, plant_id, attribute_id, min(value) AS value FROM w GROUP BY 1, 2, 3"
+
+
+def _values_once(spark, d):
+    return ad.values(spark, d).groupBy("id", "plant_id", "attribute_id").agg(F.min("value").alias("value"))
+
+
+UPSERT = f"v AS ({VALUES_ONCE}), l AS (SELECT plant_id, attribute_id, coalesce(edited_value, categorical_value, synthesized_text) AS new_value FROM (SELECT *, row_number() OVER (PARTITION BY plant_id, attribute_id ORDER BY approved_at DESC, id DESC) AS r FROM c WHERE status = 'approved') WHERE r = 1), f AS (SELECT plant_id, attribute_id, min(id) AS id FROM v GROUP BY 1, 2), u AS (SELECT v.id, v.plant_id, v.attribute_id, coalesce(l.new_value, v.value) AS value, CASE WHEN l.new_value IS NULL THEN 'kept' ELSE 'updated' END AS action FROM v LEFT JOIN f ON f.id = v.id AND f.plant_id = v.plant_id AND f.attribute_id = v.attribute_id LEFT JOIN l ON l.plant_id = f.plant_id AND l.attribute_id = f.attribute_id UNION ALL SELECT concat_ws('-', 'new', CAST(l.plant_id AS STRING), CAST(l.attribute_id AS STRING)), l.plant_id, l.attribute_id, l.new_value, 'inserted' FROM l WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.plant_id = l.plant_id AND f.attribute_id = l.attribute_id))"
+
+
+@register(f"WITH w AS ({ad.CTE['w']}), c AS ({ad.CTE['c']}), {UPSERT} SELECT * FROM u")
+def upsert_values(spark, d):
+    return cl.upsert_values(_values_once(spark, d), cl.syncable_claims(ad.claims(spark, d)))
+
+
+@register(f"WITH w AS ({ad.CTE['w']}), c AS ({ad.CTE['c']}), {UPSERT} SELECT change, count(*) AS n FROM (SELECT CASE action WHEN 'inserted' THEN 'added' ELSE 'modified' END AS change FROM u LEFT JOIN v USING (id) WHERE u.value IS DISTINCT FROM v.value) GROUP BY 1")
+def snapshot_diff(spark, d):
+    old = _values_once(spark, d)
+    new = cl.upsert_values(old, cl.syncable_claims(ad.claims(spark, d))).drop("action")
+    return cl.snapshot_diff(old, new, ["id"]).groupBy("change").agg(F.count("*").alias("n"))
+
+
+@register(sql("SELECT id, source_dataset, batch_type, started_at FROM (SELECT *, row_number() OVER (PARTITION BY source_dataset ORDER BY started_at DESC, id DESC) AS r FROM b) WHERE r = 1", "b"))
+def latest_batch(spark, d):
+    return reports.latest_batch(ad.batches(spark, d)).select("id", "source_dataset", "batch_type", "started_at")
+
+
+@register(sql("SELECT id, status FROM b WHERE status = 'running' UNION ALL SELECT * FROM (SELECT id, status FROM b WHERE status <> 'running' ORDER BY started_at DESC, id DESC LIMIT 10)", "b"))
+def batch_status(spark, d):
+    return reports.batch_status(ad.batches(spark, d)).select("id", "status")
+
+
+@register(sql("SELECT 'warrants' AS counter, count(*) AS n FROM w UNION ALL SELECT 'warrants_unreviewed', count_if(status = 'unreviewed') FROM w UNION ALL SELECT 'conflicts', count(*) FROM x UNION ALL SELECT 'conflicts_pending', count_if(status = 'pending') FROM x UNION ALL SELECT 'conflicts_critical_pending', count_if(status = 'pending' AND severity = 'critical') FROM x UNION ALL SELECT 'claims', count(*) FROM c UNION ALL SELECT 'claims_to_sync', count_if(status = 'approved') FROM c", "c", *CONFLICTS))
+def dashboard(spark, d):
+    return reports.dashboard(ad.warrants(spark, d), _conflicts(spark, d), ad.claims(spark, d))
+
+
+@register(sql("SELECT plant_id, count(*) AS n_unreviewed FROM w WHERE status = 'unreviewed' GROUP BY 1", "w"))
+def unreviewed_counts(spark, d):
+    return reports.unreviewed_counts(ad.warrants(spark, d))
+
+
+@register(sql("SELECT plant_id, attribute_id, id, status FROM (SELECT *, row_number() OVER (PARTITION BY plant_id, attribute_id ORDER BY created_at DESC, id DESC) AS r FROM c) WHERE r = 1", "c"))
+def latest_claim(spark, d):
+    return reports.latest_claim(ad.claims(spark, d)).select("plant_id", "attribute_id", "id", "status")
+
+
+@register(sql("SELECT w.plant_id, w.attribute_id, count(DISTINCT w.id) AS n_warrants, coalesce(string_agg(DISTINCT source_id, ', ' ORDER BY source_id), '') AS source_list, any_value(k.status) AS claim_status, bool_or(q.plant_id IS NOT NULL) AS in_conflict FROM w LEFT JOIN (SELECT plant_id, attribute_id, status FROM (SELECT *, row_number() OVER (PARTITION BY plant_id, attribute_id ORDER BY created_at DESC, id DESC) AS r FROM c) WHERE r = 1) k USING (plant_id, attribute_id) LEFT JOIN (SELECT DISTINCT plant_id, attribute_id FROM x) q ON q.plant_id = w.plant_id AND q.attribute_id = w.attribute_id GROUP BY 1, 2", "c", *CONFLICTS))
+def claims_worklist(spark, d):
+    return reports.claims_worklist(ad.warrants(spark, d), ad.claims(spark, d), _conflicts(spark, d))
+
+
+def _reliability(spark, d):
+    return ad.table(spark, d, "supplier").selectExpr("concat('S', CAST(s_suppkey AS STRING)) AS source_id", "element_at(array('experimental','field_observation','literature_review','expert_opinion','other'), CAST(s_suppkey % 5 AS INT) + 1) AS methodology_type", "s_suppkey % 2 = 0 AS peer_reviewed", "CASE WHEN s_suppkey % 3 = 0 THEN '5000+' WHEN s_suppkey % 3 = 1 THEN '100' END AS sample_size", "CASE WHEN s_suppkey % 4 = 0 THEN 'local' ELSE 'national' END AS geographic_specificity", "CASE WHEN s_suppkey % 7 = 0 THEN 'current' END AS temporal_currency")
+
+
+SCORE = "SELECT concat('S', CAST(s_suppkey AS STRING)) AS source_id, round(0.30::DOUBLE * CASE s_suppkey % 5 WHEN 0 THEN 1.0 WHEN 1 THEN 0.8 WHEN 2 THEN 0.7 WHEN 3 THEN 0.6 ELSE 0.5 END::DOUBLE + 0.20::DOUBLE * CASE WHEN s_suppkey % 2 = 0 THEN 1.0 ELSE 0.3 END::DOUBLE + 0.15::DOUBLE * CASE s_suppkey % 3 WHEN 0 THEN 1.0 WHEN 1 THEN 0.8 ELSE 0.5 END::DOUBLE + 0.20::DOUBLE * CASE WHEN s_suppkey % 4 = 0 THEN 1.0 ELSE 0.7 END::DOUBLE + 0.15::DOUBLE * CASE WHEN s_suppkey % 7 = 0 THEN 1.0 ELSE 0.5 END::DOUBLE + 1e-9::DOUBLE, 2) AS auto_score FROM supplier"
+
+
+@register(SCORE)
+def auto_score(spark, d):
+    return cl.auto_score(_reliability(spark, d)).select("source_id", "auto_score")
+
+
+@register(f"WITH w AS ({ad.CTE['w']}), r AS ({SCORE}), p AS (SELECT plant_id, attribute_id, lower(trim(value)) AS value, sum(coalesce(auto_score, 0.5)) AS weight, count(DISTINCT w.source_id) AS n_sources, count(*) AS n FROM w LEFT JOIN r USING (source_id) WHERE status <> 'excluded' GROUP BY 1, 2, 3), t AS (SELECT *, sum(weight) OVER (PARTITION BY plant_id, attribute_id) AS total, sum(n) OVER (PARTITION BY plant_id, attribute_id) AS warrant_count, row_number() OVER (PARTITION BY plant_id, attribute_id ORDER BY round(weight, 6) DESC, n DESC, value) AS k FROM p) SELECT plant_id, attribute_id, value, round(weight / total, 4) AS support, CAST(warrant_count AS BIGINT) AS warrant_count, CASE WHEN round(weight / total, 4) >= 0.75 AND n_sources >= 2 THEN 'high' WHEN round(weight / total, 4) >= 0.5 THEN 'moderate' ELSE 'low' END AS confidence FROM t WHERE k = 1")
+def consensus_claims(spark, d):
+    return cl.consensus_claims(ad.warrants(spark, d), cl.auto_score(_reliability(spark, d)).withColumn("reliability_score", F.col("auto_score")))
+
+
+def _names(spark, d):
+    """Part names as they are, with a letter dropped, with another letter, genus only and with a cultivar, by key."""
+    p = ad.table(spark, d, "part")
+    return p.selectExpr("CASE CAST(p_partkey % 5 AS INT) WHEN 0 THEN p_name WHEN 1 THEN concat(substring(p_name, 1, length(p_name) - 1)) WHEN 2 THEN concat(p_name, 'q') WHEN 3 THEN concat(split_part(p_name, ' ', 1), ' spp.') ELSE concat(p_name, ' ''Red''') END AS name").distinct()
+
+
+NAMES_SQL = "SELECT DISTINCT CASE p_partkey % 5 WHEN 0 THEN p_name WHEN 1 THEN substring(p_name, 1, length(p_name) - 1) WHEN 2 THEN concat(p_name, 'q') WHEN 3 THEN concat(split_part(p_name, ' ', 1), ' spp.') ELSE concat(p_name, ' ''Red''') END AS name FROM part"
+PARSED_SQL = "SELECT name, lower(split_part(regexp_replace(name, ' ''Red''', ''), ' ', 1)) AS g, CASE WHEN name LIKE '% spp.' THEN NULL ELSE lower(split_part(regexp_replace(name, ' ''Red''', ''), ' ', 2)) END AS s FROM names"
+INDEX_SQL = "SELECT lower(genus) AS g, lower(species) AS s, min(id) AS plant_id, count(*) AS match_count FROM e GROUP BY 1, 2"
+MATCH_CTE = f"WITH e AS ({ad.CTE['e']}), names AS ({NAMES_SQL}), p AS ({PARSED_SQL}), i AS ({INDEX_SQL})"
+FUZZY_SQL = "SELECT p.name, i.plant_id, 1 - levenshtein(p.s, i.s) / greatest(length(p.s), length(i.s))::DOUBLE AS sim, row_number() OVER (PARTITION BY p.name ORDER BY 1 - levenshtein(p.s, i.s) / greatest(length(p.s), length(i.s))::DOUBLE DESC, i.plant_id) AS r FROM p JOIN i ON p.g = i.g WHERE p.s IS NOT NULL AND i.s <> ''"
+
+
+@register(f"{MATCH_CTE} SELECT p.name, p.g, p.s, i.plant_id, i.match_count FROM p LEFT JOIN i ON p.g = i.g AND p.s = i.s")
+def match_exact(spark, d):
+    return matching.match_exact(_names(spark, d), ad.entities(spark, d)).select("name", "g", "s", "plant_id", "match_count")
+
+
+@register(f"{MATCH_CTE}, f AS ({FUZZY_SQL}) SELECT name, plant_id, round(sim, 9) AS sim FROM f WHERE r = 1 AND sim >= 0.85")
+def match_fuzzy(spark, d):
+    return matching.match_fuzzy(_names(spark, d), ad.entities(spark, d)).select("name", "plant_id", F.round("sim", 9).alias("sim"))
+
+
+@register(f"{MATCH_CTE}, f AS ({FUZZY_SQL}), q AS (SELECT g, count(*) AS n, min(id) AS only_one FROM (SELECT lower(genus) AS g, id FROM e) GROUP BY 1) SELECT p.name, CASE WHEN i.plant_id IS NOT NULL THEN 'EXACT' WHEN p.s IS NULL AND q.g IS NOT NULL THEN 'GENUS_ONLY' WHEN f.sim >= 0.85 THEN 'FUZZY' ELSE 'NONE' END AS match_type, CASE WHEN i.plant_id IS NOT NULL THEN i.plant_id WHEN p.s IS NULL AND q.n = 1 THEN q.only_one WHEN p.s IS NOT NULL AND f.sim >= 0.85 THEN f.plant_id END AS plant_id FROM p LEFT JOIN i ON p.g = i.g AND p.s = i.s LEFT JOIN q ON q.g = p.g LEFT JOIN f ON f.name = p.name AND f.r = 1")
+def match_entities(spark, d):
+    return matching.match_entities(_names(spark, d), ad.entities(spark, d)).select("name", "match_type", "plant_id")
+
+
+@register(sql("SELECT plant_id, attribute_id, source, value FROM (SELECT e.id AS plant_id, a.id AS attribute_id, lower(concat(genus, ' ', species)) AS k FROM e CROSS JOIN a WHERE NOT EXISTS (SELECT 1 FROM w WHERE w.plant_id = e.id AND w.attribute_id = a.id)) JOIN (SELECT p_size % 7 + 1 AS attribute_id, p_type AS source, lower(p_name) AS k, arg_max(p_brand, p_partkey) AS value FROM part GROUP BY 1, 2, 3) USING (attribute_id, k)", "w", "e", "a"))
+def enrichment_candidates(spark, d):
+    e = ad.entities(spark, d)
+    gaps = eav.gap_matrix(e, ad.attributes(spark, d), ad.values(spark, d)).join(e.select(F.col("id").alias("plant_id"), "genus", "species"), "plant_id")
+    src = ad.table(spark, d, "part").selectExpr("CAST(p_size % 7 + 1 AS BIGINT) AS attribute_id", "p_type AS source", "p_name AS name", "p_brand AS value", "p_partkey AS source_row")
+    return matching.enrichment_candidates(gaps, src).select("plant_id", "attribute_id", "source", "value")
+
+
+@register("WITH n AS (SELECT doc_id, i AS node_id, w[i] AS title FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS w FROM documents))), q AS (SELECT DISTINCT query_id, unnest(string_split(query, ' ')) AS word FROM (VALUES (1, 'the and'), (2, 'der die')) v(query_id, query)), z AS (SELECT query_id, doc_id, node_id, sum(3) AS score FROM n JOIN q ON contains(lower(title), word) GROUP BY 1, 2, 3) SELECT query_id, doc_id, CAST(node_id AS BIGINT) AS node_id, CAST(score AS BIGINT) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id, node_id) AS rank FROM z) WHERE rank <= 5")
+def search_nodes(spark, d):
+    nodes = ad.table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "title")).select("doc_id", (F.col("i") + 1).cast("long").alias("node_id"), "title", F.lit("").alias("summary"))
+    return docindex.search_nodes(nodes, spark.createDataFrame([(1, "the and"), (2, "der die")], "query_id int, query string"))
+
+
+@register("SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '[ \\t\\n\\r\\f\\v]+', ' ', 'g')) AS text FROM pages")
+def page_text(spark, d):
+    return ad.table(spark, d, "pages").select("page_id", names.strip_tags("html").alias("text"))
+
+
+@register()
+def html_tables(spark, d):
+    return harvest.html_tables(ad.table(spark, d, "pages"))
+
+
+@register("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+def value_counts(spark, d):
+    return reports.value_counts(ad.table(spark, d, "events"), "event_type")
+
+
+@register("SELECT 'lang' AS \"column\", count_if(trim(lang) <> '') AS n_filled, count(*) AS n_rows FROM documents UNION ALL SELECT 'source', count_if(trim(source) <> ''), count(*) FROM documents UNION ALL SELECT 'text', count_if(trim(text) <> ''), count(*) FROM documents")
+def field_fill(spark, d):
+    return reports.field_fill(ad.table(spark, d, "documents").select("lang", "source", "text"))
+
+
+@register(sql("SELECT w.id FROM w WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = w.plant_id AND p_size > 25)", "w"))
+def orphan_warrants(spark, d):
+    some = ad.table(spark, d, "part").filter("p_size > 25").selectExpr("p_partkey AS id")
+    return evidence.orphans(ad.warrants(spark, d), some, "plant_id").select("id")
