@@ -7,8 +7,8 @@ anchors at equal offsets, so no shard needs another one. Neighbouring factors mo
 a run of factors: the hash of the anchor, the hash of all bytes of the run, and where it lies.
 
 1. One scan gives the runs (two for every ``length - k + 1`` bytes on average).
-2. One shuffle by anchor; runs whose anchor occurs once are dropped. A text has many anchors, so that a passage in a third
-   of all texts makes groups of a few hundredths of the runs.
+2. Runs whose anchor occurs once are dropped: counts by anchor, combined before their shuffle, and a join, whose hot
+   anchors (a line repeated in a third of all texts) adaptive execution splits over several tasks.
 3. Where all runs of an anchor agree in all their bytes, each of their factors is a repeat.
 4. Elsewhere one run for each distinct content fetches its bytes. The factors of a shard are put in the order of their content and, among equals,
    of their position: the previous and the next smaller position of equal content are then neighbours, which gives the
@@ -28,7 +28,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -224,9 +224,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
     order = ["doc", "place", "rk"] if keep_first else ["place", "rk"]
 
     found = runs(side.select("rk", (F.col("doc") if keep_first else F.lit(0).cast("long")).alias("doc"), "text"), length, k).select("h", "content", *order)
-    per_anchor = Window.partitionBy("h")
-    shared = found.withColumns({"c": F.count("*").over(per_anchor), "lo": F.min("content").over(per_anchor), "hi": F.max("content").over(per_anchor)}).filter("c > 1")
-    shared = base.materialised(shared.select("h", "content", *order, (F.col("lo") != F.col("hi")).alias("mixed")))
+    by_anchor = found.groupBy(F.col("h").alias("h2")).agg(F.count("*").alias("c"), (F.min("content") != F.max("content")).alias("mixed")).filter("c > 1")
+    shared = base.materialised(found.join(by_anchor, F.col("h") == F.col("h2")).select("h", "content", *order, "mixed"))
 
     first, n = unpacked("place")
     full = [F.col("rk"), first.alias("a"), (first + n + length - 1).alias("z")]
