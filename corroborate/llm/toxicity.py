@@ -72,10 +72,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float = 1e-3
         return np.zeros(x.shape[1]), float(np.log(share / (1 - share)))
     xb = np.concatenate([x, np.ones((len(x), 1), x.dtype)], axis=1)
     weight = weight / weight.sum()
-    step = 4.0 / float((xb.astype(np.float64) ** 2).sum(1) @ weight)
+    step = 4.0 / float((xb * xb).sum(1) @ weight)
     w = v = np.zeros(xb.shape[1])
     for t in range(steps):
-        g = xb.T @ (weight * (_sigmoid(xb @ v) - y)) + l2 * np.append(v[:-1], 0)
+        residual = weight * (_sigmoid(xb @ v.astype(xb.dtype)) - y)
+        g = (residual.astype(xb.dtype) @ xb).astype(np.float64) + l2 * np.append(v[:-1], 0)
         new = v - 4 * step * g
         v, w = new + t / (t + 3) * (new - w), new
     return w[:-1], float(w[-1])
