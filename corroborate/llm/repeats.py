@@ -225,6 +225,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
 
     found = runs(side.select("rk", (F.col("doc") if keep_first else F.lit(0).cast("long")).alias("doc"), "text"), length, k).select("h", "content", *order)
     by_anchor = found.groupBy(F.col("h").alias("h2")).agg(F.count("*").alias("c"), (F.min("content") != F.max("content")).alias("mixed")).filter("c > 1")
+    by_anchor = base.materialised(by_anchor.select("h2", "mixed"))  # a table of its own, so that the join's sides are plain shuffles that can be split
     shared = base.materialised(found.join(by_anchor, F.col("h") == F.col("h2")).select("h", "content", *order, "mixed"))
 
     first, n = unpacked("place")
