@@ -264,7 +264,7 @@ def auto_score(spark, d):
     return cl.auto_score(_reliability(spark, d)).select("source_id", "auto_score")
 
 
-@register(f"WITH w AS ({ad.CTE['w']}), r AS ({SCORE}), p AS (SELECT plant_id, attribute_id, lower(trim(value)) AS value, sum(coalesce(auto_score, 0.5)) AS weight, count(DISTINCT w.source_id) AS n_sources, count(*) AS n FROM w LEFT JOIN r USING (source_id) WHERE status <> 'excluded' GROUP BY 1, 2, 3), t AS (SELECT *, sum(weight) OVER (PARTITION BY plant_id, attribute_id) AS total, sum(n) OVER (PARTITION BY plant_id, attribute_id) AS warrant_count, row_number() OVER (PARTITION BY plant_id, attribute_id ORDER BY round(weight, 6) DESC, n DESC, value) AS k FROM p) SELECT plant_id, attribute_id, value, round(weight / total, 4) AS support, CAST(warrant_count AS BIGINT) AS warrant_count, CASE WHEN round(weight / total, 4) >= 0.75 AND n_sources >= 2 THEN 'high' WHEN round(weight / total, 4) >= 0.5 THEN 'moderate' ELSE 'low' END AS confidence FROM t WHERE k = 1")
+@register(f"WITH w AS ({ad.CTE['w']}), r AS ({SCORE}), p AS (SELECT plant_id, attribute_id, lower(trim(value)) AS value, sum(CAST(coalesce(auto_score, 0.5) AS DECIMAL(10, 4))) AS weight, count(DISTINCT w.source_id) AS n_sources, count(*) AS n FROM w LEFT JOIN r USING (source_id) WHERE status <> 'excluded' GROUP BY 1, 2, 3), t AS (SELECT *, sum(weight) OVER (PARTITION BY plant_id, attribute_id) AS total, sum(n) OVER (PARTITION BY plant_id, attribute_id) AS warrant_count, row_number() OVER (PARTITION BY plant_id, attribute_id ORDER BY weight DESC, n DESC, value) AS k FROM p) SELECT plant_id, attribute_id, value, round(weight::DOUBLE / total::DOUBLE + 1e-9::DOUBLE, 4) AS support, CAST(warrant_count AS BIGINT) AS warrant_count, CASE WHEN round(weight::DOUBLE / total::DOUBLE + 1e-9::DOUBLE, 4) >= 0.75 AND n_sources >= 2 THEN 'high' WHEN round(weight::DOUBLE / total::DOUBLE + 1e-9::DOUBLE, 4) >= 0.5 THEN 'moderate' ELSE 'low' END AS confidence FROM t WHERE k = 1")
 def consensus_claims(spark, d):
     return cl.consensus_claims(ad.warrants(spark, d), cl.auto_score(_reliability(spark, d)).withColumn("reliability_score", F.col("auto_score")))
 
