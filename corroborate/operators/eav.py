@@ -204,4 +204,4 @@ def lookup_sources(names: DataFrame, long: DataFrame, genus_datasets: list[str])
 
 def swap_pairs(df: DataFrame, bad: str = "bad", good: str = "good", sep: str = ";") -> DataFrame:
     """Every bad item with every good one of the same cell pair."""
-    return df.withColumn(bad, F.explode(F.transform(F.split(bad, sep), F.trim))).withColumn(good, F.explode(F.transform(F.split(good, sep), F.trim)))
+    return df.withColumn(bad, F.explode(F.transform(F.split(bad, sep), lambda x: F.trim(x)))).withColumn(good, F.explode(F.transform(F.split(good, sep), lambda x: F.trim(x))))

@@ -121,3 +121,16 @@ def enrichment_candidates(gaps: DataFrame, source_values: DataFrame) -> DataFram
     of repeated names in a source the last row counts."""
     s = source_values.groupBy("attribute_id", "source", F.lower(F.trim("name")).alias("k")).agg(F.max_by("value", "source_row").alias("value"))
     return gaps.withColumn("k", binomial_key("genus", "species")).join(s, ["attribute_id", "k"]).drop("k")
+
+
+def enrichment_summary(gaps: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(attribute_id, n_gaps, n_names, sources): gaps, distinct names that some source can fill, and rows by source (sorted).
+
+    ``gaps`` and ``candidates`` as taken and returned by ``enrichment_candidates``. Names are made distinct before they are
+    counted, so that one large attribute is spread over tasks.
+    """
+    n = gaps.groupBy("attribute_id").agg(F.count("*").alias("n_gaps"))
+    known = candidates.select("attribute_id", binomial_key("genus", "species").alias("k")).distinct().groupBy("attribute_id").agg(F.count("*").alias("n_names"))
+    by = candidates.groupBy("attribute_id", "source").agg(F.count("*").alias("n")).groupBy("attribute_id").agg(F.array_sort(F.collect_list(F.struct("source", "n"))).alias("sources"))
+    out = n.join(known, "attribute_id", "left").join(by, "attribute_id", "left")
+    return out.select("attribute_id", "n_gaps", F.coalesce("n_names", F.lit(0)).alias("n_names"), F.coalesce("sources", F.array().cast("array<struct<source:string,n:bigint>>")).alias("sources"))

@@ -143,7 +143,7 @@ def batch_progress(batches: DataFrame) -> DataFrame:
 
 def trait_means(data: DataFrame) -> DataFrame:
     x = F.col("var_value").try_cast("double")
-    return data.groupBy("taxon_name", "var_name").agg(F.round(F.avg(x), 2).alias("mean"), F.count(x).alias("n")).filter("n > 0")
+    return data.groupBy("taxon_name", "var_name").agg(F.round(F.avg(x) + 1e-9, 2).alias("mean"), F.count(x).alias("n")).filter("n > 0")
 
 
 def value_counts(df: DataFrame, *cols: str) -> DataFrame:

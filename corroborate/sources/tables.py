@@ -92,7 +92,7 @@ def catalog_summary(tables: dict[str, DataFrame], embed: int = 200) -> DataFrame
 
 def write_by_member(df: DataFrame, list_col: str, path: str, sep: str = ",") -> None:
     """One folder for each member of a list column."""
-    df.withColumn("member", F.explode(F.transform(F.split(list_col, sep), F.trim))).filter("member <> ''").write.partitionBy("member").parquet(path)
+    df.withColumn("member", F.explode(F.transform(F.split(list_col, sep), lambda x: F.trim(x)))).filter("member <> ''").write.partitionBy("member").parquet(path)
 
 
 def profile_source(df: DataFrame, k: int = 20, order: str | None = None) -> DataFrame:
