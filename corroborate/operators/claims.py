@@ -55,12 +55,10 @@ def consensus_claims(warrants: DataFrame, reliability: DataFrame, default: float
     """
     w = warrants.filter("status <> 'excluded' and value is not null").join(reliability.select("source_id", "reliability_score"), "source_id", "left")
     per = w.groupBy(*PAIR, F.lower(F.trim("value")).alias("value")).agg(F.sum(F.coalesce("reliability_score", F.lit(default)).cast("decimal(10,4)")).alias("weight"), F.countDistinct("source_id").alias("n_sources"), F.count("*").alias("n"))
-    group = Window.partitionBy(*PAIR)
-    # Weights are decimals, so that the order of a sum does not decide.
-    order = group.orderBy(F.desc("weight"), F.desc("n"), "value")
-    best = per.withColumns({"r": F.row_number().over(order), "total": F.sum("weight").over(group), "warrant_count": F.sum("n").over(group)}).filter("r = 1")
-    share = F.round(F.col("weight").cast("double") / F.col("total").cast("double") + 1e-9, 4)
-    return best.select(*PAIR, "value", share.alias("support"), "warrant_count", F.when((share >= 0.75) & (F.col("n_sources") >= 2), "high").when(share >= 0.5, "moderate").otherwise("low").alias("confidence"))
+    # Weights are decimals, so that the order of a sum does not decide. One aggregate picks the winner, without a window.
+    best = per.groupBy(*PAIR).agg(F.min(F.struct((-F.col("weight")).alias("w"), (-F.col("n")).alias("c"), "value", "n_sources")).alias("b"), F.sum("weight").alias("total"), F.sum("n").alias("warrant_count"))
+    share = F.round((-F.col("b.w")).cast("double") / F.col("total").cast("double") + 1e-9, 4)
+    return best.select(*PAIR, "b.value", share.alias("support"), "warrant_count", F.when((share >= 0.75) & (F.col("b.n_sources") >= 2), "high").when(share >= 0.5, "moderate").otherwise("low").alias("confidence"))
 
 
 def validate_categorical(df: DataFrame, attributes: DataFrame) -> DataFrame:

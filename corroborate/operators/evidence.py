@@ -78,25 +78,38 @@ def warrant_groups(warrants: DataFrame, mode: str | None = None, min_size: int =
 
 
 def warrant_group_members(warrants: DataFrame, mode: str | None = None, min_size: int = 2, strict_mode: bool = False) -> DataFrame:
-    """All active warrants of the groups that qualify in ``mode``; ``strict_mode`` keeps the mode for members too."""
-    if mode is None:
-        n = F.count("*").over(Window.partitionBy(*PAIR))
-        return active(warrants).withColumn("n_warrants", n).filter(F.col("n_warrants") >= min_size)
+    """All active warrants of the groups that qualify in ``mode``; ``strict_mode`` keeps the mode for members too.
+
+    Groups are counted first and joined back, so that the members of one very large group are split over tasks.
+    """
     return active(warrants, mode if strict_mode else None).join(warrant_groups(warrants, mode, min_size), PAIR)
 
 
 def conflict_pairs(members: DataFrame, threshold: int = 5) -> DataFrame:
-    """Pairs (a before b by source and id): all in groups of up to ``threshold``, else the first warrant of the modal value with each other."""
-    by_order = Window.partitionBy(*PAIR).orderBy(F.asc_nulls_first("source_id"), "id")
-    group = Window.partitionBy(*PAIR)
-    same = Window.partitionBy(*PAIR, F.lower(F.trim("value")))
-    m = members.select(*PAIR, "id", "value", "source_id").withColumns({"rn": F.row_number().over(by_order), "n": F.count("*").over(group)})
-    m = m.withColumn("votes", F.count("*").over(same))
-    m = m.withColumn("anchor", -F.max(F.struct("votes", (-F.col("rn")).alias("back"))).over(group)["back"])
-    side = lambda x: m.select(*PAIR, *[F.col(c).alias(f"{c}_{x}") for c in ("id", "value", "source_id", "rn")], *(["n", "anchor"] if x == "a" else []))
-    rule = F.when(F.col("n") <= threshold, F.col("rn_a") < F.col("rn_b")).otherwise((F.col("rn_a") == F.col("anchor")) & (F.col("rn_a") != F.col("rn_b")))
-    first = side("a").filter((F.col("n") <= threshold) | (F.col("rn_a") == F.col("anchor")))
-    return first.join(side("b"), PAIR).filter(rule).select(*PAIR, "id_a", "id_b", "value_a", "value_b", "source_id_a", "source_id_b")
+    """Pairs (a before b by source and id): all in groups of up to ``threshold``, else the first warrant of the modal value with each other.
+
+    Sizes, modes and anchors are aggregates; only groups of up to ``threshold`` rows are ordered in a window. In larger groups
+    the anchors (a row a group) are joined to the members, a join that adaptive execution splits when a group is hot. A repeated
+    anchor row is paired with its copies.
+    """
+    m = members.select(*PAIR, "id", "value", "source_id")
+    votes = m.groupBy(*PAIR, F.lower(F.trim("value")).alias("v")).agg(F.count("*").alias("votes"), F.min(F.struct("source_id", "id", "value")).alias("first"))
+    info = votes.groupBy(*PAIR).agg(F.sum("votes").alias("n"), F.min(F.struct((-F.col("votes")).alias("votes"), "first"))["first"].alias("anchor"))
+
+    order = Window.partitionBy(*PAIR).orderBy(F.asc_nulls_first("source_id"), "id", "value")
+    small = m.join(info.filter(F.col("n") <= threshold).select(*PAIR), PAIR, "left_semi").withColumn("rn", F.row_number().over(order))
+    side = lambda x: small.select(*PAIR, *[F.col(c).alias(f"{c}_{x}") for c in ("id", "value", "source_id", "rn")])
+    few = side("a").join(side("b"), PAIR).filter("rn_a < rn_b")
+
+    anchors = info.filter(F.col("n") > threshold).select(*PAIR, *[F.col(f"anchor.{c}").alias(f"{c}_a") for c in ("id", "value", "source_id")])
+    other = m.select(*PAIR, *[F.col(c).alias(f"{c}_b") for c in ("id", "value", "source_id")])
+    same = F.col("id_a").eqNullSafe(F.col("id_b")) & F.col("value_a").eqNullSafe(F.col("value_b")) & F.col("source_id_a").eqNullSafe(F.col("source_id_b"))
+    many = other.join(anchors, PAIR).filter(~same)
+    a, b = anchors.alias("a"), other.alias("b")
+    copies = b.join(a, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in PAIR] + [same]).groupBy(*[F.col(f"a.{c}") for c in PAIR], "id_a", "value_a", "source_id_a").agg(F.count("*").alias("k"))
+    again = copies.filter("k > 1").withColumn("i", F.explode(F.sequence(F.lit(2), F.col("k")))).select(*PAIR, "id_a", F.col("id_a").alias("id_b"), "value_a", F.col("value_a").alias("value_b"), "source_id_a", F.col("source_id_a").alias("source_id_b"))
+    cols = [*PAIR, "id_a", "id_b", "value_a", "value_b", "source_id_a", "source_id_b"]
+    return few.select(*cols).unionByName(many.select(*cols)).unionByName(again)
 
 
 def classify_pairs(pairs: DataFrame) -> DataFrame:

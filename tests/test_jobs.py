@@ -35,6 +35,22 @@ def test_pair_counts(spark):
     assert got == {2: 1, 5: 10, 6: 5, 9: 8}
 
 
+def test_pairs_of_a_hot_group_with_repeats_and_nulls(spark):
+    rows = [(1, 1, f"w{i}", None if i % 4 == 0 else "b", None if i % 5 == 0 else f"S{i % 3}") for i in range(40)]
+    rows += [r for r in rows if r[2] == "w5"] + [(2, 1, "x", "a", "S1")] * 3
+    got = sorted(((r.plant_id, r.id_a, r.id_b) for r in evidence.conflict_pairs(spark.createDataFrame(rows, "plant_id long, attribute_id long, id string, value string, source_id string")).collect()))
+    # The mode is b; its first row by source (nulls first) and id is w15 or another row without a source.
+    first = min((r for r in rows if r[0] == 1 and r[3] == "b"), key=lambda r: (r[4] is not None, r[4] or "", r[2]))
+    rest = [r[2] for r in rows if r[0] == 1]
+    rest.remove(first[2])
+    assert got == sorted([(1, first[2], x) for x in rest] + [(2, "x", "x")] * 3)
+
+
+def test_list_items_are_trimmed_of_spaces_only(spark):
+    df = spark.createDataFrame([("a0; 1b", "10; 01")], "bad string, good string")
+    assert sorted((r.bad, r.good) for r in eav.swap_pairs(df).collect()) == [("1b", "01"), ("1b", "10"), ("a0", "01"), ("a0", "10")]
+
+
 def test_nullish_pairs(spark):
     p = spark.createDataFrame([("High", "high "), (None, "x"), ("unknown", "n/a"), ("a", "b")], "value_a string, value_b string")
     assert [r.verdict for r in evidence.classify_pairs(p).collect()] == ["corroborated", "COMPLETENESS_CONFLICT", "REVIEW", "REVIEW"]
