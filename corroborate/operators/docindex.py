@@ -83,9 +83,14 @@ def page_offset(pairs: DataFrame) -> DataFrame:
     return d.groupBy("doc_id").agg(F.max_by("offset", F.struct("n", -F.col("at"))).alias("offset"))
 
 
+def clip_pages(toc: DataFrame, n_pages: DataFrame) -> DataFrame:
+    """Sections that start within the document; those beyond its end are dropped."""
+    return toc.join(n_pages, "doc_id").filter("page <= pages").drop("pages")
+
+
 def apply_offset(toc: DataFrame, offsets: DataFrame, n_pages: DataFrame) -> DataFrame:
     """Physical pages; sections beyond the document's end are dropped."""
-    return toc.join(offsets, "doc_id", "left").withColumn("page", F.col("page") + F.coalesce("offset", F.lit(0))).join(n_pages, "doc_id").filter("page <= pages").drop("offset", "pages")
+    return clip_pages(toc.join(offsets, "doc_id", "left").withColumn("page", F.col("page") + F.coalesce("offset", F.lit(0))).drop("offset"), n_pages)
 
 
 def chunk_pages(pages: DataFrame, max_tokens: int, overlap: int = 1) -> DataFrame:

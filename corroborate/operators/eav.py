@@ -192,14 +192,22 @@ def taxonomy_profile(names: DataFrame, backbones: list[tuple[str, DataFrame]], c
     return out.select("name", *merged, F.array_compact(F.array(*[F.when(F.col(f"in_{label}"), F.lit(label)) for label, _ in backbones])).alias("sources"))
 
 
-def lookup_sources(names: DataFrame, long: DataFrame, genus_datasets: list[str]) -> DataFrame:
-    """Rows of a long source table (dataset, name, column, value) for each name: by full name (1.0), or by genus (0.8) in genus datasets."""
+def lookup_sources(names: DataFrame, long: DataFrame, genus_datasets: list[str], synonymy: DataFrame | None = None) -> DataFrame:
+    """Rows of a long source table (dataset, name, column, value) for each name: by full name (1.0), or by genus (0.8) in genus datasets.
+
+    Names without a row by full name are tried by the taxon_name that ``synonymy`` (original_name, taxon_name) gives them (0.9).
+    """
     n = names.select("name", F.lower(F.trim("name")).alias("k")).distinct().withColumn("g", F.get(F.split("k", " "), F.lit(0)))
     src = long.filter(F.trim("value") != "").withColumn("k", F.lower(F.trim(F.regexp_replace("name", r"\s+[A-Z][a-z]*\.?.*$", "")))).drop("name")
     exact = n.join(src.filter(~F.col("dataset").isin(*genus_datasets)), "k").withColumn("confidence", F.lit(1.0))
     genus = n.drop("k").join(src.filter(F.col("dataset").isin(*genus_datasets)).withColumn("g", F.get(F.split("k", " "), F.lit(0))), "g").withColumn("confidence", F.lit(0.8))
     cols = ["name", "dataset", "column", "value", "confidence"]
-    return exact.select(*cols).unionByName(genus.select(*cols))
+    out = exact.select(*cols).unionByName(genus.select(*cols))
+    if synonymy is None:
+        return out
+    known_as = synonymy.select(F.lower(F.trim("original_name")).alias("k"), F.lower(F.trim("taxon_name")).alias("k2")).distinct()
+    other = n.join(exact.select("name").distinct(), "name", "left_anti").join(known_as, "k").select("name", F.col("k2").alias("k"))
+    return out.unionByName(other.join(src.filter(~F.col("dataset").isin(*genus_datasets)), "k").withColumn("confidence", F.lit(0.9)).select(*cols))
 
 
 def swap_pairs(df: DataFrame, bad: str = "bad", good: str = "good", sep: str = ";") -> DataFrame:

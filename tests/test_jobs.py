@@ -133,3 +133,17 @@ def test_stream_counts_match_batch(spark, tmp_path):
     want = events.groupBy(F.window("ts", "1 day").alias("w"), "event_type").count()
     assert spark.table("counts").count() == want.count()
     assert spark.table("counts").agg(F.sum("n")).first()[0] == events.count()
+
+
+def test_lookup_falls_back_on_synonyms(spark):
+    long = spark.createDataFrame([("A", "Acer rubrum", "c", "x"), ("G", "Rosa", "c", "y")], "dataset string, name string, column string, value string")
+    syn = spark.createDataFrame([("Acer old", "Acer rubrum"), ("Acer rubrum", "Acer rubrum")], "original_name string, taxon_name string")
+    names_df = spark.createDataFrame([("Acer old",), ("Acer rubrum",), ("Rosa canina",)], "name string")
+    got = sorted((r.name, r.value, r.confidence) for r in eav.lookup_sources(names_df, long, ["G"], syn).collect())
+    assert got == [("Acer old", "x", 0.9), ("Acer rubrum", "x", 1.0), ("Rosa canina", "y", 0.8)]
+
+
+def test_offset_and_clip(spark):
+    toc = spark.createDataFrame([("a", 1), ("a", 9)], "doc_id string, page int")
+    got = docindex.apply_offset(toc, spark.createDataFrame([("a", 2)], "doc_id string, offset int"), spark.createDataFrame([("a", 10)], "doc_id string, pages int"))
+    assert [(r.doc_id, r.page) for r in got.collect()] == [("a", 3)]
