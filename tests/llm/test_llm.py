@@ -48,6 +48,8 @@ def test_odd_tables(spark, odd, docs, labels):
     assert sentencepiece_fst.encode(odd, queries.tokenizer_model(spark), check=True).filter("round_trip").count() == 8
     near = {r.doc_id: r.component_id for r in simhash.near_duplicates(odd).collect()}
     assert near[1] == near[2] == 1 and near[4] == 3
+    near = [(r.doc_id, r.component_id) for r in simhash.copies(odd).collect()]
+    assert len(near) == 8 and {(1, 1), (2, 1), (4, 3), (6, 6), (7, 7), (None, None)} <= set(near)
     cut = {r.doc_id: (r.n_bytes, r.n_removed) for r in repeats.find(odd).collect()}
     assert cut[1] == cut[2] == (0, 0) and cut[3] == cut[4] == (len(LONG), len(LONG)) and cut[7][1] == 0
     assert decontamination.contaminated(odd, spark.createDataFrame([(1, None), (2, "a b"), (3, "lorem ipsum dolor sit amet lorem")], "item_id long, text string")).select("doc_id").distinct().count() == 2
@@ -59,7 +61,7 @@ def test_empty_tables(spark, docs, labels):
     assert quality.score(none, quality.fit(none, labels.filter("doc_id < -1"))).count() == 0
     assert toxicity.score(none, toxicity.fit(none, labels.filter("doc_id < -1").select("doc_id", "toxic"), ["toxic"])).count() == 0
     assert pii.find(none, pii.fit(none)).count() == 0 and secret_scan.find(none, secret_scan.fit(none)).count() == 0
-    assert simhash.near_duplicates(none).count() == 0 and repeats.find(none).count() == 0
+    assert simhash.near_duplicates(none).count() == 0 and simhash.copies(none).count() == 0 and repeats.find(none).count() == 0
     assert decontamination.contaminated(none, none.selectExpr("doc_id AS item_id", "text")).count() == 0
 
 
@@ -99,6 +101,50 @@ def test_simhash_brute_force(docs):
     assert {r.doc_id: (r.fp % (1 << 64), r.component_id) for r in simhash.near_duplicates(few).collect()} == {i: (fps[i], low[i]) for i in fps}
 
 
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def least_reachable(ids, linked):
+    low = {i: i for i in ids}
+    for _ in ids:
+        low = {i: min(low[j] for j in ids if linked(i, j)) for i in ids}
+    return low
+
+
+def test_copies_brute_force(spark):
+    rng = np.random.default_rng(11)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    rows, n = [], 0
+    for group in range(12):
+        words = rng.choice(vocabulary, 120 + 40 * group).tolist()
+        for edits in (0, 0, 1, 1, 2, 3, 4, 6, 9, 14):
+            other = list(words)
+            for at in rng.choice(len(words), edits, replace=False):
+                other[at] = rng.choice(vocabulary)
+            rows.append((n, " ".join(other)))
+            n += 1
+    rows += [(n, None), (n + 1, " "), (n + 2, "only three words"), (n + 3, "Only  three\twords"), (None, rows[0][1])]
+    got = {r.doc_id: r.component_id for r in simhash.copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = {i: set(simhash.shingle_hashes(t or "", 5)) for i, t in rows if i is not None}
+    want = least_reachable(sets, lambda i, j: jaccard(sets[i], sets[j]) >= 0.8)
+    assert {i: c for i, c in got.items() if i is not None} == want and got[None] == 0
+    assert len(set(want.values())) > 14
+
+
+@pytest.mark.parametrize("task_bytes", [1 << 24, 1 << 14])
+def test_near_pairs_links_what_the_leader_does_not(spark, task_bytes):
+    # A chain: each text moves on by a few words, so that only neighbours are near and one group holds them all.
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[6 * i : 6 * i + 120])) for i in range(40)] + [(100, " ".join(words[::-1]))]
+    texts = spark.createDataFrame(rows, "id long, text string")
+    edges = {(r.a, r.b) for r in simhash.near_pairs(texts, texts.select("id", F.lit(0).cast("long").alias("comp")), 5, 0.8, 64, task_bytes).collect()}
+    sets = {i: set(simhash.shingle_hashes(t, 5)) for i, t in rows}
+    assert all(jaccard(sets[a], sets[b]) >= 0.8 for a, b in edges)
+    reached = least_reachable(sets, lambda i, j: i == j or (i, j) in edges or (j, i) in edges)
+    assert reached == least_reachable(sets, lambda i, j: jaccard(sets[i], sets[j]) >= 0.8) and set(reached.values()) == {0, 100}
+
+
 def test_vantage_tree_finds_all_links():
     rng = np.random.default_rng(3)
     x = rng.integers(0, 1 << 63, 700).astype(np.uint64)
