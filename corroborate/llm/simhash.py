@@ -293,14 +293,15 @@ def _near_open(least: float, max_bits: int):
     return run
 
 
-def near_pairs(docs: DataFrame, groups: DataFrame, words: int, least: float, max_bits: int, task_bytes: int = 1 << 24) -> DataFrame:
+def near_pairs(docs: DataFrame, groups: DataFrame, words: int, least: float, max_bits: int, task_bytes: int = 1 << 24, least_bytes: int = 1 << 18) -> DataFrame:
     """Edges (a, b) that connect the rows of ``docs`` (id, text) in the same group of ``groups`` (id, comp) whose shingle sets have
     at least that similarity.
 
     First every row is held against its group's leader, the least id: one pass, however large the group. Only rows that are
     not near it stay open, and only pairs with an open row are looked at again (fingerprints within ``max_bits`` and fitting
-    sizes, then exactly): other pairs are connected through the leader. Open rows of a group and the rows they
-    are held against are dealt over tasks in parts of about ``task_bytes``.
+    sizes, then exactly): other pairs are connected through the leader. A group's open rows are cut into parts of about ``task_bytes``, and
+    the rows they are held against into slices as large as its open rows (between ``least_bytes`` and ``task_bytes``): a group
+    spreads over many tasks, yet few open rows are copied no more often than there are rows.
     """
     sized = base.map_text(docs.join(groups, "id"), "text", _sets(words), [T.StructField("fp2", T.LongType()), T.StructField("shingles", T.BinaryType())], ["comp", "id"])
     sets = base.materialised(sized)
@@ -310,7 +311,9 @@ def near_pairs(docs: DataFrame, groups: DataFrame, words: int, least: float, max
     rest = held.filter("not near").select("id").distinct().withColumn("open", F.lit(True))
     flagged = sets.join(rest, "id", "left").withColumn("open", F.coalesce("open", F.lit(False)))
     n_bytes = F.octet_length("shingles") + 64
-    parts = flagged.groupBy("comp").agg(*[F.ceil(F.sum(x) / task_bytes).cast("int").alias(c) for c, x in (("parts", F.when(F.col("open"), n_bytes)), ("slices", n_bytes))]).filter("parts is not null")
+    sizes = flagged.groupBy("comp").agg(F.sum(F.when(F.col("open"), n_bytes)).alias("n_open"), F.sum(n_bytes).alias("n_all")).filter("n_open is not null")
+    slice_bytes = F.greatest(F.lit(least_bytes), F.least(F.col("n_open"), F.lit(task_bytes)))
+    parts = sizes.select("comp", F.ceil(F.col("n_open") / task_bytes).cast("int").alias("parts"), F.ceil(F.col("n_all") / slice_bytes).cast("int").alias("slices"))
     rows = flagged.join(parts, "comp")
     fields = ["comp", "task", "member", F.col("open").alias("was_open"), "id", "fp2", "shingles"]
     own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int") * F.col("slices")

@@ -138,7 +138,7 @@ def test_near_pairs_links_what_the_leader_does_not(spark, task_bytes):
     words = [f"w{i}" for i in range(400)]
     rows = [(i, " ".join(words[6 * i : 6 * i + 120])) for i in range(40)] + [(100, " ".join(words[::-1]))]
     texts = spark.createDataFrame(rows, "id long, text string")
-    edges = {(r.a, r.b) for r in simhash.near_pairs(texts, texts.select("id", F.lit(0).cast("long").alias("comp")), 5, 0.8, 64, task_bytes).collect()}
+    edges = {(r.a, r.b) for r in simhash.near_pairs(texts, texts.select("id", F.lit(0).cast("long").alias("comp")), 5, 0.8, 64, task_bytes, 1 << 12).collect()}
     sets = {i: set(simhash.shingle_hashes(t, 5)) for i, t in rows}
     assert all(jaccard(sets[a], sets[b]) >= 0.8 for a, b in edges)
     reached = least_reachable(sets, lambda i, j: i == j or (i, j) in edges or (j, i) in edges)
