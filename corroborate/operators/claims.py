@@ -116,6 +116,14 @@ def mark_pushed(claims: DataFrame, ids: DataFrame) -> DataFrame:
     return claims.join(hit, "id", "left").withColumns({"pushed_to_production": F.coalesce("__hit__", "pushed_to_production"), "status": F.when(F.col("__hit__"), "pushed").otherwise(F.col("status"))}).drop("__hit__")
 
 
+def batch_record(pushed: DataFrame, batch_id: str, commit: str | None = None) -> DataFrame:
+    """The one row that logs a push of these claims (``id``; repeated ids count once); none where nothing was pushed."""
+    n = F.count_distinct("id").alias("claims_generated")
+    fixed = {"id": batch_id, "source_dataset": "production", "source_id_code": "SYNC", "batch_type": "production_sync", "status": "completed"}
+    note = F.concat(F.lit("Pushed "), F.col("claims_generated"), F.lit(" claim(s) to production")).alias("notes")
+    return pushed.agg(n).filter("claims_generated > 0").select(*[F.lit(v).alias(k) for k, v in fixed.items()], "claims_generated", note, F.lit(commit).cast("string").alias("dolt_commit_hash"))
+
+
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, change, old, new): added, modified and removed rows; row hashes are compared, then columns as structs."""
     cols = [c for c in old.columns if c not in keys]

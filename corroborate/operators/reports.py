@@ -30,6 +30,18 @@ def filter_conflicts(conflicts: DataFrame, status: str | None = None, severity:
     return out
 
 
+def page(df: DataFrame, key: str, number: int = 1, size: int = 50, descending: bool = False, allowed: tuple[str, ...] = (), tie: tuple[str, ...] = ("id",)) -> tuple[DataFrame, int]:
+    """One page of ``df`` (numbers from 1) and the count of all its rows.
+
+    A key that is not ``allowed`` gives way to the first of them. Severities go from critical to minor, unknown ones last.
+    Nulls come last; ``tie`` columns make the order, and so the pages, unambiguous.
+    """
+    key = key if key in allowed or not allowed else allowed[0]
+    by = -severity_rank(key) if key == "severity" else F.col(key)
+    order = by.desc_nulls_last() if descending else by.asc_nulls_last()
+    return df.orderBy(order, *tie).offset(size * (max(number, 1) - 1)).limit(size), df.count()
+
+
 def conflict_matrix(conflicts: DataFrame) -> DataFrame:
     """Per ordered source pair: total, by severity, pending and resolved."""
     by = [F.count_if(F.col("severity") == s).alias(f"n_{s}") for s in SEVERITIES]

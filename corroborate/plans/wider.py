@@ -295,6 +295,17 @@ def mark_pushed(spark, d):
     return cl.mark_pushed(ad.claims(spark, d), push_set(spark, d)).select("id", "status", "pushed_to_production")
 
 
+@register(f"SELECT 'b1' AS id, 'production' AS source_dataset, 'SYNC' AS source_id_code, 'production_sync' AS batch_type, 'completed' AS status, count(DISTINCT id) AS claims_generated, 'Pushed ' || count(DISTINCT id) || ' claim(s) to production' AS notes, CAST(NULL AS VARCHAR) AS dolt_commit_hash FROM ({rg.ORACLES['sync_preview']}) WHERE NOT is_stale HAVING count(*) > 0")
+def batch_record(spark, d):
+    return cl.batch_record(push_set(spark, d), "b1")
+
+
+@register(sql("SELECT id, severity, (SELECT count(*) FROM x) AS total FROM x ORDER BY CASE severity WHEN 'critical' THEN 0 WHEN 'moderate' THEN 1 WHEN 'minor' THEN 2 ELSE 3 END, id LIMIT 50 OFFSET 50", *CONFLICTS))
+def conflict_page(spark, d):
+    rows, total = reports.page(rg._conflicts(spark, d), "severity", 2, allowed=("severity", "conflict_type", "status"))
+    return rows.select("id", "severity", F.lit(total).cast("long").alias("total"))
+
+
 @register("SELECT user_id, event_id, lag(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS parent FROM events")
 def snapshot_log(spark, d):
     return cl.snapshot_log(ad.table(spark, d, "events").selectExpr("user_id AS table", "event_id AS snapshot_id", "ts AS committed_at")).selectExpr("table AS user_id", "snapshot_id AS event_id", "parent")

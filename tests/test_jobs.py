@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corroborate.functions import names
-from corroborate.operators import claims, docindex, eav, evidence, harvest, matching
+from corroborate.operators import claims, docindex, eav, evidence, harvest, matching, reports
 from corroborate.sources import tables
 from corroborate.streaming import streams
 
@@ -147,3 +147,13 @@ def test_offset_and_clip(spark):
     toc = spark.createDataFrame([("a", 1), ("a", 9)], "doc_id string, page int")
     got = docindex.apply_offset(toc, spark.createDataFrame([("a", 2)], "doc_id string, offset int"), spark.createDataFrame([("a", 10)], "doc_id string, pages int"))
     assert [(r.doc_id, r.page) for r in got.collect()] == [("a", 3)]
+
+
+def test_page_and_batch_record(spark):
+    df = spark.createDataFrame([(1, "minor"), (2, None), (3, "critical"), (4, "moderate"), (5, "critical")], "id long, severity string")
+    ids = lambda *a, **k: [r.id for r in reports.page(df, *a, **k)[0].collect()]
+    assert ids("severity") == [3, 5, 4, 1, 2] and ids("severity", 2, 2) == [4, 1] and ids("severity", 9, 2) == []
+    assert ids("drop table", allowed=("id",), descending=True) == [5, 4, 3, 2, 1] and reports.page(df, "id", 2, 2)[1] == 5
+    row = claims.batch_record(df.union(df), "b", "abc").first()
+    assert (row.id, row.claims_generated, row.notes, row.dolt_commit_hash) == ("b", 5, "Pushed 5 claim(s) to production", "abc")
+    assert claims.batch_record(df.filter("id > 9"), "b").isEmpty()
