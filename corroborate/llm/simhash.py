@@ -13,7 +13,8 @@ triangle bound excludes are skipped. Balls of over ``ball_rows`` classes are dea
 A ball gives the edges of a spanning forest, never all pairs of a group.
 
 Near copies (``copies``) take candidates from a fingerprint over single words, where edits move few bits, and a second one over
-longer shingles; a pair counts only if the Jaccard similarity of the two shingle sets, counted exactly, is high enough.
+longer shingles, and, as an inserted passage moves both far, from an exact prefix filter on the shingle sets; a pair counts
+only if the Jaccard similarity of the two shingle sets, counted exactly, is high enough.
 
 Edge cases: null and empty texts have fingerprint zero and link like any other; repeated rows and equal texts share a
 class; an empty table gives an empty result; a null id takes part, and its component is the least id that is not null;
@@ -325,12 +326,138 @@ def near_pairs(docs: DataFrame, groups: DataFrame, words: int, least: float, max
     return first.unionByName(again)
 
 
+def common_shingles(texts: DataFrame, words: int, sample: int = 20_000, most: int = 200_000) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that at least three of about ``sample`` texts hold, sorted, and how many do. They only order the shingles."""
+    n = texts.count()
+    some = texts.filter(F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1_000_000)) < F.lit(1_000_000 * sample / max(n, sample)))
+    each = _shingle_rows(some, lambda t: np.unique(np.array(shingle_hashes(t, words), np.uint64)))
+    top = each.groupBy("h").count().filter("count > 2").orderBy(F.desc("count"), "h").limit(most).collect()
+    h, c = np.array([r[0] for r in top], np.int64).view(np.uint64), np.array([r[1] for r in top], np.int64)
+    order = np.argsort(h)
+    return h[order], c[order]
+
+
+def prefix(shingles: np.ndarray, least: float, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The rarest shingles of a set, as many as two sets with at least that similarity must share one of (in any fixed order)."""
+    known, counts = common
+    n = np.zeros(len(shingles), np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
+        n = np.where(known[at] == shingles, counts[at], 0)
+    return shingles[np.lexsort((shingles, n))[: len(shingles) - int(np.ceil(least * len(shingles) - 1e-9)) + 1]] if len(shingles) else shingles
+
+
+def _shingle_rows(texts: DataFrame, chosen) -> DataFrame:
+    """(h, id) for every shingle that ``chosen`` takes of each row of ``texts`` (id, text)."""
+
+    def run(batches):
+        for b in batches:
+            raw = ["" if t is None else t for t in b.column(1).to_pylist()]
+            for lo, hi in base.chunks(raw):
+                own = [chosen(t) for t in raw[lo:hi]]
+                at = np.repeat(np.arange(lo, hi), [len(x) for x in own])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own).astype(np.uint64).view(np.int64)), b.column(0).take(pa.array(at))], names=["h", "id"])
+
+    return texts.select("id", "text").mapInArrow(run, "h long, id long")
+
+
+def _shared(batches):
+    """Rows (h, id), sorted by h, whose h does not stand alone."""
+    held = None
+    for b in _and_last(batches):
+        now = None if b is None else np.stack([b.column(i).to_numpy() for i in range(2)])
+        both = held if now is None else now if held is None else np.concatenate([held, now], axis=1)
+        if both is None or not both.shape[1]:
+            continue
+        same = both[0, 1:] == both[0, :-1]
+        keep = np.concatenate((same, [False])) | np.concatenate(([False], same))
+        if now is None:
+            held = None
+        else:  # of the last h one row or two tell enough: all before them are out
+            more = bool(keep[-1])
+            held = both[:, -1:]
+            keep[-1] = False
+            if more:
+                held = np.concatenate([both[:, -2:-1], held], axis=1)
+                keep[-2] = False
+        yield pa.RecordBatch.from_arrays([pa.array(both[i, keep]) for i in range(2)], names=["h", "id"])
+
+
+def _cross_pairs(least: float, max_bits: int, small: int):
+    """Pairs (a, b) in one list of rows that may be near and are not connected yet."""
+
+    def run(batches):
+        held = None
+        for b in _and_last(batches):
+            now = None if b is None else np.stack([b.column(i).to_numpy() for i in range(6)])
+            both = held if now is None else now if held is None else np.concatenate([held, now], axis=1)
+            if both is None or not both.shape[1]:
+                continue
+            edge = np.flatnonzero((both[0, 1:] != both[0, :-1]) | (both[1, 1:] != both[1, :-1])) + 1
+            cut = both.shape[1] if now is None else (int(edge[-1]) if len(edge) else 0)
+            held, found = both[:, cut:], []
+            bounds = [0, *[e for e in edge.tolist() if e < cut], cut]
+            for lo, hi in zip(bounds, bounds[1:], strict=False):
+                _, _, id_, fp, size, comp = both[:, lo:hi]
+                fp = np.ascontiguousarray(fp).view(np.uint64)
+                for at in range(0, hi - lo, 1024):
+                    i = slice(at, at + 1024)
+                    fit = comp[i, None] != comp[None, :]
+                    if not fit.any():
+                        continue
+                    low, high = np.minimum(size[i, None], size[None, :]), np.maximum(size[i, None], size[None, :])
+                    fit &= (low >= least * high - 1e-9) & (id_[i, None] > id_[None, :])
+                    r, c = np.nonzero(fit)
+                    good = (distance(fp[r + at], fp[c]) <= max_bits) | (low[r, c] < small)
+                    found.append(np.stack([id_[r[good] + at], id_[c[good]]]))
+            if found:
+                pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+    return run
+
+
+def _near_pair(least: float):
+    def run(batches):
+        for b in batches:
+            x, y = b.column("left").to_pylist(), b.column("right").to_pylist()
+            near = pa.array([similarity(np.frombuffer(p, "<u8"), np.frombuffer(q, "<u8")) >= least for p, q in zip(x, y, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column("a").filter(near), b.column("b").filter(near)], names=["a", "b"])
+
+    return run
+
+
+def prefix_pairs(texts: DataFrame, known: DataFrame, words: int, least: float, list_rows: int = 1024, max_bits: int = 28, small: int = 32) -> DataFrame:
+    """Edges (a, b) of all near pairs of ``texts`` (id, text) that ``known`` (id, fp2, n, comp) does not connect yet.
+
+    Sets of at least that similarity share one of their rarest shingles (``prefix``), whatever was edited. Rows with such a
+    shingle in common form a list; a pair in it is counted exactly if its components differ, the sizes fit and, for sets of
+    ``small`` shingles and more, the fingerprints differ in at most ``max_bits`` bits (six standard deviations over the mean at
+    similarity 0.8). Lists of over ``list_rows`` rows are dealt as pairs of parts; lists within one component are left out.
+    """
+    common = common_shingles(texts, words)
+    rows = _shingle_rows(texts, lambda t: prefix(np.unique(np.array(shingle_hashes(t, words), np.uint64)), least, common))
+    shared = base.materialised(rows.repartition("h").sortWithinPartitions("h").mapInArrow(_shared, "h long, id long"))
+    listed = base.materialised(shared.join(known, "id"))
+    sizes = listed.groupBy("h").agg(F.count("*").alias("c"), (F.min("comp") != F.max("comp")).alias("open")).filter("open")
+    parts = listed.join(sizes.select("h", F.ceil(F.col("c") / list_rows).cast("int").alias("parts")), "h")
+    own = F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int")
+    pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.least(F.col("own"), j) * F.col("parts") + F.greatest(F.col("own"), j))).alias("pair")
+    dealt = parts.withColumn("own", own).select("h", pair, "id", "fp2", "n", "comp").withColumn("pair", F.col("pair").cast("long"))
+    pairs = base.materialised(dealt.repartition("h", "pair").sortWithinPartitions("h", "pair").mapInArrow(_cross_pairs(least, max_bits, small), "a long, b long").distinct())
+    asked = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    sized = base.map_text(texts.join(asked, "id"), "text", _sets(words), [T.StructField("fp2", T.LongType()), T.StructField("shingles", T.BinaryType())], ["id"])
+    sets = base.materialised(sized.select("id", "shingles"))
+    left, right = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left")), sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
+    return pairs.join(left, "a").join(right, "b").mapInArrow(_near_pair(least), "a long, b long")
+
+
 def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, least: float = 0.8, max_bits: int = 7, second_bits: int = 16) -> DataFrame:
     """(id, component_id) of near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, counted exactly.
 
-    Candidates are texts whose fingerprints over distinct words differ in at most ``max_bits`` bits and those over distinct
+    First candidates are texts whose fingerprints over distinct words differ in at most ``max_bits`` bits and those over distinct
     shingles in at most ``second_bits`` (at similarity 0.8 the latter differ in 9.7 bits on average), or that are
-    connected through such pairs. Texts without words are copies of each other; texts under five words have one shingle.
+    connected through such pairs: a cheap way through large groups. Pairs that these miss come from ``prefix_pairs``. Texts without words are copies of each other; texts under five words have one shingle.
     """
     long = T.LongType()
     marked = base.materialised(base.map_text(docs, text_col, _marks(words), [T.StructField(c, long) for c in ("fp", "fp2", "content", "n")], [id_col]))
@@ -340,5 +467,9 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     # The leader of a group is the least id, as components() names groups; it is a row of ``loose`` only as a component.
     groups = loose.select(F.col("node").alias("id"), F.col("component").alias("comp")).union(loose.select(F.col("component").alias("id"), F.col("component").alias("comp"))).distinct()
     texts = docs.select(F.col(base.quoted(id_col)).cast("long").alias("id"), F.col(base.quoted(text_col)).alias("text"))
-    found = components(near_pairs(texts, groups, words, least, second_bits + 6))
+    close = components(near_pairs(texts, groups, words, least, second_bits + 6))
+    single = classes.filter("id is not null and n > 0").select("id", "fp2", "n")
+    known = base.materialised(single.join(close.withColumnRenamed("node", "id"), "id", "left").select("id", "fp2", "n", F.coalesce("component", "id").alias("comp")))
+    more = prefix_pairs(base.materialised(texts.join(known.select("id"), "id", "left_semi")), known, words, least)
+    found = components(close.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     return _named(marked, classes, found, key).drop(*key)

@@ -132,6 +132,35 @@ def test_copies_brute_force(spark):
     assert len(set(want.values())) > 14
 
 
+def test_copies_with_one_passage_more(spark):
+    rng = np.random.default_rng(12)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    line = rng.choice(vocabulary, 30).tolist()
+    rows = []
+    for group in range(60):
+        words = rng.choice(vocabulary, 60 + 5 * group).tolist() + line * (group % 3 == 0)
+        passage = rng.choice(vocabulary, int(len(words) * (0.08 + 0.16 * group / 60))).tolist()
+        at = rng.integers(0, len(words))
+        rows += [(4 * group + i, " ".join(w)) for i, w in enumerate((words, words + passage, passage + words, words[:at] + passage + words[at:]))]
+    rows += [(300 + i + k, " ".join(f"s{i}_{j}" for j in range(9 - k))) for i in range(0, 20, 2) for k in (0, 1)]
+    got = {r.doc_id: r.component_id for r in simhash.copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = {i: set(simhash.shingle_hashes(t, 5)) for i, t in rows}
+    near = {i: [j for j in sets if jaccard(sets[i], sets[j]) >= 0.8] for i in sets}
+    low = {i: i for i in sets}
+    for _ in range(8):
+        low = {i: min(low[j] for j in near[i]) for i in sets}
+    assert got == low and sum(low[i] != i for i in low) > 100
+
+
+def test_pairs_of_a_long_list_in_parts(spark):
+    words = [f"w{i}" for i in range(100)]
+    texts = spark.createDataFrame([(i, " ".join([*words, *[f"x{i}_{j}" for j in range(i % 20)]])) for i in range(60)], "id long, text string")
+    sets = {r.id: set(simhash.shingle_hashes(r.text, 5)) for r in texts.collect()}
+    known = spark.createDataFrame([(i, 0, len(s), i) for i, s in sets.items()], "id long, fp2 long, n long, comp long")
+    got = {(r.a, r.b) for r in simhash.prefix_pairs(texts, known, 5, 0.8, list_rows=7).collect()}
+    assert got == {(i, j) for i in sets for j in sets if i > j and jaccard(sets[i], sets[j]) >= 0.8}
+
+
 @pytest.mark.parametrize("task_bytes", [1 << 24, 1 << 14])
 def test_near_pairs_links_what_the_leader_does_not(spark, task_bytes):
     # A chain: each text moves on by a few words, so that only neighbours are near and one group holds them all.
