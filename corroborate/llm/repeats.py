@@ -12,7 +12,8 @@ a run of factors: the hash of the anchor, the hash of all bytes of the run, and
 3. Where all runs of an anchor agree in all their bytes, each of their factors is a repeat.
 4. Elsewhere one run for each distinct content fetches its bytes. The factors of a shard are put in the order of their content and, among equals,
    of their position: the previous and the next smaller position of equal content are then neighbours, which gives the
-   longest previous factor cut at ``length``. The answer goes back to all runs of that content.
+   longest previous factor cut at ``length``. The answer goes back to all runs of that content. Shards of many runs are never
+   held whole: their factors are counted by hash, combined before the shuffle (not yet with ``keep_first``).
 5. The intervals found are joined to the texts.
 
 ``longest_previous_factor`` is the uncut array by suffix order for one string; the tests hold the job against it.
@@ -202,16 +203,44 @@ def _resolve(table: pa.Table, length: int, keep_first: bool):
         lo = hi
 
 
+def _factors(length: int):
+    """One row for each factor of a run: its place in the run and the hash of its bytes."""
+
+    def run(batches):
+        for b in batches:
+            raw = b.column("raw").to_pylist()
+            for lo, hi in _byte_chunks(raw):
+                data, starts = _joined(raw[lo:hi])
+                n = np.diff(starts) - length + 1
+                row = np.repeat(np.arange(hi - lo), n)
+                off = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                at = starts[row] + off
+                key = Rolling(data).at(at, at + length).view(np.int64)
+                take = pa.array(row + lo)
+                yield pa.RecordBatch.from_arrays([*[b.column(c).take(take) for c in ("h", "content", "copies")], pa.array(off.astype(np.int32)), pa.array(key)], names=["h", "content", "copies", "off", "key"])
+
+    return run
+
+
+def _islands(batches):
+    """Intervals (a, z) of neighbouring factors."""
+    for b in batches:
+        out = []
+        for h, content, offs in zip(*[b.column(i).to_pylist() for i in range(3)], strict=True):
+            out += [(h, content, a, z) for a, z in merged([(x, x + 1) for x in offs])]
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["h", "content", "a", "z"])
+
+
 def _and_last(batches):
     yield from batches
     yield None
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, k: int = 48, keep_first: bool = False, keep: list[str] | None = None, with_text: bool = False) -> DataFrame:
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, k: int = 48, keep_first: bool = False, keep: list[str] | None = None, with_text: bool = False, shard_runs: int = 1024) -> DataFrame:
     """``keep`` columns (the id alone by default), n_bytes, n_removed, n_spans, kept_sha256 and, if asked, kept_text.
 
     By default every byte that a repeated factor covers goes. With ``keep_first`` the first copy (least id, then least
-    position) stays. Ids are integers.
+    position) stays. Ids are integers. Anchors of over ``shard_runs`` runs are resolved by counts of factors, without ``keep_first``.
     """
     if length - k + 1 > 4095:
         raise ValueError("length - k must stay below 4095")
@@ -225,22 +254,30 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
 
     found = runs(side.select("rk", (F.col("doc") if keep_first else F.lit(0).cast("long")).alias("doc"), "text"), length, k).select("h", "content", *order)
     by_anchor = found.groupBy(F.col("h").alias("h2")).agg(F.count("*").alias("c"), (F.min("content") != F.max("content")).alias("mixed")).filter("c > 1")
-    by_anchor = base.materialised(by_anchor.select("h2", "mixed"))  # a table of its own, so that the join's sides are plain shuffles that can be split
-    shared = base.materialised(found.join(by_anchor, F.col("h") == F.col("h2")).select("h", "content", *order, "mixed"))
+    by_anchor = base.materialised(by_anchor.select("h2", "mixed", (F.col("mixed") & (F.col("c") > shard_runs) & F.lit(not keep_first)).alias("hot")))  # a table of its own, so that the join's sides are plain shuffles that can be split
+    shared = base.materialised(found.join(by_anchor, F.col("h") == F.col("h2")).select("h", "content", *order, "mixed", "hot"))
 
     first, n = unpacked("place")
     full = [F.col("rk"), first.alias("a"), (first + n + length - 1).alias("z")]
     whole = shared.filter("not mixed")
     mixed = shared.filter("mixed").drop("mixed")
-    heads = mixed.groupBy("h", "content").agg(F.count("*").alias("copies"), F.min(F.struct(*order)).alias("at"))
+    heads = mixed.groupBy("h", "content").agg(F.count("*").alias("copies"), F.min(F.struct(*order)).alias("at"), F.max("hot").alias("hot"))
     if keep_first:  # all copies of a content but the first go as a whole
         tops = shared.groupBy(F.col("h").alias("h2"), F.col("content").alias("content2")).agg(F.min(F.struct(*order)).alias("top"))
         later = shared.join(tops, (F.col("h") == F.col("h2")) & (F.col("content") == F.col("content2"))).filter(F.struct(*order) != F.col("top"))
         whole = later
-    wanted = heads.select(F.col("at.rk").alias("rk"), F.struct("h", "content", "copies", *[F.col(f"at.{c}").alias(c) for c in order if c != "rk"]).alias("w")).groupBy("rk").agg(F.collect_list("w").alias("wanted")).withColumnRenamed("rk", "rk2")
     texts = side.select("rk", "own", "text")
-    fetched = texts.join(wanted, F.col("rk") == F.col("rk2")).select("own", "text", "wanted").mapInArrow(_fetch(length), "h long, content long, copies long, doc long, place long, raw binary")
-    answers = fetched.repartition("h").sortWithinPartitions(*(["h", "doc", "place", "content"] if keep_first else ["h", "content"])).mapInArrow(_resolver(length, keep_first), "h long, content long, a int, z int").distinct()
+
+    def fetched(some: DataFrame) -> DataFrame:
+        wanted = some.select(F.col("at.rk").alias("rk"), F.struct("h", "content", "copies", *[F.col(f"at.{c}").alias(c) for c in order if c != "rk"]).alias("w")).groupBy("rk").agg(F.collect_list("w").alias("wanted")).withColumnRenamed("rk", "rk2")
+        return texts.join(wanted, F.col("rk") == F.col("rk2")).select("own", "text", "wanted").mapInArrow(_fetch(length), "h long, content long, copies long, doc long, place long, raw binary")
+
+    answers = fetched(heads.filter("not hot")).repartition("h").sortWithinPartitions(*(["h", "doc", "place", "content"] if keep_first else ["h", "content"])).mapInArrow(_resolver(length, keep_first), "h long, content long, a int, z int").distinct()
+    if not by_anchor.filter("hot").isEmpty():
+        factors = base.materialised(fetched(heads.filter("hot")).mapInArrow(_factors(length), "h long, content long, copies long, off int, key long"))
+        often = base.materialised(factors.groupBy(F.col("h").alias("h2"), F.col("key").alias("key2")).count().filter("count > 1").drop("count"))
+        again = factors.join(often, (F.col("h") == F.col("h2")) & (F.col("key") == F.col("key2"))).select("h", "content", "off").union(factors.filter("copies > 1").select("h", "content", "off"))
+        answers = answers.union(again.groupBy("h", "content").agg(F.array_sort(F.collect_set("off")).alias("offs")).mapInArrow(_islands, "h long, content long, a int, z int"))
     back = mixed.join(answers.select(F.col("h").alias("h2"), F.col("content").alias("content2"), "a", "z"), (F.col("h") == F.col("h2")) & (F.col("content") == F.col("content2")))
     part = back.select("rk", (first + F.col("a")).alias("a"), (first + F.col("z") + length - 1).alias("z"))
     spans = whole.select(*full).union(part).select("rk", F.shiftleft("a", 32).bitwiseOR(F.col("z")).alias("span"))
