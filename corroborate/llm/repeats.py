@@ -1,26 +1,27 @@
-"""Exact repeats of long byte strings across a corpus, by longest-previous-factor tests in content-defined shards.
+"""Exact repeats of long byte strings across a corpus, by longest previous factors in content-defined shards.
 
 The factor of a position is the string of ``length`` bytes that starts there; it is a repeat if the longest previous
 factor (or, when every copy goes, the longest factor starting anywhere else) reaches ``length``. Factors are dealt to
 shards by their anchor, the k-byte string in them with the least hash (the leftmost of equals): equal factors have equal
 anchors at equal offsets, so no shard needs another one. Neighbouring factors mostly share an anchor, so a shard's row is
-a run of factors: the hash of the anchor, the hash of all bytes of the run, and where it lies.
+a run of factors: the hash of the anchor, a digest of all bytes of the run, and where it lies.
 
 1. One scan gives the runs (two for every ``length - k + 1`` bytes on average).
 2. Runs whose anchor occurs once are dropped: counts by anchor, combined before their shuffle, and a join, whose hot
    anchors (a line repeated in a third of all texts) adaptive execution splits over several tasks.
-3. Where all runs of an anchor agree in all their bytes, each of their factors is a repeat.
-4. Elsewhere one run for each distinct content fetches its bytes. The factors of a shard are put in the order of their content and, among equals,
-   of their position: the previous and the next smaller position of equal content are then neighbours, which gives the
-   longest previous factor cut at ``length``. The answer goes back to all runs of that content. Shards of many runs are never
-   held whole: their factors are counted by hash, combined before the shuffle (not yet with ``keep_first``).
-5. The intervals found are joined to the texts.
+3. Equal runs (same anchor, same bytes: 128 bits of two unrelated hashes) are one class; all factors of a class of two are repeats.
+4. Where classes of one anchor differ, one run of each fetches its bytes. The shard's suffixes are put in order by
+   their bytes to a depth of ``length``; among equal ones positions rise, so the entries before and after are the previous and the next
+   smaller position, and the longest previous factor reaches ``length`` where the bytes agree.
+5. Shards of over ``shard_runs`` runs are never held whole: their factors are dealt to narrower shards, of 17, then 4, then
+   1 offset from the anchor, keyed by the bytes that all factors at these offsets share, until a shard is small or all its rows agree.
+6. The intervals found are joined to the texts.
 
-``longest_previous_factor`` is the uncut array by suffix order for one string; the tests hold the job against it.
+``longest_previous_factor`` is the uncut array for one string by the same order; the tests hold the job against it.
 
 Edge cases: null and empty texts and texts shorter than ``length`` lose nothing; factors never cross texts; repeated rows
-with the same id and text count as copies of each other; an empty table gives an empty result; extra columns do not matter.
-Contents are told apart by 64-bit hashes (anchor and run together 128 bits; factors within a shard 64).
+with the same id and text count as copies of each other (as one text with ``keep_first``); an empty table gives an empty result; extra columns do not matter.
+A long text is scanned a megabyte at a time.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +40,8 @@ from . import base
 ODD = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVERSE = np.uint64(pow(int(ODD), -1, 1 << 64))
 CHUNK_BYTES = 1 << 20
+#: Offsets from the anchor that one shard covers, by round of splitting.
+WIDTHS = (17, 4, 1)
 
 
 def _powers(b: np.uint64, n: int) -> np.ndarray:
@@ -76,15 +80,14 @@ class Rolling:
 def anchored_runs(data: np.ndarray, starts: np.ndarray, length: int, k: int):
     """Runs of factors with one anchor, over texts joined without a gap (text i at starts[i]:starts[i + 1]).
 
-    Per run: text, hash of the anchor, hash of the run's bytes, first factor (in the text), number of factors, and how far
+    Per run: text, hash of the anchor, digest of the run's bytes, first factor (in the text), number of factors, and how far
     the anchor lies after the first factor.
     """
     n, w = len(data), length - k + 1
     none = np.zeros(0, np.int64)
     if n < length:
         return none, none.astype(np.uint64), none.astype(np.uint64), none, none, none
-    roll = Rolling(data)
-    anchor = roll.all(k)
+    anchor = Rolling(data).all(k)
     least = (anchor & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(anchor), dtype=np.uint64)
     have = 1
     while have < w:  # the least of every w neighbours, by doubling
@@ -105,7 +108,9 @@ def anchored_runs(data: np.ndarray, starts: np.ndarray, length: int, k: int):
     s = np.flatnonzero(first)
     ends_at = np.flatnonzero(inside & ~np.concatenate((inside[1:] & ~first[1:], [False]))) + 1
     text = np.searchsorted(starts, s, side="right") - 1
-    return text, anchor[pos[s]], roll.at(s, ends_at + length - 1), s - starts[text], ends_at - s, pos[s] - s
+    view, digest = memoryview(data), xxhash.xxh3_64_intdigest
+    content = np.array([digest(view[a:b]) for a, b in zip(s.tolist(), (ends_at + length - 1).tolist(), strict=True)], np.uint64)
+    return text, anchor[pos[s]], content, s - starts[text], ends_at - s, pos[s] - s
 
 
 def _byte_chunks(raw: list[bytes]):
@@ -123,17 +128,23 @@ def _joined(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw]))).astype(np.int64)
 
 
+def pieces(raw: bytes, length: int, size: int) -> list[tuple[int, bytes]]:
+    """(start, bytes) of a long text's parts; each factor lies in exactly one."""
+    return [(at, raw[at : at + size + length - 1]) for at in range(0, max(1, len(raw) - length + 1), size)]
+
+
 def runs(rows: DataFrame, length: int, k: int) -> DataFrame:
     """(rk, doc, h, content, place) of every run of rows (rk, doc, text); place packs first, n and lead as in ``unpacked``."""
 
     def scan(batches):
         for b in batches:
-            raw = [(t or "").encode("utf-8", "surrogatepass") for t in b.column(2).to_pylist()]
+            cut = [(i, at, p) for i, t in enumerate(b.column(2).to_pylist()) for at, p in pieces((t or "").encode("utf-8", "surrogatepass"), length, CHUNK_BYTES)]
+            row, begin, raw = np.array([c[0] for c in cut], np.int64), np.array([c[1] for c in cut], np.int64), [c[2] for c in cut]
             for lo, hi in _byte_chunks(raw):
                 data, starts = _joined(raw[lo:hi])
-                text, h, content, first, n, lead = anchored_runs(data, starts, length, k)
-                at = pa.array(text + lo)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(h.view(np.int64)), pa.array(content.view(np.int64)), pa.array(first << 24 | n << 12 | lead)], names=["rk", "doc", "h", "content", "place"])
+                piece, h, content, first, n, lead = anchored_runs(data, starts, length, k)
+                at = pa.array(row[piece + lo])
+                yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(h.view(np.int64)), pa.array(content.view(np.int64)), pa.array((first + begin[piece + lo]) << 24 | n << 12 | lead)], names=["rk", "doc", "h", "content", "place"])
 
     return rows.select("rk", "doc", "text").mapInArrow(scan, "rk long, doc long, h long, content long, place long")
 
@@ -143,23 +154,43 @@ def unpacked(place: str) -> tuple[Column, Column]:
     return F.shiftright(place, 24), F.shiftright(place, 12).bitwiseAND(F.lit(4095))
 
 
-def repeated_factors(data: np.ndarray, starts: np.ndarray, group: np.ndarray, length: int, keep_first: bool) -> np.ndarray:
-    """For the factors of several strings (all strings' factors in a row): whether an equal one lies elsewhere in the
-    group, or earlier if the first is kept. Strings come in the order in which their texts count."""
-    roll = Rolling(data)
+def repeated_factors(data: np.ndarray, starts: np.ndarray, length: int, keep_first: bool) -> np.ndarray:
+    """For the factors of several strings (all strings' factors in a row): whether an equal one lies elsewhere, or earlier if
+    the first is kept. Strings come in the order in which their texts count.
+
+    Factors whose rolling hash stands alone have no equal. The others are put in suffix order by their bytes.
+    """
     n = np.diff(starts) - length + 1
     at = np.repeat(starts[:-1] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-    key = base.mixed(roll.at(at, at + length) ^ base.mixed(np.repeat(group, n).view(np.uint64)))
+    key = Rolling(data).at(at, at + length)
     order = np.argsort(key, kind="stable")
     same = key[order[1:]] == key[order[:-1]]
-    out = np.zeros(len(key), bool)
-    out[order[1:]] = same  # the previous smaller position
-    if not keep_first:
-        out[order[:-1]] |= same  # the next one
+    open_ = np.zeros(len(key), bool)
+    open_[order[1:]] = same
+    open_[order[:-1]] |= same
+    out, asked = np.zeros(len(key), bool), np.flatnonzero(open_)
+    if len(asked):
+        suffix = np.lib.stride_tricks.sliding_window_view(data, length)[at[asked]].view(f"S{length}").ravel()
+        order = np.argsort(suffix, kind="stable")  # equal suffixes by rising position
+        same = suffix[order[1:]] == suffix[order[:-1]]
+        out[asked[order[1:]]] = same  # the previous smaller position has the same factor
+        if not keep_first:
+            out[asked[order[:-1]]] |= same  # the next one has
     return out
 
 
+ROW = "h long, content long, doc long, place long, lo int, lead int, shard long, block long, raw binary"
+KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+NAMES = [c.split()[0] for c in ROW.split(", ")]
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(KINDS)], names=NAMES)
+
+
 def _resolver(length: int, keep_first: bool):
+    """Repeated factors (h, content, a, z) of whole shards, which arrive one after the other."""
+
     def run(batches):
         held: pa.Table | None = None
         for b in _and_last(batches):
@@ -168,8 +199,11 @@ def _resolver(length: int, keep_first: bool):
                 held = now if held is None else pa.concat_tables([held, now])
             if held is None or not len(held):
                 continue
-            h = held.column("h").to_numpy()
-            cut = len(h) if b is None else int((h != h[-1]).sum())  # the last group may go on
+            if keep_first:  # a row that the table holds twice is one text
+                again = [held.column(c).to_numpy() for c in ("shard", "doc", "place", "content", "lo")]
+                held = held.filter(pa.array(np.append(True, np.any([x[1:] != x[:-1] for x in again], axis=0))))
+            shard = held.column("shard").to_numpy()
+            cut = len(shard) if b is None else int(np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))[-1])  # the last shard may go on
             if not cut:
                 continue
             done, held = held.slice(0, cut), held.slice(cut)
@@ -179,68 +213,60 @@ def _resolver(length: int, keep_first: bool):
 
 
 def _resolve(table: pa.Table, length: int, keep_first: bool):
-    h, content = table.column("h").to_numpy(), table.column("content").to_numpy()
-    raw, copies = table.column("raw").to_pylist(), table.column("copies").to_numpy()
+    shard, h, content, begin = [table.column(c).to_numpy() for c in ("shard", "h", "content", "lo")]
+    raw = table.column("raw").to_pylist()
     lo = 0
-    while lo < len(h):  # whole groups, about 2 MB of strings at a time
+    while lo < len(h):  # whole shards, about 1 MB of strings at a time
         hi, size = lo, 0
-        while hi < len(h) and (size < 2 << 20 or h[hi] == h[hi - 1]):
+        while hi < len(h) and (size < 1 << 20 or shard[hi] == shard[hi - 1]):
             size += len(raw[hi])
             hi += 1
         data, starts = _joined(raw[lo:hi])
-        rep = repeated_factors(data, starts, h[lo:hi], length, keep_first)
+        rep = repeated_factors(data, starts, length, keep_first)
         n = np.diff(starts) - length + 1
         ends = np.cumsum(n)
         begins = ends - n
-        if not keep_first:
-            rep |= np.repeat(copies[lo:hi] > 1, n)
         head, tail = np.zeros(len(rep), bool), np.zeros(len(rep), bool)
         head[begins] = tail[ends - 1] = True
         a = np.flatnonzero(rep & (head | ~np.concatenate(([False], rep[:-1]))))
         z = np.flatnonzero(rep & (tail | ~np.concatenate((rep[1:], [False])))) + 1
         row = np.searchsorted(ends, a, side="right")
-        yield pa.RecordBatch.from_arrays([pa.array(h[lo:hi][row]), pa.array(content[lo:hi][row]), pa.array((a - begins[row]).astype(np.int32)), pa.array((z - begins[row]).astype(np.int32))], names=["h", "content", "a", "z"])
+        off = begin[lo:hi][row] - begins[row]
+        yield pa.RecordBatch.from_arrays([pa.array(h[lo:hi][row]), pa.array(content[lo:hi][row]), pa.array((a + off).astype(np.int32)), pa.array((z + off).astype(np.int32))], names=["h", "content", "a", "z"])
         lo = hi
 
 
-def _factors(length: int):
-    """One row for each factor of a run: its place in the run and the hash of its bytes."""
+def _narrower(length: int, width: int):
+    """Rows of ``ROW`` cut by the factors' offset from the anchor; the new shard is what all factors of such a block have in common."""
 
     def run(batches):
+        digest = xxhash.xxh3_64_intdigest
         for b in batches:
-            raw = b.column("raw").to_pylist()
-            for lo, hi in _byte_chunks(raw):
-                data, starts = _joined(raw[lo:hi])
-                n = np.diff(starts) - length + 1
-                row = np.repeat(np.arange(hi - lo), n)
-                off = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                at = starts[row] + off
-                key = Rolling(data).at(at, at + length).view(np.int64)
-                take = pa.array(row + lo)
-                yield pa.RecordBatch.from_arrays([*[b.column(c).take(take) for c in ("h", "content", "copies")], pa.array(off.astype(np.int32)), pa.array(key)], names=["h", "content", "copies", "off", "key"])
+            out = []
+            for h, content, doc, place, lo, lead, _, _, raw in zip(*[b.column(i).to_pylist() for i in range(len(NAMES))], strict=True):
+                n = len(raw) - length + 1
+                for j in range((lead - n + 1) // width, lead // width + 1):
+                    a, z = max(0, lead - (j + 1) * width + 1), min(n, lead - j * width + 1)
+                    core = raw[lead - j * width : lead - (j + 1) * width + 1 + length]
+                    part = raw[a : z - 1 + length]
+                    shard = digest(h.to_bytes(8, "little", signed=True) + j.to_bytes(2, "little") + core)
+                    out.append((h, content, doc, place, lo + a, lead - a, shard - (shard >> 63 << 64), (x := digest(part)) - (x >> 63 << 64), part))
+            for at in range(0, len(out), 4096):
+                yield _batch(out[at : at + 4096])
 
     return run
 
 
-def _islands(batches):
-    """Intervals (a, z) of neighbouring factors."""
-    for b in batches:
-        out = []
-        for h, content, offs in zip(*[b.column(i).to_pylist() for i in range(3)], strict=True):
-            out += [(h, content, a, z) for a, z in merged([(x, x + 1) for x in offs])]
-        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["h", "content", "a", "z"])
-
-
 def _and_last(batches):
     yield from batches
     yield None
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, k: int = 48, keep_first: bool = False, keep: list[str] | None = None, with_text: bool = False, shard_runs: int = 1024) -> DataFrame:
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, k: int = 48, keep_first: bool = False, keep: list[str] | None = None, with_text: bool = False, shard_runs: int = 512) -> DataFrame:
     """``keep`` columns (the id alone by default), n_bytes, n_removed, n_spans, kept_sha256 and, if asked, kept_text.
 
     By default every byte that a repeated factor covers goes. With ``keep_first`` the first copy (least id, then least
-    position) stays. Ids are integers. Anchors of over ``shard_runs`` runs are resolved by counts of factors, without ``keep_first``.
+    position) stays. Ids are integers.
     """
     if length - k + 1 > 4095:
         raise ValueError("length - k must stay below 4095")
@@ -254,7 +280,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
 
     found = runs(side.select("rk", (F.col("doc") if keep_first else F.lit(0).cast("long")).alias("doc"), "text"), length, k).select("h", "content", *order)
     by_anchor = found.groupBy(F.col("h").alias("h2")).agg(F.count("*").alias("c"), (F.min("content") != F.max("content")).alias("mixed")).filter("c > 1")
-    by_anchor = base.materialised(by_anchor.select("h2", "mixed", (F.col("mixed") & (F.col("c") > shard_runs) & F.lit(not keep_first)).alias("hot")))  # a table of its own, so that the join's sides are plain shuffles that can be split
+    by_anchor = base.materialised(by_anchor.select("h2", "mixed", (F.col("mixed") & (F.col("c") > shard_runs)).alias("hot")))  # a table of its own, so that the join's sides are plain shuffles that can be split
     shared = base.materialised(found.join(by_anchor, F.col("h") == F.col("h2")).select("h", "content", *order, "mixed", "hot"))
 
     first, n = unpacked("place")
@@ -264,21 +290,38 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
     heads = mixed.groupBy("h", "content").agg(F.count("*").alias("copies"), F.min(F.struct(*order)).alias("at"), F.max("hot").alias("hot"))
     if keep_first:  # all copies of a content but the first go as a whole
         tops = shared.groupBy(F.col("h").alias("h2"), F.col("content").alias("content2")).agg(F.min(F.struct(*order)).alias("top"))
-        later = shared.join(tops, (F.col("h") == F.col("h2")) & (F.col("content") == F.col("content2"))).filter(F.struct(*order) != F.col("top"))
-        whole = later
+        whole = shared.join(tops, (F.col("h") == F.col("h2")) & (F.col("content") == F.col("content2"))).filter(F.struct(*order) != F.col("top"))
     texts = side.select("rk", "own", "text")
 
     def fetched(some: DataFrame) -> DataFrame:
-        wanted = some.select(F.col("at.rk").alias("rk"), F.struct("h", "content", "copies", *[F.col(f"at.{c}").alias(c) for c in order if c != "rk"]).alias("w")).groupBy("rk").agg(F.collect_list("w").alias("wanted")).withColumnRenamed("rk", "rk2")
-        return texts.join(wanted, F.col("rk") == F.col("rk2")).select("own", "text", "wanted").mapInArrow(_fetch(length), "h long, content long, copies long, doc long, place long, raw binary")
+        wanted = some.select(F.col("at.rk").alias("rk"), F.struct("h", "content", *[F.col(f"at.{c}").alias(c) for c in order if c != "rk"]).alias("w")).groupBy("rk").agg(F.collect_list("w").alias("wanted")).withColumnRenamed("rk", "rk2")
+        once = wanted.join(texts.select("rk", "text"), F.col("rk2") == F.col("rk"))
+        return once.select("text", "wanted").mapInArrow(_fetch(length), ROW)
+
+    def resolved(rows: DataFrame) -> DataFrame:
+        in_order = rows.repartition("shard").sortWithinPartitions("shard", "doc", "place", "content", "lo")
+        return in_order.mapInArrow(_resolver(length, keep_first), "h long, content long, a int, z int")
 
-    answers = fetched(heads.filter("not hot")).repartition("h").sortWithinPartitions(*(["h", "doc", "place", "content"] if keep_first else ["h", "content"])).mapInArrow(_resolver(length, keep_first), "h long, content long, a int, z int").distinct()
+    answers = resolved(fetched(heads.filter("not hot")))
+    if not keep_first:  # a class of two needs no more
+        answers = answers.union(heads.filter("copies > 1").select("h", "content", F.lit(0).alias("a"), F.shiftright("at.place", 12).bitwiseAND(F.lit(4095)).cast("int").alias("z")))
     if not by_anchor.filter("hot").isEmpty():
-        factors = base.materialised(fetched(heads.filter("hot")).mapInArrow(_factors(length), "h long, content long, copies long, off int, key long"))
-        often = base.materialised(factors.groupBy(F.col("h").alias("h2"), F.col("key").alias("key2")).count().filter("count > 1").drop("count"))
-        again = factors.join(often, (F.col("h") == F.col("h2")) & (F.col("key") == F.col("key2"))).select("h", "content", "off").union(factors.filter("copies > 1").select("h", "content", "off"))
-        answers = answers.union(again.groupBy("h", "content").agg(F.array_sort(F.collect_set("off")).alias("offs")).mapInArrow(_islands, "h long, content long, a int, z int"))
-    back = mixed.join(answers.select(F.col("h").alias("h2"), F.col("content").alias("content2"), "a", "z"), (F.col("h") == F.col("h2")) & (F.col("content") == F.col("content2")))
+        rows = fetched(heads.filter("hot"))
+        for width in WIDTHS:
+            level = base.materialised(rows.mapInArrow(_narrower(length, width), ROW))
+            at = F.struct("doc", "place", "h", "content")
+            shards = base.materialised(level.groupBy(F.col("shard").alias("shard2")).agg(F.count("*").alias("c"), (F.min("block") != F.max("block")).alias("differ"), F.min(at).alias("top")).filter("c > 1"))
+            several = base.materialised(level.join(shards, F.col("shard") == F.col("shard2")))
+            equal = several.filter("not differ")
+            if keep_first:
+                equal = equal.filter(at != F.col("top"))
+            answers = answers.union(equal.select("h", "content", F.col("lo").alias("a"), (F.col("lo") + F.octet_length("raw") - length + 1).alias("z")))
+            answers = answers.union(resolved(several.filter(F.col("differ") & (F.col("c") <= shard_runs)).select(*NAMES)))
+            rows = several.filter(F.col("differ") & (F.col("c") > shard_runs)).select(*NAMES)
+            if rows.isEmpty():
+                break
+    answers = answers.select(F.col("h").alias("h2"), F.col("content").alias("content2"), "a", "z")
+    back = mixed.join(answers, (F.col("h") == F.col("h2")) & (F.col("content") == F.col("content2")))
     part = back.select("rk", (first + F.col("a")).alias("a"), (first + F.col("z") + length - 1).alias("z"))
     spans = whole.select(*full).union(part).select("rk", F.shiftleft("a", 32).bitwiseOR(F.col("z")).alias("span"))
     spans = spans.repartition("rk").groupBy(F.col("rk").alias("rk2")).agg(F.collect_list("span").alias("spans"))
@@ -289,18 +332,21 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
 
 
 def _fetch(length: int):
+    """The bytes of the wanted runs, as rows of ``ROW``."""
+
     def run(batches):
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         for b in batches:
-            texts, wanted = b.column(1).to_pylist(), b.column(2).to_pylist()
-            for lo in range(0, len(texts), 64):
-                out = []
-                for t, ws in zip(texts[lo : lo + 64], wanted[lo : lo + 64], strict=True):
-                    raw = (t or "").encode("utf-8", "surrogatepass")
-                    for w in ws:
-                        first, n = w["place"] >> 24, w["place"] >> 12 & 4095
-                        out.append((w["h"], w["content"], w["copies"], w.get("doc"), w["place"], raw[first : first + n + length - 1]))
-                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)], names=["h", "content", "copies", "doc", "place", "raw"])
+            texts, wanted = b.column(0).to_pylist(), b.column(1).to_pylist()
+            out = []
+            for t, ws in zip(texts, wanted, strict=True):
+                raw = (t or "").encode("utf-8", "surrogatepass")
+                for w in ws:
+                    first, n, lead = w["place"] >> 24, w["place"] >> 12 & 4095, w["place"] & 4095
+                    out.append((w["h"], w["content"], w.get("doc"), w["place"], 0, lead, w["h"], w["content"], raw[first : first + n + length - 1]))
+                    if len(out) == 4096:
+                        yield _batch(out)
+                        out = []
+            yield _batch(out)
 
     return run
 

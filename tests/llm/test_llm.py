@@ -82,24 +82,34 @@ def test_repeats_brute_force(spark, docs):
             assert (got[i].n_removed, got[i].kept_sha256) == (int(gone.sum()), hashlib.sha256(kept).hexdigest()), (i, keep_first)
 
 
-def test_repeats_of_hot_anchors(spark):
+@pytest.mark.parametrize("keep_first", [False, True])
+def test_repeats_of_hot_anchors(spark, keep_first):
     # One line in all texts, with surroundings that some share: no task may hold the line's anchor whole.
     rng = np.random.default_rng(4)
     some = lambda n: "".join(rng.choice(list("abcdefghij"), n))
     line, near = some(112), [some(150) for _ in range(4)]
     rows = [(i, (near[i % 4] if i % 3 == 0 else some(150)) + line + some(150)) for i in range(60)] + [(60, "x" + line * 3), (61, "y" + line * 3)]
-    rows += [(62, rows[1][1]), (63, rows[1][1])]
-    total = Counter(t[k : k + 200] for _, t in rows for k in range(len(t) - 199))
-    got = {r.doc_id: r for r in repeats.find(spark.createDataFrame(rows, "doc_id long, text string"), shard_runs=8).collect()}
+    rows += [(62, rows[1][1]), (63, rows[1][1])] + [(64 + i, some(90) + line * 2 + some(120)) for i in range(30)]
+    total, seen = Counter(t[k : k + 200] for _, t in rows for k in range(len(t) - 199)), set()
+    got = {r.doc_id: r for r in repeats.find(spark.createDataFrame(rows, "doc_id long, text string"), shard_runs=8, keep_first=keep_first).collect()}
     for i, t in rows:
         gone = np.zeros(len(t), bool)
         for k in range(len(t) - 199):
-            if total[t[k : k + 200]] > 1:
+            if t[k : k + 200] in seen if keep_first else total[t[k : k + 200]] > 1:
                 gone[k : k + 200] = True
+            seen.add(t[k : k + 200])
         kept = "".join(c for c, g in zip(t, gone, strict=True) if not g)
         assert (got[i].n_removed, got[i].kept_sha256) == (int(gone.sum()), hashlib.sha256(kept.encode()).hexdigest()), i
 
 
+def test_long_texts_are_cut_without_loss():
+    raw = bytes(range(256)) * 9
+    for size in (1, 7, 500, 5000):
+        cut = repeats.pieces(raw, 200, size)
+        assert sorted(at + i for at, p in cut for i in range(len(p) - 199)) == list(range(len(raw) - 199)) and all(raw[at : at + len(p)] == p for at, p in cut)
+    assert repeats.pieces(b"", 200, 10) == [(0, b"")]
+
+
 def test_longest_previous_factor():
     data = b"abracadabra abracadabra"
     want = [max((m for q in range(p) for m in range(len(data) - p + 1) if data[q : q + m] == data[p : p + m]), default=0) for p in range(len(data))]
