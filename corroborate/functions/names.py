@@ -67,7 +67,7 @@ def is_nullish(c: Column | str) -> Column:
 
 
 # Keywords of attribute categories, the first that matches wins.
-CATEGORY_WORDS = (("fire", ("fire", "flamm")), ("water", ("water", "drought")), ("deer", ("deer",)), ("native", ("native",)), ("invasive", ("invasive",)), ("wildlife", ("wildlife", "bird", "pollinator", "butterfl")))
+CATEGORY_WORDS = (("fire", ("fire", "flammab")), ("water", ("water", "drought", "irrigation")), ("deer", ("deer", "browse")), ("native", ("native", "origin")), ("invasive", ("invasiv",)), ("wildlife", ("pollinat", "bird", "wildlife", "lepidopt")))
 
 
 def attribute_category(c: Column | str) -> Column:
@@ -111,11 +111,15 @@ def flag_marker(c: Column | str, marker: str = "*!*") -> Column:
 
 def map_keywords(values: Column | str, rules: Sequence[tuple[str, str, str]]) -> Column:
     """Array of struct(attribute, value) for each (keyword, attribute, value) that occurs in some element."""
-    hits = [F.when(F.exists(_col(values), lambda v, k=k: F.lower(v).contains(k)), F.struct(F.lit(a).alias("attribute"), F.lit(x).alias("value"))) for k, a, x in rules]
+
+    def some(k: str) -> Column:
+        return F.coalesce(F.exists(_col(values), lambda v: F.lower(v).contains(k)), F.lit(False))
+
+    hits = [F.when(some(k), F.struct(F.lit(a).alias("attribute"), F.lit(x).alias("value"))) for k, a, x in rules]
     return F.array_distinct(F.array_compact(F.array(*hits)))
 
 
-def keyword_rule(c: Column | str, rules: Sequence[tuple[str, Sequence[str]]], default: str) -> Column:
+def keyword_rule(c: Column | str, rules: Sequence[tuple[str, Sequence[str]]], default: str | None) -> Column:
     """The first rule any of whose words occurs."""
     out = F.lit(default)
     for name, words in reversed(list(rules)):
@@ -127,21 +131,42 @@ def keyword_rule(c: Column | str, rules: Sequence[tuple[str, Sequence[str]]], de
 
 
 # Keyword rules of source metadata.
-METHODOLOGY = (("experimental", ("experiment", "burn test", "laboratory", "lab test")), ("literature_review", ("review", "literature", "compil")), ("field_observation", ("field", "observ", "survey")), ("expert_opinion", ("expert", "opinion", "extension")), ("modeled", ("model",)))
-SPECIFICITY = (("national", ("us", "united states", "national")), ("global", ("global", "world")), ("regional", ("west", "south", "north", "east", "region")), ("local", ("county", "city", "local")))
+METHODOLOGY = (
+    ("meta_analysis", ("meta-analysis", "meta analysis")), ("experimental", ("experiment", "lab", "test")), ("field_observation", ("field", "observation", "survey")),
+    ("literature_review", ("literature", "review", "compilation")), ("modeling", ("model", "simulation")), ("expert_opinion", ("expert", "opinion", "guide")),
+)
+SPECIFICITY = (("national", ("national", "united states", "us", "usa")), ("global", ("global", "worldwide", "international")))
+STATES = ("oregon", "california", "washington", "idaho", "nevada", "montana")
 
 
 def infer_methodology(c: Column | str) -> Column:
-    return keyword_rule(c, METHODOLOGY, "unknown")
+    """Null where no rule fits."""
+    return keyword_rule(c, METHODOLOGY, None)
 
 
 def infer_specificity(c: Column | str) -> Column:
-    return keyword_rule(c, SPECIFICITY, "unknown")
+    """National or global by keyword, local if exactly one known state is named, else regional; null for no text.
+
+    "us" counts wherever it stands, also inside a word, as in the fixed rule; so does "national" in "international".
+    """
+    text = F.nullif(F.lower(_col(c)), F.lit(""))
+    named = sum((text.contains(s).cast("int") for s in STATES), F.lit(0))
+    return F.when(text.isNotNull(), F.coalesce(keyword_rule(text, SPECIFICITY, None), F.when(named == 1, "local").otherwise("regional")))
 
 
 def infer_currency(year: Column | str, as_of_year: int) -> Column:
-    age = as_of_year - _col(year).try_cast("int")
-    return F.when(age.isNull(), "unknown").when(age <= 5, "current").when(age <= 15, "recent").otherwise("historical")
+    """By the number that the text starts with; null where there is none."""
+    age = as_of_year - F.regexp_extract(_col(year), r"^\s*([+-]?[0-9]+)", 1).try_cast("long")
+    return F.when(age <= 5, "current").when(age <= 15, "recent").when(age.isNotNull(), "dated")
+
+
+def band(c: Column | str, bands: Sequence[tuple[int, int, str]], default: Column | str | None = None) -> Column:
+    """Label of the band (low, high, label; both ends inside) that holds the first number of a text such as a page reference."""
+    n = F.coalesce(F.regexp_extract(_col(c).cast("string"), "^([0-9]+)", 1).try_cast("int"), F.lit(0))
+    out = default if isinstance(default, Column) else F.lit(default)
+    for low, high, label in bands:
+        out = F.when(n.between(low, high), F.lit(label)).otherwise(out)
+    return out
 
 
 def parse_range(c: Column | str) -> Column:

@@ -9,22 +9,25 @@ from ..functions.names import infer_currency, infer_methodology, infer_specifici
 from .evidence import PAIR
 
 # The parts of the reliability score; unknown values count as the default after each table.
-METHOD = {"experimental": 1.0, "field_observation": 0.8, "literature_review": 0.7, "expert_opinion": 0.6, "modeled": 0.5}
-GEO = {"local": 1.0, "regional": 0.9, "national": 0.7, "global": 0.5}
-CURRENCY = {"current": 1.0, "recent": 0.7, "historical": 0.4}
+METHOD = {"meta_analysis": 1.0, "experimental": 0.9, "field_observation": 0.7, "literature_review": 0.6, "modeling": 0.5, "expert_opinion": 0.4}
+GEO = {"local": 1.0, "regional": 0.8, "national": 0.5, "global": 0.3}
+CURRENCY = {"current": 1.0, "recent": 0.7, "dated": 0.4}
 
 
 def _points(c: str, table: dict[str, float]) -> Column:
     out = F.lit(0.5)
     for k, v in table.items():
-        out = F.when(F.lower(c) == k, F.lit(v)).otherwise(out)
+        out = F.when(F.col(c) == k, F.lit(v)).otherwise(out)
     return out
 
 
 def auto_score(df: DataFrame) -> DataFrame:
-    """0.30 method + 0.20 peer review + 0.15 sample + 0.20 geography + 0.15 currency, two places."""
-    size = F.regexp_extract(F.coalesce("sample_size", F.lit("")), "([0-9]+)", 1).try_cast("int")
-    sample = F.when(size >= 1000, 1.0).when(size >= 100, 0.8).when(size.isNotNull(), 0.6).otherwise(0.5)
+    """0.30 method + 0.20 peer review + 0.15 sample + 0.20 geography + 0.15 currency, two places.
+
+    All digits of the sample size are read as one number, so "1,200" is 1200.
+    """
+    size = F.regexp_replace("sample_size", "[^0-9]", "").try_cast("double")
+    sample = F.when(size > 1000, 1.0).when(size >= 100, 0.7).when(size.isNotNull(), 0.4).otherwise(0.5)
     peer = F.when(F.col("peer_reviewed"), 1.0).otherwise(0.3)
     score = 0.30 * _points("methodology_type", METHOD) + 0.20 * peer + 0.15 * sample + 0.20 * _points("geographic_specificity", GEO) + 0.15 * _points("temporal_currency", CURRENCY)
     # The small addend makes sums that stand for a half round up whatever their binary form.
@@ -38,14 +41,20 @@ def seed_reliability(warrants: DataFrame, existing: DataFrame, as_of_year: int)
     return auto_score(new.select("source_id", infer_methodology("m.source_methodology").alias("methodology_type"), F.lit(False).alias("peer_reviewed"), F.lit(None).cast("string").alias("sample_size"), infer_specificity("m.source_region").alias("geographic_specificity"), infer_currency("m.source_year", as_of_year).alias("temporal_currency"))).withColumn("reliability_score", F.col("auto_score"))
 
 
-def update_reliability(rel: DataFrame, patch: DataFrame) -> DataFrame:
-    """Patched columns where the patch has a value; a steward's score stays above the automatic one."""
+def rescore(rel: DataFrame) -> DataFrame:
+    """The automatic score of every source anew; the score in use (``reliability_score``), which a steward may have set, stays."""
+    return auto_score(rel)
+
+
+def update_reliability(rel: DataFrame, patch: DataFrame, by: str = "admin") -> DataFrame:
+    """Patched columns where the patch has a value, and who patched the row. Neither score follows a patch of other columns by
+    itself: ``rescore`` gives the automatic one, and a patch of ``reliability_score`` is the steward's override."""
     cols = [c for c in patch.columns if c != "source_id"]
-    p = patch.select("source_id", *[F.col(c).alias(f"__{c}") for c in cols])
+    p = patch.select("source_id", *[F.col(c).alias(f"__{c}") for c in cols], F.lit(True).alias("__hit__"))
     out = rel.join(p, "source_id", "left")
-    for c in cols:
-        out = out.withColumn(c, F.coalesce(f"__{c}", c)).drop(f"__{c}")
-    return out
+    changed = {c: F.coalesce(f"__{c}", c) for c in cols}
+    changed["updated_by"] = F.when(F.col("__hit__"), F.lit(by)).otherwise(F.col("updated_by") if "updated_by" in rel.columns else F.lit(None))
+    return out.withColumns(changed).drop("__hit__", *[f"__{c}" for c in cols])
 
 
 def consensus_claims(warrants: DataFrame, reliability: DataFrame, default: float = 0.5) -> DataFrame:
@@ -83,10 +92,16 @@ def current_values(values: DataFrame, pairs: DataFrame) -> DataFrame:
     return values.join(pairs.select(*PAIR).distinct(), PAIR, "left_semi").filter("value is not null").groupBy(*PAIR).agg(F.array_join(F.array_sort(F.collect_set("value")), ", ").alias("current_value"))
 
 
+def later_warrants(claims: DataFrame, warrants: DataFrame) -> DataFrame:
+    """(claim_id, warrant_id, value, source_id, created_at): evidence not excluded that came after an approved claim on its pair."""
+    c = claims.filter("status = 'approved'").select(F.col("id").alias("claim_id"), *PAIR, "approved_at")
+    w = warrants.filter("status <> 'excluded'").select(*PAIR, F.col("id").alias("warrant_id"), "value", "source_id", "created_at")
+    return c.join(w, PAIR).filter("created_at > approved_at").drop(*PAIR, "approved_at")
+
+
 def stale_claims(claims: DataFrame, warrants: DataFrame) -> DataFrame:
     """(claim_id, n_later): approved claims with later evidence that is not excluded."""
-    c = claims.filter("status = 'approved'").select(F.col("id").alias("claim_id"), *PAIR, "approved_at")
-    return c.join(warrants.filter("status <> 'excluded'").select(*PAIR, "created_at"), PAIR).filter("created_at > approved_at").groupBy("claim_id").agg(F.count("*").alias("n_later"))
+    return later_warrants(claims, warrants).groupBy("claim_id").agg(F.count("*").alias("n_later"))
 
 
 def sync_preview(claims: DataFrame, values: DataFrame, warrants: DataFrame) -> DataFrame:
@@ -125,12 +140,12 @@ def batch_record(pushed: DataFrame, batch_id: str, commit: str | None = None) ->
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, change, old, new): added, modified and removed rows; row hashes are compared, then columns as structs."""
+    """(keys, change, old, new): added, modified and removed rows. All columns are compared, nulls as equal to each other only."""
     cols = [c for c in old.columns if c not in keys]
-    side = lambda df, p: df.select(*[F.col(k).alias(f"{p}_{k}") for k in keys], F.xxhash64(*[F.col(c) for c in cols]).alias(f"{p}_h"), F.struct(*cols).alias(p))
+    side = lambda df, p: df.select(*[F.col(k).alias(f"{p}_{k}") for k in keys], F.struct(*cols).alias(p))
     on = [F.col(f"old_{k}") == F.col(f"new_{k}") for k in keys]
-    j = side(old, "old").join(side(new, "new"), on, "full").filter("not (old_h <=> new_h)")
-    change = F.when(F.col("old_h").isNull(), "added").when(F.col("new_h").isNull(), "removed").otherwise("modified")
+    j = side(old, "old").join(side(new, "new"), on, "full").filter("not (old <=> new)")
+    change = F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "removed").otherwise("modified")
     return j.select(*[F.coalesce(f"old_{k}", f"new_{k}").alias(k) for k in keys], change.alias("change"), "old", "new")
 
 
@@ -139,24 +154,38 @@ def snapshot_log(log: DataFrame) -> DataFrame:
     return log.withColumn("parent", F.lag("snapshot_id").over(Window.partitionBy("table").orderBy("committed_at", "snapshot_id"))).orderBy(F.desc("committed_at"), F.desc("snapshot_id"))
 
 
-def revert(current: DataFrame, diff: DataFrame, keys: list[str]) -> DataFrame:
-    """The current rows with one snapshot's diff undone; ``conflict`` marks rows that changed again since."""
+def revertible(log: DataFrame, k: int = 5) -> DataFrame:
+    """The ``k`` latest snapshots; only these may be undone."""
+    return log.orderBy(F.desc("committed_at"), F.desc("snapshot_id")).limit(k)
+
+
+def revert(current: DataFrame, diff: DataFrame, keys: list[str], log: DataFrame | None = None, snapshot=None) -> DataFrame:
+    """The current rows with one snapshot's diff undone; ``conflict`` marks rows that changed again since, which stay as they are.
+
+    Added rows go, removed ones come back, modified ones get their old columns. With ``log`` and ``snapshot`` the snapshot has to
+    be among the five latest, else this raises.
+    """
+    if log is not None and revertible(log).filter(F.col("snapshot_id") == F.lit(snapshot)).isEmpty():
+        raise ValueError(f"{snapshot} is not one of the five latest snapshots")
     cols = [c for c in current.columns if c not in keys]
     d = diff.select(*[F.col(k).alias(f"__{k}") for k in keys], "change", "old", "new")
-    j = current.withColumn("__here__", F.lit(True)).join(d, [F.col(k) == F.col(f"__{k}") for k in keys], "full")
-    now = F.struct(*cols)
-    changed = F.col("change").isNotNull() & (F.col("change") != "removed") & F.col("__here__") & (F.xxhash64(now) != F.xxhash64("new"))
-    gone = (F.col("change") == "added") & ~F.coalesce(changed, F.lit(False))
-    lost = (F.col("change") == "modified") & F.col("__here__").isNull()
-    out = j.filter(~F.coalesce(gone, F.lit(False)) & ~F.coalesce(lost, F.lit(False)) & ~((F.col("change") == "added") & F.col("__here__").isNull() & F.col("change").isNotNull()) | F.col("change").isNull())
-    pick = lambda c: F.when(F.col("change").isin("modified", "removed") & ~F.coalesce(changed, F.lit(False)), F.col(f"old.{c}")).otherwise(F.col(c))
-    return out.select(*[F.coalesce(k, f"__{k}").alias(k) for k in keys], *[pick(c).alias(c) for c in cols], F.coalesce(changed, F.lit(False)).alias("conflict"))
+    now = current.select(*keys, F.struct(*cols).alias("now"))
+    j = now.join(d, [F.col(k) == F.col(f"__{k}") for k in keys], "full")
+    # What the snapshot left has to be what is there: its new row, or none where it removed one. A row that is already as it was is no conflict.
+    conflict = F.col("change").isNotNull() & ~F.col("now").eqNullSafe(F.col("new")) & ~F.col("now").eqNullSafe(F.col("old"))
+    then = F.when(F.col("change").isNull() | conflict, F.col("now")).otherwise(F.col("old"))
+    out = j.select(*[F.coalesce(k, f"__{k}").alias(k) for k in keys], then.alias("then"), conflict.alias("conflict")).filter("then is not null")
+    return out.select(*keys, *[F.col(f"then.{c}").alias(c) for c in cols], "conflict")
 
 
 def verify_run(warrants: DataFrame, conflicts: DataFrame) -> DataFrame:
-    """(check, n): rows, nulls in required fields, conflicts without their warrants."""
+    """(check, n): rows, nulls in required fields, conflicts by type and severity where they have these, conflicts without their warrants."""
     w = warrants.agg(F.count("*").alias("warrants"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in ("id", "plant_id", "attribute_id")])
     ids = warrants.select(F.col("id").alias("wid"))
     lost = conflicts.join(ids, F.col("id_a") == F.col("wid"), "left_anti").agg(F.count("*").alias("n")).select(F.lit("orphan_conflicts").alias("check"), "n")
-    return w.select(F.explode(F.array(*[F.struct(F.lit(c).alias("check"), F.col(c).alias("n")) for c in w.columns])).alias("x")).select("x.*").unionByName(lost)
+    out = w.select(F.explode(F.array(*[F.struct(F.lit(c).alias("check"), F.col(c).alias("n")) for c in w.columns])).alias("x")).select("x.*").unionByName(lost)
+    for c in ("conflict_type", "severity"):
+        if c in conflicts.columns:
+            out = out.unionByName(conflicts.groupBy(F.concat(F.lit(f"{c}_"), F.coalesce(c, F.lit("null"))).alias("check")).agg(F.count("*").alias("n")))
+    return out
 

@@ -94,22 +94,28 @@ def apply_offset(toc: DataFrame, offsets: DataFrame, n_pages: DataFrame) -> Data
 
 
 def chunk_pages(pages: DataFrame, max_tokens: int, overlap: int = 1) -> DataFrame:
-    """(doc_id, chunk, first_page, last_page, tokens): pages in order until the budget (characters // 4), with pages of overlap."""
+    """(doc_id, chunk, first_page, last_page, tokens): pages in order, tokens being characters // 4.
+
+    A document within the budget is one chunk. Otherwise a chunk ends before the page that would take it over the even size,
+    half way between the budget and an equal share, and starts again with ``overlap`` pages of the one before. Sequential for
+    each document, of which a task holds the pages' sizes.
+    """
 
     def pack(key, f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values("page")
-        out, current, total = [], [], 0
-        for page, chars in zip(f["page"].tolist(), f["chars"].tolist(), strict=True):
-            t = int(chars) // 4
-            if current and total + t > max_tokens:
-                out.append((key[0], len(out), current[0][0], current[-1][0], total))
-                current = current[-overlap:] if overlap else []
-                total = sum(x for _, x in current)
-            current.append((page, t))
-            total += t
-        if current:
-            out.append((key[0], len(out), current[0][0], current[-1][0], total))
-        return pd.DataFrame(out, columns=["doc_id", "chunk", "first_page", "last_page", "tokens"])
+        page, size = f["page"].tolist(), [int(c) // 4 for c in f["chars"]]
+        total = sum(size)
+        even = total if total <= max_tokens else -(-(total / -(-total // max_tokens) + max_tokens) // 2)
+        out, start, held = [], 0, 0
+        for i, t in enumerate(size):
+            if held + t > even and total > max_tokens:
+                out.append((start, i - 1, held))
+                start = max(i - overlap, 0)
+                held = sum(size[start:i])
+            held += t
+        out.append((start, len(size) - 1, held))
+        rows = [(key[0], n, page[a] if a <= z else None, page[z] if a <= z else None, held) for n, (a, z, held) in enumerate(out)]
+        return pd.DataFrame(rows, columns=["doc_id", "chunk", "first_page", "last_page", "tokens"]).astype({"first_page": "Int64", "last_page": "Int64"})
 
     kind = dict(pages.dtypes)["doc_id"]
     return pages.select("doc_id", "page", F.length(F.coalesce("text", F.lit(""))).alias("chars")).groupBy("doc_id").applyInPandas(pack, f"doc_id {kind}, chunk int, first_page long, last_page long, tokens long")

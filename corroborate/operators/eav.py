@@ -6,6 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def few(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """A one-row table with one array column; raises in the task where the array is longer than ``most``."""
+    c = df.columns[0]
+    return df.select(F.when(F.size(c) <= most, F.col(c)).otherwise(F.raise_error(F.lit(f"more than {most} {c}"))).alias(c))
+
+
 def accepted_species(names: DataFrame) -> DataFrame:
     return names.filter((F.lower("taxon_status") == "accepted") & (F.lower("taxon_rank") == "species"))
 
@@ -44,8 +50,31 @@ def values_bulk(values: DataFrame, attribute_ids: DataFrame, entity_ids: DataFra
     return out if entity_ids is None else out.join(entity_ids.select("plant_id").distinct(), "plant_id", "left_semi")
 
 
+def preset_rows(presets: DataFrame, fields: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """From JSON specs {category: {field: [values], "matchMode": …}, "heightRange": {"min", "max"}} (columns preset, filters) to
+    (preset, attribute_id, value) for ``apply_presets`` and (preset, low, high). ``fields`` maps (category, field) to attribute_id.
+
+    matchMode all, the only one in use, is how presets are matched anyway; a field without an attribute is dropped.
+    """
+    text = lambda path: F.get_json_object("filters", path)
+    bounds = presets.select("preset", text("$.heightRange.min").try_cast("double").alias("low"), text("$.heightRange.max").try_cast("double").alias("high")).filter("low is not null or high is not null")
+    tops = presets.select("preset", F.explode(F.from_json("filters", "map<string,string>")).alias("category", "inner")).filter("category <> 'heightRange'")
+    each = tops.select("preset", "category", F.explode(F.from_json("inner", "map<string,string>")).alias("field", "list")).filter("field <> 'matchMode'")
+    values = each.select("preset", "category", "field", F.explode(F.from_json("list", "array<string>")).alias("value"))
+    return values.join(fields, ["category", "field"]).select("preset", "attribute_id", "value"), bounds
+
+
+def within_heights(matched: DataFrame, bounds: DataFrame, heights: DataFrame) -> DataFrame:
+    """Rows of (preset, plant_id) whose height (plant_id, height as text; the first number counts) lies within the preset's bounds."""
+    h = heights.select("plant_id", F.regexp_extract("height", r"([0-9]+(?:\.[0-9]+)?)", 1).try_cast("double").alias("h"))
+    j = matched.join(bounds, "preset", "left").join(h, "plant_id", "left")
+    free = F.col("low").isNull() & F.col("high").isNull()
+    return j.filter(free | (F.col("h") >= F.coalesce("low", "h")) & (F.col("h") <= F.coalesce("high", "h"))).select("preset", "plant_id").distinct()
+
+
 def apply_presets(values: DataFrame, presets: DataFrame) -> DataFrame:
     """(preset, plant_id) satisfying every field of a preset by any of its values. ``presets``: preset, attribute_id, value."""
+    presets = presets.distinct()
     need = presets.groupBy("preset").agg(F.countDistinct("attribute_id").alias("need"))
     have = values.join(presets, ["attribute_id", "value"]).groupBy("preset", "plant_id").agg(F.countDistinct("attribute_id").alias("have"))
     return have.join(need, "preset").filter("have = need").select("preset", "plant_id")
@@ -59,23 +88,47 @@ def dedup_first(df: DataFrame, key: Column, order: list[str]) -> DataFrame:
 
 
 def gap_entities(entities: DataFrame, values: DataFrame, attribute) -> DataFrame:
-    have = values.filter((F.col("attribute_id") == attribute) & F.col("value").isNotNull()).select("plant_id")
+    have = values.filter(F.col("attribute_id") == attribute).select("plant_id")
     return entities.join(have, entities["id"] == have["plant_id"], "left_anti")
 
 
 def gap_matrix(entities: DataFrame, attributes: DataFrame, values: DataFrame) -> DataFrame:
-    """(plant_id, attribute_id) without a value. The attribute list is a dimension table."""
-    every = entities.select(F.col("id").alias("plant_id")).crossJoin(attributes.select(F.col("id").alias("attribute_id")))
-    return every.join(values.filter("value is not null").select("plant_id", "attribute_id").distinct(), ["plant_id", "attribute_id"], "left_anti")
+    """(plant_id, attribute_id) without a row in the store. The result is that product less what is there.
+
+    The attribute list is a dimension table: its ids travel as one array (checked to be few), so nothing is joined without a key.
+    """
+    ids = attributes.select(F.col("id").alias("attribute_id")).distinct().agg(F.collect_list("attribute_id").alias("all_ids"))
+    have = values.select("plant_id", "attribute_id").distinct().groupBy("plant_id").agg(F.collect_list("attribute_id").alias("have"))
+    lacking = F.array_except(few(ids).scalar(), F.coalesce("have", F.array().cast(ids.schema["all_ids"].dataType)))
+    every = entities.select(F.col("id").alias("plant_id")).join(have, "plant_id", "left")
+    return every.select("plant_id", F.explode(lacking).alias("attribute_id"))
+
 
+# Fixed value: ids of calculated attributes start so.
+CALCULATED = "b1000001-"
+COVERAGE_ORDERS = {"coverage_asc": ("pct", False), "coverage_desc": ("pct", True), "name": ("name", False)}
 
-def attribute_coverage(entities: DataFrame, attributes: DataFrame, values: DataFrame) -> DataFrame:
-    """(attribute_id, name, n_entities, total, pct to one place, gap); distinct pairs first, so few attributes do not make few tasks."""
-    have = values.filter("value is not null").select("attribute_id", "plant_id").distinct().groupBy("attribute_id").agg(F.count("*").alias("n"))
-    total = entities.agg(F.count("*").alias("total"))
-    out = attributes.select(F.col("id").alias("attribute_id"), "name").join(have, "attribute_id", "left").crossJoin(total)
+
+def attribute_coverage(entities: DataFrame, attributes: DataFrame, values: DataFrame, category: str | None = None, sort: str = "coverage_asc", calculated: tuple = ()) -> DataFrame:
+    """(attribute_id, name, category, n_entities, total, pct to one place, gap) of the attributes that are neither roots nor calculated.
+
+    ``attributes``: id, name, parent_attribute_id. ``category`` keeps the children of one parent, case apart. Distinct pairs
+    come first, so that few attributes do not make few tasks. An unknown ``sort`` reads as coverage_asc; ids break ties.
+    """
+    parents = attributes.select(F.col("id").alias("pid"), F.col("name").alias("pname"))
+    use = attributes.filter(F.col("parent_attribute_id").isNotNull() & ~F.col("id").cast("string").startswith(CALCULATED))
+    if calculated:
+        use = use.filter(~F.col("id").isin(*calculated))
+    use = use.join(parents, F.col("parent_attribute_id") == F.col("pid"), "left").select(F.col("id").alias("attribute_id"), "name", F.coalesce("pname", F.lit("Uncategorized")).alias("category"), "pname")
+    if category is not None:
+        use = use.filter(F.lower(F.coalesce("pname", F.lit(""))) == category.lower())
+    have = values.select("attribute_id", "plant_id").distinct().groupBy("attribute_id").agg(F.count("*").alias("n"))
+    out = use.join(have, "attribute_id", "left").withColumn("total", entities.agg(F.count("*").alias("total")).scalar())
     n = F.coalesce("n", F.lit(0))
-    return out.select("attribute_id", "name", n.alias("n_entities"), "total", (F.floor(n / F.greatest("total", F.lit(1)) * 1000 + 0.5) / 10).alias("pct"), (F.col("total") - n).alias("gap"))
+    pct = F.floor(n / F.greatest("total", F.lit(1)) * 1000 + 0.5) / 10
+    by, down = COVERAGE_ORDERS.get(sort, COVERAGE_ORDERS["coverage_asc"])
+    shown = out.select("attribute_id", "name", "category", n.alias("n_entities"), "total", pct.alias("pct"), (F.col("total") - n).alias("gap"))
+    return shown.orderBy(F.desc(by) if down else F.asc(by), "attribute_id")
 
 
 def coverage_headline(coverage: DataFrame) -> DataFrame:
@@ -99,8 +152,14 @@ def attribute_parents(attributes: DataFrame) -> DataFrame:
     return attributes.join(p, attributes["parent_attribute_id"] == p["pid"], "left").drop("pid")
 
 
-def attribute_paths(attributes: DataFrame, depth: int = 8) -> DataFrame:
-    """(id, name, root_name, path, level): a walk up the tree, a join a level until no node has a parent left."""
+def attribute_paths(attributes: DataFrame, depth: int | None = None) -> DataFrame:
+    """(id, name, root_name, path, level): a walk up the tree, a join a level until no node has a parent left.
+
+    Without ``depth`` the levels are counted first; a tree whose walk does not end after as many levels as it has nodes is a
+    cycle and raises. A node whose parent is unknown counts as a root.
+    """
+    if depth is None:
+        depth = _depth(attributes)
     edges = attributes.select(F.col("id").alias("eid"), F.col("name").alias("ename"), F.col("parent_attribute_id").alias("eparent"))
     now = attributes.select("id", "name", F.col("name").alias("root_name"), F.col("name").alias("path"), F.lit(1).alias("level"), F.col("parent_attribute_id").alias("up"))
     for _ in range(depth - 1):
@@ -110,6 +169,19 @@ def attribute_paths(attributes: DataFrame, depth: int = 8) -> DataFrame:
     return now.drop("up")
 
 
+def _depth(attributes: DataFrame) -> int:
+    """Levels of the tree; a dimension table, of which a count reaches the driver for each level."""
+    edges = attributes.select(F.col("id").alias("up"), F.col("parent_attribute_id").alias("next"))
+    now, levels, nodes = attributes.select(F.col("parent_attribute_id").alias("at")).filter("at is not null").distinct(), 1, None
+    while not (now := now.join(edges, F.col("at") == F.col("up")).select(F.col("next").alias("at")).distinct()).isEmpty():
+        levels += 1
+        nodes = attributes.count() if nodes is None else nodes
+        if levels > nodes:
+            raise ValueError("the attributes' parents form a cycle")
+        now = now.filter("at is not null")
+    return levels
+
+
 def subtree(attributes: DataFrame, root: str) -> DataFrame:
     return attribute_paths(attributes).filter((F.col("root_name") == root) | F.col("path").startswith(root + " > "))
 
@@ -117,7 +189,7 @@ def subtree(attributes: DataFrame, root: str) -> DataFrame:
 def entity_values(values: DataFrame, attributes: DataFrame, sources: DataFrame) -> DataFrame:
     a = attribute_paths(attributes).select(F.col("id").alias("attribute_id"), F.col("name").alias("attribute_name"), "root_name", "path")
     s = sources.select(F.col("id").alias("sid"), F.col("name").alias("source_name"))
-    out = values.join(a, "attribute_id")
+    out = values.drop("attribute_name").join(a, "attribute_id")
     return out.join(s, out["source_id"] == s["sid"], "left").drop("sid").withColumn("is_calculated", F.col("source_id").isNull())
 
 
@@ -133,14 +205,31 @@ def resolve_values(values: DataFrame, attributes: DataFrame) -> DataFrame:
 
 
 def pivot_entities(values: DataFrame, attribute_ids: list) -> DataFrame:
-    """One column for each listed attribute, holding its sorted distinct values joined by ', '."""
-    cols = [F.array_join(F.array_sort(F.collect_set(F.when(F.col("attribute_id") == a, F.col("value")))), ", ").alias(f"a{a}") for a in attribute_ids]
+    """One array column for each listed attribute, holding its sorted distinct values."""
+    cols = [F.array_sort(F.collect_set(F.when(F.col("attribute_id") == a, F.col("value")))).alias(f"a{a}") for a in attribute_ids]
     return values.filter(F.col("attribute_id").isin(*attribute_ids)).groupBy("plant_id").agg(*cols)
 
 
+# Calculated flags and the attribute whose presence each of them tells.
+HAS_FLAGS = {
+    "availability": "94a1c46e-8d0c-4a8b-b951-09ee6b04a43e", "climate_rating": "2cd5ffd7-10f1-431d-945e-064bcfd2c195", "deer_resistance": "ff4c4d0e-35d5-4804-aea3-2a6334ef8cb5",
+    "drought_tolerant": "53aedc01-99c6-4115-903b-7db799966427", "easy_to_grow": "009ab722-f032-431f-ae53-3b82e5f03ece", "edible_plant": "cba229ad-e004-4ece-ac5b-f2bb3ac0c6a5",
+    "erosion_control": "f3e261e1-2dc8-4abb-8665-3b4cf6521fc6", "flammability_rating": "d996587c-383b-4dc6-a23c-239b7de7e47b", "landscape_use": "055d0d05-6927-4ed4-b16c-894fe54d77e0",
+    "native_status": "716f3d8f-195f-4d16-824b-6dd1e88767a6", "soils_rating": "1b3ac1d2-3de1-479d-a472-1db3572971e7", "water_amount": "d9174148-6563-4f92-9673-01feb6a529ce",
+}
+WILDLIFE, INVASIVE = "e8686d2e-fe16-440e-bc70-af4a0328cd05", "bacadba3-a4f8-4550-9906-6b5535a619b6"
+
+
+def calculated_attributes(values: DataFrame, wildlife_points: dict[str, int], invasive_points: dict[str, int], flags: dict = HAS_FLAGS, wildlife=WILDLIFE, invasive=INVASIVE) -> DataFrame:
+    """The declared matrix: a flag for each of the twelve attributes that an entity has a value of, the wildlife sum (0 to 6), the
+    invasive component (-3 to 0) and their total. The points of values are inputs."""
+    return value_matrix(values, {n: (a, None) for n, a in flags.items()}, {"wildlife": (wildlife, wildlife_points, 0, 6), "invasive": (invasive, invasive_points, -3, 0)})
+
+
 def value_matrix(values: DataFrame, flags: dict[str, tuple], components: dict[str, tuple]) -> DataFrame:
-    """0/1 ``has_<flag>`` by (attribute, values), component sums by (attribute, {value: points}, low, high), and their total."""
-    has = [F.max(F.when((F.col("attribute_id") == a) & F.col("value").isin(*v), 1).otherwise(0)).alias(f"has_{n}") for n, (a, v) in flags.items()]
+    """0/1 ``has_<flag>`` by (attribute, values; None for any), component sums by (attribute, {value: points}, low, high), and their total."""
+    hit = lambda a, v: (F.col("attribute_id") == a) & (F.col("value").isNotNull() if v is None else F.col("value").isin(*v))
+    has = [F.max(F.when(hit(a, v), 1).otherwise(0)).alias(f"has_{n}") for n, (a, v) in flags.items()]
     sums = []
     for n, (a, points, low, high) in components.items():
         p = F.lit(0)

@@ -15,10 +15,12 @@ PAIR = ["plant_id", "attribute_id"]
 
 def bootstrap_warrants(values: DataFrame, entities: DataFrame, attributes: DataFrame, sources: DataFrame, batch_id: str) -> DataFrame:
     """A warrant for each stored value of a known entity and attribute; the value falls back to the source's wording."""
-    v = values.alias("v").join(entities.select(F.col("id").alias("e_id"), "genus", "species"), F.col("v.plant_id") == F.col("e_id"))
+    v = values.drop("attribute_name").alias("v").join(entities.select(F.col("id").alias("e_id"), "genus", "species"), F.col("v.plant_id") == F.col("e_id"))
     v = v.join(attributes.select(F.col("id").alias("a_id"), F.col("name").alias("attribute_name")), F.col("v.attribute_id") == F.col("a_id"))
-    v = v.join(sources.select(F.col("id").alias("s_id"), "region"), F.col("v.source_id") == F.col("s_id"), "left")
-    return v.select(F.sha2(F.concat_ws("|", F.lit("existing"), "v.id"), 256).alias("id"), F.lit("existing").alias("warrant_type"), F.lit("unreviewed").alias("status"), F.col("v.plant_id").alias("plant_id"), F.col("genus").alias("plant_genus"), F.col("species").alias("plant_species"), F.col("v.attribute_id").alias("attribute_id"), "attribute_name", F.coalesce("v.value", "v.source_value").alias("value"), F.col("v.source_id").alias("source_id"), F.col("region").alias("source_region"), F.lit(batch_id).alias("batch_id"))
+    extra = [F.col(c).alias(f"source_{to}") for c, to in (("region", "region"), ("notes", "methodology"), ("name", "dataset")) if c in sources.columns]
+    v = v.join(sources.select(F.col("id").alias("s_id"), *extra), F.col("v.source_id") == F.col("s_id"), "left")
+    carried = [c for c in ("source_region", "source_methodology", "source_dataset") if c in v.columns]
+    return v.select(F.sha2(F.concat_ws("|", F.lit("existing"), "v.id"), 256).alias("id"), F.lit("existing").alias("warrant_type"), F.lit("unreviewed").alias("status"), F.col("v.plant_id").alias("plant_id"), F.col("genus").alias("plant_genus"), F.col("species").alias("plant_species"), F.col("v.attribute_id").alias("attribute_id"), "attribute_name", F.coalesce("v.value", "v.source_value").alias("value"), F.col("v.source_value").alias("source_value"), F.col("v.source_id").alias("source_id"), *carried, F.lit("production").alias("match_method"), F.lit(1.0).alias("match_confidence"), F.lit(batch_id).alias("batch_id"))
 
 
 def apply_mapping(rows: DataFrame, mapping: DataFrame, key: str = "source_row") -> DataFrame:
@@ -70,46 +72,48 @@ def active(warrants: DataFrame, mode: str | None = None) -> DataFrame:
     out = warrants.filter("status <> 'excluded'")
     if mode is None:
         return out
-    return out.filter(F.col("warrant_type") == "external" if mode == "external" else F.col("warrant_type") != "external")
+    return out.filter(F.col("warrant_type") == ("external" if mode == "external" else "existing"))
 
 
-def warrant_groups(warrants: DataFrame, mode: str | None = None, min_size: int = 2) -> DataFrame:
-    return active(warrants, mode).groupBy(*PAIR).agg(F.count("*").alias("n_warrants")).filter(F.col("n_warrants") >= min_size)
+def warrant_groups(warrants: DataFrame, mode: str | None = None, min_size: int = 2, entity_ids: list | None = None, attr_like: str | None = None) -> DataFrame:
+    """Groups of at least ``min_size`` active warrants, of the listed entities and of attributes whose name holds ``attr_like``, case apart."""
+    out = active(warrants, mode)
+    if entity_ids:
+        out = out.filter(F.col("plant_id").isin(*entity_ids))
+    if attr_like:
+        out = out.filter(F.lower("attribute_name").contains(attr_like.lower()))
+    return out.groupBy(*PAIR).agg(F.count("*").alias("n_warrants")).filter(F.col("n_warrants") >= min_size)
 
 
-def warrant_group_members(warrants: DataFrame, mode: str | None = None, min_size: int = 2, strict_mode: bool = False) -> DataFrame:
+def warrant_group_members(warrants: DataFrame, mode: str | None = None, min_size: int = 2, strict_mode: bool = False, **options) -> DataFrame:
     """All active warrants of the groups that qualify in ``mode``; ``strict_mode`` keeps the mode for members too.
 
     Groups are counted first and joined back, so that the members of one very large group are split over tasks.
     """
-    return active(warrants, mode if strict_mode else None).join(warrant_groups(warrants, mode, min_size), PAIR)
+    return active(warrants, mode if strict_mode else None).join(warrant_groups(warrants, mode, min_size, **options), PAIR)
 
 
 def conflict_pairs(members: DataFrame, threshold: int = 5) -> DataFrame:
     """Pairs (a before b by source and id): all in groups of up to ``threshold``, else the first warrant of the modal value with each other.
 
-    Sizes, modes and anchors are aggregates; only groups of up to ``threshold`` rows are ordered in a window. In larger groups
-    the anchors (a row a group) are joined to the members, a join that adaptive execution splits when a group is hot. A repeated
-    anchor row is paired with its copies.
+    Sizes, modes and anchors are aggregates of the rows, equal ones counted once. A group's info (its size, the anchor and its
+    count) is joined to the members, a join that adaptive execution splits when a group is hot. Members of small groups,
+    ``threshold`` of them at most, are then gathered into one row and paired there. A repeated anchor row is paired with its copies.
     """
-    m = members.select(*PAIR, "id", "value", "source_id")
-    votes = m.groupBy(*PAIR, F.lower(F.trim("value")).alias("v")).agg(F.count("*").alias("votes"), F.min(F.struct("source_id", "id", "value")).alias("first"))
-    info = votes.groupBy(*PAIR).agg(F.sum("votes").alias("n"), F.min(F.struct((-F.col("votes")).alias("votes"), "first"))["first"].alias("anchor"))
-
-    order = Window.partitionBy(*PAIR).orderBy(F.asc_nulls_first("source_id"), "id", "value")
-    small = m.join(info.filter(F.col("n") <= threshold).select(*PAIR), PAIR, "left_semi").withColumn("rn", F.row_number().over(order))
-    side = lambda x: small.select(*PAIR, *[F.col(c).alias(f"{c}_{x}") for c in ("id", "value", "source_id", "rn")])
-    few = side("a").join(side("b"), PAIR).filter("rn_a < rn_b")
-
-    anchors = info.filter(F.col("n") > threshold).select(*PAIR, *[F.col(f"anchor.{c}").alias(f"{c}_a") for c in ("id", "value", "source_id")])
-    other = m.select(*PAIR, *[F.col(c).alias(f"{c}_b") for c in ("id", "value", "source_id")])
-    same = F.col("id_a").eqNullSafe(F.col("id_b")) & F.col("value_a").eqNullSafe(F.col("value_b")) & F.col("source_id_a").eqNullSafe(F.col("source_id_b"))
-    many = other.join(anchors, PAIR).filter(~same)
-    a, b = anchors.alias("a"), other.alias("b")
-    copies = b.join(a, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in PAIR] + [same]).groupBy(*[F.col(f"a.{c}") for c in PAIR], "id_a", "value_a", "source_id_a").agg(F.count("*").alias("k"))
-    again = copies.filter("k > 1").withColumn("i", F.explode(F.sequence(F.lit(2), F.col("k")))).select(*PAIR, "id_a", F.col("id_a").alias("id_b"), "value_a", F.col("value_a").alias("value_b"), "source_id_a", F.col("source_id_a").alias("source_id_b"))
-    cols = [*PAIR, "id_a", "id_b", "value_a", "value_b", "source_id_a", "source_id_b"]
-    return few.select(*cols).unionByName(many.select(*cols)).unionByName(again)
+    m = members.select(*PAIR, F.struct("source_id", "id", "value").alias("w"))
+    rows = m.groupBy(*PAIR, F.lower(F.trim("w.value")).alias("v"), "w").agg(F.count("*").alias("c"))
+    votes = rows.groupBy(*PAIR, "v").agg(F.sum("c").alias("votes"), F.min(F.struct("w", "c")).alias("first"))
+    info = votes.groupBy(*PAIR).agg(F.sum("votes").alias("n"), F.min(F.struct((-F.col("votes")).alias("votes"), "first"))["first"].alias("anchor")).filter("n > 1")
+    known = rows.select(*PAIR, "w", "c").join(info, PAIR)
+
+    alike = F.transform(F.sequence(F.lit(1), F.col("c").cast("int")), lambda i: F.struct("w", i.alias("i")))
+    small = known.filter(F.col("n") <= threshold).groupBy(*PAIR).agg(F.array_sort(F.flatten(F.collect_list(alike))).alias("all"))
+    at = F.transform("all", lambda a, i: F.transform(F.filter("all", lambda b: b > a), lambda b: F.struct(a["w"].alias("a"), b["w"].alias("b"))))
+    few = small.select(*PAIR, F.explode(F.flatten(at)).alias("p"))
+
+    large = known.filter(F.col("n") > threshold).withColumn("c", F.when(F.col("w") == F.col("anchor.w"), F.col("c") - 1).otherwise(F.col("c"))).filter("c > 0")
+    many = large.select(*PAIR, F.struct(F.col("anchor.w").alias("a"), F.col("w").alias("b")).alias("p"), F.explode(F.sequence(F.lit(1), F.col("c").cast("int"))).alias("i")).drop("i")
+    return few.unionByName(many).select(*PAIR, *[F.col(f"p.{x}.{c}").alias(f"{c}_{x}") for c in ("id", "value", "source_id") for x in ("a", "b")])
 
 
 def classify_pairs(pairs: DataFrame) -> DataFrame:
@@ -121,8 +125,8 @@ def classify_pairs(pairs: DataFrame) -> DataFrame:
 
 # Conflict types with their default severity and the specialist that reviews them.
 CONFLICT_TYPES = {
-    "RATING_DISAGREEMENT": ("moderate", "rating"), "DEFINITION_CONFLICT": ("moderate", "definition"), "SCOPE_CONFLICT": ("minor", "scope"), "TEMPORAL_CONFLICT": ("minor", "temporal"),
-    "METHODOLOGY_CONFLICT": ("moderate", "methodology"), "TAXONOMY_CONFLICT": ("critical", "taxonomy"), "GRANULARITY_MISMATCH": ("minor", "taxonomy"), "COMPLETENESS_CONFLICT": ("minor", "research"), "CROSS_SOURCE_CONFLICT": ("moderate", "research"),
+    "RATING_DISAGREEMENT": ("critical", "ratingConflictFlow"), "SCALE_MISMATCH": ("moderate", "ratingConflictFlow"), "SCOPE_DIFFERENCE": ("moderate", "scopeConflictFlow"), "TEMPORAL_CONFLICT": ("minor", "temporalConflictFlow"),
+    "METHODOLOGY_DIFFERENCE": ("moderate", "methodologyConflictFlow"), "GRANULARITY_MISMATCH": ("minor", "taxonomyConflictFlow"), "DEFINITION_CONFLICT": ("moderate", "definitionConflictFlow"), "COMPLETENESS_CONFLICT": ("minor", None),
 }
 SEVERITIES = ("critical", "moderate", "minor")
 
@@ -132,13 +136,22 @@ def severity_rank(c: str = "severity") -> Column:
     return F.when(F.col(c) == "critical", 3).when(F.col(c) == "moderate", 2).when(F.col(c) == "minor", 1).otherwise(0)
 
 
-def finalize_conflicts(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Conflicts of reviewed pairs. ``labels`` (id_a, id_b, label, label_severity); unknown types become RATING_DISAGREEMENT."""
-    kind = F.when(F.col("verdict") == "COMPLETENESS_CONFLICT", F.col("verdict")).when(F.col("label").isin(*CONFLICT_TYPES), F.col("label")).otherwise("RATING_DISAGREEMENT")
+def finalize_conflicts(pairs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """Conflicts of classified pairs, with type, severity and the specialist they go to (none for missing values).
+
+    ``labels`` (id_a, id_b, label, label_severity, each pair once) holds what a reviewer said; without it the pairs have these two
+    columns themselves. Unknown types become RATING_DISAGREEMENT, unknown severities the type's own; pairs
+    with a missing value keep what the classification gave them, pairs without a label are moderate rating disagreements.
+    """
+    known = pairs.filter("verdict <> 'corroborated'")
+    both = known if labels is None else known.join(labels, ["id_a", "id_b"], "left")
+    settled = F.col("verdict") == "COMPLETENESS_CONFLICT"
+    kind = F.when(settled, F.col("verdict")).when(F.col("label").isin(*CONFLICT_TYPES), F.col("label")).otherwise("RATING_DISAGREEMENT")
     default = F.create_map(*[F.lit(x) for k, (s, _) in CONFLICT_TYPES.items() for x in (k, s)])
-    route = F.create_map(*[F.lit(x) for k, (_, r) in CONFLICT_TYPES.items() for x in (k, r)])
-    out = pairs.filter("verdict <> 'corroborated'").join(labels, ["id_a", "id_b"], "left").withColumn("conflict_type", kind)
-    return out.withColumn("severity", F.when(F.col("label_severity").isin(*SEVERITIES), F.col("label_severity")).otherwise(default[F.col("conflict_type")])).withColumn("specialist_agent", route[F.col("conflict_type")]).drop("label", "label_severity", "verdict")
+    route = F.create_map(*[F.lit(x) for k, (_, r) in CONFLICT_TYPES.items() if r for x in (k, r)])
+    severity = F.when(settled, "minor").when(F.col("label_severity").isin(*SEVERITIES), F.col("label_severity")).when(F.col("label").isNull() & F.col("label_severity").isNull(), "moderate")
+    out = both.withColumn("conflict_type", kind).withColumn("severity", F.coalesce(severity, default[F.col("conflict_type")]))
+    return out.withColumn("specialist_agent", F.try_element_at(route, F.col("conflict_type"))).drop("label", "label_severity", "verdict")
 
 
 def conflict_summary(conflicts: DataFrame) -> DataFrame:
@@ -189,41 +202,88 @@ def set_status(df: DataFrame, ids: DataFrame, status: str, allowed: tuple[str, .
 
 
 def default_verdicts(conflicts: DataFrame) -> DataFrame:
-    """Human review for methodology and definition conflicts, with both sides' values."""
-    text = F.concat(F.lit("A: "), F.substring(F.coalesce("value_a", F.lit("")), 1, 1500), F.lit("\nB: "), F.substring(F.coalesce("value_b", F.lit("")), 1, 1500))
-    return conflicts.filter(F.col("conflict_type").isin("METHODOLOGY_CONFLICT", "DEFINITION_CONFLICT")).select("id", F.lit("NUANCED").alias("verdict"), F.lit("HUMAN_DECIDE").alias("recommendation"), F.lit(0.0).alias("confidence"), text.alias("analysis"))
+    """Human review for methodology and definition conflicts: both sides' method and the first 1,500 characters of their data
+    dictionaries (columns source_methodology_a / _b and dictionary_a / _b, where there are any)."""
+    out = conflicts.filter(F.col("conflict_type").isin("METHODOLOGY_DIFFERENCE", "DEFINITION_CONFLICT"))
+    side = lambda x: (F.coalesce(F.col(f"source_{x}"), F.lit("Unknown")), F.coalesce(F.col(f"source_methodology_{x}") if f"source_methodology_{x}" in conflicts.columns else F.lit(None), F.lit("Unknown")), F.substring(F.coalesce(F.col(f"dictionary_{x}") if f"dictionary_{x}" in conflicts.columns else F.lit(None), F.lit("No data dictionary available.")), 1, 1500))
+    (a, method_a, text_a), (b, method_b, text_b) = side("a"), side("b")
+    what = F.when(F.col("conflict_type") == "DEFINITION_CONFLICT", "Definition").otherwise("Methodology")
+    text = F.concat(what, F.lit(" conflict requires human review. Source A ("), a, F.lit(") methodology: "), method_a, F.lit(". Source B ("), b, F.lit(") methodology: "), method_b, F.lit(".\n\n--- Source A Data Dictionary ---\n"), text_a, F.lit("\n\n--- Source B Data Dictionary ---\n"), text_b)
+    return out.select("id", F.lit("NUANCED").alias("verdict"), F.lit("HUMAN_DECIDE").alias("recommendation"), F.lit(0.0).alias("confidence"), text.alias("analysis"))
 
 
 def resolution_queue(conflicts: DataFrame) -> DataFrame:
-    """Critical before minor, internal before cross-source; ids break ties."""
-    mode = F.when(F.col("conflict_mode") == "internal", 0).when(F.col("conflict_mode") == "external", 1).otherwise(2)
-    return conflicts.orderBy(severity_rank().desc(), mode, "id")
+    """``priority`` 1 to 6: critical internal, critical external, moderate internal, moderate external, minor, cross-source of any
+    severity; ids break ties."""
+    mode, severity = F.col("conflict_mode"), F.col("severity")
+    priority = F.when(~F.coalesce(mode.isin("internal", "external"), F.lit(False)), 6)
+    for i, (s, m) in enumerate((("critical", "internal"), ("critical", "external"), ("moderate", "internal"), ("moderate", "external")), 1):
+        priority = priority.when((severity == s) & (mode == m), i)
+    return conflicts.withColumn("priority", priority.otherwise(5)).orderBy("priority", "id")
 
 
 def audit_disagreements(values: DataFrame) -> DataFrame:
-    """Values of pairs on which more than one source gives more than one value."""
-    bad = values.filter("value is not null").groupBy(*PAIR).agg(F.countDistinct("value").alias("nv"), F.countDistinct("source_id").alias("ns")).filter("nv > 1 and ns > 1")
-    return values.filter("value is not null").join(bad.select(*PAIR), PAIR, "left_semi")
+    """Values with a source of pairs on which more than one source gives more than one value."""
+    named = values.filter("source_id is not null")
+    bad = named.groupBy(*PAIR).agg(F.countDistinct("value").alias("nv"), F.countDistinct("source_id").alias("ns")).filter("nv > 1 and ns > 1")
+    return named.join(bad.select(*PAIR), PAIR, "left_semi")
 
 
 def audit_values(values: DataFrame, attributes: DataFrame) -> DataFrame:
-    """Values outside the attribute's allowed list (JSON of id and displayName); attributes without a readable list pass."""
+    """Values outside the attribute's allowed list (JSON; an entry's displayName counts, its id only where it has none);
+    blank values and attributes without a readable list pass."""
     allowed = F.from_json("values_allowed", "array<struct<id:string,displayName:string>>")
-    names = F.flatten(F.transform(allowed, lambda a: F.array(F.lower(F.trim(a["id"])), F.lower(F.trim(a["displayName"])))))
+    names = F.filter(F.transform(allowed, lambda a: F.lower(F.trim(F.coalesce(a["displayName"], a["id"], F.lit(""))))), lambda x: x != "")
     ok = attributes.select(F.col("id").alias("attribute_id"), names.alias("names")).filter(F.size(F.coalesce("names", F.array())) > 0)
-    return values.join(ok, "attribute_id").filter(F.col("value").isNotNull() & ~F.coalesce(F.array_contains("names", F.lower(F.trim("value"))), F.lit(False))).drop("names")
+    v = F.lower(F.trim("value"))
+    return values.join(ok, "attribute_id").filter((v != "") & ~F.array_contains("names", v)).drop("names")
+
 
+# What an audit warrant says about its scan.
+SCAN_NOTES = {1: None, 2: "Value validation failure", 3: "Missing provenance: value has no source_id"}
 
-def run_audit(values: DataFrame, attributes: DataFrame, existing: DataFrame) -> DataFrame:
-    """(plant_id, attribute_id, value, scan): each new key once, from the first scan that finds it; existing keys are left out."""
-    key = [*PAIR, "value"]
-    scans = [audit_disagreements(values), audit_values(values, attributes), values.filter("source_id is null")]
+
+def run_audit(values: DataFrame, attributes: DataFrame, existing: DataFrame, entities: DataFrame | None = None, batch_id: str = "audit") -> DataFrame:
+    """New audit warrants (id, warrant_type, status, plant_id, attribute_id, attribute_name, value, source_id, source_dataset,
+    source_id_code, batch_id, notes, scan): each key (pair and value) once, by the first scan that finds it and there by the least source.
+
+    Scans: disagreeing sources, values outside the allowed list, no source. Keys of ``existing`` warrants are left out, as are
+    values of unknown attributes and, where ``entities`` are given, unknown entities. A null value counts as a value of its own.
+    """
+    known_values = values if entities is None else values.join(entities.select(F.col("id").alias("plant_id")), "plant_id", "left_semi")
+    known_values = known_values.join(attributes.select(F.col("id").alias("attribute_id"), F.col("name").alias("attribute_name")), "attribute_id")
+    scans = [audit_disagreements(known_values), audit_values(known_values, attributes.drop("name")), known_values.filter("source_id is null")]
+    key = [*PAIR, F.coalesce("value", F.lit("null")).alias("key")]
     found = None
     for i, s in enumerate(scans, 1):
-        part = s.select(*PAIR, F.coalesce("value", F.lit("null")).alias("value"), F.lit(i).alias("scan"))
+        part = s.select(*key, "attribute_name", "value", "source_id", F.lit(i).alias("scan"))
         found = part if found is None else found.unionByName(part)
-    known = existing.select(*PAIR, F.coalesce("value", F.lit("null")).alias("value"))
-    return found.groupBy(*key).agg(F.min("scan").alias("scan")).join(known, key, "left_anti")
+    first = found.groupBy(*PAIR, "key").agg(F.min(F.struct("scan", "source_id", "attribute_name", "value")).alias("f"))
+    new = first.join(existing.select(*key), [*PAIR, "key"], "left_anti")
+    notes = F.create_map(*[F.lit(x) for k, v in SCAN_NOTES.items() if v for x in (k, v)])
+    return new.select(
+        F.sha2(F.concat_ws("|", F.lit(batch_id), *PAIR, "key"), 256).alias("id"), F.lit("internal_audit").alias("warrant_type"), F.lit("unreviewed").alias("status"), *PAIR, F.col("f.attribute_name").alias("attribute_name"),
+        F.when(F.col("f.scan") == 3, F.coalesce("f.value", F.lit(""))).otherwise(F.col("f.value")).alias("value"), F.col("f.source_id").alias("source_id"), F.lit("production").alias("source_dataset"), F.lit("INTERNAL_AUDIT").alias("source_id_code"), F.lit(batch_id).alias("batch_id"), F.try_element_at(notes, F.col("f.scan")).alias("notes"), F.col("f.scan").alias("scan"),
+    )
+
+
+def audit_conflicts(new: DataFrame, batch_id: str = "audit") -> DataFrame:
+    """One conflict for each pair with two new warrants of the first scan: its first two by source and value."""
+    side = F.struct("source_id", F.coalesce("value", F.lit("null")).alias("k"), "id", "value", "attribute_name")
+    one = new.filter("scan = 1")
+    # Two aggregates instead of a window, so that a pair of very many values is combined before the shuffle.
+    first = one.groupBy(*PAIR).agg(F.min(side).alias("a"), F.count("*").alias("n")).filter("n > 1")
+    rest = one.join(first.select(*PAIR, F.col("a.id").alias("a_id")), PAIR).filter("id <> a_id").groupBy(*PAIR).agg(F.min(side).alias("b"))
+    fixed = {"conflict_type": "value_disagreement", "conflict_mode": "internal", "severity": "moderate", "status": "pending", "batch_id": batch_id, "classifier_explanation": "Internal audit: multiple sources disagree on value"}
+    return first.join(rest, PAIR).select(*PAIR, F.col("a.attribute_name").alias("attribute_name"), *[F.lit(v).alias(k) for k, v in fixed.items()], *[F.col(f"{x}.{c}").alias(f"{n}_{x}") for x in ("a", "b") for n, c in (("warrant_id", "id"), ("value", "value"), ("source", "source_id"))])
+
+
+def audit_results(new: DataFrame, conflicts: DataFrame, values: DataFrame) -> DataFrame:
+    """One row of counts: groups that disagree, and what the run found and made."""
+    groups = audit_disagreements(values).select(*PAIR).distinct().agg(F.count("*").alias("disagreements_found"))
+    made = new.agg(F.count_if(F.col("scan") == 2).alias("validation_failures"), F.count_if(F.col("scan") == 3).alias("missing_provenance"), F.count("*").alias("warrants_created"))
+    n = conflicts.agg(F.count("*").alias("n"))
+    return made.withColumn("disagreements_found", groups.scalar()).withColumn("conflicts_created", n.scalar())
 
 
 def orphans(children: DataFrame, parents: DataFrame, child_key: str, parent_key: str = "id") -> DataFrame:
@@ -231,8 +291,23 @@ def orphans(children: DataFrame, parents: DataFrame, child_key: str, parent_key:
     return children.join(parents.select(F.col(parent_key).alias("__p__")), F.col(child_key) == F.col("__p__"), "left_anti")
 
 
-def evidence_bundle(conflicts: DataFrame, warrants: DataFrame) -> DataFrame:
-    """Both sides' provenance beside each conflict."""
+def evidence_bundle(conflicts: DataFrame, warrants: DataFrame, docs: DataFrame | None = None, nodes: DataFrame | None = None, k: int = 5) -> DataFrame:
+    """Both sides' provenance beside each conflict, the start of both sources' documents, and the ``k`` best sections of the index.
+
+    ``docs`` (source_dataset, dictionary, readme): 3,000 and 2,000 characters are kept. ``nodes`` (doc_id, node_id, title, summary)
+    are searched for the attribute's name, once for each distinct name.
+    """
     cols = [c for c in ("source_methodology", "source_region", "source_year", "source_dataset") if c in warrants.columns]
     side = lambda x: warrants.select(F.col("id").alias(f"warrant_{x}_id"), *[F.col(c).alias(f"{c}_{x}") for c in cols])
-    return conflicts.join(side("a"), "warrant_a_id", "left").join(side("b"), "warrant_b_id", "left")
+    out = conflicts.join(side("a"), "warrant_a_id", "left").join(side("b"), "warrant_b_id", "left")
+    if docs is not None:
+        for x in ("a", "b"):
+            out = out.join(docs.select(F.col("source_dataset").alias(f"source_dataset_{x}"), F.substring("dictionary", 1, 3000).alias(f"dictionary_{x}"), F.substring("readme", 1, 2000).alias(f"readme_{x}")), f"source_dataset_{x}", "left")
+    if nodes is not None:
+        from .docindex import search_nodes
+
+        asked = conflicts.select(F.col("attribute_name").alias("query_id"), F.col("attribute_name").alias("query")).filter("query is not null").distinct()
+        hits = search_nodes(nodes, asked, k).join(nodes.select("doc_id", "node_id", "title", "summary"), ["doc_id", "node_id"])
+        top = hits.groupBy(F.col("query_id").alias("attribute_name")).agg(F.array_sort(F.collect_list(F.struct("rank", "doc_id", "node_id", "title", "summary"))).alias("sections"))
+        out = out.join(top, "attribute_name", "left")
+    return out

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -125,25 +126,70 @@ def definition_pairs(pages: DataFrame, key: str, html: str) -> DataFrame:
     return pages.select(key, F.explode(F.arrays_zip(names.alias("label"), values.alias("value"))).alias("x")).select(key, strip_tags("x.label").alias("label"), strip_tags("x.value").alias("value"))
 
 
-# Patterns of traits in running text.
-TRAITS = {"height": r"(?i)height:?\s*([0-9]+(?:\s*[-–to]+\s*[0-9]+)?\s*(?:feet|ft|inches|in))", "spread": r"(?i)spread:?\s*([0-9]+(?:\s*[-–to]+\s*[0-9]+)?\s*(?:feet|ft|inches|in))", "zones": r"(?i)zones?:?\s*([0-9]+[ab]?(?:\s*[-–]\s*[0-9]+[ab]?)?)", "bloom": r"(?i)blooms?:?\s*([a-z]+(?:\s*[-–]\s*[a-z]+)?)"}
+# Patterns of traits in running text; every match counts.
+TRAITS = {
+    "heights": r"(?i)height:\s*([\d–\-\.]+\s*(?:inches|feet|inch|foot))",
+    "spreads": r"(?i)spread:\s*([\d–\-\.]+\s*(?:inches|feet|inch|foot))",
+    "zones": r"(?i)usda\s*hardiness\s*zones?:\s*([\d–\-]+)",
+    "flowers": r"(?i)flowers?:\s*([^\n]{3,80})",
+    "blooms": r"(?i)bloom\s*time:\s*([^\n]{3,60})",
+}
+# Signs of water use, the first that matches wins.
+WATER_USE = (("Low", r"(?i)\bL\b.*(?:low water|minimal.*irrigation)"), ("Moderate", r"(?i)\bM\b.*(?:moderate|supplemental)"), ("High", r"(?i)\bH\b.*(?:high|needs.*irrigation)"))
 
 
 def extract_traits(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.select(key, *[F.nullif(F.regexp_extract(text, p, 1), F.lit("")).alias(n) for n, p in TRAITS.items()], F.coalesce(F.col(text).rlike("(?i)invasive|noxious"), F.lit(False)).alias("invasive_warning"))
+    """(key, heights, spreads, zones, flowers, blooms, water_use, invasive_warning, native_hint) of each text; null reads as empty."""
+    t = F.coalesce(F.col(text), F.lit(""))
+    low = F.lower(t)
+    water = F.lit("")
+    for name, p in reversed(WATER_USE):
+        water = F.when(t.rlike(p), F.lit(name)).otherwise(water)
+    native = low.contains("native") & (low.contains("oregon") | low.contains("pacific northwest") | low.contains("western"))
+    return docs.select(key, *[F.regexp_extract_all(t, F.lit(p), 1).alias(n) for n, p in TRAITS.items()], water.alias("water_use"), low.contains("invasive").alias("invasive_warning"), native.alias("native_hint"))
 
 
 SPECIES = "struct<id:long,common_name:string,scientific_name:string,edible:boolean,flower:struct<color:array<string>,conspicuous:boolean>,foliage:struct<texture:string,color:array<string>,leaf_retention:boolean>,specifications:struct<growth_form:string,growth_habit:array<string>,growth_rate:string>,distribution:struct<native:array<string>>,duration:array<string>>"
 
 
+# Attributes that species records fill (id, name), the codes of flower colours by the words that give them, native
+# regions by the word that gives them, and habits: (words, whether a word inside a longer one counts, attribute).
+NATIVE_STATUS, EDIBLE, FLOWER_COLOR = ("716f3d8f-195f-4d16-824b-6dd1e88767a6", "Native Status"), ("4afa9fb3-dd3c-4f46-bd99-5b584dc10605", "Edible Plant"), ("86a95833-886a-42bf-b149-c3754e9d913a", "Flower Color")
+EVERGREEN, DECIDUOUS = ("f2ed9581-6d15-47ff-93c0-4259bccce5e1", "Evergreen"), ("fee87734-db6e-4c92-926f-bb606f529b6d", "Deciduous")
+NATIVE_REGIONS = (("oregon", "oregon"), ("california", "california"))
+COLORS = (("01", ("white", "cream", "green")), ("02", ("yellow", "gold")), ("03", ("orange",)), ("04", ("pink", "rose", "red", "brown")), ("05", ("purple", "lavender", "violet")), ("06", ("blue",)))
+HABITS = (
+    (("tree",), False, ("d5673c20-6fb7-49e3-b7e3-d056caf8d205", "Tree")), (("shrub",), False, ("ef9be401-1500-471b-bf8f-b11936d6d047", "Shrub")),
+    (("vine",), False, ("eb566f0c-de5c-4981-9060-8ece5ab85997", "Vine")), (("graminoid", "grass"), True, ("f1108fb9-e629-4be3-99c1-bdae47ce0cf7", "Graminoid")),
+    (("subshrub", "ground"), True, ("82f68242-238f-4567-bb47-90da80b5c338", "Groundcover")),
+)
+
+
 def species_to_warrants(payloads: DataFrame, entities: DataFrame) -> DataFrame:
-    """(plant_id, attribute, value) from nested species records (column json), matched by lower-cased name."""
+    """(plant_id, attribute_id, attribute, value, source_value) from nested species records (column json), matched by lower-cased name.
+
+    Five kinds: native regions known to the store, edible or not, growth habits, leaf retention (only where it is true: a record
+    without it or with false says nothing), and codes of flower colours.
+    """
     s = payloads.select(F.from_json("json", SPECIES).alias("s")).filter("s is not null")
-    text = lambda a: F.array_join(F.coalesce(a, F.array().cast("array<string>")), ", ")
-    facts = F.explode(F.array(*[F.struct(F.lit(n).alias("attribute"), v.alias("value")) for n, v in (("flower_color", text(F.col("s.flower.color"))), ("foliage_texture", F.col("s.foliage.texture")), ("growth_habit", text(F.col("s.specifications.growth_habit"))), ("native_to", text(F.col("s.distribution.native"))), ("edible", F.col("s.edible").cast("string")))])).alias("x")
-    long = s.select(F.lower(F.trim("s.scientific_name")).alias("k"), facts).select("k", "x.*").filter("coalesce(value, '') <> ''")
+    lower = lambda a: F.transform(F.coalesce(a, F.array().cast("array<string>")), lambda x: F.lower(x))
+    listed = lambda a: F.array_join(F.coalesce(a, F.array().cast("array<string>")), ", ")
+    native, habits, colors = F.col("s.distribution.native"), F.col("s.specifications.growth_habit"), F.col("s.flower.color")
+
+    def fact(attribute: tuple[str, str], hit, value, said):
+        return F.when(hit, F.struct(F.lit(attribute[0]).alias("attribute_id"), F.lit(attribute[1]).alias("attribute"), value.alias("value"), said.alias("source_value")))
+
+    def some(values, words, inside=True):
+        return F.exists(lower(values), lambda x: F.coalesce(reduce(lambda p, q: p | q, [x.contains(w) if inside else x == w for w in words]), F.lit(False)))
+
+    facts = [fact(NATIVE_STATUS, some(native, (word,)), F.lit(code), F.concat(F.lit("Native to: "), listed(native))) for word, code in NATIVE_REGIONS]
+    facts.append(fact(EDIBLE, F.col("s.edible").isNotNull(), F.col("s.edible").cast("string"), F.concat(F.lit("edible: "), F.col("s.edible").cast("string"))))
+    facts += [fact(attribute, some(habits, words, inside), F.lit("true"), F.concat(F.lit("growth_habit: "), listed(habits))) for words, inside, attribute in HABITS]
+    facts.append(fact(EVERGREEN, F.coalesce("s.foliage.leaf_retention", F.lit(False)), F.lit("true"), F.lit("leaf_retention: true")))
+    facts += [fact(FLOWER_COLOR, some(colors, words), F.lit(code), F.concat(F.lit("flower.color: "), listed(colors))) for code, words in COLORS]
+    long = s.select(F.lower(F.trim("s.scientific_name")).alias("k"), F.explode(F.array_compact(F.array(*facts))).alias("x")).select("k", "x.*")
     e = entities.select(F.col("id").alias("plant_id"), F.lower(F.trim(F.concat_ws(" ", "genus", "species"))).alias("k"))
-    return long.join(e, "k").select("plant_id", "attribute", "value")
+    return long.join(e, "k").drop("k").select("plant_id", "attribute_id", "attribute", "value", "source_value")
 
 
 def build_references(parts: list[DataFrame]) -> DataFrame:
@@ -158,11 +204,36 @@ def build_references(parts: list[DataFrame]) -> DataFrame:
     return dedup_first(out, key, ["list_no", "ref_number"])
 
 
+# Triage classes by keyword of description, title and publisher, in order; the first that holds wins.
+TRIAGE = (
+    ("LIKELY_ONLINE", ("journal", "proceedings", "thesis", "university", "usda", "forest service", "extension", "bulletin", "research", "study", "doi")),
+    ("CHECK_LIBRARIES", ("book", "press", "publishing", "macmillan", "timber press", "claremont")),
+    ("CHECK_ARCHIVES", ("sunset", "magazine", "grounds maintenance")),
+    ("LIKELY_ONLINE", ("department", "city of", "county", "fire", "state", "california", "forestry")),
+    ("NEEDS_OUTREACH", ("nursery", "garden", "protect your", "homeowner", "green belt")),
+)
+TRIAGE_TYPES = (("trait_code", "LOW_PRIORITY"), ("dataset", "HAVE_IT"))
+SEARCHES = {"google_scholar_url": "https://scholar.google.com/scholar?q=", "worldcat_url": "https://search.worldcat.org/search?q=", "google_search_url": "https://www.google.com/search?q="}
+WAYBACK = "https://web.archive.org/web/*/"
+
+
 def triage_refs(refs: DataFrame) -> DataFrame:
-    """``triage`` by keywords of title and publisher, and a search address."""
-    t = F.lower(F.concat_ws(" ", "title", "publisher"))
-    kind = F.when(F.trim(t) == "", "incomplete").when(t.rlike("journal|proceedings|doi"), "journal").when(t.rlike("extension|university"), "extension").when(t.rlike("http|www"), "web").otherwise("other")
-    return refs.withColumn("triage", kind).withColumn("search_url", F.concat(F.lit("https://scholar.google.com/scholar?q="), F.url_encode(F.substring(F.concat_ws(" ", "title", "author"), 1, 200))))
+    """``triage`` of references (author, title, year, publisher, description, type, have_it; missing columns read as empty) and
+    their search addresses; those at hand have none. Queries are the first author's last name, the title and a year of digits, 200 characters."""
+    col = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in refs.columns else F.lit("")
+    have, title, year = col("have_it") == "Yes", col("title"), col("year")
+    text = F.lower(F.concat_ws(" ", col("description"), title, col("publisher")))
+    kind = F.lit("TRY_ONLINE")
+    for name, label in reversed(TRIAGE_TYPES):
+        kind = F.when(col("type") == name, label).otherwise(kind)
+    for label, words in reversed(TRIAGE):
+        kind = F.when(text.rlike("|".join(words)), label).otherwise(kind)
+    author = F.when(col("author") != "", F.trim(F.get(F.split(col("author"), ","), F.lit(0))))
+    query = F.substring(F.concat_ws(" ", author, F.when(title != "", title), F.when(year.rlike("^[0-9]+$"), year)), 1, 200)
+    asked = {"google_search_url": F.concat(query, F.lit(" filetype:pdf"))}
+    urls = {n: F.when(~have & (query != ""), F.concat(F.lit(u), F.url_encode(asked.get(n, query)))).otherwise("") for n, u in SEARCHES.items()}
+    urls["wayback_url"] = F.when(~have & (title != ""), F.concat(F.lit(WAYBACK), F.url_encode(F.substring(title, 1, 80)))).otherwise("")
+    return refs.withColumns({"triage": F.when(have, "HAVE_IT").otherwise(kind), **urls})
 
 
 def unique_with_sets(df: DataFrame, key: str, category: str, order: str) -> DataFrame:

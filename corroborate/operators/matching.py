@@ -1,12 +1,12 @@
 """Matching names to entities: exact, synonym, cultivar, genus and fuzzy tiers.
 
-Matching runs once for each distinct name. The genus is the blocking key of the fuzzy tier; names whose genus is unknown
-are compared with entities by length-bounded edit distance on distinct names (``match_fuzzy(..., all_genera=True)``).
+Matching runs once for each distinct name, tier by tier: a tier sees the names that the ones before left open. The fuzzy tier
+compares species within a known genus; names of unknown genera are compared whole, with entities that share a piece of the name.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import binomial_key, parse_full_name, parse_name, similarity
@@ -28,31 +28,78 @@ def match_exact(names: DataFrame, entities: DataFrame) -> DataFrame:
     return parsed(names).join(_index(entities), ["g", "s"], "left")
 
 
+def _genera(entities: DataFrame) -> DataFrame:
+    return entities.filter("genus is not null").groupBy(F.lower("genus").alias("g")).agg(F.count("*").alias("n_in_genus"), F.min("id").alias("only"))
+
+
 def match_genus(names: DataFrame, entities: DataFrame) -> DataFrame:
     """Names of a known genus: how many entities it has, and the entity if it is the only one."""
-    genera = entities.filter("genus is not null").groupBy(F.lower("genus").alias("g")).agg(F.count("*").alias("n_in_genus"), F.min("id").alias("only"))
-    return parsed(names).join(genera, "g").select("name", "n_in_genus", F.when(F.col("n_in_genus") == 1, F.col("only")).alias("plant_id"))
+    return parsed(names).join(_genera(entities), "g").select("name", "n_in_genus", F.when(F.col("n_in_genus") == 1, F.col("only")).alias("plant_id"))
+
+
+def _edits(longest: Column, threshold: float) -> Column:
+    """The edits that two texts may differ in at that similarity, the longer one being so long."""
+    return F.floor((1 - threshold) * longest + 1e-9).cast("int")
+
+
+def _piece(length: Column, n: Column, i: Column) -> tuple[Column, Column]:
+    """Start (from 0) and length of piece i of n of a text, as even as can be, the longer ones last."""
+    size, short = F.floor(length / n).cast("int"), n - length % n
+    return i * size + F.greatest(i - short, F.lit(0)), size + F.when(i >= short, 1).otherwise(0)
 
 
-def match_fuzzy(names: DataFrame, entities: DataFrame, threshold: float = 0.85, k: int = 5, all_genera: bool = False) -> DataFrame:
-    """The nearest entity by species within the genus (or by the whole name), if at least ``threshold``; up to 3 alternatives.
+def near_names(names: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
+    """(name, plant_id, g, s, sim) of all pairs of ``names`` (name, full) and ``known`` (plant_id, g, s, full) at least that similar.
 
-    ``tie`` marks a second candidate within 0.05. Equal similarities go by entity id.
+    Of two texts within d edits, cut one into d + 1 pieces: one piece stands unchanged in the other, moved by d places at most.
+    Pieces, with the length of their text, are the join key; no pair that counts is lost and none is formed without one.
     """
-    n = parsed(names).filter("s is not null")
-    e = _index(entities).filter("s <> ''").select(F.col("g").alias("eg"), F.col("s").alias("es"), "plant_id")
-    if all_genera:
-        full_n, full_e = F.concat_ws(" ", "g", "s"), F.concat_ws(" ", "eg", "es")
-        longest = F.greatest(F.length(full_n), F.length(full_e))
-        # Lengths may differ by at most (1 - threshold) of the longer one, so no accepted pair is lost.
-        c = n.join(e, F.abs(F.length(full_n) - F.length(full_e)) <= (1 - threshold) * longest).withColumn("sim", similarity(full_n, full_e)).filter(F.col("sim") >= threshold)
-    else:
-        c = n.join(e, n["g"] == e["eg"]).withColumn("sim", similarity("s", "es"))
-    top = c.withColumn("r", F.row_number().over(Window.partitionBy("name").orderBy(F.desc("sim"), "plant_id"))).filter(F.col("r") <= k)
-    best = top.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("r", "plant_id", "eg", "es", "sim"))).alias("c"))
-    hit = best.filter(F.col("c")[0]["sim"] >= threshold)
-    second = F.get("c", F.lit(1))["sim"]
-    return hit.select("name", F.col("c")[0]["plant_id"].alias("plant_id"), F.col("c")[0]["sim"].alias("sim"), (0.9 * F.col("c")[0]["sim"]).alias("confidence"), F.coalesce(second >= F.col("c")[0]["sim"] - 0.05, F.lit(False)).alias("tie"), F.transform(F.slice("c", 2, 3), lambda x: F.struct(x["plant_id"], x["eg"].alias("genus"), x["es"].alias("species"), x["sim"].alias("similarity"))).alias("alternatives"))
+    d = lambda a, b: _edits(F.greatest(a, b), threshold)
+    lengths = lambda n: F.sequence(F.ceil(n * threshold - 1e-9).cast("int"), F.floor(n / threshold + 1e-9).cast("int"))
+    own = known.filter("full <> ''").withColumn("n", F.length("full")).withColumn("other", F.explode(lengths(F.col("n"))))
+    own = own.withColumn("parts", d(F.col("n"), F.col("other")) + 1).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    start, size = _piece(F.col("n"), F.col("parts"), F.col("i"))
+    own = own.filter(size > 0).select("plant_id", "g", "s", F.col("full").alias("known"), "n", "other", "i", F.substring("full", start + 1, size).alias("piece"))
+    asked = names.filter("full <> ''").withColumn("other", F.length("full")).withColumn("n", F.explode(lengths(F.col("other"))))
+    asked = asked.withColumn("parts", d(F.col("n"), F.col("other")) + 1).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    shift = F.sequence(F.greatest(F.lit(0), start - F.col("parts") + 1), F.least(F.col("other") - size, start + F.col("parts") - 1))
+    fits = (size > 0) & (F.greatest(F.lit(0), start - F.col("parts") + 1) <= F.least(F.col("other") - size, start + F.col("parts") - 1))
+    asked = asked.filter(fits).select("name", "full", "n", "other", "i", F.explode(F.array_distinct(F.transform(shift, lambda at: F.substring("full", at + 1, size)))).alias("piece"))
+    pairs = asked.join(own, ["n", "other", "i", "piece"]).select("name", "full", "plant_id", "g", "s", "known").distinct()
+    return pairs.withColumn("sim", similarity("full", "known")).filter(F.col("sim") >= threshold).drop("full", "known")
+
+
+def _best(candidates: DataFrame, threshold: float, k: int) -> DataFrame:
+    """The best of (name, plant_id, g, s, sim) for each name, if good enough, with up to 3 alternatives.
+
+    A rank with a limit, so that each task keeps its first k of a name before the shuffle.
+    """
+    top = candidates.withColumn("r", F.row_number().over(Window.partitionBy("name").orderBy(F.desc("sim"), "plant_id"))).filter(F.col("r") <= k)
+    hit = top.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("r", "plant_id", "g", "s", "sim"))).alias("c")).filter(F.col("c")[0]["sim"] >= threshold)
+    best, second = F.col("c")[0], F.get("c", F.lit(1))["sim"]
+    other = F.transform(F.slice("c", 2, 3), lambda x: F.struct(x["plant_id"], x["g"].alias("genus"), x["s"].alias("species"), x["sim"].alias("similarity")))
+    return hit.select("name", best["plant_id"].alias("plant_id"), best["sim"].alias("sim"), (0.9 * best["sim"]).alias("confidence"), F.coalesce(second >= best["sim"] - 0.05, F.lit(False)).alias("tie"), other.alias("alternatives"))
+
+
+def _fuzzy(open_names: DataFrame, entities: DataFrame, threshold: float, k: int) -> DataFrame:
+    """``match_fuzzy`` for parsed names (name, g, s)."""
+    e = _index(entities)
+    within = open_names.filter("s is not null").select("name", "g", F.col("s").alias("asked")).join(e, "g").withColumn("sim", similarity("asked", "s"))
+    # A name of a known genus and with a species stays within that genus; all others are compared whole.
+    rest = open_names.join(_genera(entities).select("g").withColumn("known", F.lit(True)), "g", "left").filter("known is null or s is null")
+    whole = F.trim(F.concat_ws(" ", "g", "s"))
+    far = near_names(rest.select("name", whole.alias("full")), e.select("plant_id", "g", "s", whole.alias("full")), threshold)
+    cols = ["name", "plant_id", "g", "s", "sim"]
+    return _best(within.select(*cols).unionByName(far.select(*cols)), threshold, k)
+
+
+def match_fuzzy(names: DataFrame, entities: DataFrame, threshold: float = 0.85, k: int = 5) -> DataFrame:
+    """The nearest entity by species within the name's genus or, for unknown genera and names without a species, by the whole name.
+
+    Similarities count from ``threshold`` on. ``tie`` marks a second candidate within 0.05 (among whole names: one at least as
+    similar as the threshold). Equal similarities go by entity id.
+    """
+    return _fuzzy(parsed(names), entities, threshold, k)
 
 
 def resolve_synonyms(names: DataFrame, backbone: DataFrame) -> DataFrame:
@@ -81,26 +128,36 @@ def resolve_name(names: DataFrame, backbones: list[tuple[str, DataFrame]]) -> Da
     return out.select("name", "accepted", F.when(followed, F.col("name")).alias("synonym_of"), "source", F.when(F.col("accepted").isNull(), 0.0).when(followed, 0.95).otherwise(1.0).alias("confidence"))
 
 
+def match_synonym(open_names: DataFrame, entities: DataFrame, backbone: DataFrame) -> DataFrame:
+    """(name, plant_id) of names that a backbone leads to another accepted name, which is an entity's."""
+    followed = resolve_synonyms(open_names, backbone).filter("followed").withColumn("f", parse_full_name("accepted"))
+    return followed.select("name", F.lower("f.genus").alias("g"), F.lower("f.species").alias("s")).join(_index(entities), ["g", "s"]).select("name", "plant_id")
+
+
+def match_cultivar(open_names: DataFrame, entities: DataFrame) -> DataFrame:
+    """(name, plant_id) of names that match once the cultivar is dropped. The parser drops it before the exact tier, so after that none is left."""
+    return match_exact(open_names.filter(F.col("name").contains("'")), entities).filter("plant_id is not null and cultivar is not null").select("name", "plant_id")
+
+
 def match_entities(names: DataFrame, entities: DataFrame, backbone: DataFrame | None = None, threshold: float = 0.85) -> DataFrame:
     """One row for each distinct name: (name, match_type, plant_id, confidence, cultivar).
 
-    The cultivar is dropped by the parser, so the CULTIVAR tier finds what EXACT found; it is kept in the order and stays empty.
+    Tiers: EXACT 1.0, SYNONYM 0.95, CULTIVAR 0.9, GENUS_ONLY 0.5 (with the entity if the genus has one), FUZZY 0.9 x similarity,
+    NONE 0. The parser drops the cultivar, so the CULTIVAR tier finds what EXACT found and stays empty.
     """
-    exact = match_exact(names, entities).select("name", "cultivar", "is_genus_only", F.col("plant_id").alias("p1"))
-    out = exact
+    p = match_exact(names, entities).join(_genera(entities), "g", "left")
+    exact, genus = F.col("plant_id").isNotNull(), F.col("s").isNull() & F.col("n_in_genus").isNotNull()
+    first = p.select("name", "cultivar", "g", "s", F.when(exact, "EXACT").when(genus, "GENUS_ONLY").alias("match_type"), F.when(exact, F.col("plant_id")).when(genus & (F.col("n_in_genus") == 1), F.col("only")).alias("plant_id"))
+    out = first.withColumn("confidence", F.when(F.col("match_type") == "EXACT", 1.0).when(F.col("match_type") == "GENUS_ONLY", 0.5))
     if backbone is not None:
-        accepted = resolve_synonyms(names, backbone).filter("followed").withColumn("f", parse_full_name("accepted")).select("name", F.lower("f.genus").alias("g"), F.lower("f.species").alias("s"))
-        out = out.join(accepted.join(_index(entities), ["g", "s"]).select("name", F.col("plant_id").alias("p2")), "name", "left")
-    else:
-        out = out.withColumn("p2", F.lit(None).cast(dict(entities.dtypes)["id"]))
-    genus = match_genus(names, entities).select("name", F.lit(True).alias("in_genus"), F.col("plant_id").alias("p3"))
-    fuzzy = match_fuzzy(names, entities, threshold).select("name", F.col("plant_id").alias("p4"), F.col("confidence").alias("c4"))
-    out = out.join(genus, "name", "left").join(fuzzy, "name", "left")
-    by_genus = F.col("is_genus_only") & F.coalesce("in_genus", F.lit(False))
-    kind = F.when(F.col("p1").isNotNull(), "EXACT").when(F.col("p2").isNotNull(), "SYNONYM").when(by_genus, "GENUS_ONLY").when(F.col("p4").isNotNull(), "FUZZY").otherwise("NONE")
-    confidence = F.when(kind == "EXACT", 1.0).when(kind == "SYNONYM", 0.95).when(kind == "GENUS_ONLY", 0.5).when(kind == "FUZZY", F.col("c4")).otherwise(0.0)
-    plant = F.coalesce("p1", "p2", F.when(by_genus, F.col("p3")), F.when(~by_genus, F.col("p4")))
-    return out.select("name", kind.alias("match_type"), plant.alias("plant_id"), confidence.alias("confidence"), "cultivar")
+        found = match_synonym(first.filter("match_type is null or match_type <> 'EXACT'").select("name"), entities, backbone).select("name", F.col("plant_id").alias("p2"))
+        out = out.join(found, "name", "left")
+        hit = F.col("p2").isNotNull()
+        out = out.withColumns({"match_type": F.when(hit, "SYNONYM").otherwise(F.col("match_type")), "plant_id": F.coalesce("p2", "plant_id"), "confidence": F.when(hit, 0.95).otherwise(F.col("confidence"))}).drop("p2")
+    fuzzy = _fuzzy(out.filter("match_type is null").select("name", "g", "s"), entities, threshold, 5).select("name", F.col("plant_id").alias("p4"), F.col("confidence").alias("c4"))
+    out = out.join(fuzzy, "name", "left")
+    kind = F.coalesce("match_type", F.when(F.col("p4").isNotNull(), "FUZZY"), F.lit("NONE"))
+    return out.select("name", kind.alias("match_type"), F.coalesce("plant_id", F.when(F.col("match_type").isNull(), F.col("p4"))).alias("plant_id"), F.coalesce("confidence", "c4", F.lit(0.0)).alias("confidence"), "cultivar")
 
 
 def match_summary(matches: DataFrame) -> DataFrame:

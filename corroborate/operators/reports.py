@@ -7,13 +7,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.names import attribute_category
 from .evidence import PAIR, SEVERITIES, severity_rank
 
 
+# Conflicts with these statuses count as unresolved or as resolved.
+UNRESOLVED, RESOLVED = ("pending", "annotated"), ("resolved", "dismissed")
+
 
 def _open() -> Column:
-    return F.col("status") == "pending"
+    return F.col("status").isin(*UNRESOLVED)
+
 
+def _resolved() -> Column:
+    return F.col("status").isin(*RESOLVED)
 
 
 def filter_conflicts(conflicts: DataFrame, status: str | None = None, severity: str | None = None, conflict_type: str | None = None, mode: str | None = None, attribute_like: str | None = None, source: str | None = None, pair: tuple[str, str] | None = None) -> DataFrame:
@@ -30,8 +37,8 @@ def filter_conflicts(conflicts: DataFrame, status: str | None = None, severity:
     return out
 
 
-def page(df: DataFrame, key: str, number: int = 1, size: int = 50, descending: bool = False, allowed: tuple[str, ...] = (), tie: tuple[str, ...] = ("id",)) -> tuple[DataFrame, int]:
-    """One page of ``df`` (numbers from 1) and the count of all its rows.
+def page(df: DataFrame, key: str, number: int = 1, size: int = 50, descending: bool = False, allowed: tuple[str, ...] = (), tie: tuple[str, ...] = ("id",)) -> tuple[DataFrame, DataFrame]:
+    """One page of ``df`` (numbers from 1), and one row with the ``total`` of all its rows.
 
     A key that is not ``allowed`` gives way to the first of them. Severities go from critical to minor, unknown ones last.
     Nulls come last; ``tie`` columns make the order, and so the pages, unambiguous.
@@ -39,13 +46,18 @@ def page(df: DataFrame, key: str, number: int = 1, size: int = 50, descending: b
     key = key if key in allowed or not allowed else allowed[0]
     by = -severity_rank(key) if key == "severity" else F.col(key)
     order = by.desc_nulls_last() if descending else by.asc_nulls_last()
-    return df.orderBy(order, *tie).offset(size * (max(number, 1) - 1)).limit(size), df.count()
+    return df.orderBy(order, *tie).offset(size * (max(number, 1) - 1)).limit(size), df.agg(F.count("*").alias("total"))
 
 
 def conflict_matrix(conflicts: DataFrame) -> DataFrame:
-    """Per ordered source pair: total, by severity, pending and resolved."""
+    """Per ordered source pair: total, by severity, pending (annotated ones are neither) and resolved or dismissed."""
     by = [F.count_if(F.col("severity") == s).alias(f"n_{s}") for s in SEVERITIES]
-    return conflicts.groupBy("source_a", "source_b").agg(F.count("*").alias("n"), *by, F.count_if(_open()).alias("n_pending"), F.count_if(~_open()).alias("n_resolved"))
+    return conflicts.groupBy("source_a", "source_b").agg(F.count("*").alias("n"), *by, F.count_if(F.col("status") == "pending").alias("n_pending"), F.count_if(_resolved()).alias("n_resolved"))
+
+
+def matrix_max(matrix: DataFrame) -> DataFrame:
+    """One row: the largest count of a pair (0 without pairs)."""
+    return matrix.agg(F.coalesce(F.max("n"), F.lit(0)).alias("max_count"))
 
 
 def conflict_matrix_wide(matrix: DataFrame, sources: list[str]) -> DataFrame:
@@ -56,7 +68,7 @@ def conflict_matrix_wide(matrix: DataFrame, sources: list[str]) -> DataFrame:
 
 def source_conflict_summary(conflicts: DataFrame) -> DataFrame:
     side = lambda c: conflicts.select(F.col(c).alias("source"), "status", "severity")
-    out = side("source_a").unionAll(side("source_b")).filter("source is not null").groupBy("source").agg(F.count("*").alias("n"), F.count_if(F.col("severity") == "critical").alias("n_critical"), F.count_if(~_open()).alias("n_resolved"))
+    out = side("source_a").unionAll(side("source_b")).filter("source is not null").groupBy("source").agg(F.count("*").alias("n"), F.count_if(F.col("severity") == "critical").alias("n_critical"), F.count_if(F.col("status") == "pending").alias("n_pending"), F.count_if(_resolved()).alias("n_resolved"))
     return out.withColumn("resolution_rate", F.round(100.0 * F.col("n_resolved") / F.col("n"), 1))
 
 
@@ -70,10 +82,16 @@ def top_pairs(conflicts: DataFrame, k: int = 10, status: str | None = None) -> D
 
 
 def conflict_queue(conflicts: DataFrame, status: str | None = None) -> DataFrame:
-    """Per entity: total, worst severity (3 to 0), distinct attributes, unresolved and queue status."""
-    q = conflicts.groupBy("plant_id").agg(F.count("*").alias("n"), F.max(severity_rank()).alias("max_severity"), F.countDistinct("attribute_id").alias("n_attributes"), F.count_if(_open()).alias("n_open"))
-    q = q.withColumn("queue_status", F.when(F.col("n_open") == 0, "complete").when(F.col("n_open") < F.col("n"), "in_progress").otherwise("pending"))
-    return q if status is None else q.filter(F.col("queue_status") == status)
+    """Per entity: total, worst severity, distinct attributes, unresolved and queue status, the worst and fullest first.
+
+    Complete without an unresolved conflict, in progress once one is resolved or dismissed, else pending.
+    """
+    rank = F.max(severity_rank())
+    q = conflicts.groupBy("plant_id").agg(F.count("*").alias("n"), rank.alias("rank"), F.countDistinct("attribute_name").alias("n_attributes"), F.count_if(_open()).alias("n_open"), F.count_if(_resolved()).alias("n_done"))
+    q = q.withColumn("queue_status", F.when(F.col("n_open") == 0, "complete").when(F.col("n_done") > 0, "in_progress").otherwise("pending"))
+    q = q if status is None else q.filter(F.col("queue_status") == status)
+    worst = F.when(F.col("rank") == 3, "critical").when(F.col("rank") == 2, "moderate").otherwise("minor")
+    return q.orderBy(F.desc("rank"), F.desc("n_open"), "plant_id").select("plant_id", "n", worst.alias("max_severity"), "n_attributes", "n_open", "queue_status")
 
 
 def conflict_attributes(conflicts: DataFrame, warrants: DataFrame) -> DataFrame:
@@ -83,9 +101,10 @@ def conflict_attributes(conflicts: DataFrame, warrants: DataFrame) -> DataFrame:
 
 
 def filter_options(conflicts: DataFrame) -> DataFrame:
-    """(option, value): distinct statuses, severities, types and sources of either side."""
-    one = lambda c, label: conflicts.select(F.lit(label).alias("option"), F.col(c).cast("string").alias("value"))
-    return reduce(DataFrame.union, [one("status", "status"), one("severity", "severity"), one("conflict_type", "type"), one("source_a", "source"), one("source_b", "source")]).filter("value is not null").distinct()
+    """(option, value): distinct statuses, severities, types, modes, attribute categories and sources of either side, in one pass."""
+    options = [("status", F.col("status")), ("severity", F.col("severity")), ("type", F.col("conflict_type")), ("mode", F.col("conflict_mode")), ("category", attribute_category("attribute_name")), ("source", F.col("source_a")), ("source", F.col("source_b"))]
+    both = F.explode(F.array(*[F.struct(F.lit(k).alias("option"), c.cast("string").alias("value")) for k, c in options])).alias("x")
+    return conflicts.select(both).select("x.*").filter("value is not null").distinct()
 
 
 def claims_worklist(warrants: DataFrame, claims: DataFrame, conflicts: DataFrame) -> DataFrame:
@@ -99,11 +118,21 @@ def latest_claim(claims: DataFrame) -> DataFrame:
     return claims.withColumn("__r__", F.row_number().over(Window.partitionBy(*PAIR).orderBy(F.desc("created_at"), F.desc("id")))).filter("__r__ = 1").drop("__r__")
 
 
-def claim_view(claims: DataFrame, warrants: DataFrame, values: DataFrame) -> DataFrame:
-    """Latest claim of each pair, its warrants ordered by source and id, and the current value."""
+def claim_view(claims: DataFrame, warrants: DataFrame, values: DataFrame, conflicts: DataFrame | None = None) -> DataFrame:
+    """Latest claim of each pair, its warrants ordered by source and id, the current value, and the ids of its conflicts if asked.
+
+    One row holds all the warrants of a pair, as the view asks for; pairs without a claim are left out before they are gathered.
+    """
+    latest = latest_claim(claims)
+    pairs = latest.select(*PAIR).distinct()
+    warrants, values = warrants.join(pairs, PAIR, "left_semi"), values.join(pairs, PAIR, "left_semi")
     w = warrants.groupBy(*PAIR).agg(F.array_sort(F.collect_list(F.struct("source_id", "id", "value"))).alias("warrants"))
     v = values.groupBy(*PAIR).agg(F.array_join(F.array_sort(F.collect_set("value")), ", ").alias("current_value"))
-    return latest_claim(claims).join(w, PAIR, "left").join(v, PAIR, "left")
+    out = latest.join(w, PAIR, "left").join(v, PAIR, "left")
+    if conflicts is None:
+        return out
+    x = conflicts.join(pairs, PAIR, "left_semi").groupBy(*PAIR).agg(F.array_sort(F.collect_list("id")).alias("conflict_ids"))
+    return out.join(x, PAIR, "left")
 
 
 def unsynthesized_pairs(warrants: DataFrame, claims: DataFrame, min_warrants: int = 2) -> DataFrame:
@@ -113,24 +142,45 @@ def unsynthesized_pairs(warrants: DataFrame, claims: DataFrame, min_warrants: in
 
 
 def curation_overlay(warrants: DataFrame, conflicts: DataFrame, claims: DataFrame) -> DataFrame:
-    w = warrants.filter("warrant_type <> 'internal_audit'").groupBy("plant_id").agg(F.count("*").alias("n_warrants"))
-    x = conflicts.filter(_open()).groupBy("plant_id").agg(F.count("*").alias("n_open_conflicts"))
-    c = claims.filter("status in ('draft', 'approved')").groupBy("plant_id").agg(F.count("*").alias("n_pending_claims"))
-    return w.join(x, "plant_id", "full").join(c, "plant_id", "full").na.fill(0, ["n_warrants", "n_open_conflicts", "n_pending_claims"])
+    """Per entity: warrants by attribute (not excluded, not from the internal audit), unresolved conflicts by attribute name, the
+    latest pending claim's status by attribute, and how many claims are approved. Maps have an entry for each attribute at most."""
+
+    def mapped(df: DataFrame, key: str, value: Column, name: str) -> DataFrame:
+        per = df.groupBy("plant_id", F.col(key).cast("string").alias("k")).agg(value.alias("v")).filter("k is not null")
+        return per.groupBy("plant_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v")))).alias(name))
+
+    w = mapped(warrants.filter("status <> 'excluded' and warrant_type <> 'internal_audit'"), "attribute_id", F.count("*"), "warrants")
+    x = mapped(conflicts.filter(_open()), "attribute_name", F.count("*"), "open_conflicts")
+    pending = claims.filter("status in ('draft', 'approved')")
+    c = mapped(pending, "attribute_id", F.max_by("status", F.struct("created_at", "id")), "pending_claims")
+    n = pending.groupBy("plant_id").agg(F.count_if(F.col("status") == "approved").alias("n_approved"))
+    return w.join(x, "plant_id", "full").join(c, "plant_id", "full").join(n, "plant_id", "full").na.fill(0, ["n_approved"])
 
 
 def unreviewed_counts(warrants: DataFrame) -> DataFrame:
     return warrants.filter("status = 'unreviewed'").groupBy("plant_id").agg(F.count("*").alias("n_unreviewed"))
 
 
-def dashboard(warrants: DataFrame, conflicts: DataFrame, claims: DataFrame) -> DataFrame:
-    """(counter, n) over the three tables, one aggregate each."""
-    parts = [
-        warrants.agg(F.count("*").alias("warrants"), F.count_if(F.col("status") == "unreviewed").alias("warrants_unreviewed")),
-        conflicts.agg(F.count("*").alias("conflicts"), F.count_if(_open()).alias("conflicts_pending"), F.count_if(_open() & (F.col("severity") == "critical")).alias("conflicts_critical_pending")),
-        claims.agg(F.count("*").alias("claims"), F.count_if(F.col("status") == "approved").alias("claims_to_sync")),
+def dashboard(warrants: DataFrame, conflicts: DataFrame, claims: DataFrame, batches: DataFrame) -> DataFrame:
+    """(counter, key, n) over the tables, one pass each: totals, and counts by type, severity and status.
+
+    Unreviewed warrants are those of the batch that was started last.
+    """
+    pending = F.col("status") == "pending"
+    last = batches.agg(F.max_by("id", F.struct("started_at", "id")).alias("last"))
+
+    def by(df: DataFrame, column: str, name: str, total: str) -> DataFrame:
+        sets = df.groupingSets([[], [column]], column).agg(F.count("*").alias("n"), F.grouping_id().alias("g"))
+        return sets.select(F.when(F.col("g") == 1, total).otherwise(name).alias("counter"), F.when(F.col("g") == 1, "").otherwise(F.coalesce(column, F.lit("null"))).alias("key"), "n")
+
+    singles = [
+        conflicts.agg(F.count_if(pending).alias("conflicts_pending"), F.count_if(pending & (F.col("severity") == "critical")).alias("conflicts_critical_pending"), F.count_if(pending & (F.col("conflict_mode") == "internal")).alias("internal_conflicts_pending")),
+        claims.agg(F.count_if((F.col("status") == "approved") & ~F.coalesce("pushed_to_production", F.lit(False))).alias("claims_to_sync")),
+        warrants.filter("status = 'unreviewed'").join(F.broadcast(last), F.col("batch_id") == F.col("last")).agg(F.count("*").alias("unreviewed_in_latest_batch")),
+        batches.agg(F.count_if(F.col("status") == "completed").alias("batches_completed")),
     ]
-    return reduce(DataFrame.unionByName, [p.select(F.explode(F.array(*[F.struct(F.lit(c).alias("counter"), F.col(c).alias("n")) for c in p.columns])).alias("x")).select("x.*") for p in parts])
+    flat = [p.select(F.explode(F.array(*[F.struct(F.lit(c).alias("counter"), F.lit("").alias("key"), F.col(c).alias("n")) for c in p.columns])).alias("x")).select("x.*") for p in singles]
+    return reduce(DataFrame.unionByName, [by(warrants, "warrant_type", "warrants_by_type", "warrants"), by(conflicts, "severity", "conflicts_by_severity", "conflicts"), by(claims, "status", "claims_by_status", "claims"), *flat])
 
 
 def latest_batch(batches: DataFrame) -> DataFrame:
@@ -147,10 +197,15 @@ def batch_status(batches: DataFrame, k: int = 10) -> DataFrame:
 STEPS = ("matching", "mapping", "enhancing", "classifying", "committing")
 
 
+NOTES = "struct<currentStep:string,steps:map<string,struct<status:string,detail:string>>>"
+
+
 def batch_progress(batches: DataFrame) -> DataFrame:
-    """(id, step, state) from the JSON notes; unreadable or missing entries are pending."""
-    notes = F.from_json(F.when(F.col("notes").startswith("{"), F.col("notes")), "map<string,string>")
-    return batches.select("id", notes.alias("m"), F.explode(F.array(*map(F.lit, STEPS))).alias("step")).select("id", "step", F.coalesce(F.try_element_at("m", F.col("step")), F.lit("pending")).alias("state"))
+    """(id, current_step, step, state, detail) from the JSON notes {"currentStep", "steps": {name: {"status", "detail"}}};
+    unreadable or missing entries are pending."""
+    notes = F.from_json("notes", NOTES)
+    each = batches.select("id", notes.alias("m"), F.explode(F.array(*map(F.lit, STEPS))).alias("step")).withColumn("s", F.try_element_at("m.steps", F.col("step")))
+    return each.select("id", F.coalesce("m.currentStep", F.lit("pending")).alias("current_step"), "step", F.coalesce("s.status", F.lit("pending")).alias("state"), F.col("s.detail").alias("detail"))
 
 
 def trait_means(data: DataFrame) -> DataFrame:
@@ -171,8 +226,10 @@ def field_fill(df: DataFrame) -> DataFrame:
 def unmapped_columns(long: DataFrame, column_map: DataFrame, samples: int = 5) -> DataFrame:
     """Columns of a long source table (dataset, column, value) without an attribute, with counts and sorted sample values."""
     left = long.filter(F.trim("value") != "").join(column_map.select(F.lower("column").alias("mapped")), F.lower("column") == F.col("mapped"), "left_anti")
-    firsts = left.groupBy("dataset", "column", "value").agg(F.count("*").alias("c")).withColumn("r", F.row_number().over(Window.partitionBy("dataset", "column").orderBy("value")))
-    return firsts.groupBy("dataset", "column").agg(F.sum("c").alias("n"), F.array_sort(F.collect_list(F.when(F.col("r") <= samples, F.col("value")))).alias("samples"))
+    counts = left.groupBy("dataset", "column").agg(F.count("*").alias("n"))
+    # A rank with a limit: each task keeps its first few before the shuffle.
+    firsts = left.select("dataset", "column", "value").distinct().withColumn("r", F.row_number().over(Window.partitionBy("dataset", "column").orderBy("value"))).filter(F.col("r") <= samples)
+    return counts.join(firsts.groupBy("dataset", "column").agg(F.array_sort(F.collect_list("value")).alias("samples")), ["dataset", "column"])
 
 
 def attribute_sources(source_columns: DataFrame, column_map: DataFrame) -> DataFrame:

@@ -32,9 +32,12 @@ def _pairs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _conflicts(spark: SparkSession, d: str) -> DataFrame:
-    p = evidence.classify_pairs(_pairs(spark, d)).filter("verdict <> 'corroborated'")
-    severity = F.when(F.substring("value_a", 1, 1) != F.substring("value_b", 1, 1), "critical").otherwise("moderate")
-    return p.select(F.concat("id_a", F.lit("|"), "id_b").alias("id"), "plant_id", "attribute_id", F.col("source_id_a").alias("source_a"), F.col("source_id_b").alias("source_b"), F.lit("RATING_DISAGREEMENT").alias("conflict_type"), severity.alias("severity"), F.when(F.col("plant_id") % 3 == 0, "resolved").otherwise("pending").alias("status"))
+    """The chain of pairs, labels and conflicts; labels and states are made from the pairs' keys."""
+    p = evidence.finalize_conflicts(evidence.classify_pairs(_pairs(spark, d)).drop("severity").selectExpr("*", *ad.LABELS))
+    return p.selectExpr(*ad.STATES, *SIDES)
+
+
+SIDES = ["plant_id", "attribute_id", "id_a AS warrant_a_id", "id_b AS warrant_b_id", "value_a", "value_b", "source_id_a AS source_a", "source_id_b AS source_b", "conflict_type", "severity", "specialist_agent"]
 
 
 @register(sql("SELECT plant_id, attribute_id, count(*) AS n_warrants FROM w WHERE status <> 'excluded' GROUP BY 1, 2 HAVING count(*) >= 2", "w"))
@@ -52,22 +55,34 @@ def conflict_pairs(spark, d):
     return _pairs(spark, d)
 
 
-@register(sql("SELECT id_a, id_b, CASE WHEN lower(trim(value_a)) = lower(trim(value_b)) THEN 'corroborated' ELSE 'REVIEW' END AS verdict FROM pairs", *PAIRS))
+@register(sql("SELECT id_a, id_b, CASE WHEN value_a = value_b THEN 'corroborated' WHEN value_a = 'unknown' OR value_b = 'unknown' THEN 'COMPLETENESS_CONFLICT' ELSE 'REVIEW' END AS verdict, CASE WHEN value_a <> value_b AND 'unknown' IN (value_a, value_b) THEN 'minor' END AS severity FROM pairs", *PAIRS))
 def classify_pairs(spark, d):
-    return evidence.classify_pairs(_pairs(spark, d)).select("id_a", "id_b", "verdict")
+    return evidence.classify_pairs(_pairs(spark, d)).select("id_a", "id_b", "verdict", "severity")
+
 
+@register(sql("SELECT * FROM x", *CONFLICTS))
+def finalize_conflicts(spark, d):
+    p = evidence.classify_pairs(_pairs(spark, d)).drop("severity")
+    labels = p.selectExpr("id_a", "id_b", *ad.LABELS).distinct()
+    return evidence.finalize_conflicts(p, labels).selectExpr(*ad.STATES, *SIDES)
 
-@register(sql("SELECT source_a, source_b, count(*) AS n, count_if(severity = 'critical') AS n_critical, count_if(severity = 'moderate') AS n_moderate, count_if(severity = 'minor') AS n_minor, count_if(status = 'pending') AS n_pending, count_if(status <> 'pending') AS n_resolved FROM x GROUP BY 1, 2", *CONFLICTS))
+
+@register(sql("SELECT source_a, source_b, count(*) AS n, count_if(severity = 'critical') AS n_critical, count_if(severity = 'moderate') AS n_moderate, count_if(severity = 'minor') AS n_minor, count_if(status = 'pending') AS n_pending, count_if(status = 'resolved' OR status = 'dismissed') AS n_resolved FROM x GROUP BY 1, 2", *CONFLICTS))
 def conflict_matrix(spark, d):
     return reports.conflict_matrix(_conflicts(spark, d))
 
 
+@register(sql("SELECT max(n) AS max_count FROM (SELECT count(*) AS n FROM x GROUP BY source_a, source_b)", *CONFLICTS))
+def matrix_max(spark, d):
+    return reports.matrix_max(reports.conflict_matrix(_conflicts(spark, d)))
+
+
 @register(sql("SELECT 'total' AS dimension, 'all' AS key, count(*) AS n FROM x UNION ALL SELECT 'severity', severity, count(*) FROM x GROUP BY 2 UNION ALL SELECT 'type', conflict_type, count(*) FROM x GROUP BY 2", *CONFLICTS))
 def conflict_summary(spark, d):
     return evidence.conflict_summary(_conflicts(spark, d))
 
 
-@register(sql("SELECT source, count(*) AS n, count_if(severity = 'critical') AS n_critical, count_if(status <> 'pending') AS n_resolved, round(100.0 * count_if(status <> 'pending') / count(*), 1) AS resolution_rate FROM (SELECT source_a AS source, severity, status FROM x UNION ALL SELECT source_b, severity, status FROM x) WHERE source IS NOT NULL GROUP BY 1", *CONFLICTS))
+@register(sql("SELECT source, count(*) AS n, count_if(severity = 'critical') AS n_critical, count_if(status = 'pending') AS n_pending, count_if(status NOT IN ('pending', 'annotated')) AS n_resolved, round(100.0 * count_if(status NOT IN ('pending', 'annotated')) / count(*), 1) AS resolution_rate FROM (SELECT source_a AS source, severity, status FROM x UNION ALL SELECT source_b, severity, status FROM x) WHERE source IS NOT NULL GROUP BY 1", *CONFLICTS))
 def source_conflict_summary(spark, d):
     return reports.source_conflict_summary(_conflicts(spark, d))
 
@@ -82,12 +97,12 @@ def top_pairs(spark, d):
     return reports.top_pairs(_conflicts(spark, d), 10)
 
 
-@register(sql("SELECT plant_id, count(*) AS n, max(CASE severity WHEN 'critical' THEN 3 WHEN 'moderate' THEN 2 ELSE 1 END) AS max_severity, count(DISTINCT attribute_id) AS n_attributes, count_if(status = 'pending') AS n_open, CASE WHEN count_if(status = 'pending') = 0 THEN 'complete' WHEN count_if(status = 'pending') < count(*) THEN 'in_progress' ELSE 'pending' END AS queue_status FROM x GROUP BY 1", *CONFLICTS))
+@register(sql("SELECT plant_id, count(*) AS n, CASE WHEN bool_or(severity = 'critical') THEN 'critical' WHEN bool_or(severity = 'moderate') THEN 'moderate' ELSE 'minor' END AS max_severity, count(DISTINCT attribute_name) AS n_attributes, count_if(status IN ('pending', 'annotated')) AS n_open, CASE WHEN NOT bool_or(status IN ('pending', 'annotated')) THEN 'complete' WHEN bool_or(status IN ('resolved', 'dismissed')) THEN 'in_progress' ELSE 'pending' END AS queue_status FROM x GROUP BY 1", *CONFLICTS))
 def conflict_queue(spark, d):
     return reports.conflict_queue(_conflicts(spark, d))
 
 
-@register(sql("SELECT 'status' AS option, status AS value FROM x UNION SELECT 'severity', severity FROM x UNION SELECT 'type', conflict_type FROM x UNION SELECT 'source', source_a FROM x WHERE source_a IS NOT NULL UNION SELECT 'source', source_b FROM x WHERE source_b IS NOT NULL", *CONFLICTS))
+@register(sql("SELECT 'status' AS option, status AS value FROM x UNION SELECT 'severity', severity FROM x UNION SELECT 'type', conflict_type FROM x UNION SELECT 'mode', conflict_mode FROM x UNION SELECT 'category', 'other' FROM x UNION SELECT 'source', source_a FROM x WHERE source_a IS NOT NULL UNION SELECT 'source', source_b FROM x WHERE source_b IS NOT NULL", *CONFLICTS))
 def filter_options(spark, d):
     return reports.filter_options(_conflicts(spark, d))
 
@@ -97,24 +112,48 @@ def internal_conflicts(spark, d):
     return evidence.internal_conflicts(ad.values(spark, d))
 
 
-@register(sql("SELECT id, plant_id, attribute_id, value FROM w JOIN (SELECT plant_id, attribute_id FROM w GROUP BY 1, 2 HAVING count(DISTINCT value) > 1 AND count(DISTINCT source_id) > 1) g USING (plant_id, attribute_id)", "w"))
+@register(sql("SELECT id, plant_id, attribute_id, value FROM w JOIN (SELECT plant_id, attribute_id FROM w WHERE source_id IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT value) > 1 AND count(DISTINCT source_id) > 1) g USING (plant_id, attribute_id) WHERE source_id IS NOT NULL", "w"))
 def audit_disagreements(spark, d):
     return evidence.audit_disagreements(ad.values(spark, d)).select("id", "plant_id", "attribute_id", "value")
 
 
-@register(sql("SELECT plant_id, attribute_id, value, min(scan) AS scan FROM (SELECT w.plant_id, w.attribute_id, w.value, 1 AS scan FROM w JOIN (SELECT plant_id, attribute_id FROM w GROUP BY 1, 2 HAVING count(DISTINCT value) > 1 AND count(DISTINCT source_id) > 1) g USING (plant_id, attribute_id) UNION ALL SELECT plant_id, attribute_id, value, 2 FROM w WHERE value <> 'NO' AND value <> 'AF' UNION ALL SELECT plant_id, attribute_id, value, 3 FROM w WHERE source_id IS NULL) f WHERE NOT EXISTS (SELECT 1 FROM w k WHERE k.status = 'excluded' AND k.plant_id = f.plant_id AND k.attribute_id = f.attribute_id AND k.value = f.value) GROUP BY 1, 2, 3", "w"))
+AUDIT_SQL = (
+    "g AS (SELECT plant_id, attribute_id FROM w WHERE source_id IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT value) > 1 AND count(DISTINCT source_id) > 1), "
+    "f AS (SELECT w.plant_id, w.attribute_id, w.value, w.source_id, 1 AS scan FROM w JOIN g ON g.plant_id = w.plant_id AND g.attribute_id = w.attribute_id WHERE source_id IS NOT NULL "
+    "UNION ALL SELECT plant_id, attribute_id, value, source_id, 2 FROM w WHERE value NOT IN ('NO', 'AF') UNION ALL SELECT plant_id, attribute_id, value, NULL, 3 FROM w WHERE source_id IS NULL), "
+    "new AS (SELECT plant_id, attribute_id, value, scan, source_id FROM (SELECT *, row_number() OVER (PARTITION BY plant_id, attribute_id, value ORDER BY scan, source_id NULLS FIRST) AS r FROM f WHERE plant_id IN (SELECT id FROM e)) n "
+    "WHERE r = 1 AND NOT EXISTS (SELECT 1 FROM w k WHERE k.status = 'excluded' AND k.plant_id = n.plant_id AND k.attribute_id = n.attribute_id AND k.value = n.value)), "
+    "two AS (SELECT *, row_number() OVER (PARTITION BY plant_id, attribute_id ORDER BY source_id, value) AS r FROM new WHERE scan = 1)"
+)
+_audit_sql = lambda body: f"WITH w AS ({ad.CTE['w']}), e AS ({ad.CTE['e']}), {AUDIT_SQL} {body}"
+
+
+def _audit(spark, d):
+    attrs = ad.attributes(spark, d).withColumn("values_allowed", F.lit('[{"id":"01","displayName":"no"},{"id":"AF"}]'))
+    v = ad.values(spark, d).drop("attribute_name")
+    return evidence.run_audit(v, attrs, v.filter("status = 'excluded'"), ad.entities(spark, d))
+
+
+@register(_audit_sql("SELECT plant_id, attribute_id, concat('attribute ', CAST(attribute_id AS STRING)) AS attribute_name, value, source_id, scan, CASE scan WHEN 2 THEN 'Value validation failure' WHEN 3 THEN 'Missing provenance: value has no source_id' END AS notes FROM new"))
 def run_audit(spark, d):
-    attrs = ad.attributes(spark, d).withColumn("values_allowed", F.lit('[{"id":"NO","displayName":"no"},{"id":"AF","displayName":"af"}]'))
-    v = ad.values(spark, d)
-    return evidence.run_audit(v, attrs, v.filter("status = 'excluded'"))
+    return _audit(spark, d).select("plant_id", "attribute_id", "attribute_name", "value", "source_id", "scan", "notes")
+
+
+@register(_audit_sql("SELECT a.plant_id, a.attribute_id, a.value AS value_a, b.value AS value_b, a.source_id AS source_a, b.source_id AS source_b FROM two a JOIN two b USING (plant_id, attribute_id) WHERE a.r = 1 AND b.r = 2"))
+def audit_conflicts(spark, d):
+    return evidence.audit_conflicts(_audit(spark, d)).select("plant_id", "attribute_id", "value_a", "value_b", "source_a", "source_b")
+
+
+@register(_audit_sql("SELECT (SELECT count(*) FROM g) AS disagreements_found, (SELECT count(*) FROM new WHERE scan = 2) AS validation_failures, (SELECT count(*) FROM new WHERE scan = 3) AS missing_provenance, (SELECT count(*) FROM new) AS warrants_created, (SELECT count(*) FROM two WHERE r = 2) AS conflicts_created"))
+def audit_results(spark, d):
+    new = _audit(spark, d)
+    return evidence.audit_results(new, evidence.audit_conflicts(new), ad.values(spark, d))
 
 
-@register(sql("SELECT w.id, w.plant_id, e.genus AS plant_genus, e.species AS plant_species, w.attribute_id, a.name AS attribute_name, w.value, w.source_id, s.region AS source_region FROM w JOIN e ON w.plant_id = e.id JOIN a ON w.attribute_id = a.id LEFT JOIN s ON w.source_id = s.id", "w", "e", "a", "s"))
+@register(sql("SELECT sha256(concat('existing|', w.id)) AS id, 'existing' AS warrant_type, 'unreviewed' AS status, 'b1' AS batch_id, w.plant_id, e.genus AS plant_genus, e.species AS plant_species, w.attribute_id, a.name AS attribute_name, w.value, w.value AS source_value, w.source_id, s.region AS source_region, s.name AS source_dataset, 'production' AS match_method, 1.0::DOUBLE AS match_confidence FROM w JOIN e ON w.plant_id = e.id JOIN a ON w.attribute_id = a.id LEFT JOIN s ON w.source_id = s.id", "w", "e", "a", "s"))
 def bootstrap_warrants(spark, d):
     v = ad.values(spark, d).withColumn("source_value", F.col("value"))
-    out = evidence.bootstrap_warrants(v, ad.entities(spark, d), ad.attributes(spark, d), ad.sources(spark, d), "b1")
-    keyed = v.select(F.sha2(F.concat_ws("|", F.lit("existing"), "id"), 256).alias("id"), F.col("id").alias("vid")).distinct()
-    return out.join(keyed, "id").select(F.col("vid").alias("id"), "plant_id", "plant_genus", "plant_species", "attribute_id", "attribute_name", "value", "source_id", "source_region")
+    return evidence.bootstrap_warrants(v, ad.entities(spark, d), ad.attributes(spark, d), ad.sources(spark, d), "b1")
 
 
 @register(sql("SELECT plant_id, attribute_id FROM (SELECT e.id AS plant_id, a.id AS attribute_id FROM e CROSS JOIN a) EXCEPT SELECT plant_id, attribute_id FROM w", "w", "e", "a"))
@@ -122,7 +161,7 @@ def gap_matrix(spark, d):
     return eav.gap_matrix(ad.entities(spark, d), ad.attributes(spark, d), ad.values(spark, d))
 
 
-@register(sql("SELECT a.id AS attribute_id, a.name, count(DISTINCT w.plant_id) AS n_entities, (SELECT count(*) FROM e) AS total, floor(count(DISTINCT w.plant_id) / (SELECT count(*) FROM e)::DOUBLE * 1000 + 0.5) / 10 AS pct, (SELECT count(*) FROM e) - count(DISTINCT w.plant_id) AS gap FROM a LEFT JOIN w ON w.attribute_id = a.id GROUP BY 1, 2", "w", "e", "a"))
+@register(sql("SELECT a.id AS attribute_id, a.name, 'attribute 1' AS category, count(DISTINCT w.plant_id) AS n_entities, (SELECT count(*) FROM e) AS total, floor(count(DISTINCT w.plant_id) / (SELECT count(*) FROM e)::DOUBLE * 1000 + 0.5) / 10 AS pct, (SELECT count(*) FROM e) - count(DISTINCT w.plant_id) AS gap FROM a LEFT JOIN w ON w.attribute_id = a.id WHERE a.id <> 1 GROUP BY 1, 2", "w", "e", "a"))
 def attribute_coverage(spark, d):
     return eav.attribute_coverage(ad.entities(spark, d), ad.attributes(spark, d), ad.values(spark, d))
 
@@ -157,7 +196,7 @@ def apply_presets(spark, d):
 
 @register("WITH RECURSIVE t AS (" + ad.CTE["t"] + "), p AS (SELECT id, name, name AS root_name, name AS path, 1 AS level FROM t WHERE parent IS NULL UNION ALL SELECT t.id, t.name, p.root_name, concat(p.path, ' > ', t.name), p.level + 1 FROM t JOIN p ON t.parent = p.id) SELECT * FROM p")
 def attribute_paths(spark, d):
-    return eav.attribute_paths(ad.tree(spark, d), 4)
+    return eav.attribute_paths(ad.tree(spark, d))
 
 
 @register(sql("SELECT t.id, t.name, u.name AS parent_name FROM t LEFT JOIN t u ON t.parent = u.id", "t"))
@@ -170,9 +209,10 @@ def source_attribution(spark, d):
     return eav.source_attribution(ad.values(spark, d), ad.sources(spark, d))
 
 
-@register(sql("SELECT plant_id, " + ", ".join(f"coalesce(string_agg(DISTINCT CASE WHEN attribute_id = {i} THEN value END, ', ' ORDER BY CASE WHEN attribute_id = {i} THEN value END), '') AS a{i}" for i in (1, 2, 3)) + " FROM w WHERE attribute_id IN (1, 2, 3) GROUP BY 1", "w"))
+@register(sql("SELECT plant_id, " + ", ".join(f"coalesce(array_to_string(list_sort(list(DISTINCT value) FILTER (attribute_id = {i})), ', '), '') AS a{i}" for i in (1, 2, 3)) + " FROM w WHERE attribute_id IN (1, 2, 3) GROUP BY 1", "w"))
 def pivot_entities(spark, d):
-    return eav.pivot_entities(ad.values(spark, d), [1, 2, 3])
+    p = eav.pivot_entities(ad.values(spark, d), [1, 2, 3])
+    return p.select("plant_id", *[F.array_join(c, ", ").alias(c) for c in ("a1", "a2", "a3")])
 
 
 @register(sql("SELECT plant_id, max(CASE WHEN attribute_id = 1 AND value = 'NO' THEN 1 ELSE 0 END) AS has_open, CAST(greatest(0, least(6, sum(CASE WHEN attribute_id = 2 AND value = 'NO' THEN 1 WHEN attribute_id = 2 AND value = 'RF' THEN 2 ELSE 0 END))) AS BIGINT) AS wildlife, CAST(greatest(-3, least(0, sum(CASE WHEN attribute_id = 3 AND value = 'AF' THEN -1 ELSE 0 END))) AS BIGINT) AS invasive, wildlife + invasive AS total FROM w GROUP BY 1", "w"))
@@ -215,11 +255,32 @@ def upsert_values(spark, d):
     return cl.upsert_values(_values_once(spark, d), cl.syncable_claims(ad.claims(spark, d)))
 
 
-@register(f"WITH w AS ({ad.CTE['w']}), c AS ({ad.CTE['c']}), {UPSERT} SELECT change, count(*) AS n FROM (SELECT CASE action WHEN 'inserted' THEN 'added' ELSE 'modified' END AS change FROM u LEFT JOIN v USING (id) WHERE u.value IS DISTINCT FROM v.value) GROUP BY 1")
-def snapshot_diff(spark, d):
+def _snapshots(spark, d):
+    """The store before and after a sync that also loses the rows of one attribute and blanks the values of another."""
     old = _values_once(spark, d)
-    new = cl.upsert_values(old, cl.syncable_claims(ad.claims(spark, d))).drop("action")
-    return cl.snapshot_diff(old, new, ["id"]).groupBy("change").agg(F.count("*").alias("n"))
+    new = cl.upsert_values(old, cl.syncable_claims(ad.claims(spark, d))).drop("action").filter("attribute_id <> 6 or id like 'new%'")
+    return old, new.withColumn("value", F.when(F.col("attribute_id") != 5, F.col("value")))
+
+
+SNAPSHOTS = f"WITH w AS ({ad.CTE['w']}), c AS ({ad.CTE['c']}), {UPSERT}, after AS (SELECT id, plant_id, attribute_id, CASE WHEN attribute_id <> 5 THEN value END AS value FROM u WHERE attribute_id <> 6 OR id LIKE 'new%')"
+
+
+@register(f"{SNAPSHOTS} SELECT coalesce(v.id, n.id) AS id, CASE WHEN v.id IS NULL THEN 'added' WHEN n.id IS NULL THEN 'removed' ELSE 'modified' END AS change, v.value AS old_value, n.value AS new_value FROM v FULL JOIN after n ON v.id = n.id WHERE v.id IS NULL OR n.id IS NULL OR v.value IS DISTINCT FROM n.value")
+def snapshot_diff(spark, d):
+    return cl.snapshot_diff(*_snapshots(spark, d), ["id"]).select("id", "change", F.col("old.value").alias("old_value"), F.col("new.value").alias("new_value"))
+
+
+@register(f"{SNAPSHOTS} SELECT change, count(*) AS n FROM (SELECT CASE WHEN v.id IS NULL THEN 'added' WHEN n.id IS NULL THEN 'removed' ELSE 'modified' END AS change FROM v FULL JOIN after n ON v.id = n.id WHERE v.id IS NULL OR n.id IS NULL OR v.value IS DISTINCT FROM n.value) GROUP BY 1")
+def snapshot_summary(spark, d):
+    return cl.snapshot_diff(*_snapshots(spark, d), ["id"]).groupBy("change").agg(F.count("*").alias("n"))
+
+
+# After the sync the values of attribute 4 changed again: those rows stay, where the sync had touched them as conflicts.
+@register(f"{SNAPSHOTS}, now AS (SELECT id, plant_id, attribute_id, CASE WHEN attribute_id = 4 THEN 'later' ELSE value END AS value FROM after), touched AS (SELECT coalesce(v.id, n.id) AS id FROM v FULL JOIN after n ON v.id = n.id WHERE v.id IS NULL OR n.id IS NULL OR v.value IS DISTINCT FROM n.value) SELECT id, plant_id, attribute_id, value, FALSE AS conflict FROM v WHERE attribute_id <> 4 UNION ALL SELECT id, plant_id, attribute_id, value, id IN (SELECT id FROM touched) FROM now WHERE attribute_id = 4")
+def revert(spark, d):
+    old, new = _snapshots(spark, d)
+    now = new.withColumn("value", F.when(F.col("attribute_id") == 4, "later").otherwise(F.col("value")))
+    return cl.revert(now, cl.snapshot_diff(old, new, ["id"]), ["id"])
 
 
 @register(sql("SELECT id, source_dataset, batch_type, started_at FROM (SELECT *, row_number() OVER (PARTITION BY source_dataset ORDER BY started_at DESC, id DESC) AS r FROM b) WHERE r = 1", "b"))
@@ -232,9 +293,9 @@ def batch_status(spark, d):
     return reports.batch_status(ad.batches(spark, d)).select("id", "status")
 
 
-@register(sql("SELECT 'warrants' AS counter, count(*) AS n FROM w UNION ALL SELECT 'warrants_unreviewed', count_if(status = 'unreviewed') FROM w UNION ALL SELECT 'conflicts', count(*) FROM x UNION ALL SELECT 'conflicts_pending', count_if(status = 'pending') FROM x UNION ALL SELECT 'conflicts_critical_pending', count_if(status = 'pending' AND severity = 'critical') FROM x UNION ALL SELECT 'claims', count(*) FROM c UNION ALL SELECT 'claims_to_sync', count_if(status = 'approved') FROM c", "c", *CONFLICTS))
+@register(sql("SELECT 'warrants' AS counter, '' AS key, count(*) AS n FROM w UNION ALL SELECT 'warrants_by_type', warrant_type, count(*) FROM w GROUP BY 2 UNION ALL SELECT 'conflicts', '', count(*) FROM x UNION ALL SELECT 'conflicts_by_severity', severity, count(*) FROM x GROUP BY 2 UNION ALL SELECT 'conflicts_pending', '', count_if(status = 'pending') FROM x UNION ALL SELECT 'conflicts_critical_pending', '', count_if(status = 'pending' AND severity = 'critical') FROM x UNION ALL SELECT 'internal_conflicts_pending', '', count_if(status = 'pending' AND conflict_mode = 'internal') FROM x UNION ALL SELECT 'claims', '', count(*) FROM c UNION ALL SELECT 'claims_by_status', status, count(*) FROM c GROUP BY 2 UNION ALL SELECT 'claims_to_sync', '', count_if(status = 'approved') FROM c UNION ALL SELECT 'unreviewed_in_latest_batch', '', count(*) FROM w WHERE status = 'unreviewed' AND batch_id = (SELECT max(batch_id) FROM w) UNION ALL SELECT 'batches_completed', '', count(DISTINCT batch_id) FROM w WHERE CAST(batch_id AS INT) % 2 = 0", "c", *CONFLICTS))
 def dashboard(spark, d):
-    return reports.dashboard(ad.warrants(spark, d), _conflicts(spark, d), ad.claims(spark, d))
+    return reports.dashboard(ad.warrants(spark, d), _conflicts(spark, d), ad.claims(spark, d), ad.warrant_batches(spark, d))
 
 
 @register(sql("SELECT plant_id, count(*) AS n_unreviewed FROM w WHERE status = 'unreviewed' GROUP BY 1", "w"))
@@ -252,11 +313,22 @@ def claims_worklist(spark, d):
     return reports.claims_worklist(ad.warrants(spark, d), ad.claims(spark, d), _conflicts(spark, d))
 
 
+RELIABILITY = [
+    "concat('S', CAST(s_suppkey AS STRING)) AS source_id",
+    "CASE s_suppkey % 8 WHEN 0 THEN 'meta_analysis' WHEN 1 THEN 'experimental' WHEN 2 THEN 'field_observation' WHEN 3 THEN 'literature_review' WHEN 4 THEN 'modeling' WHEN 5 THEN 'expert_opinion' WHEN 6 THEN 'Experimental' END AS methodology_type",
+    "s_suppkey % 2 = 0 AS peer_reviewed",
+    "CASE s_suppkey % 7 WHEN 0 THEN '1,200 plots' WHEN 1 THEN '1000' WHEN 2 THEN '100' WHEN 3 THEN '99+' WHEN 4 THEN 'unknown' WHEN 5 THEN '' END AS sample_size",
+    "CASE s_suppkey % 5 WHEN 0 THEN 'local' WHEN 1 THEN 'regional' WHEN 2 THEN 'national' WHEN 3 THEN 'global' END AS geographic_specificity",
+    "CASE s_suppkey % 4 WHEN 0 THEN 'current' WHEN 1 THEN 'recent' WHEN 2 THEN 'dated' END AS temporal_currency",
+]
+
+
 def _reliability(spark, d):
-    return ad.table(spark, d, "supplier").selectExpr("concat('S', CAST(s_suppkey AS STRING)) AS source_id", "element_at(array('experimental','field_observation','literature_review','expert_opinion','other'), CAST(s_suppkey % 5 AS INT) + 1) AS methodology_type", "s_suppkey % 2 = 0 AS peer_reviewed", "CASE WHEN s_suppkey % 3 = 0 THEN '5000+' WHEN s_suppkey % 3 = 1 THEN '100' END AS sample_size", "CASE WHEN s_suppkey % 4 = 0 THEN 'local' ELSE 'national' END AS geographic_specificity", "CASE WHEN s_suppkey % 7 = 0 THEN 'current' END AS temporal_currency")
+    return ad.table(spark, d, "supplier").selectExpr(*RELIABILITY)
 
 
-SCORE = "SELECT concat('S', CAST(s_suppkey AS STRING)) AS source_id, round(0.30::DOUBLE * CASE s_suppkey % 5 WHEN 0 THEN 1.0 WHEN 1 THEN 0.8 WHEN 2 THEN 0.7 WHEN 3 THEN 0.6 ELSE 0.5 END::DOUBLE + 0.20::DOUBLE * CASE WHEN s_suppkey % 2 = 0 THEN 1.0 ELSE 0.3 END::DOUBLE + 0.15::DOUBLE * CASE s_suppkey % 3 WHEN 0 THEN 1.0 WHEN 1 THEN 0.8 ELSE 0.5 END::DOUBLE + 0.20::DOUBLE * CASE WHEN s_suppkey % 4 = 0 THEN 1.0 ELSE 0.7 END::DOUBLE + 0.15::DOUBLE * CASE WHEN s_suppkey % 7 = 0 THEN 1.0 ELSE 0.5 END::DOUBLE + 1e-9::DOUBLE, 2) AS auto_score FROM supplier"
+# In whole numbers: 30 x method + 20 x peer + 15 x sample + 20 x geography + 15 x currency, each in hundredths.
+SCORE = "SELECT concat('S', CAST(s_suppkey AS STRING)) AS source_id, floor((30 * [100, 90, 70, 60, 50, 40, 50, 50][s_suppkey % 8 + 1] + 20 * [100, 30][s_suppkey % 2 + 1] + 15 * [100, 70, 70, 40, 50, 50, 50][s_suppkey % 7 + 1] + 20 * [100, 80, 50, 30, 50][s_suppkey % 5 + 1] + 15 * [100, 70, 40, 50][s_suppkey % 4 + 1] + 50) / 100)::DOUBLE / 100 AS auto_score FROM supplier"
 
 
 @register(SCORE)
@@ -270,16 +342,23 @@ def consensus_claims(spark, d):
 
 
 def _names(spark, d):
-    """Part names as they are, with a letter dropped, with another letter, genus only and with a cultivar, by key."""
+    """Part names as they are, with a letter dropped, a letter more, genus only, with a cultivar, with another genus, and under a former name, by key."""
     p = ad.table(spark, d, "part")
-    return p.selectExpr("CASE CAST(p_partkey % 5 AS INT) WHEN 0 THEN p_name WHEN 1 THEN concat(substring(p_name, 1, length(p_name) - 1)) WHEN 2 THEN concat(p_name, 'q') WHEN 3 THEN concat(split_part(p_name, ' ', 1), ' spp.') ELSE concat(p_name, ' ''Red''') END AS name").distinct()
+    return p.selectExpr("CASE CAST(p_partkey % 7 AS INT) WHEN 0 THEN p_name WHEN 1 THEN substring(p_name, 1, length(p_name) - 1) WHEN 2 THEN concat(p_name, 'q') WHEN 3 THEN concat(split_part(p_name, ' ', 1), ' spp.') WHEN 4 THEN concat(p_name, ' ''Red''') WHEN 5 THEN concat('m', p_name) ELSE concat('former ', split_part(p_name, ' ', 2)) END AS name").distinct()
+
 
+def _former(spark, d):
+    """A backbone in which each second word has a former name that leads to the first part with it."""
+    last = ad.table(spark, d, "part").groupBy(F.split_part("p_name", F.lit(" "), F.lit(2)).alias("symbol")).agg(F.min("p_name").alias("first"))
+    return last.selectExpr("symbol", "stack(2, concat('former ', symbol, ' L.'), 1, concat(first, ' L.'), 0) AS (name_full, is_synonym)")
 
-NAMES_SQL = "SELECT DISTINCT CASE p_partkey % 5 WHEN 0 THEN p_name WHEN 1 THEN substring(p_name, 1, length(p_name) - 1) WHEN 2 THEN concat(p_name, 'q') WHEN 3 THEN concat(split_part(p_name, ' ', 1), ' spp.') ELSE concat(p_name, ' ''Red''') END AS name FROM part"
+
+NAMES_SQL = "SELECT DISTINCT CASE p_partkey % 7 WHEN 0 THEN p_name WHEN 1 THEN left(p_name, -1) WHEN 2 THEN p_name || 'q' WHEN 3 THEN split_part(p_name, ' ', 1) || ' spp.' WHEN 4 THEN p_name || ' ''Red''' WHEN 5 THEN 'm' || p_name ELSE 'former ' || split_part(p_name, ' ', 2) END AS name FROM part"
 PARSED_SQL = "SELECT name, lower(split_part(regexp_replace(name, ' ''Red''', ''), ' ', 1)) AS g, CASE WHEN name LIKE '% spp.' THEN NULL ELSE lower(split_part(regexp_replace(name, ' ''Red''', ''), ' ', 2)) END AS s FROM names"
 INDEX_SQL = "SELECT lower(genus) AS g, lower(species) AS s, min(id) AS plant_id, count(*) AS match_count FROM e GROUP BY 1, 2"
 MATCH_CTE = f"WITH e AS ({ad.CTE['e']}), names AS ({NAMES_SQL}), p AS ({PARSED_SQL}), i AS ({INDEX_SQL})"
-FUZZY_SQL = "SELECT p.name, i.plant_id, 1 - levenshtein(p.s, i.s) / greatest(length(p.s), length(i.s))::DOUBLE AS sim, row_number() OVER (PARTITION BY p.name ORDER BY 1 - levenshtein(p.s, i.s) / greatest(length(p.s), length(i.s))::DOUBLE DESC, i.plant_id) AS r FROM p JOIN i ON p.g = i.g WHERE p.s IS NOT NULL AND i.s <> ''"
+FUZZY_SQL = "SELECT name, plant_id, sim, row_number() OVER (PARTITION BY name ORDER BY sim DESC, plant_id) AS r FROM (SELECT p.name, i.plant_id, 1 - levenshtein(p.s, i.s) / greatest(length(p.s), length(i.s))::DOUBLE AS sim FROM p JOIN i ON p.g = i.g WHERE p.s IS NOT NULL UNION ALL SELECT p.name, i.plant_id, 1 - levenshtein(concat_ws(' ', p.g, p.s), concat(i.g, ' ', i.s)) / greatest(length(concat_ws(' ', p.g, p.s)), length(concat(i.g, ' ', i.s)))::DOUBLE FROM p CROSS JOIN i WHERE p.s IS NULL OR p.g NOT IN (SELECT g FROM i))"
+SYNONYM_SQL = "SELECT 'former ' || split_part(p_name, ' ', 2) AS name, min(p_name) AS accepted FROM part GROUP BY split_part(p_name, ' ', 2)"
 
 
 @register(f"{MATCH_CTE} SELECT p.name, p.g, p.s, i.plant_id, i.match_count FROM p LEFT JOIN i ON p.g = i.g AND p.s = i.s")
@@ -292,9 +371,19 @@ def match_fuzzy(spark, d):
     return matching.match_fuzzy(_names(spark, d), ad.entities(spark, d)).select("name", "plant_id", F.round("sim", 9).alias("sim"))
 
 
-@register(f"{MATCH_CTE}, f AS ({FUZZY_SQL}), q AS (SELECT g, count(*) AS n, min(id) AS only_one FROM (SELECT lower(genus) AS g, id FROM e) GROUP BY 1) SELECT p.name, CASE WHEN i.plant_id IS NOT NULL THEN 'EXACT' WHEN p.s IS NULL AND q.g IS NOT NULL THEN 'GENUS_ONLY' WHEN f.sim >= 0.85 THEN 'FUZZY' ELSE 'NONE' END AS match_type, CASE WHEN i.plant_id IS NOT NULL THEN i.plant_id WHEN p.s IS NULL AND q.n = 1 THEN q.only_one WHEN p.s IS NOT NULL AND f.sim >= 0.85 THEN f.plant_id END AS plant_id FROM p LEFT JOIN i ON p.g = i.g AND p.s = i.s LEFT JOIN q ON q.g = p.g LEFT JOIN f ON f.name = p.name AND f.r = 1")
+@register(f"{MATCH_CTE}, f AS ({FUZZY_SQL}), y AS (SELECT y.name, i.plant_id FROM ({SYNONYM_SQL}) y JOIN i ON i.g || ' ' || i.s = lower(y.accepted)), q AS (SELECT g, count(*) AS n, min(id) AS only_one FROM (SELECT lower(genus) AS g, id FROM e) GROUP BY 1), k AS (SELECT p.name, CASE WHEN i.plant_id IS NOT NULL THEN 'EXACT' WHEN y.plant_id IS NOT NULL THEN 'SYNONYM' WHEN p.s IS NULL AND q.g IS NOT NULL THEN 'GENUS_ONLY' WHEN f.sim >= 0.85 THEN 'FUZZY' ELSE 'NONE' END AS match_type, i.plant_id AS p1, y.plant_id AS p2, CASE WHEN q.n = 1 THEN q.only_one END AS p3, f.plant_id AS p4, f.sim FROM p LEFT JOIN i ON p.g = i.g AND p.s = i.s LEFT JOIN y ON y.name = p.name LEFT JOIN q ON q.g = p.g LEFT JOIN f ON f.name = p.name AND f.r = 1) SELECT name, match_type, CASE match_type WHEN 'EXACT' THEN p1 WHEN 'SYNONYM' THEN p2 WHEN 'GENUS_ONLY' THEN p3 WHEN 'FUZZY' THEN p4 END AS plant_id, round(CASE match_type WHEN 'EXACT' THEN 1 WHEN 'SYNONYM' THEN 0.95 WHEN 'GENUS_ONLY' THEN 0.5 WHEN 'FUZZY' THEN 0.9 * sim ELSE 0 END::DOUBLE, 9) AS confidence FROM k")
 def match_entities(spark, d):
-    return matching.match_entities(_names(spark, d), ad.entities(spark, d)).select("name", "match_type", "plant_id")
+    return matching.match_entities(_names(spark, d), ad.entities(spark, d), _former(spark, d)).select("name", "match_type", "plant_id", F.round("confidence", 9).alias("confidence"))
+
+
+@register(f"{MATCH_CTE} SELECT y.name, i.plant_id FROM ({SYNONYM_SQL}) y JOIN i ON i.g || ' ' || i.s = lower(y.accepted) WHERE y.name IN (SELECT name FROM names)")
+def match_synonym(spark, d):
+    return matching.match_synonym(_names(spark, d), ad.entities(spark, d), _former(spark, d))
+
+
+@register(f"{MATCH_CTE} SELECT p.name, i.plant_id FROM p JOIN i ON p.g = i.g AND p.s = i.s WHERE p.name LIKE '%''Red'''")
+def match_cultivar(spark, d):
+    return matching.match_cultivar(_names(spark, d), ad.entities(spark, d))
 
 
 @register(sql("SELECT plant_id, attribute_id, source, value FROM (SELECT e.id AS plant_id, a.id AS attribute_id, lower(concat(genus, ' ', species)) AS k FROM e CROSS JOIN a WHERE NOT EXISTS (SELECT 1 FROM w WHERE w.plant_id = e.id AND w.attribute_id = a.id)) JOIN (SELECT p_size % 7 + 1 AS attribute_id, p_type AS source, lower(p_name) AS k, arg_max(p_brand, p_partkey) AS value FROM part GROUP BY 1, 2, 3) USING (attribute_id, k)", "w", "e", "a"))
@@ -305,10 +394,18 @@ def enrichment_candidates(spark, d):
     return matching.enrichment_candidates(gaps, src).select("plant_id", "attribute_id", "source", "value")
 
 
-@register("WITH n AS (SELECT doc_id, i AS node_id, w[i] AS title FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS w FROM documents))), q AS (SELECT DISTINCT query_id, unnest(string_split(query, ' ')) AS word FROM (VALUES (1, 'the and'), (2, 'der die')) v(query_id, query)), z AS (SELECT query_id, doc_id, node_id, sum(3) AS score FROM n JOIN q ON contains(lower(title), word) GROUP BY 1, 2, 3) SELECT query_id, doc_id, CAST(node_id AS BIGINT) AS node_id, CAST(score AS BIGINT) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id, node_id) AS rank FROM z) WHERE rank <= 5")
+# Lines of the documents as sections: the line is the title, the one after it the summary.
+NODES_SQL = "SELECT doc_id, i AS node_id, w[i] AS title, w[i + 1] AS summary FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS w FROM documents))"
+
+
+def _sections(spark, d):
+    lines = ad.table(spark, d, "documents").select("doc_id", F.split("text", "\n").alias("w"))
+    return lines.select("doc_id", F.posexplode("w").alias("i", "title"), "w").select("doc_id", (F.col("i") + 1).cast("long").alias("node_id"), "title", F.get("w", F.col("i") + 1).alias("summary"))
+
+
+@register(f"WITH n AS ({NODES_SQL}), q AS (SELECT DISTINCT query_id, unnest(string_split(query, ' ')) AS word FROM (VALUES (1, 'the and'), (2, 'der die')) v(query_id, query)), z AS (SELECT query_id, doc_id, node_id, sum(CASE WHEN contains(lower(title), word) THEN 3 ELSE 0 END + CASE WHEN contains(lower(coalesce(summary, '')), word) THEN 1 ELSE 0 END) AS score FROM n CROSS JOIN q GROUP BY 1, 2, 3) SELECT query_id, doc_id, CAST(node_id AS BIGINT) AS node_id, CAST(score AS BIGINT) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id, node_id) AS rank FROM z WHERE score > 0) WHERE rank <= 5")
 def search_nodes(spark, d):
-    nodes = ad.table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "title")).select("doc_id", (F.col("i") + 1).cast("long").alias("node_id"), "title", F.lit("").alias("summary"))
-    return docindex.search_nodes(nodes, spark.createDataFrame([(1, "the and"), (2, "der die")], "query_id int, query string"))
+    return docindex.search_nodes(_sections(spark, d), spark.createDataFrame([(1, "the and"), (2, "der die")], "query_id int, query string"))
 
 
 @register("SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '[ \\t\\n\\r\\f\\v]+', ' ', 'g')) AS text FROM pages")
@@ -326,9 +423,9 @@ def value_counts(spark, d):
     return reports.value_counts(ad.table(spark, d, "events"), "event_type")
 
 
-@register("SELECT 'lang' AS \"column\", count_if(trim(lang) <> '') AS n_filled, count(*) AS n_rows FROM documents UNION ALL SELECT 'source', count_if(trim(source) <> ''), count(*) FROM documents UNION ALL SELECT 'text', count_if(trim(text) <> ''), count(*) FROM documents")
+@register(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", count_if(trim(CAST({c} AS STRING)) <> '') AS n_filled, count(*) AS n_rows FROM documents" for c in ("doc_id", "text", "lang", "source", "n_chars")))
 def field_fill(spark, d):
-    return reports.field_fill(ad.table(spark, d, "documents").select("lang", "source", "text"))
+    return reports.field_fill(ad.table(spark, d, "documents"))
 
 
 @register(sql("SELECT w.id FROM w WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = w.plant_id AND p_size > 25)", "w"))

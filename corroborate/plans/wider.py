@@ -21,7 +21,7 @@ def parse_name(spark, d):
     return rg._names(spark, d).select("name", names.parse_name("name").alias("p")).select("name", "p.*")
 
 
-@register("SELECT p_partkey, CASE WHEN p_size >= 40 THEN 'very high' WHEN p_size >= 20 THEN 'high' WHEN p_size >= 10 THEN 'medium' ELSE 'low' END AS tier, CASE p_type WHEN 'ECONOMY' THEN 'E' WHEN 'PROMO' THEN 'P' END AS code, CASE p_type WHEN 'ECONOMY' THEN 'economy' WHEN 'PROMO' THEN 'promotion' ELSE p_type END AS label, CASE WHEN 2026 - (2000 + p_size) <= 5 THEN 'current' WHEN 2026 - (2000 + p_size) <= 15 THEN 'recent' ELSE 'historical' END AS currency, round(1 - levenshtein(lower(p_name), lower(p_type))::DOUBLE / greatest(length(p_name), length(p_type)), 9) AS sim FROM part")
+@register("SELECT p_partkey, CASE WHEN p_size >= 40 THEN 'very high' WHEN p_size >= 20 THEN 'high' WHEN p_size >= 10 THEN 'medium' ELSE 'low' END AS tier, CASE p_type WHEN 'ECONOMY' THEN 'E' WHEN 'PROMO' THEN 'P' END AS code, CASE p_type WHEN 'ECONOMY' THEN 'economy' WHEN 'PROMO' THEN 'promotion' ELSE p_type END AS label, CASE WHEN 2026 - (2000 + p_size) <= 5 THEN 'current' WHEN 2026 - (2000 + p_size) <= 15 THEN 'recent' ELSE 'dated' END AS currency, round(1 - levenshtein(lower(p_name), lower(p_type))::DOUBLE / greatest(length(p_name), length(p_type)), 9) AS sim FROM part")
 def scalar_rules(spark, d):
     label = names.crosswalk("p_type", {"ECONOMY": ("E", "economy"), "PROMO": ("P", "promotion")})
     return ad.table(spark, d, "part").select("p_partkey", names.tier("p_size", [(40, "very high"), (20, "high"), (10, "medium")], "low").alias("tier"), label["code"].alias("code"), label["label"].alias("label"), names.infer_currency((F.col("p_size") + 2000).cast("string"), 2026).alias("currency"), F.round(names.similarity("p_name", "p_type"), 9).alias("sim"))
@@ -46,13 +46,13 @@ def match_genus(spark, d):
 
 @register(f"SELECT match_type, count(*) AS n FROM ({rg.ORACLES['match_entities']}) GROUP BY 1")
 def match_summary(spark, d):
-    return matching.match_summary(matching.match_entities(rg._names(spark, d), ad.entities(spark, d)))
+    return matching.match_summary(matching.match_entities(rg._names(spark, d), ad.entities(spark, d), rg._former(spark, d)))
 
 
 @register(f"WITH k AS ({rg.ORACLES['match_entities']}), e AS ({ad.CTE['e']}) SELECT k.name, match_type, plant_id FROM k WHERE NOT (match_type = 'GENUS_ONLY' AND plant_id IS NULL) UNION ALL SELECT k.name, match_type, e.id FROM k LEFT JOIN e ON lower(e.genus) = lower(split_part(k.name, ' ', 1)) WHERE match_type = 'GENUS_ONLY' AND plant_id IS NULL")
 def expand_genus(spark, d):
     e = ad.entities(spark, d)
-    return matching.expand_genus(matching.match_entities(rg._names(spark, d), e), e).select("name", "match_type", "plant_id")
+    return matching.expand_genus(matching.match_entities(rg._names(spark, d), e, rg._former(spark, d)), e).select("name", "match_type", "plant_id")
 
 
 def _gaps(spark, d):
@@ -228,20 +228,23 @@ def conflict_attributes(spark, d):
     return reports.conflict_attributes(named(rg._conflicts(spark, d)), named(ad.warrants(spark, d)))
 
 
-@register(sql("SELECT l.plant_id, l.attribute_id, l.id, n_warrants, current_value FROM (SELECT *, row_number() OVER (PARTITION BY plant_id, attribute_id ORDER BY created_at DESC, id DESC) AS r FROM c) l LEFT JOIN (SELECT plant_id, attribute_id, count(*) AS n_warrants, string_agg(DISTINCT value, ', ' ORDER BY value) AS current_value FROM w GROUP BY 1, 2) v USING (plant_id, attribute_id) WHERE r = 1", "w", "c"))
+@register(sql("SELECT l.plant_id, l.attribute_id, l.id, warrants, current_value, conflict_ids FROM (SELECT *, row_number() OVER (PARTITION BY plant_id, attribute_id ORDER BY created_at DESC, id DESC) AS r FROM c) l LEFT JOIN (SELECT plant_id, attribute_id, string_agg(concat_ws(':', source_id, id, value), '; ' ORDER BY source_id NULLS FIRST, id, value) AS warrants, string_agg(DISTINCT value, ', ' ORDER BY value) AS current_value FROM w GROUP BY 1, 2) v USING (plant_id, attribute_id) LEFT JOIN (SELECT plant_id, attribute_id, string_agg(id, '; ' ORDER BY id) AS conflict_ids FROM x GROUP BY 1, 2) y USING (plant_id, attribute_id) WHERE r = 1", "c", *CONFLICTS))
 def claim_view(spark, d):
-    v = reports.claim_view(ad.claims(spark, d), ad.warrants(spark, d), ad.values(spark, d))
-    return v.select("plant_id", "attribute_id", "id", F.when(F.col("warrants").isNotNull(), F.size("warrants")).cast("long").alias("n_warrants"), "current_value")
+    v = reports.claim_view(ad.claims(spark, d), ad.warrants(spark, d), ad.values(spark, d), rg._conflicts(spark, d))
+    shown = F.array_join(F.transform("warrants", lambda w: F.concat_ws(":", w["source_id"], w["id"], w["value"])), "; ")
+    return v.select("plant_id", "attribute_id", "id", shown.alias("warrants"), "current_value", F.array_join("conflict_ids", "; ").alias("conflict_ids"))
 
 
-@register(sql("SELECT plant_id, CAST(sum(a) AS BIGINT) AS n_warrants, CAST(sum(b) AS BIGINT) AS n_open_conflicts, CAST(sum(k) AS BIGINT) AS n_pending_claims FROM (SELECT plant_id, 1 AS a, 0 AS b, 0 AS k FROM w UNION ALL SELECT plant_id, 0, 1, 0 FROM x WHERE status = 'pending' UNION ALL SELECT plant_id, 0, 0, 1 FROM c WHERE status IN ('draft', 'approved')) GROUP BY 1", "c", *CONFLICTS))
+@register(sql("WITHX SELECT coalesce(a.plant_id, b.plant_id, k.plant_id) AS plant_id, warrants, open_conflicts, pending_claims, coalesce(n_approved, 0) AS n_approved FROM (SELECT plant_id, string_agg(concat(CAST(attribute_id AS STRING), ':', CAST(n AS STRING)), ', ' ORDER BY CAST(attribute_id AS STRING)) AS warrants FROM (SELECT plant_id, attribute_id, count(*) AS n FROM w WHERE status <> 'excluded' GROUP BY 1, 2) GROUP BY 1) a FULL JOIN (SELECT plant_id, string_agg(concat(attribute_name, ':', CAST(n AS STRING)), ', ' ORDER BY attribute_name) AS open_conflicts FROM (SELECT plant_id, attribute_name, count(*) AS n FROM x WHERE status NOT IN ('resolved', 'dismissed') GROUP BY 1, 2) GROUP BY 1) b ON a.plant_id = b.plant_id FULL JOIN (SELECT plant_id, string_agg(concat(CAST(attribute_id AS STRING), ':', status), ', ' ORDER BY CAST(attribute_id AS STRING)) AS pending_claims, CAST(sum(approved) AS BIGINT) AS n_approved FROM (SELECT plant_id, attribute_id, arg_max(status, struct_pack(created_at, id)) AS status, count_if(status = 'approved') AS approved FROM c WHERE status <> 'pushed' GROUP BY 1, 2) GROUP BY 1) k ON k.plant_id = coalesce(a.plant_id, b.plant_id)", "c", *CONFLICTS).replace("WITHX ", ""))
 def curation_overlay(spark, d):
-    return reports.curation_overlay(ad.warrants(spark, d), rg._conflicts(spark, d), ad.claims(spark, d))
+    out = reports.curation_overlay(ad.warrants(spark, d), rg._conflicts(spark, d), ad.claims(spark, d))
+    flat = [F.array_join(F.transform(F.map_entries(c), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string"))), ", ").alias(c) for c in ("warrants", "open_conflicts", "pending_claims")]
+    return out.select("plant_id", *flat, "n_approved")
 
 
-@register("WITH s AS (SELECT unnest(['matching', 'mapping', 'enhancing', 'classifying', 'committing']) AS step) SELECT CAST(event_id AS STRING) AS id, step, CASE WHEN step = 'matching' AND event_id % 3 = 0 THEN event_type ELSE 'pending' END AS state FROM events CROSS JOIN s")
+@register("WITH s AS (SELECT unnest(['matching', 'mapping', 'enhancing', 'classifying', 'committing']) AS step) SELECT CAST(event_id AS STRING) AS id, CASE WHEN event_id % 3 = 0 THEN 'mapping' ELSE 'pending' END AS current_step, step, CASE WHEN event_id % 3 = 0 AND step IN ('matching', 'mapping') THEN CASE step WHEN 'matching' THEN 'complete' ELSE event_type END ELSE 'pending' END AS state, CASE WHEN event_id % 3 = 0 AND step = 'mapping' THEN CAST(user_id AS STRING) END AS detail FROM events CROSS JOIN s")
 def batch_progress(spark, d):
-    notes = "CASE WHEN event_id % 3 = 0 THEN concat('{\"matching\": \"', event_type, '\"}') WHEN event_id % 3 = 1 THEN 'broken' ELSE props END AS notes"
+    notes = """CASE WHEN event_id % 3 = 0 THEN concat('{"currentStep": "mapping", "steps": {"matching": {"status": "complete"}, "mapping": {"status": "', event_type, '", "detail": "', user_id, '"}}}') WHEN event_id % 3 = 1 THEN 'broken' ELSE props END AS notes"""
     return reports.batch_progress(ad.table(spark, d, "events").selectExpr("CAST(event_id AS STRING) AS id", notes))
 
 
@@ -274,9 +277,17 @@ def conflict_matrix_wide(spark, d):
 # Reliability, claims, snapshots.
 
 
-@register(sql("SELECT source_id, round(0.30::DOUBLE * CASE plant_id % 3 WHEN 0 THEN 1.0 WHEN 1 THEN 0.8 ELSE 0.5 END::DOUBLE + 0.20::DOUBLE * 0.3::DOUBLE + 0.15::DOUBLE * 0.5::DOUBLE + 0.20::DOUBLE * CASE WHEN plant_id % 2 = 0 THEN 1.0 ELSE 0.5 END::DOUBLE + 0.15::DOUBLE * CASE WHEN plant_id % 5 = 0 THEN 0.7 ELSE 0.5 END::DOUBLE + 1e-9::DOUBLE, 2) AS reliability_score FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY created_at DESC, id DESC) AS r FROM w WHERE source_id IS NOT NULL) WHERE r = 1 AND source_id NOT IN (SELECT id FROM s WHERE id LIKE '%7')", "w", "s"))
+METADATA = [
+    "CASE plant_id % 7 WHEN 0 THEN 'Burn TEST' WHEN 1 THEN 'field notes' WHEN 2 THEN 'A review of literature' WHEN 3 THEN 'simulation' WHEN 4 THEN 'grower guide' WHEN 5 THEN 'meta analysis' ELSE 'hearsay' END AS source_methodology",
+    "CASE plant_id % 6 WHEN 0 THEN 'Western Oregon' WHEN 1 THEN 'Oregon and Idaho' WHEN 2 THEN 'Australia' WHEN 3 THEN 'Global' WHEN 4 THEN 'Somewhere' ELSE '' END AS source_region",
+    "CASE plant_id % 5 WHEN 0 THEN '2021-05' WHEN 1 THEN '2015' WHEN 2 THEN '1990' WHEN 3 THEN 'n.d.' END AS source_year",
+]
+
+
+# "Australia" holds "us" and is national by the fixed rule; all parts in hundredths.
+@register(sql("SELECT source_id, floor((30 * [90, 70, 60, 50, 40, 100, 50][plant_id % 7 + 1] + 20 * 30 + 15 * 50 + 20 * [100, 80, 50, 30, 80, 50][plant_id % 6 + 1] + 15 * [100, 70, 40, 50, 50][plant_id % 5 + 1] + 50) / 100)::DOUBLE / 100 AS reliability_score FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY created_at DESC, id DESC) AS r FROM w WHERE source_id IS NOT NULL) WHERE r = 1 AND source_id NOT IN (SELECT id FROM s WHERE id LIKE '%7')", "w", "s"))
 def seed_reliability(spark, d):
-    w = ad.warrants(spark, d).selectExpr("*", "CASE plant_id % 3 WHEN 0 THEN 'burn test' WHEN 1 THEN 'field survey' END AS source_methodology", "CASE WHEN plant_id % 2 = 0 THEN 'Kings county' ELSE 'worldwide' END AS source_region", "CASE WHEN plant_id % 5 = 0 THEN '2020' END AS source_year")
+    w = ad.warrants(spark, d).selectExpr("*", *METADATA)
     return cl.seed_reliability(w, ad.sources(spark, d).filter("id like '%7'").selectExpr("id AS source_id"), 2026).select("source_id", "reliability_score")
 
 
@@ -303,7 +314,7 @@ def batch_record(spark, d):
 @register(sql("SELECT id, severity, (SELECT count(*) FROM x) AS total FROM x ORDER BY CASE severity WHEN 'critical' THEN 0 WHEN 'moderate' THEN 1 WHEN 'minor' THEN 2 ELSE 3 END, id LIMIT 50 OFFSET 50", *CONFLICTS))
 def conflict_page(spark, d):
     rows, total = reports.page(rg._conflicts(spark, d), "severity", 2, allowed=("severity", "conflict_type", "status"))
-    return rows.select("id", "severity", F.lit(total).cast("long").alias("total"))
+    return rows.select("id", "severity").withColumn("total", total.scalar())
 
 
 @register("SELECT user_id, event_id, lag(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS parent FROM events")
@@ -314,15 +325,19 @@ def snapshot_log(spark, d):
 # Sources and dataset building.
 
 
-@register("SELECT 'p_brand' AS \"column\", (SELECT count(*) FROM part) AS n_rows, (SELECT count(*) FROM part WHERE trim(p_brand) <> '') AS n_filled, (SELECT string_agg(v, ', ' ORDER BY r) FROM (SELECT p_brand AS v, row_number() OVER (ORDER BY min(p_partkey), p_brand) AS r FROM part GROUP BY 1) WHERE r <= 20) AS \"values\" UNION ALL SELECT 'p_size', (SELECT count(*) FROM part), (SELECT count(*) FROM part WHERE p_size IS NOT NULL), (SELECT string_agg(v, ', ' ORDER BY r) FROM (SELECT CAST(p_size AS STRING) AS v, row_number() OVER (ORDER BY min(p_partkey), CAST(p_size AS STRING)) AS r FROM part GROUP BY 1) WHERE r <= 20)")
+def _profile_sql(c):
+    return f"SELECT '{c}' AS \"column\", (SELECT count(*) FROM part) AS n_rows, (SELECT count(*) FROM part WHERE trim(CAST({c} AS STRING)) <> '') AS n_filled, (SELECT string_agg(v, ', ' ORDER BY r) FROM (SELECT CAST({c} AS STRING) AS v, row_number() OVER (ORDER BY min(p_partkey), CAST({c} AS STRING)) AS r FROM part GROUP BY 1) WHERE r <= 20) AS \"values\""
+
+
+@register(" UNION ALL ".join(_profile_sql(c) for c in ("p_name", "p_brand", "p_type", "p_size")))
 def profile_source(spark, d):
-    return tables.profile_source(ad.table(spark, d, "part").select("p_partkey", "p_brand", "p_size"), 20, "p_partkey").withColumn("values", F.array_join("values", ", "))
+    return tables.profile_source(ad.table(spark, d, "part").drop("p_retailprice"), 20, "p_partkey").withColumn("values", F.array_join("values", ", "))
 
 
-@register("SELECT 'nation' AS \"table\", count(*) AS n_rows, 'n_nationkey, n_name, n_regionkey' AS columns, count(*) AS n_embedded FROM nation UNION ALL SELECT 'part', count(*), 'p_partkey, p_name, p_brand, p_type, p_size, p_retailprice', CASE WHEN count(*) <= 200 THEN count(*) END FROM part")
+@register("SELECT 'nation' AS \"table\", count(*) AS n_rows, 'n_nationkey, n_name, n_regionkey' AS columns, (SELECT string_agg(j, '; ' ORDER BY j) FROM (SELECT concat('{\"n_nationkey\":', CAST(n_nationkey AS STRING), ',\"n_name\":\"', n_name, '\",\"n_regionkey\":', CAST(n_regionkey AS STRING), '}') AS j FROM nation)) AS rows FROM nation UNION ALL SELECT 'part', count(*), 'p_partkey, p_name, p_brand, p_type, p_size, p_retailprice', (SELECT string_agg(j, '; ' ORDER BY j) FROM (SELECT to_json(p)::VARCHAR AS j FROM part p WHERE (SELECT count(*) FROM part) <= 200)) FROM part")
 def catalog_summary(spark, d):
     out = tables.catalog_summary({n: ad.table(spark, d, n) for n in ("nation", "part")})
-    return out.select("table", "n_rows", F.array_join("columns", ", ").alias("columns"), F.when(F.col("rows").isNotNull(), F.size("rows")).cast("long").alias("n_embedded"))
+    return out.select("table", "n_rows", F.array_join("columns", ", ").alias("columns"), F.array_join("rows", "; ").alias("rows"))
 
 
 @register("SELECT category, concat(category, '-', lpad(CAST(max(n) + 1 AS STRING), CAST(greatest(2, length(CAST(max(n) + 1 AS STRING))) AS INTEGER), '0')) AS next_id FROM (SELECT CASE s_suppkey % 3 WHEN 0 THEN 'FIRE' WHEN 1 THEN 'WATER' ELSE 'DEER' END AS category, s_suppkey AS n FROM supplier) GROUP BY 1")
@@ -366,24 +381,25 @@ def extract_labels(spark, d):
     return harvest.extract_labels(ad.table(spark, d, "pages"), "page_id", "html", {"link": "The ([a-z]+)"})
 
 
-TRAIT_TEXT = "concat('Height: ', CAST(p_size AS STRING), '-', CAST(p_size + 2 AS STRING), ' ft. Zones ', CAST(p_size % 9 + 1 AS STRING), 'b. ', CASE WHEN p_size % 5 = 0 THEN 'Noxious weed' ELSE p_name END) AS text"
+TRAIT_TEXT = "concat('Height: ', CAST(p_size AS STRING), '-', CAST(p_size + 2 AS STRING), ' feet. Spread: 1.5 foot', chr(10), 'HEIGHT:9 inches', chr(10), 'USDA hardiness zones: ', CAST(p_size % 9 + 1 AS STRING), chr(10), CASE WHEN p_size % 5 = 0 THEN 'M: moderate; an Invasive weed' WHEN p_size % 5 = 1 THEN 'L needs low water, native to Oregon' WHEN p_size % 5 = 2 THEN 'Native to western parts' ELSE p_name END, chr(10), 'Flowers: ', p_type, chr(10), 'Bloom time: May to June') AS text"
 
 
-@register("SELECT p_partkey, concat(CAST(p_size AS STRING), '-', CAST(p_size + 2 AS STRING), ' ft') AS height, NULL::VARCHAR AS spread, concat(CAST(p_size % 9 + 1 AS STRING), 'b') AS zones, NULL::VARCHAR AS bloom, p_size % 5 = 0 AS invasive_warning FROM part")
+@register("SELECT p_partkey, concat(CAST(p_size AS STRING), '-', CAST(p_size + 2 AS STRING), ' feet|9 inches') AS heights, '1.5 foot' AS spreads, CAST(p_size % 9 + 1 AS STRING) AS zones, p_type AS flowers, 'May to June' AS blooms, CASE p_size % 5 WHEN 0 THEN 'Moderate' WHEN 1 THEN 'Low' ELSE '' END AS water_use, p_size % 5 = 0 AS invasive_warning, p_size % 5 IN (1, 2) AS native_hint FROM part")
 def extract_traits(spark, d):
-    return harvest.extract_traits(ad.table(spark, d, "part").selectExpr("p_partkey", TRAIT_TEXT), "p_partkey", "text")
+    out = harvest.extract_traits(ad.table(spark, d, "part").selectExpr("p_partkey", TRAIT_TEXT), "p_partkey", "text")
+    return out.select("p_partkey", *[F.array_join(c, "|").alias(c) for c in harvest.TRAITS], "water_use", "invasive_warning", "native_hint")
 
 
-PAYLOAD = "concat('{\"id\":', CAST(p_partkey AS STRING), ',\"scientific_name\":\"', p_name, '\",\"edible\":', CASE WHEN p_size % 2 = 0 THEN 'true' ELSE 'false' END, ',\"flower\":{\"color\":[\"red\",\"', p_type, '\"]},\"foliage\":{}}') AS json"
+PAYLOAD = "concat('{\"id\":', CAST(p_partkey AS STRING), ',\"scientific_name\":\"', p_name, '\",\"edible\":', CASE p_size % 3 WHEN 0 THEN 'true' WHEN 1 THEN 'false' ELSE 'null' END, ',\"flower\":{\"color\":[\"Dark red\",\"rose\",\"', p_type, '\"]},\"foliage\":{\"leaf_retention\":', CASE WHEN p_size % 2 = 0 THEN 'true' ELSE 'false' END, '},\"specifications\":{\"growth_habit\":[\"Subshrub\",\"', CASE WHEN p_size % 4 = 0 THEN 'Tree' ELSE 'Graminoids' END, '\"]},\"distribution\":{\"native\":[\"S. Oregon\",\"Nevada\"]}}') AS json"
 
 
-@register("WITH e AS (SELECT lower(p_name) AS k, min(p_partkey) AS plant_id FROM part GROUP BY 1) SELECT plant_id, 'flower_color' AS attribute, concat('red, ', p_type) AS value FROM part JOIN e ON k = lower(p_name) UNION ALL SELECT plant_id, 'edible', CASE WHEN p_size % 2 = 0 THEN 'true' ELSE 'false' END FROM part JOIN e ON k = lower(p_name)")
+@register("WITH e AS (SELECT lower(p_name) AS k, min(p_partkey) AS plant_id FROM part GROUP BY 1), j AS (SELECT plant_id, p_size, p_type FROM part JOIN e ON k = lower(p_name)) SELECT plant_id, 'Native Status' AS attribute, 'oregon' AS value, 'Native to: S. Oregon, Nevada' AS source_value FROM j UNION ALL SELECT plant_id, 'Edible Plant', CASE p_size % 3 WHEN 0 THEN 'true' ELSE 'false' END, CASE p_size % 3 WHEN 0 THEN 'edible: true' ELSE 'edible: false' END FROM j WHERE p_size % 3 <> 2 UNION ALL SELECT plant_id, CASE WHEN p_size % 4 = 0 THEN 'Tree' ELSE 'Graminoid' END, 'true', concat('growth_habit: Subshrub, ', CASE WHEN p_size % 4 = 0 THEN 'Tree' ELSE 'Graminoids' END) FROM j UNION ALL SELECT plant_id, 'Groundcover', 'true', concat('growth_habit: Subshrub, ', CASE WHEN p_size % 4 = 0 THEN 'Tree' ELSE 'Graminoids' END) FROM j UNION ALL SELECT plant_id, 'Evergreen', 'true', 'leaf_retention: true' FROM j WHERE p_size % 2 = 0 UNION ALL SELECT plant_id, 'Flower Color', '04', concat('flower.color: Dark red, rose, ', p_type) FROM j")
 def species_to_warrants(spark, d):
     e = ad.entities(spark, d).groupBy("genus", "species").agg(F.min("id").alias("id"))
-    return harvest.species_to_warrants(ad.table(spark, d, "part").selectExpr(PAYLOAD), e)
+    return harvest.species_to_warrants(ad.table(spark, d, "part").selectExpr(PAYLOAD), e).drop("attribute_id")
 
 
-REFS = ["doc_id AS ref_number", "text AS title", "lang AS author", "source AS publisher", "doc_id % 2 AS list_no"]
+REFS = ["doc_id AS ref_number", "text AS title", "concat(coalesce(lang, ''), ', A.') AS author", "source AS publisher", "doc_id % 2 AS list_no", "CASE WHEN doc_id % 7 = 0 THEN 'Yes' END AS have_it", "CASE doc_id % 5 WHEN 0 THEN 'trait_code' WHEN 1 THEN 'dataset' END AS type", "CASE WHEN doc_id % 3 = 0 THEN 'n.d.' ELSE CAST(2000 + doc_id % 20 AS STRING) END AS year"]
 
 
 @register(f"WITH r AS (SELECT {', '.join(REFS)} FROM documents), k AS (SELECT *, nullif(trim(CASE WHEN trim(lower(coalesce(title, ''))) <> '' THEN concat(substring(trim(lower(title)), 1, 30), '|', substring(lower(coalesce(author, '')), 1, 20)) END), '') AS key FROM r) SELECT list_no, ref_number FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY list_no, ref_number) AS o FROM k) WHERE o = 1 OR key IS NULL")
@@ -392,9 +408,13 @@ def build_references(spark, d):
     return harvest.build_references([r.filter("list_no = 0"), r.filter("list_no = 1")]).select("list_no", "ref_number")
 
 
-@register("SELECT doc_id AS ref_number, CASE WHEN trim(t) = '' THEN 'incomplete' WHEN regexp_matches(t, 'journal|proceedings|doi') THEN 'journal' WHEN regexp_matches(t, 'extension|university') THEN 'extension' WHEN regexp_matches(t, 'http|www') THEN 'web' ELSE 'other' END AS triage FROM (SELECT doc_id, lower(concat_ws(' ', text, source)) AS t FROM documents)")
+_coded = lambda t: f"replace(replace(replace(url_encode({t}), '%20', '+'), '%2A', '*'), '~', '%7E')"
+TRIAGE_SQL = f"WITH r AS (SELECT {', '.join(REFS)} FROM documents), k AS (SELECT *, lower(concat(' ', coalesce(title, ''), ' ', coalesce(publisher, ''))) AS t, left(concat_ws(' ', nullif(trim(split_part(author, ',', 1)), '@'), nullif(title, ''), CASE WHEN year <> 'n.d.' THEN year END), 200) AS q, have_it IS NOT NULL AS have FROM r)"
+
+
+@register(f"{TRIAGE_SQL} SELECT ref_number, CASE WHEN have THEN 'HAVE_IT' WHEN regexp_matches(t, 'journal|proceedings|thesis|university|usda|forest service|extension|bulletin|research|study|doi') THEN 'LIKELY_ONLINE' WHEN regexp_matches(t, 'book|press|publishing|macmillan|claremont') THEN 'CHECK_LIBRARIES' WHEN regexp_matches(t, 'sunset|magazine|grounds maintenance') THEN 'CHECK_ARCHIVES' WHEN regexp_matches(t, 'department|city of|county|fire|state|california|forestry') THEN 'LIKELY_ONLINE' WHEN regexp_matches(t, 'nursery|garden|protect your|homeowner|green belt') THEN 'NEEDS_OUTREACH' WHEN type = 'trait_code' THEN 'LOW_PRIORITY' WHEN type = 'dataset' THEN 'HAVE_IT' ELSE 'TRY_ONLINE' END AS triage, CASE WHEN have THEN '' ELSE 'https://scholar.google.com/scholar?q=' || {_coded('q')} END AS google_scholar_url, CASE WHEN have THEN '' ELSE 'https://search.worldcat.org/search?q=' || {_coded('q')} END AS worldcat_url, CASE WHEN have THEN '' ELSE 'https://www.google.com/search?q=' || {_coded('q')} || '+filetype%3Apdf' END AS google_search_url, CASE WHEN have OR coalesce(title, '') = '' THEN '' ELSE 'https://web.archive.org/web/*/' || {_coded('left(title, 80)')} END AS wayback_url FROM k")
 def triage_refs(spark, d):
-    return harvest.triage_refs(ad.table(spark, d, "documents").selectExpr(*REFS)).select("ref_number", "triage")
+    return harvest.triage_refs(ad.table(spark, d, "documents").selectExpr(*REFS)).select("ref_number", "triage", "google_scholar_url", "worldcat_url", "google_search_url", "wayback_url")
 
 
 @register("SELECT p_name, min(p_partkey) AS p_partkey, string_agg(DISTINCT p_brand, ', ' ORDER BY p_brand) AS categories FROM part GROUP BY 1")
@@ -441,10 +461,10 @@ def page_offset(spark, d):
     return docindex.page_offset(ad.table(spark, d, "conversations").selectExpr("conv_id AS doc_id", "turn AS seq", "turn + length(text) % 3 AS physical", "turn AS printed"))
 
 
-@register("SELECT conv_id AS doc_id, '1' AS code, count(*) AS n_pages, CAST(sum(length(text) // 4) AS BIGINT) AS tokens FROM conversations WHERE turn BETWEEN 0 AND 3 GROUP BY 1 HAVING count(*) > 2 AND sum(length(text) // 4) >= 100")
+@register("SELECT conv_id AS doc_id, '1' AS code, count(*) AS n_pages, CAST(sum(length(text) // 4) AS BIGINT) AS tokens FROM conversations WHERE turn >= 0 GROUP BY 1 HAVING count(*) > 2 AND sum(length(text) // 4) >= 100")
 def large_nodes(spark, d):
     c = ad.table(spark, d, "conversations")
-    nodes = c.select(F.col("conv_id").alias("doc_id")).distinct().selectExpr("doc_id", "'1' AS code", "0 AS start_page", "3 AS end_page")
+    nodes = c.groupBy(F.col("conv_id").alias("doc_id")).agg(F.max("turn").alias("end_page")).selectExpr("doc_id", "'1' AS code", "0 AS start_page", "end_page")
     return docindex.large_nodes(nodes, c.selectExpr("conv_id AS doc_id", "turn AS page", "text"), 2, 100)
 
 
@@ -453,7 +473,6 @@ def chunk_pages(spark, d):
     return docindex.chunk_pages(ad.table(spark, d, "conversations").selectExpr("conv_id AS doc_id", "turn AS page", "text"), 60, 1)
 
 
-@register("WITH n AS (SELECT doc_id, i AS node_id, w[i] AS title FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS w FROM documents))), q AS (SELECT 1 AS query_id, unnest(['the', 'and', 'that']) AS word) SELECT query_id, doc_id, CAST(node_id AS BIGINT) AS node_id, n_terms, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY n_terms DESC, doc_id, node_id) AS rank FROM (SELECT query_id, doc_id, node_id, count(*) AS n_terms FROM n JOIN q ON contains(lower(title), word) GROUP BY 1, 2, 3 HAVING count(*) >= 2)) WHERE rank <= 10")
+@register(f"WITH n AS ({rg.NODES_SQL}), q AS (SELECT 1 AS query_id, unnest(['the', 'and', 'that']) AS word) SELECT query_id, doc_id, CAST(node_id AS BIGINT) AS node_id, n_terms, rank, left(summary, 500) AS summary FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY n_terms DESC, doc_id, node_id) AS rank FROM (SELECT query_id, doc_id, node_id, min(summary) AS summary, count(*) AS n_terms FROM n JOIN q ON contains(lower(concat_ws(' ', title, summary)), word) GROUP BY 1, 2, 3 HAVING count(*) >= 2)) WHERE rank <= 10")
 def search_terms(spark, d):
-    nodes = ad.table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "title")).select("doc_id", (F.col("i") + 1).cast("long").alias("node_id"), "title", F.lit("").alias("summary"))
-    return docindex.search_terms(nodes, spark.createDataFrame([(1, "the and that of")], "query_id int, query string")).select("query_id", "doc_id", "node_id", "n_terms", "rank")
+    return docindex.search_terms(rg._sections(spark, d), spark.createDataFrame([(1, "the and that of")], "query_id int, query string")).select("query_id", "doc_id", "node_id", "n_terms", "rank", "summary")
