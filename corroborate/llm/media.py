@@ -1,18 +1,21 @@
 """GIF columns: decode frames with palettes, transparency, disposal and timing into colour histograms; store bytes as GIF.
 
-``decode`` turns a binary column into frames (index, delay in ms, colour histogram of the composed picture). ``store_payload``
-writes bytes as the palette indices of 64-pixel-wide grey pictures and ``read_payload`` gets them back. The writer sends
-literal codes with a clear code every 250, so the code width stays at 9 bits; the reader takes any code stream, and reads
-such streams as whole arrays.
+``decode`` turns a binary column into timed frames (index, delay in ms, colour histogram of the composed picture). ``store_payload``
+writes bytes as the palette indices of an animation of 64 x 64 frames, LZW-compressed, and ``read_payload`` gets them back by the same
+decoder. Codes are unpacked as whole arrays, a table's worth at a time: how wide a code is follows from its place after the last clear code.
 
-Edge cases: null or broken bytes give status ``invalid``; a stream that ends early keeps the pixels decoded so far (the rest
-of that frame is index 0) with status ``truncated``; pictures of more than ``max_pixels`` give ``too_large``; nothing raises.
+A frame's pixels are decoded in chunks, and pictures of more than ``max_pixels`` are composed a strip of rows at a time, so that
+neither many nor large frames are held at once; the histograms are the same for any ``max_pixels``.
+
+Edge cases: null or broken bytes give status ``invalid``, with the frames before the fault; a stream that ends early keeps the pixels
+decoded so far (the rest of that frame is index 0) with status ``truncated``; nothing raises.
 """
 
 from __future__ import annotations
 
 import hashlib
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,95 +26,178 @@ from pyspark.sql import types as T
 
 from . import base
 
-WIDTH = 64
-ROWS = 65535  # the format's largest height
-RESET = 250  # literal codes between clear codes
+SIDE = 64
+FULL = 4096  # entries of a code table
+CHUNK = 1 << 18
+
+
+def _widths(first: int, n: int, min_size: int) -> np.ndarray:
+    """Bits of the codes first, first + 1, … after a clear code: the decoder's table has grown by one for each but the first."""
+    size = np.minimum((1 << min_size) + 2 + np.maximum(np.arange(first, first + n) - 1, 0), FULL)
+    return np.minimum(np.floor(np.log2(size)).astype(np.int64) + 1, 12)
+
+
+_WIDTHS = {m: _widths(0, FULL, m) for m in range(1, 12)}
+
+
+def lzw_encode(data: bytes, min_size: int = 8) -> bytes:
+    """A code stream with growing widths; the table, a tree of nodes by byte, is cleared when it is full. A node's code is under -1."""
+    clear = 1 << min_size
+    codes: list[int] = [clear]
+    blocks = [0]  # where each block, a clear code and the codes after it, begins
+    roots = [{-1: i} for i in range(clear)]
+    put, top, node = codes.append, clear + 2, None
+    for x in data:
+        if node is None:
+            node = roots[x]
+            continue
+        known = node.get(x)
+        if known is not None:
+            node = known
+            continue
+        put(node[-1])
+        if top < FULL - 1:
+            node[x] = {-1: top}
+            top += 1
+        else:
+            blocks.append(len(codes))
+            put(clear)
+            roots = [{-1: i} for i in range(clear)]
+            top = clear + 2
+        node = roots[x]
+    if node is not None:
+        put(node[-1])
+    put(clear + 1)
+    n = np.diff([*blocks, len(codes)])
+    # A clear code has the width that the block before it has reached.
+    width = np.concatenate([[min_size + 1], *[_WIDTHS[min_size][:k] for k in n]])[: len(codes)]
+    bits = np.unpackbits(np.array(codes, "<u2").view(np.uint8).reshape(-1, 2), axis=1, bitorder="little")
+    return np.packbits(bits[np.arange(16) < width[:, None]], bitorder="little").tobytes()
+
+
+def _codes(bits: np.ndarray, at: int, first: int, min_size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Up to a table's worth of codes from bit ``at`` on, and the bit after each. ``bits`` ends with twelve zeros of its own."""
+    width = _WIDTHS[min_size][first : first + FULL] if first < FULL - 64 else np.full(1024, 12)
+    ends = at + np.cumsum(width[: (len(bits) - 12 - at) // (min_size + 1) + 1])
+    n = int(np.searchsorted(ends, len(bits) - 12, side="right"))
+    width, ends = width[:n], ends[:n]
+    place = (ends - width)[:, None] + _TWELVE
+    return (bits[place] @ (1 << _TWELVE)) & ((1 << width) - 1), ends
+
+
+_TWELVE = np.arange(12)
+
+
+def _roots(parent: np.ndarray, steps: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+    """Where following ``parent`` (its own parent at a root) ends, by doubling, and the sum of ``steps`` on the way."""
+    while True:
+        up = parent[parent]
+        if steps is not None:
+            steps = steps + steps[parent] * (parent != np.arange(len(parent)))
+        if np.array_equal(up, parent):
+            return parent, steps
+        parent = up
+
+
+def _phrases(codes: np.ndarray, clear: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes, starts and lengths of the phrases of the codes that follow a clear code, up to a full table.
+
+    Code clear + 2 + j stands for phrase j and the byte after it: what was put out from phrase j's start on, a byte longer.
+    Lengths are thus steps to a literal, and each byte is a copy of an earlier one; both are found by doubling.
+    """
+    k = np.arange(len(codes))
+    older = np.where(codes < clear, k, codes - clear - 2)
+    _, size = _roots(older, (codes >= clear).astype(np.int64))
+    size = size + 1
+    start = np.cumsum(size) - size
+    source = np.arange(int(size.sum())) - np.repeat(start - start[older], size)
+    root, _ = _roots(source)
+    literal = np.zeros(len(source), np.uint8)
+    plain = codes < clear
+    literal[start[plain]] = codes[plain]
+    return literal[root], start, size
+
+
+def lzw_chunks(data: bytes, min_size: int, pixels: int) -> Iterator[bytes]:
+    """Palette indices of a code stream, in pieces; fewer than ``pixels`` where it ends early or breaks."""
+    bits = np.concatenate((np.unpackbits(np.frombuffer(data, np.uint8), bitorder="little"), np.zeros(12, np.uint8)))
+    clear, end = 1 << min_size, (1 << min_size) + 1
+    at, first = 0, 0
+    table: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None  # of a block that goes on after its table is full
+    while pixels > 0:
+        codes, ends = _codes(bits, at, first, min_size)
+        if not len(codes):
+            return
+        stop = np.flatnonzero((codes == clear) | (codes == end))
+        n = int(stop[0]) if len(stop) else len(codes)
+        use = codes[:n]
+        if table is None:
+            bad = np.flatnonzero(use > clear + np.maximum(np.arange(n), 1 - 2 * (np.arange(n) == 0)) + 1)  # a code that no table has yet
+        else:
+            bad = np.flatnonzero(use >= clear + 2 + len(table[1]))
+        use = use[: bad[0]] if len(bad) else use
+        if table is None:
+            table = _phrases(use, clear)
+            out = table[0]
+        else:
+            held, start, size = table
+            phrase = np.maximum(use - clear - 2, 0)
+            length = np.where(use < clear, 1, size[phrase] + 1)
+            begin = np.cumsum(length) - length
+            out = held[np.minimum(np.arange(int(length.sum())) + np.repeat(start[phrase] - begin, length), len(held) - 1)]
+            out[begin[use < clear]] = use[use < clear]
+        for lo in range(0, min(len(out), pixels), CHUNK):
+            yield out[lo : min(lo + CHUNK, pixels)].tobytes()
+        pixels -= len(out)
+        if len(bad) or len(stop) and codes[n] == end:
+            return
+        if len(stop):
+            table, first, at = None, 0, int(ends[n])
+        else:
+            first, at = first + n, int(ends[-1])
+
+
+def lzw_decode(data: bytes, min_size: int, pixels: int) -> np.ndarray:
+    return np.frombuffer(b"".join(lzw_chunks(data, min_size, pixels)), np.uint8)
 
 
 @dataclass
 class Frame:
     left: int
     top: int
-    indices: np.ndarray  # height x width
+    width: int
+    height: int
+    interlaced: bool
     palette: np.ndarray  # colours x 3
     delay_ms: int
     disposal: int
     transparent: int | None
-
-
-def lzw_encode_literal(data: np.ndarray) -> bytes:
-    """Bytes as 9-bit literal codes with regular clear codes and an end code."""
-    n = len(data)
-    groups = -(-n // RESET)
-    codes = np.full(groups * (RESET + 1), 257, dtype=np.uint16)
-    grid = codes.reshape(groups, RESET + 1)
-    grid[:, 0] = 256
-    grid[:, 1:].flat[:0]
-    body = np.full(groups * RESET, 257, dtype=np.uint16)
-    body[:n] = data
-    grid[:, 1:] = body.reshape(groups, RESET)
-    codes = np.append(codes[: n + groups], np.uint16(257)).astype("<u2")
-    bits = np.unpackbits(codes.view(np.uint8).reshape(-1, 2), axis=1, bitorder="little")[:, :9]
-    return np.packbits(np.ascontiguousarray(bits).ravel(), bitorder="little").tobytes()
-
-
-def _lzw_fast(data: bytes, pixels: int) -> np.ndarray | None:
-    """Streams of 8-bit literals whose clear codes keep the width at 9 bits; None for any other."""
-    bits = np.unpackbits(np.frombuffer(data, np.uint8), bitorder="little")
-    n = len(bits) // 9
-    wide = np.zeros((n, 16), np.uint8)
-    wide[:, :9] = bits[: n * 9].reshape(n, 9)
-    codes = np.packbits(wide.ravel(), bitorder="little").view("<u2")
-    ends = np.flatnonzero(codes == 257)
-    if not len(ends):
-        return None
-    codes = codes[: ends[0]]
-    clears = np.flatnonzero(codes == 256)
-    if not len(clears) or clears[0] or (codes > 257).any() or np.diff(np.append(clears, len(codes))).max() > 254:
-        return None
-    out = codes[codes < 256].astype(np.uint8)
-    return out if len(out) >= pixels else None
-
-
-def lzw_decode(data: bytes, min_size: int, pixels: int) -> np.ndarray:
-    """Palette indices of a code stream; fewer than ``pixels`` where it ends early or breaks."""
-    if min_size == 8 and (fast := _lzw_fast(data, pixels)) is not None:
-        return fast[:pixels]
-    clear, end = 1 << min_size, (1 << min_size) + 1
-    start = [bytes([i]) for i in range(clear)] + [b"", b""]
-    table, width, prev = list(start), min_size + 1, None
-    out, made, bits, held = [], 0, 0, 0
-    for byte in data:
-        bits |= byte << held
-        held += 8
-        while held >= width:
-            code = bits & ((1 << width) - 1)
-            bits >>= width
-            held -= width
-            if code == clear:
-                table, width, prev = list(start), min_size + 1, None
-                continue
-            if code == end or made >= pixels:
-                return np.frombuffer(b"".join(out), np.uint8)[:pixels]
-            if prev is None:
-                if code >= clear:
-                    return np.frombuffer(b"".join(out), np.uint8)[:pixels]
-                entry = table[code]
-            else:
-                if code < len(table):
-                    entry = table[code]
-                elif code == len(table):
-                    entry = prev + prev[:1]
-                else:
-                    return np.frombuffer(b"".join(out), np.uint8)[:pixels]
-                if len(table) < 4096:
-                    table.append(prev + entry[:1])
-                    if len(table) == 1 << width and width < 12:
-                        width += 1
-            out.append(entry)
-            made += len(entry)
-            prev = entry
-    return np.frombuffer(b"".join(out), np.uint8)[:pixels]
+    min_size: int
+    body: bytes
+
+    def strip(self, lo: int, hi: int) -> tuple[np.ndarray, bool]:
+        """Indices of the frame's rows lo to hi, and whether the stream held them all."""
+        out = np.zeros((max(0, hi - lo), self.width), np.uint8)
+        where = np.arange(self.height)
+        if self.interlaced:  # rows come in four passes
+            where = np.concatenate([np.arange(a, self.height, b) for a, b in ((0, 8), (4, 8), (2, 4), (1, 2))])
+        row, rest, got = 0, b"", 0
+        for piece in lzw_chunks(self.body, self.min_size, self.width * self.height):
+            got += len(piece)
+            rest += piece
+            n = len(rest) // self.width
+            rows = np.frombuffer(rest[: n * self.width], np.uint8).reshape(n, self.width)
+            to = where[row : row + n]
+            on = (to >= lo) & (to < hi)
+            out[to[on] - lo] = rows[on]
+            row, rest = row + n, rest[n * self.width :]
+        if rest and lo <= where[row] < hi:
+            out[where[row] - lo, : len(rest)] = np.frombuffer(rest, np.uint8)
+        return out, got == self.width * self.height
+
+    @property
+    def indices(self) -> np.ndarray:
+        return self.strip(0, self.height)[0]
 
 
 def _blocks(data: bytes, at: int) -> tuple[bytes, int]:
@@ -122,26 +208,30 @@ def _blocks(data: bytes, at: int) -> tuple[bytes, int]:
     return b"".join(parts), at + 1
 
 
-def parse(data: bytes | None, max_pixels: int = 1 << 26) -> tuple[int, int, list[Frame], str]:
-    """Width, height, raw frames and status."""
+def frames(data: bytes | None) -> Iterator[tuple[int, int] | Frame | str]:
+    """The picture's size (0, 0 where there is none), its frames, and its status at the end."""
     if not data or len(data) < 13 or data[:6] not in (b"GIF87a", b"GIF89a"):
-        return 0, 0, [], "invalid"
+        yield 0, 0
+        yield "invalid"
+        return
     word = lambda i: int.from_bytes(data[i : i + 2], "little")
-    width, height, flags, at = word(6), word(8), data[10], 13
-    if width * height > max_pixels:
-        return width, height, [], "too_large"
+    flags, at = data[10], 13
+    yield word(6), word(8)
+
+    def palette(n: int) -> np.ndarray:
+        colours = np.frombuffer(data[at : at + 3 * n], np.uint8)
+        return colours[: len(colours) // 3 * 3].reshape(-1, 3)
+
     shared = np.zeros((0, 3), np.uint8)
     if flags & 0x80:
-        n = 2 << (flags & 7)
-        shared = np.frombuffer(data[at : at + 3 * n], np.uint8)
-        shared, at = shared[: len(shared) // 3 * 3].reshape(-1, 3), at + 3 * n
-    frames: list[Frame] = []
-    delay, disposal, transparent, status = 0, 0, None, "truncated"
+        shared = palette(2 << (flags & 7))
+        at += 3 * (2 << (flags & 7))
+    delay, disposal, transparent = 0, 0, None
     while at < len(data):
         kind = data[at]
         if kind == 0x3B:
-            status = "ok"
-            break
+            yield "ok"
+            return
         if kind == 0x21 and at + 2 < len(data):
             label = data[at + 1]
             body, at = _blocks(data, at + 2)
@@ -151,65 +241,91 @@ def parse(data: bytes | None, max_pixels: int = 1 << 26) -> tuple[int, int, list
         elif kind == 0x2C and at + 10 < len(data):
             left, top, w, h, own = word(at + 1), word(at + 3), word(at + 5), word(at + 7), data[at + 9]
             at += 10
-            palette = shared
+            colours = shared
             if own & 0x80:
-                n = 2 << (own & 7)
-                palette = np.frombuffer(data[at : at + 3 * n], np.uint8)
-                palette, at = palette[: len(palette) // 3 * 3].reshape(-1, 3), at + 3 * n
-            if w * h > max_pixels:
-                return width, height, frames, "too_large"
-            if at >= len(data) or not 1 <= data[at] <= 11:
-                return width, height, frames, "invalid"
-            body, nxt = _blocks(data, at + 1)
-            got = lzw_decode(body, data[at], w * h)
-            at = nxt
-            short = len(got) < w * h
-            px = np.zeros(w * h, np.uint8)
-            px[: len(got)] = got
-            px = px.reshape(h, w)
-            if own & 0x40:  # interlaced: rows come in four passes
-                order = np.concatenate([np.arange(a, h, b) for a, b in ((0, 8), (4, 8), (2, 4), (1, 2))])
-                px = px[np.argsort(order, kind="stable")]
-            frames.append(Frame(left, top, px, palette, delay, disposal, transparent))
+                colours = palette(2 << (own & 7))
+                at += 3 * (2 << (own & 7))
+            if at >= len(data) or not 1 <= data[at] <= 11 or not w or not h:
+                yield "invalid"
+                return
+            min_size = data[at]
+            body, at = _blocks(data, at + 1)
+            yield Frame(left, top, w, h, bool(own & 0x40), colours, delay, disposal, transparent, min_size, body)
             delay, disposal, transparent = 0, 0, None
-            if short:
-                return width, height, frames, "truncated"
         else:
-            return width, height, frames, "invalid"
-    return width, height, frames, status
-
-
-def composed(width: int, height: int, frames: list[Frame]):
-    """The picture (height x width x RGBA) that shows for each frame, after disposal and transparency."""
-    canvas = np.zeros((height, width, 4), np.uint8)
-    for f in frames:
-        before = canvas.copy() if f.disposal == 3 else None
-        h, w = max(0, min(f.indices.shape[0], height - f.top)), max(0, min(f.indices.shape[1], width - f.left))
-        part = f.indices[:h, :w]
-        area = canvas[f.top : f.top + h, f.left : f.left + w]
-        show = part != f.transparent if f.transparent is not None else np.ones(part.shape, bool)
-        palette = np.zeros((256, 4), np.uint8)
-        palette[: len(f.palette), :3] = f.palette
-        palette[:, 3] = 255
-        area[show] = palette[part[show]]
-        yield canvas.copy()
-        if f.disposal == 2:
-            area[:] = 0
-        elif before is not None:
-            canvas = before
+            yield "invalid"
+            return
+    yield "truncated"
+
+
+def _strip_pictures(data: bytes | None, lo: int, hi: int):
+    """For each frame: the frame, its own indices in rows lo to hi, what shows there (RGBA, after disposal and transparency), and whether its pixels are all there."""
+    canvas = None
+    for x in frames(data):
+        if canvas is None:
+            canvas = np.zeros((hi - lo, x[0], 4), np.uint8)
+        elif isinstance(x, Frame):
+            a, z = max(lo, x.top), min(hi, x.top + x.height)
+            part, whole = x.strip(a - x.top, z - x.top)
+            w = max(0, min(x.width, canvas.shape[1] - x.left))
+            area = canvas[max(0, a - lo) : max(a, z, lo) - lo, x.left : x.left + w]
+            own, part = part, part[:, :w]
+            before = area.copy() if x.disposal == 3 else None
+            show = part != x.transparent if x.transparent is not None else np.ones(part.shape, bool)
+            colours = np.zeros((256, 4), np.uint8)
+            colours[: len(x.palette), :3] = x.palette
+            colours[:, 3] = 255
+            area[show] = colours[part[show]]
+            yield x, own, canvas, whole
+            if not whole:
+                return
+            if x.disposal == 2:
+                area[:] = 0
+            elif before is not None:
+                area[:] = before
 
 
 def histogram(picture: np.ndarray, levels: int = 4) -> np.ndarray:
     """Counts of opaque pixels by colour, each channel cut to ``levels``: levels ** 3 numbers."""
-    opaque = picture[picture[..., 3] > 0][:, :3].astype(np.int64) * levels // 256
-    return np.bincount(opaque @ np.array([levels * levels, levels, 1]), minlength=levels**3)
+    level = (np.arange(256) * levels // 256).astype(np.uint16)
+    bins = (level[picture[..., 0]] * np.uint16(levels) + level[picture[..., 1]]) * np.uint16(levels) + level[picture[..., 2]]
+    return np.bincount(bins[picture[..., 3] > 0], minlength=levels**3)
+
+
+@dataclass
+class Film:
+    width: int
+    height: int
+    delays: list[int]
+    histograms: list[np.ndarray]
+    status: str
+
+
+def film(data: bytes | None, levels: int = 4, max_pixels: int = 1 << 24) -> Film:
+    """Size, delays, histograms of what shows for each frame, and status."""
+    walk = frames(data)
+    width, height = next(walk)
+    status = [x for x in walk if isinstance(x, str)][-1]
+    rows = max(1, max_pixels // max(1, width))
+    delays, sums = [], []
+    for lo in range(0, max(1, height), rows):
+        for k, (f, _, picture, whole) in enumerate(_strip_pictures(data, lo, min(height, lo + rows))):
+            if lo == 0:
+                delays.append(f.delay_ms)
+                sums.append(np.zeros(levels**3, np.int64))
+                status = status if whole else "truncated"
+            sums[k] += histogram(picture, levels)
+    return Film(width, height, delays, sums, status)
 
 
 FRAMES = T.ArrayType(T.StructType([T.StructField("index", T.IntegerType()), T.StructField("delay_ms", T.IntegerType()), T.StructField("histogram", T.ArrayType(T.LongType()))]))
 
 
-def decode(df: DataFrame, media_col: str, keep: list[str], max_pixels: int = 1 << 26, levels: int = 4) -> DataFrame:
-    """``keep`` columns, width, height, n_frames, duration_ms, frames and status of a binary GIF column."""
+def decode(df: DataFrame, media_col: str, keep: list[str], max_pixels: int = 1 << 24, levels: int = 4) -> DataFrame:
+    """``keep`` columns, width, height, n_frames, duration_ms, frames and status of a binary GIF column.
+
+    ``max_pixels`` is how much of a picture is composed at once, not a limit.
+    """
     fields = [T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType()), T.StructField("n_frames", T.IntegerType()), T.StructField("duration_ms", T.LongType()), T.StructField("frames", FRAMES), T.StructField("status", T.StringType())]
     names = {f.name for f in fields}
     keep = [c for c in keep if c not in names]
@@ -218,47 +334,56 @@ def decode(df: DataFrame, media_col: str, keep: list[str], max_pixels: int = 1 <
     def run(batches):
         for b in batches:
             for i, data in enumerate(b.column(len(keep)).to_pylist()):
-                w, h, frames, status = parse(data, max_pixels)
-                rows = [{"index": k, "delay_ms": f.delay_ms, "histogram": histogram(p, levels).tolist()} for k, (f, p) in enumerate(zip(frames, composed(w, h, frames), strict=True))]
-                own = [pa.array([w], pa.int32()), pa.array([h], pa.int32()), pa.array([len(frames)], pa.int32()), pa.array([sum(f.delay_ms for f in frames)], pa.int64()), pa.array([rows], pa.list_(pa.struct([("index", pa.int32()), ("delay_ms", pa.int32()), ("histogram", pa.list_(pa.int64()))]))), pa.array([status])]
+                m = film(data, levels, max_pixels)
+                rows = [{"index": k, "delay_ms": d, "histogram": h.tolist()} for k, (d, h) in enumerate(zip(m.delays, m.histograms, strict=True))]
+                own = [pa.array([m.width], pa.int32()), pa.array([m.height], pa.int32()), pa.array([len(rows)], pa.int32()), pa.array([sum(m.delays)], pa.int64()), pa.array([rows], pa.list_(pa.struct([("index", pa.int32()), ("delay_ms", pa.int32()), ("histogram", pa.list_(pa.int64()))]))), pa.array([m.status])]
                 yield pa.RecordBatch.from_arrays([b.column(j).slice(i, 1) for j in range(len(keep))] + own, names=[f.name for f in schema])
 
     return df.select(*[F.col(base.quoted(c)) for c in keep], F.col(base.quoted(media_col)).alias("__media__")).mapInArrow(run, schema)
 
 
-GREY = np.repeat(np.arange(256, dtype=np.uint8), 3).tobytes()
+_I = np.arange(256)
+#: Three bits of red, three of green, two of blue.
+PALETTE = np.stack([(_I >> 5) * 36, (_I >> 2 & 7) * 36, (_I & 3) * 85], axis=1).astype(np.uint8)
+DELAY = 10  # hundredths of a second
 
 
 def payload_of(text: str) -> tuple[int, bytes]:
     """Unpadded size, and the text's UTF-8 bytes with zero bytes up to a positive multiple of 64."""
     raw = text.encode()
-    return len(raw), raw + bytes(max(64, -(-len(raw) // 64) * 64) - len(raw))
+    return len(raw), raw + bytes(max(SIDE, -(-len(raw) // SIDE) * SIDE) - len(raw))
 
 
 def store_payload(payload: bytes) -> bytes:
-    """A GIF whose pictures hold the payload, 64 pixels a row, at most 65,535 rows a picture."""
-    data = np.frombuffer(payload, np.uint8)
-    rows = len(data) // WIDTH
-    out = [b"GIF89a", WIDTH.to_bytes(2, "little"), min(rows, ROWS).to_bytes(2, "little"), b"\xf7\x00\x00", GREY]
-    for top in range(0, rows, ROWS):
-        n = min(ROWS, rows - top)
-        body = np.frombuffer(lzw_encode_literal(data[top * WIDTH : (top + n) * WIDTH]), np.uint8)
-        full = len(body) // 255
-        grid = np.full((full, 256), 255, np.uint8)
-        grid[:, 1:] = body[: full * 255].reshape(full, 255)
-        rest = body[full * 255 :]
-        out += [b",\x00\x00\x00\x00", WIDTH.to_bytes(2, "little"), n.to_bytes(2, "little"), b"\x00\x08", grid.tobytes(), bytes([len(rest)]) * bool(len(rest)), rest.tobytes(), b"\x00"]
+    """An animation that holds the payload, 64 pixels a row and 64 rows a frame. Zero bytes are transparent, and each frame is
+    cleared before the next, so that every frame shows its own bytes alone."""
+    step = SIDE * SIDE
+    out = [b"GIF89a", SIDE.to_bytes(2, "little"), min(len(payload) // SIDE, SIDE).to_bytes(2, "little"), b"\xf7\x00\x00", PALETTE.tobytes()]
+    for at in range(0, len(payload), step):
+        part = payload[at : at + step]
+        body = lzw_encode(part)
+        out += [b"!\xf9\x04\x09", DELAY.to_bytes(2, "little"), b"\x00\x00,\x00\x00\x00\x00", SIDE.to_bytes(2, "little"), (len(part) // SIDE).to_bytes(2, "little"), b"\x00\x08"]
+        for i in range(0, len(body), 255):
+            out += [bytes([min(255, len(body) - i)]), body[i : i + 255]]
+        out.append(b"\x00")
     return b"".join(out) + b";"
 
 
 def read_payload(media: bytes) -> tuple[bytes, str]:
-    """The payload read back from the stored bytes, and its feature: counts of the pixels in 16 grey levels."""
-    _, _, frames, status = parse(media)
-    if status != "ok":
-        raise ValueError(f"stored picture is {status}")
-    px = np.concatenate([f.indices.ravel() for f in frames])
-    grey = frames[0].palette[:, 0] >> 4
-    return px.tobytes(), ",".join(map(str, np.bincount(grey[np.arange(256)], weights=np.bincount(px, minlength=256), minlength=16).astype(np.int64)))
+    """The payload read back from the stored bytes, and its feature: number and duration (ms) of the frames, and the sum of the
+    colour histograms of what they show."""
+    walk = frames(media)
+    _, height = next(walk)
+    if [x for x in walk if isinstance(x, str)] != ["ok"]:
+        raise ValueError("the stored picture does not read")
+    parts, ms, total = [], 0, np.zeros(64, np.int64)
+    for f, indices, picture, whole in _strip_pictures(media, 0, height):
+        if not whole:
+            raise ValueError("the stored picture is truncated")
+        parts.append(indices.tobytes())
+        ms += f.delay_ms
+        total += histogram(picture)
+    return b"".join(parts), f"{len(parts)};{ms};" + ",".join(map(str, total.tolist()))
 
 
 def store_texts(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, with_media: bool = True) -> DataFrame:

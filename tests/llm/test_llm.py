@@ -226,45 +226,99 @@ def test_tokens_equal_the_library(spark, docs):
         assert coder.decode(np.frombuffer(c, "<i4").tolist()) == t
 
 
-def _lzw(data, size):
-    """A compressing encoder with growing code widths."""
-    clear = 1 << size
-    table, width, out, held, n = {bytes([i]): i for i in range(clear)}, size + 1, 0, 0, b""
-
-    def put(code):
-        nonlocal out, held
-        out |= code << held
-        held += width
-
-    put(clear)
-    top = clear + 2
+def _gif(width, height, parts, shared=None):
+    """A file of (left, top, width, height, bytes of indices, flags) frames, each with its own graphic control."""
+    colours = bytes(shared or [0, 0, 0, 255, 0, 0, 0, 255, 0, 0, 0, 255])
+    out = b"GIF89a" + width.to_bytes(2, "little") + height.to_bytes(2, "little") + b"\x81\x00\x00" + colours
+    for left, top, w, h, px, o in parts:
+        out += b"!\xf9\x04" + bytes([o.get("disposal", 0) << 2 | ("clear" in o)]) + o.get("delay", 0).to_bytes(2, "little") + bytes([o.get("clear", 0)]) + b"\x00"
+        body = media.lzw_encode(bytes(px), 2)
+        out += b"," + b"".join(v.to_bytes(2, "little") for v in (left, top, w, h)) + bytes([0x40 * o.get("interlaced", 0)]) + b"\x02" + b"".join(bytes([len(body[i : i + 255])]) + body[i : i + 255] for i in range(0, len(body), 255)) + b"\x00"
+    return out + b";"
+
+
+def _colours(h):
+    """Black, red, green, blue of a histogram with four levels."""
+    return (int(h[0]), int(h[48]), int(h[12]), int(h[3]))
+
+
+def test_code_streams():
+    rng = np.random.default_rng(2)
+    for size, n, top in ((2, 7, 4), (3, 9000, 6), (8, 50_000, 256), (8, 300_000, 3), (8, 0, 2), (5, 1, 2)):
+        data = rng.integers(0, top, n, dtype=np.uint8).tobytes()
+        stream = media.lzw_encode(data, size)
+        assert media.lzw_decode(stream, size, n).tobytes() == data
+        if n > 100:
+            assert data.startswith(cut := media.lzw_decode(stream[: len(stream) // 2], size, n).tobytes()) and 0 < len(cut) < n
+    # The table stays full without a clear code: codes of 12 bits go on.
+    data = rng.integers(0, 256, 40_000, dtype=np.uint8).tobytes()
+    codes, table, prefix = [256], {bytes([i]): i for i in range(256)}, b""
+    top = 258
     for x in data:
-        y = n + bytes([x])
-        if y in table:
-            n = y
+        if prefix + bytes([x]) in table:
+            prefix += bytes([x])
             continue
-        put(table[n])
+        codes.append(table[prefix])
         if top < 4096:
-            table[y] = top
-            if top == 1 << width and width < 12:
-                width += 1
+            table[prefix + bytes([x])] = top
             top += 1
-        n = bytes([x])
-    put(table[n])
-    put(clear + 1)
-    return out.to_bytes(-(-held // 8), "little")
-
-
-def test_gif_frames():
-    px = np.arange(64 * 70) % 256
-    payload = px.astype(np.uint8).tobytes()
-    assert media.read_payload(media.store_payload(payload))[0] == payload
-    data = bytes(np.random.default_rng(2).integers(0, 6, 9000, dtype=np.uint8))
-    assert media.lzw_decode(_lzw(data, 3), 3, len(data)).tobytes() == data
-    assert len(media.lzw_decode(_lzw(data, 3)[:50], 3, len(data))) < len(data)
-    w, h, frames, status = media.parse(b"GIF89a\x02\x00\x01\x00\x80\x00\x00\x00\x00\x00\xff\xff\xff!\xf9\x04\x05\x0a\x00\x00\x00,\x00\x00\x00\x00\x02\x00\x01\x00\x00\x02\x02\x44\x0a\x00;")
-    assert (w, h, status, frames[0].delay_ms, frames[0].disposal, frames[0].transparent) == (2, 1, "ok", 100, 1, 0)
-    assert media.parse(b"nope")[3] == "invalid" and media.parse(None)[3] == "invalid"
+        prefix = bytes([x])
+    codes += [table[prefix], 257]
+    bits, held, size = 0, 0, 258
+    for i, c in enumerate(codes):
+        width = min(12, max(9, int(min(258 + max(i - 2, 0), 4096)).bit_length()))
+        bits |= c << held
+        held += width
+    assert media.lzw_decode(bits.to_bytes(-(-held // 8), "little"), 8, len(data)).tobytes() == data
+
+
+def test_frames_are_composed():
+    one = (0, 0, 2, 2, [1, 1, 1, 1], {"delay": 5})
+    over = lambda **o: (1, 0, 1, 2, [2, 0], {"delay": 7, "clear": 0, **o})
+    last = (0, 1, 1, 1, [3], {})
+    for disposal, third in ((0, (0, 2, 1, 1)), (1, (0, 2, 1, 1)), (2, (0, 1, 0, 1)), (3, (0, 3, 0, 1))):
+        m = media.film(_gif(2, 2, [one, over(disposal=disposal), last]))
+        assert (m.status, m.delays) == ("ok", [50, 70, 0])
+        assert [_colours(h) for h in m.histograms] == [(0, 4, 0, 0), (0, 3, 1, 0), third], disposal
+    out_of_sight = media.film(_gif(2, 2, [(1, 1, 3, 3, [1] * 9, {}), (5, 5, 2, 2, [2] * 4, {})]))
+    assert [_colours(h) for h in out_of_sight.histograms] == [(0, 1, 0, 0), (0, 1, 0, 0)]
+
+
+def test_strips_and_interlacing():
+    rng = np.random.default_rng(6)
+    px = rng.integers(0, 4, (37, 5))
+    order = [*range(0, 37, 8), *range(4, 37, 8), *range(2, 37, 4), *range(1, 37, 2)]
+    plain = _gif(7, 40, [(1, 2, 5, 37, px.ravel().tolist(), {"disposal": 3}), (0, 0, 7, 40, rng.integers(0, 4, 280).tolist(), {"clear": 2, "disposal": 2}), (3, 30, 2, 4, [1] * 8, {})])
+    woven = _gif(7, 40, [(1, 2, 5, 37, px[order].ravel().tolist(), {"interlaced": 1})])
+    whole = media.film(plain)
+    assert np.array_equal(next(f for f in media.frames(woven) if isinstance(f, media.Frame)).indices, px)
+    assert np.array_equal(media.film(woven).histograms[0], whole.histograms[0])
+    for most in (1, 20, 70, 279):
+        parts = media.film(plain, max_pixels=most)
+        assert parts.delays == whole.delays and all(np.array_equal(a, b) for a, b in zip(parts.histograms, whole.histograms, strict=True))
+    short = media.film(plain[: len(plain) // 2])
+    assert short.status in ("truncated", "invalid") and media.film(b"nope").status == media.film(None).status == "invalid"
+
+
+def test_gif_columns(spark):
+    rows = [(1, bytearray(_gif(2, 1, [(0, 0, 2, 1, [1, 2], {"delay": 3})])), "x"), (2, None, "y"), (3, bytearray(b"GIF89a" + bytes(20)), "z")]
+    got = {r.id: r for r in media.decode(spark.createDataFrame(rows, "id long, gif binary, status string"), "gif", ["id", "status"]).collect()}
+    assert (got[1].status, got[1].n_frames, got[1].duration_ms, _colours(got[1].frames[0].histogram)) == ("ok", 1, 30, (0, 1, 1, 0))
+    assert got[2].status == got[3].status == "invalid" and got[2].frames == []
+
+
+def test_payload_and_feature():
+    for n in (64, 4096, 4160, 20_032):
+        payload = bytes(np.random.default_rng(n).integers(0, 256, n, dtype=np.uint8))
+        stored = media.store_payload(payload)
+        back, feature = media.read_payload(stored)
+        frames, ms, counts = feature.split(";")
+        want = np.zeros(64, int)
+        for x in payload:
+            if x:
+                r, g, b = (int(v) * 4 // 256 for v in media.PALETTE[x])
+                want[r * 16 + g * 4 + b] += 1
+        assert back == payload and (int(frames), int(ms)) == (-(-n // 4096), -(-n // 4096) * 100) and counts == ",".join(map(str, want))
 
 
 def test_media_digests(docs):
