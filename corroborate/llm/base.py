@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -106,36 +107,85 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(~not_held_out(doc_id), F.lit(False))
 
 
-def bounded_sample(df: DataFrame, group: str, per_group: int, key: str, max_groups: int = 256) -> tuple[DataFrame, dict]:
-    """About ``per_group`` rows of each group (all rows of smaller groups), picked by a hash of ``key``.
+def bounded_sample(df: DataFrame, group: str, per_group: int, keys: list[str], max_groups: int = 4096) -> tuple[DataFrame, dict]:
+    """About ``per_group`` rows of each group (all rows of smaller groups), picked by a hash of ``keys``, and the sizes of the groups.
 
-    The bound holds in expectation: rows whose hash falls below per_group / size of their group. Also the sizes of the groups.
+    Rows whose hash falls below per_group / size of their group are taken; equal keys are taken together. In case a key is
+    repeated very often, twice the expected number of rows is a hard bound. Groups, of which there may be ``max_groups``, are not dropped: more raise.
     """
-    sizes = {r[0]: r[1] for r in df.groupBy(group).count().orderBy(F.desc("count"), group).limit(max_groups).collect() if r[0] is not None}
+    sizes = {r[0]: r[1] for r in df.filter(F.col(group).isNotNull()).groupBy(group).count().orderBy(F.desc("count"), group).limit(max_groups + 1).collect()}
+    if len(sizes) > max_groups:
+        raise ValueError(f"{group} has more than {max_groups} values")
     if not sizes:
         return df.filter("false"), {}
     rate = F.lit(0.0)
     for value, n in sizes.items():
         rate = F.when(F.col(group) == F.lit(value), F.lit(min(1.0, per_group / n))).otherwise(rate)
-    u = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit("sample")), F.lit(1_000_000)) / F.lit(1_000_000.0)
-    return df.filter(F.col(group).isNotNull() & (u < rate)), sizes
+    hashed = F.xxhash64(*[F.col(k).cast("string") for k in keys], F.lit("sample"))
+    u = F.shiftrightunsigned(hashed, 12) / F.lit(float(1 << 52))
+    return df.filter(F.col(group).isNotNull() & (u < rate)).limit(2 * sum(min(n, per_group) for n in sizes.values()) + 100), sizes
+
+
+class Spans:
+    """Intervals, sorted once, that are asked whether they meet another one."""
+
+    def __init__(self, spans: list[tuple]):
+        self.starts = sorted(s[0] for s in spans)
+        self.ends, most = [], -1
+        for s in sorted(spans):
+            self.ends.append(most := max(most, s[1]))
+
+    def meet(self, start: int, end: int) -> bool:
+        at = bisect_left(self.starts, end)
+        return at > 0 and self.ends[at - 1] > start
+
+
+def without_overlap(spans: list[tuple]) -> list[tuple]:
+    """Of (rank, start, end, …) the ones, best rank first, that meet none taken before, by start."""
+    starts: list[int] = []
+    taken: list[tuple] = []
+    for x in sorted(spans):
+        at = bisect_left(starts, x[2])
+        if at == 0 or taken[at - 1][2] <= x[1]:
+            starts.insert(at, x[1])
+            taken.insert(at, x)
+    return taken
 
 
 def shared_folder(spark) -> str:
-    """The folder that all executors share, as the cluster names it in spark.checkpoint.dir; a temporary one where that is unset."""
+    """The folder that all executors share, as the cluster names it in spark.checkpoint.dir. Where that is unset, as in tests on one
+    machine, a temporary one; on a cluster that raises, since executors would write to their own disks."""
     import tempfile
 
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir names no folder that executors share")
         root = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
 def materialised(df: DataFrame) -> DataFrame:
-    """Write to a table of its own in the shared folder and read it back: cuts the lineage and survives lost executors."""
+    """Write to a table of its own in the shared folder and read it back: cuts the lineage and survives lost executors.
+
+    The table goes with ``dropped`` once nothing reads it any more; what is still read when a query returns stays until the
+    cluster cleans that folder.
+    """
     import uuid
 
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables that ``materialised`` wrote."""
+    for df in tables:
+        spark = df.sparkSession
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for f in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
+            if "/table-" in f:
+                path = jvm.org.apache.hadoop.fs.Path(f)
+                path.getFileSystem(conf).delete(path, True)

@@ -1,18 +1,18 @@
 """Personal data: exact base patterns, and more spans accepted by boosted trees.
 
-High-recall generators propose overlapping spans (numbers in any grouping, addresses written with "at" and "dot"). Boosted
-trees over format and context features, one for each kind, score them; a Platt scale and a threshold of 0.98 precision
-out of fold decide. Training rows are the candidates of a bounded, hash-picked sample of texts: those on base spans are
-positive, also after rewriting the span (plus sign dropped, separators changed, "@" spelt out); the others are negative.
+High-recall generators propose overlapping spans: every window of neighbouring groups of digits in a run of them, and every
+reading of an address, also one written with "at" and "dot". Boosted trees over format and context features, one for each
+kind, score them; a Platt scale and a threshold of 0.98 precision out of fold decide, and of overlapping spans the likelier one stays.
+Training rows are the candidates of a bounded, hash-picked sample of texts: those that are base spans, and base spans rewritten
+(plus sign dropped, separators changed, "@" spelt out), are positive; all other windows, also those that only overlap one, are negative.
 
 Edge cases: null and empty texts have no spans; an accepted span never overlaps a base span or another accepted one (the
 likelier first, then the earlier); without training candidates only base spans are returned; repeated rows and extra
-columns do not matter. Every pattern is linear in the text's length.
+columns do not matter. Every pattern is linear in the text's length, as is the number of windows.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 import numpy as np
@@ -33,8 +33,13 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
 DIGIT = re.compile(r"[0-9]")
-NUMBER = re.compile(r"[0-9](?:[ ().\-/]{0,3}[0-9]){6,}")
-SPELT = re.compile(r"[A-Za-z0-9._%+-]{1,64}[ ]?(?:@|[(\[]at[)\]]| at )[ ]?[A-Za-z0-9-]{1,63}(?:[ ]?(?:\.|[(\[]dot[)\]]| dot )[ ]?[A-Za-z0-9-]{1,63}){1,5}")
+#: A run of digit groups with up to three separators between them, and its groups.
+NUMBER = re.compile(r"[0-9]++(?:[ ().\-/]{1,3}[0-9]++)*+")
+GROUP = re.compile(r"[0-9]++")
+DIGITS = (7, 19)  # of a window; the phone and card formats that are known have as many
+AT = re.compile(r"[ ]?(?:@|[(\[]at[)\]]| at )[ ]?")
+LABEL = re.compile(r"[A-Za-z0-9-]++")
+DOT = re.compile(r"[ ]?(?:\.|[(\[]dot[)\]]| dot )[ ]?")
 HINTS = {"email": re.compile(r"(?i)mail|contact"), "ip": re.compile(r"(?i)\bip\b|host|addr"), "card": re.compile(r"(?i)card|visa|pay|acc"), "phone": re.compile(r"(?i)tel|phone|call|fax|mobil")}
 
 
@@ -78,16 +83,40 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def candidates(text: str) -> list[tuple[int, int, str]]:
-    """Proposed spans with the family that proposed them."""
+    """Proposed spans, which overlap, with the family that proposed them."""
     out = []
     if DIGIT.search(text):
         for m in NUMBER.finditer(text):
-            s = m.start()
-            while s > 0 and text[s - 1] in "+(" and m.start() - s < 2:
-                s -= 1
-            out.append((s, m.end(), "number"))
+            if m.end() - m.start() < DIGITS[0]:
+                continue
+            groups = [g.span() for g in GROUP.finditer(text, m.start(), m.end())]
+            for i, (start, _) in enumerate(groups):
+                n = 0
+                for j in range(i, len(groups)):
+                    a, z = groups[j]
+                    n += z - a
+                    if n > DIGITS[1]:
+                        break
+                    if n >= DIGITS[0]:
+                        out.append((start, z, "number"))
+                        s = start
+                        while s > 0 and text[s - 1] in "+(" and start - s < 2:
+                            s -= 1
+                        if s < start:
+                            out.append((s, z, "number"))
     if "@" in text or "(at" in text or "[at" in text or " at " in text and (" dot " in text or "." in text):
-        out += [(m.start(), m.end(), "address") for m in SPELT.finditer(text)]
+        last = 0
+        for m in AT.finditer(text):
+            start = m.start()
+            while start > last and text[start - 1] in LOCAL:
+                start -= 1
+            label = LABEL.match(text, m.end())
+            while start < m.start() and label:
+                last = m.end()
+                dot = DOT.match(text, label.end())
+                label = LABEL.match(text, dot.end()) if dot else None
+                if label:
+                    out.append((start, label.end(), "address"))
     return out
 
 
@@ -102,13 +131,16 @@ def features(text: str, start: int, end: int) -> list[float]:
         s.count(" "), s.count("-"), s.count("."), s.count("(") + s.count("/"), s[:1] == "+",
         luhn(digits) if 12 <= len(digits) <= 20 else -1, octets, "@" in s or "(at)" in s or "[at]" in s,
         "(dot)" in s or "[dot]" in s or " dot " in s, sum(c.isalpha() for c in s) / max(1, len(s)),
-        before[-1:].isalnum(), after.isalnum(), sum(c.isdigit() for c in before) / 24,
+        before[-1:].isalnum(), after.isalnum(), before[-1:] == "+", sum(c.isdigit() for c in before) / 24,
+        _digit_near(before[::-1]), _digit_near(text[end : end + 4]), len(set(re.sub("[0-9]", "", s))), len({len(g) for g in groups}), s[:2] == "00",
         *[bool(HINTS[k].search(before)) for k in KINDS],
     ]
 
 
-def _overlaps(spans, start: int, end: int) -> str | None:
-    return next((k for s, e, k in spans if s < end and start < e), None)
+def _digit_near(text: str) -> bool:
+    """Whether a digit follows within three separators: the window could go on."""
+    at = next((i for i, c in enumerate(text[:4]) if c not in " ().-/"), 4)
+    return text[at : at + 1].isdigit()
 
 
 def _rewritten(text: str, start: int, end: int, kind: str):
@@ -118,7 +150,8 @@ def _rewritten(text: str, start: int, end: int, kind: str):
         user, _, host = s.partition("@")
         forms = [f"{user} (at) {host}", f"{user} [at] {host.replace('.', ' [dot] ')}"]
     elif kind == "phone":
-        forms = [s[1:], "00" + s[1:]]
+        d = re.sub("[^0-9]", "", s)
+        forms = [s[1:], "00" + s[1:], "00" + d, f"00{d[:2]} {d[2:]}"]
     elif kind == "card":
         d = s.replace(" ", "").replace("-", "")
         forms = [".".join(d[i : i + 4] for i in range(0, len(d), 4)), "  ".join(d[i : i + 4] for i in range(0, len(d), 4))]
@@ -128,19 +161,20 @@ def _rewritten(text: str, start: int, end: int, kind: str):
 
 
 def training_rows(text: str) -> list[tuple[list[float], str]]:
-    """Features and kind ('' for none) of a text's candidates and of its rewritten base spans."""
+    """Features and kind ('' for none) of a text's candidates and of those in the surroundings of its rewritten base spans."""
     spans = base_spans(text)
-    out = [(features(text, s, e), _overlaps(spans, s, e) or "") for s, e, _ in candidates(text)]
+    exact = {(s, e): k for s, e, k in reversed(spans)}
+    out = [(features(text, s, e), exact.get((s, e), "")) for s, e, _ in candidates(text)]
     for start, end, kind in spans:
         for other, lo, hi in _rewritten(text, start, end, kind):
-            out += [(features(other, s, e), kind) for s, e, _ in candidates(other) if s < hi and lo < e]
+            out += [(features(other, s, e), kind if (s, e) == (lo, hi) else "") for s, e, _ in candidates(other) if s < hi and lo < e]
     return out
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_docs: int = 6000, max_rows: int = 20_000) -> dict[str, boosting.Boosted]:
     """Trees for each kind, from the candidates of about ``n_docs`` texts (at most ``max_rows`` of them)."""
     rows = docs.select(F.col(base.quoted(id_col)).alias("k"), F.col(base.quoted(text_col)).alias("t"), F.lit(1).alias("g")).filter("t is not null")
-    sample, sizes = base.bounded_sample(rows, "g", n_docs, "k", 1)
+    sample, sizes = base.bounded_sample(rows, "g", n_docs, ["k", "t"])
     if not sizes:
         return {}
 
@@ -157,43 +191,40 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_docs:
     return {k: m for k, m in models.items() if m is not None}
 
 
-def added_spans(models: dict, text_list: list[str], spans_list: list[list]) -> list[list[tuple[int, int, str]]]:
-    """Accepted spans beside the base spans of each text."""
-    where = [(i, s, e, fam) for i, t in enumerate(text_list) for s, e, fam in candidates(t) if not _overlaps(spans_list[i], s, e)]
-    out: list[list[tuple[int, int, str]]] = [[] for _ in text_list]
+def added_spans(models: dict, text_list: list[str], spans_list: list[list]) -> list[list[tuple[int, int, str, float]]]:
+    """Accepted spans, with their probability, beside the base spans of each text."""
+    known = [base.Spans(v) for v in spans_list]
+    where = [(i, s, e, fam) for i, t in enumerate(text_list) for s, e, fam in candidates(t) if not known[i].meet(s, e)]
+    out: list[list[tuple[int, int, str, float]]] = [[] for _ in text_list]
     if not where or not models:
         return out
-    x = np.array([features(text_list[i], s, e) for i, s, e, _ in where], dtype=np.float64)
-    scored = []
-    for kind, m in models.items():
-        p = m.probability(x)
-        ok = (p >= m.threshold) & np.array([(fam == "address") == (kind == "email") for *_, fam in where])
-        scored += [(-p[j], where[j][0], where[j][1], where[j][2], kind) for j in np.flatnonzero(ok)]
-    for _, i, s, e, kind in sorted(scored):
-        if not _overlaps(out[i], s, e):
-            out[i].append((s, e, kind))
-    return out
-
-
-def digest(spans) -> str:
-    return ",".join(f"{k}:{s}:{e}" for s, e, k in spans)
-
-
-SPAN = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("kind", T.StringType()), T.StructField("base", T.BooleanType())]))
+    good: list[list[tuple[float, int, int, str]]] = [[] for _ in text_list]
+    for lo in range(0, len(where), 20_000):
+        part = where[lo : lo + 20_000]
+        x = np.array([features(text_list[i], s, e) for i, s, e, _ in part], dtype=np.float64)
+        for kind, m in models.items():
+            p = m.probability(x)
+            ok = (p >= m.threshold) & np.array([(fam == "address") == (kind == "email") for *_, fam in part])
+            for j in np.flatnonzero(ok):
+                good[part[j][0]].append((-float(p[j]), part[j][1], part[j][2], kind))
+    return [[(s, e, kind, -p) for p, s, e, kind in base.without_overlap(v)] for v in good]
+
+
+SPAN = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("kind", T.StringType()), T.StructField("base", T.BooleanType()), T.StructField("p", T.DoubleType())]))
 REDACTED = "redacted_text"
 
 
 def find(docs: DataFrame, models: dict, text_col: str = "text", keep: list[str] | None = None, redact: bool = False) -> DataFrame:
-    """``keep`` columns, ``spans`` (start, end, kind, base) by start, and ``redacted_text`` with ``<KIND>`` for each span if asked."""
+    """``keep`` columns, ``spans`` (start, end, kind, base, p: the probability of added ones) by start, and ``redacted_text`` with ``<KIND>`` for each span if asked."""
     shared = docs.sparkSession.sparkContext.broadcast(models)
     fields = [T.StructField("spans", SPAN)] + [T.StructField(REDACTED, T.StringType())] * redact
 
     def run(texts: list[str]) -> list[pa.Array]:
         spans = [base_spans(t) for t in texts]
         more = added_spans(shared.value, texts, spans)
-        both = [sorted([(s, KINDS.index(k), e, True) for s, e, k in a] + [(s, KINDS.index(k), e, False) for s, e, k in b]) for a, b in zip(spans, more, strict=True)]
+        both = [sorted([(s, KINDS.index(k), e, True, 1.0) for s, e, k in a] + [(s, KINDS.index(k), e, False, p) for s, e, k, p in b]) for a, b in zip(spans, more, strict=True)]
         flat = [x for v in both for x in v]
-        values = pa.StructArray.from_arrays([pa.array([x[0] for x in flat], pa.int32()), pa.array([x[2] for x in flat], pa.int32()), pa.array([KINDS[x[1]] for x in flat], pa.string()), pa.array([x[3] for x in flat], pa.bool_())], names=["start", "end", "kind", "base"])
+        values = pa.StructArray.from_arrays([pa.array([x[0] for x in flat], pa.int32()), pa.array([x[2] for x in flat], pa.int32()), pa.array([KINDS[x[1]] for x in flat], pa.string()), pa.array([x[3] for x in flat], pa.bool_()), pa.array([x[4] for x in flat], pa.float64())], names=["start", "end", "kind", "base", "p"])
         out: list[pa.Array] = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, both)]).astype(np.int32)), values)]
         if redact:
             out.append(pa.array([redacted(t, v) for t, v in zip(texts, both, strict=True)], pa.string()))
@@ -207,12 +238,9 @@ def redacted(text: str, spans) -> str:
     if not spans:
         return text
     parts, at = [], 0
-    for start, k, end, _ in spans:
+    for start, k, end, *_ in spans:
         if start >= at:
             parts += [text[at:start], f"<{KINDS[k].upper()}>"]
         at = max(at, end)
     return "".join(parts) + text[at:]
 
-
-def sha(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()

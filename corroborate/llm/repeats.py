@@ -262,7 +262,7 @@ def _and_last(batches):
     yield None
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, k: int = 48, keep_first: bool = False, keep: list[str] | None = None, with_text: bool = False, shard_runs: int = 512) -> DataFrame:
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, k: int = 48, keep_first: bool = False, keep: list[str] | None = None, with_text: bool = False, shard_runs: int = 1024) -> DataFrame:
     """``keep`` columns (the id alone by default), n_bytes, n_removed, n_spans, kept_sha256 and, if asked, kept_text.
 
     By default every byte that a repeated factor covers goes. With ``keep_first`` the first copy (least id, then least
@@ -312,6 +312,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
             at = F.struct("doc", "place", "h", "content")
             shards = base.materialised(level.groupBy(F.col("shard").alias("shard2")).agg(F.count("*").alias("c"), (F.min("block") != F.max("block")).alias("differ"), F.min(at).alias("top")).filter("c > 1"))
             several = base.materialised(level.join(shards, F.col("shard") == F.col("shard2")))
+            base.dropped(level, shards)
             equal = several.filter("not differ")
             if keep_first:
                 equal = equal.filter(at != F.col("top"))

@@ -220,12 +220,76 @@ def test_tokens_equal_the_library(spark, docs):
     lib = sp.SentencePieceProcessor(model_file=str(public_tokenizers.path("piece_bpe_32k.model")))
     model = queries.tokenizer_model(spark)
     coder = sentencepiece_fst.Coder(sentencepiece_fst.compile_model(model))
-    texts = ["", " ", "  two  spaces   three", "a" * 200, "ﬁ①\x00😀 é\n\n\tx", "x" * 70 + " y", "aaaa aaaaa bbbbbbb", *texts_of(docs.limit(60)).values()]
+    texts = ["", " ", "  two  spaces   three", "a" * 200, "ﬁ①\x00😀 é\n\n\tx", "x" * 70 + " y", "aaaa aaaaa bbbbbbb", " " * 33 + "x" + " " * 17, "\n\n\n", "漢字仮名交じり文" * 40, *texts_of(docs).values()]
     for t, c in zip(texts, coder.encode(texts), strict=True):
         assert np.frombuffer(c, "<i4").tolist() == lib.encode(t), t[:50]
         assert coder.decode(np.frombuffer(c, "<i4").tolist()) == t
 
 
+def _field(number, value):
+    """One field of a protocol buffer message."""
+    varint = lambda n: bytes([*[n >> 7 * i & 127 | 128 for i in range(max(0, (n.bit_length() - 1) // 7))], n >> 7 * max(0, (n.bit_length() - 1) // 7)])
+    if isinstance(value, float):
+        return varint(number << 3 | 5) + np.float32(value).tobytes()
+    if isinstance(value, int):
+        return varint(number << 3) + varint(value)
+    return varint(number << 3 | 2) + varint(len(value)) + value
+
+
+def _model(pieces, bpe, charsmap=b"", prefix=1, squeeze=1, suffix=0):
+    """A serialised model of (piece, score, kind)."""
+    out = b"".join(_field(1, _field(1, p.encode()) + _field(2, float(s)) + _field(3, k)) for p, s, k in pieces)
+    out += _field(2, _field(3, 2 if bpe else 1) + _field(24, suffix) + (_field(35, 1) if any(k == 6 for *_, k in pieces) else b""))
+    return out + _field(3, _field(1, b"x") + (_field(2, charsmap) if charsmap else b"") + _field(3, prefix) + _field(4, squeeze) + _field(5, 1))
+
+
+SPECIAL = [("<unk>", 0, 2), ("<s>", 0, 3), ("</s>", 0, 3)]
+BYTES = [(f"<0x{i:02X}>", 0, 6) for i in range(256)]
+
+
+@pytest.mark.parametrize(("seed", "options"), [(1, {}), (2, {"squeeze": 0}), (3, {"prefix": 0}), (4, {"suffix": 1}), (5, {"bytes": True}), (6, {"map": True}), (7, {"map": True, "bytes": True, "squeeze": 0})])
+def test_unigram_models_equal_the_library(seed, options):
+    sp = pytest.importorskip("sentencepiece")
+    rng = np.random.default_rng(seed)
+    options = dict(options)
+    mark, suffix = "▁", options.get("suffix", 0)
+    words = {"".join(rng.choice(list("abcde"), rng.integers(1, 5))) for _ in range(60)}
+    pieces = {*words, *((w + mark if suffix else mark + w) for w in sorted(words)[::2]), mark, "a", "b", "c"}
+    rows = SPECIAL + (BYTES if options.pop("bytes", False) else []) + [(p, -float(rng.integers(10, 900)) / 64, 1) for p in sorted(pieces)] + [("<sep>", 0, 4), ("dea", -1, 5)]
+    blob = b""
+    if options.pop("map", False):
+        got = dict(sentencepiece_fst._fields(sp.SentencePieceNormalizer(rule_name="nmt_nfkc").serialized_normalizer_spec()))
+        blob = got[2]
+    model = _model([r for i, r in enumerate(rows) if r[0] not in {x[0] for x in rows[:i]}], False, blob, **options)
+    lib, coder = sp.SentencePieceProcessor(model_proto=model), sentencepiece_fst.Coder(sentencepiece_fst.compile_model(model))
+    texts = ["", " ", "   ", "abc", " abc  de ", "xyz", "axxbyyyc z z", "ab<sep>cd <sep> e", "ａｂｃ　ｄｅ", "ﬁ①a\u0301 e\u200bb\tc\nd", "😀a😀😀", *["".join(rng.choice(list("abcdeabcde xé "), rng.integers(0, 60))) for _ in range(200)]]
+    for t, c in zip(texts, coder.encode(texts), strict=True):
+        ids = np.frombuffer(c, "<i4").tolist()
+        assert coder.m.normal(t) == lib.normalize(t), t
+        assert ids == lib.encode(t), t
+        assert coder.decode(ids) == lib.decode(ids), t
+
+
+def test_byte_pair_kinds_equal_the_library():
+    sp = pytest.importorskip("sentencepiece")
+    rng = np.random.default_rng(3)
+    merged = ["ab", "abc", "cd", "bc", "▁a", "▁ab", "de", "cde", "ee", "eee", "▁▁"]
+    kinds = {"abc": 5, "ee": 5}
+    rows = [*SPECIAL, *BYTES, *[(p, -float(i), kinds.get(p, 1)) for i, p in enumerate(merged)], *[(c, -float(len(merged) + i), 1) for i, c in enumerate("▁abcde")], ("<x>", 0, 4), ("dd", 0, 4)]
+    model = _model(rows, True, squeeze=0)
+    lib, coder = sp.SentencePieceProcessor(model_proto=model), sentencepiece_fst.Coder(sentencepiece_fst.compile_model(model))
+    texts = ["".join(rng.choice(["a", "b", "c", "d", "e", " ", "<x>", "é"], rng.integers(0, 40), p=[0.2, 0.18, 0.18, 0.1, 0.2, 0.08, 0.03, 0.03])) for _ in range(400)]
+    for t, c in zip(texts, coder.encode(texts), strict=True):
+        assert np.frombuffer(c, "<i4").tolist() == lib.encode(t), t
+
+
+def test_ids_decode(spark, docs):
+    model = queries.tokenizer_model(spark)
+    coded = sentencepiece_fst.encode(docs, model, keep=["doc_id", "text"])
+    back = sentencepiece_fst.decode(coded, model, keep=["doc_id", "text"])
+    assert back.filter("decoded <> coalesce(text, '')").count() == 0 and back.count() == docs.count()
+
+
 def _gif(width, height, parts, shared=None):
     """A file of (left, top, width, height, bytes of indices, flags) frames, each with its own graphic control."""
     colours = bytes(shared or [0, 0, 0, 255, 0, 0, 0, 255, 0, 0, 0, 255])
