@@ -46,14 +46,10 @@ def lzw_encode(data: bytes, min_size: int = 8) -> bytes:
     codes: list[int] = [clear]
     blocks = [0]  # where each block, a clear code and the codes after it, begins
     roots = [{-1: i} for i in range(clear)]
-    put, top, node = codes.append, clear + 2, None
-    for x in data:
-        if node is None:
-            node = roots[x]
-            continue
-        known = node.get(x)
-        if known is not None:
-            node = known
+    put, top, node = codes.append, clear + 2, roots[data[0]] if data else None
+    for x in data[1:]:
+        if x in node:
+            node = node[x]
             continue
         put(node[-1])
         if top < FULL - 1:
@@ -123,6 +119,8 @@ def lzw_chunks(data: bytes, min_size: int, pixels: int) -> Iterator[bytes]:
     bits = np.concatenate((np.unpackbits(np.frombuffer(data, np.uint8), bitorder="little"), np.zeros(12, np.uint8)))
     clear, end = 1 << min_size, (1 << min_size) + 1
     at, first = 0, 0
+    if len(bits) > 12 + min_size and bits[: min_size + 1] @ (1 << np.arange(min_size + 1)) == clear:
+        at = min_size + 1
     table: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None  # of a block that goes on after its table is full
     while pixels > 0:
         codes, ends = _codes(bits, at, first, min_size)
@@ -263,7 +261,7 @@ def _strip_pictures(data: bytes | None, lo: int, hi: int):
     canvas = None
     for x in frames(data):
         if canvas is None:
-            canvas = np.zeros((hi - lo, x[0], 4), np.uint8)
+            canvas = np.zeros((hi - lo, x[0]), np.uint32)
         elif isinstance(x, Frame):
             a, z = max(lo, x.top), min(hi, x.top + x.height)
             part, whole = x.strip(a - x.top, z - x.top)
@@ -271,12 +269,12 @@ def _strip_pictures(data: bytes | None, lo: int, hi: int):
             area = canvas[max(0, a - lo) : max(a, z, lo) - lo, x.left : x.left + w]
             own, part = part, part[:, :w]
             before = area.copy() if x.disposal == 3 else None
-            show = part != x.transparent if x.transparent is not None else np.ones(part.shape, bool)
             colours = np.zeros((256, 4), np.uint8)
             colours[: len(x.palette), :3] = x.palette
             colours[:, 3] = 255
-            area[show] = colours[part[show]]
-            yield x, own, canvas, whole
+            shown = colours.view(np.uint32).ravel()[part]
+            area[:] = shown if x.transparent is None else np.where(part != x.transparent, shown, area)
+            yield x, own, canvas.view(np.uint8).reshape(*canvas.shape, 4), whole
             if not whole:
                 return
             if x.disposal == 2:
