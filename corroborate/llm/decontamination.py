@@ -1,121 +1,159 @@
 """Benchmark decontamination by templates, with DataFrame functions alone.
 
-A text becomes a template: numbers turn into ``xnumx``, capitalised words inside a sentence into ``xnamex``, units after a
-number into ``xunitx``; the rest is lower-cased, marks fall away. Windows of ``window`` template words are hashed and
-joined to the benchmark's. A pair of text and item counts if at least ``least`` (0.8) of the item's distinct windows occur
-in the text. Then its slots are compared: on the alignment that most windows share, each value in a slot of the item must
-stand for one value in the text; the share of the item's distinct slot values that do is the consistency, and pairs under
-``consistent`` (0.8) are dropped. So a question asked again with other numbers or names is caught, and a text that
-only shares its skeleton is not.
-
-The benchmark's windows are broadcast up to ``broadcast_windows`` of them (16 bytes each, counted first); beyond that the
-join shuffles. Edge cases: null, empty and shorter texts and items of fewer than ``window`` words match nothing (too short
-to be evidence); repeated items each get their pairs; repeated rows of one id count once; extra columns do not matter.
+A text becomes a template: numbers turn into ``xnumx``, capitalised words, wherever they stand, into ``xnamex`` (neighbouring ones into a
+single one, so that names of any number of words are alike), units after a number into ``xunitx``; the rest is lower-cased,
+marks fall away. Windows of ``window`` template words are hashed and joined to the benchmark's. A pair of text and item counts if at
+least ``least`` (0.8) of the item's distinct windows occur in the text. Then its slots are compared: on the
+alignment that most windows share, each value in a slot of the item must stand for one value in the text; the share of the item's
+distinct slot values that do is the consistency, and pairs under ``consistent`` (0.8) are dropped. So a question asked again
+with other numbers or names is caught, and a text that only shares its skeleton is not.
+
+One pass over the texts keeps the windows that any item has (their hashes are broadcast up to ``broadcast_windows`` of them, counted first;
+beyond that the join shuffles). A pair that counts lacks few windows, so it has one of the item's rarest few: only those are joined to find
+pairs, and windows that all items and texts share never meet each other.
+
+Edge cases: null, empty and wordless texts and items match nothing; texts and items of fewer than ``window`` words are one window, whole,
+so that a short item is found where it is the whole text; items that share an id but differ in text are each an item, documents likewise;
+repeated rows count once; rows without an id are cleaned but not reported; extra columns do not matter.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import base
 
 # The patterns, the same in SQL and here.
 JOINED = r"([0-9])[.,:/]([0-9])"
-NAMED = r"(\p{Ll},? )\p{Lu}\p{L}*"
-NUMBER = r"[0-9][0-9_]*"
+NUMBER = r"[0-9]+(?:[.,:/][0-9]+)*"
+NAMED = r"(^|[^\p{L}\p{N}_])\p{Lu}\p{L}*"
 MARKS = r"[^\p{L}\p{N}_]+"
-UNITS = "km|cm|mm|m|kg|g|mg|lb|oz|l|ml|s|min|h|hours|minutes|seconds|days|weeks|months|years|meters|metres|miles|feet|inches|dollars|euros|percent|degrees"
-UNIT = rf"(xnumx )({UNITS})\b"
+NAMES = r"(^| )xnamex(?: xnamex)+( |$)"
+UNITS = (
+    "km|cm|mm|m|kg|g|mg|lb|oz|l|ml|s|min|h|hour|hours|minute|minutes|second|seconds|day|days|week|weeks|month|months|year|years|meter|meters|metre|metres|kilometer|kilometers|kilometre|kilometres|"
+    "mile|miles|foot|feet|inch|inches|yard|yards|gram|grams|kilogram|kilograms|pound|pounds|ounce|ounces|liter|liters|litre|litres|dollar|dollars|cent|cents|euro|euros|percent|degree|degrees"
+)
+UNIT = rf"xnumx (?:{UNITS})( |$)"
 SLOTS = ("xnumx", "xnamex", "xunitx")
 
 
-def numbers_joined(text: Column) -> Column:
-    """1,000 and 3.14 become one word; two passes, as matches cannot overlap."""
-    once = F.regexp_replace(F.coalesce(text, F.lit("")), JOINED, "$1_$2")
-    return F.regexp_replace(once, JOINED, "$1_$2")
-
-
 def _words(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), MARKS, " "))
 
 
-def plain_words(text: Column) -> Column:
-    """Words as they stand, one for each word of the template."""
-    return F.split(_words(numbers_joined(text)), " ")
+def _units(text: Column) -> Column:
+    return F.regexp_replace(text, UNIT, "xnumx xunitx$1")
+
+
+def _marked(text: Column) -> Column:
+    return _words(F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), NUMBER, "xnumx"), NAMED, "$1xnamex"))
 
 
 def template(text: Column) -> Column:
     """Words of the template."""
-    named = numbers_joined(text)
-    for _ in range(2):  # for names of two words
-        named = F.regexp_replace(named, NAMED, "$1xnamex")
-    return F.split(F.regexp_replace(_words(F.regexp_replace(named, NUMBER, "xnumx")), UNIT, "$1xunitx"), " ")
+    return F.split(_units(F.regexp_replace(_marked(text), NAMES, "$1xnamex$2")), " ")
+
+
+def with_slots(texts: DataFrame) -> DataFrame:
+    """``words`` of the template, and ``said``: what stands in the text for each of them (column ``t``); words of a name joined by underscores."""
+    joined = F.coalesce("t", F.lit(""))
+    for _ in range(2):  # all parts of a number: each pass joins every other pair
+        joined = F.regexp_replace(joined, JOINED, "$1_$2")
+    each = texts.withColumns({"w": F.split(_units(_marked(F.col("t"))), " "), "p": F.split(_words(joined), " ")})
+    name = lambda i: F.coalesce(F.get("w", i) == "xnamex", F.lit(False))
+    each = each.withColumn("at", F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: ~((i > 0) & name(i) & name(i - 1))))
+    said = F.transform("at", lambda i, k: F.array_join(F.slice("p", i + 1, F.coalesce(F.get("at", k + 1), F.size("p")) - i), "_"))
+    return each.withColumns({"words": F.transform("at", lambda i: F.get("w", i)), "said": said}).drop("w", "p", "at")
 
 
 def windows(texts: DataFrame, window: int) -> DataFrame:
-    """(id, i, h): hash of the window at word i. ``texts`` has id and words."""
-    full = texts.filter(F.size("words") >= window)
-    at = full.select("id", "words", F.explode(F.sequence(F.lit(0), F.size("words") - window)).alias("i"))
-    return at.select("id", "i", F.xxhash64(*[F.col("words")[F.col("i") + j] for j in range(window)]).alias("h"))
+    """(key, i, h): hash of the window at word i; fewer words are one window. ``texts`` has key and words."""
+    some = texts.filter(F.col("words")[0] != "").select("key", "words")
+    full = some.filter(F.size("words") >= window).select("key", "words", F.explode(F.sequence(F.lit(0), F.size("words") - window)).alias("i"))
+    short = some.filter(F.size("words") < window).select("key", F.lit(0).alias("i"), F.xxhash64(F.array_join("words", " "), F.lit("whole")).alias("h"))
+    return full.select("key", "i", F.xxhash64(*[F.col("words")[F.col("i") + j] for j in range(window)]).alias("h")).unionByName(short)
+
+
+def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(key, id, t): rows of one id and one text share a key."""
+    rows = df.select(F.col(base.quoted(id_col)).alias("id"), F.col(base.quoted(text_col)).alias("t"))
+    return rows.select(F.xxhash64(F.col("id").isNull(), "id", "t").alias("key"), "id", "t")
+
+
+def _pairs(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, window: int, least: float, consistent: float, broadcast_windows: int) -> DataFrame:
+    """(key, item, n_windows, n_found, n_slots, consistency), items and texts by the hash of id and text."""
+    texts = _keyed(docs, id_col, text_col)
+    items = _keyed(benchmark, item_col, item_text_col).filter("id is not null").dropDuplicates(["key"])
+    parts = base.materialised(with_slots(items).select(F.col("key").alias("item"), "words", "said"))
+    wanted = base.materialised(windows(parts.withColumnRenamed("item", "key"), window).groupBy(F.col("key").alias("item"), "h").agg(F.min("i").alias("j")))
+    hashes = wanted.select("h").distinct()
+    side = F.broadcast(hashes) if hashes.count() <= broadcast_windows else hashes
+    hits = base.materialised(windows(texts.select("key", template(F.col("t")).alias("words")), window).join(side, "h").distinct())
+
+    # The item's rarest windows, one more than a pair may lack.
+    often = hits.groupBy("h").agg(F.count("*").alias("n"))
+    totals = wanted.groupBy("item").agg(F.count("*").alias("n_windows"))
+    ranked = wanted.join(often, "h").withColumn("r", F.row_number().over(Window.partitionBy("item").orderBy("n", "h"))).join(totals, "item")
+    # Windows that no text has are not among the ranked ones; a pair lacks them all, and may lack so many fewer others.
+    absent = F.col("n_windows") - F.count("*").over(Window.partitionBy("item"))
+    probes = ranked.withColumn("spare", F.floor(F.col("n_windows") - F.ceil(F.lit(least) * F.col("n_windows") - 1e-9)) - absent).filter((F.col("spare") >= 0) & (F.col("r") <= F.col("spare") + 1)).select("item", "h")
+    near = hits.select("key", "h").distinct()
+    asked = base.materialised(near.join(probes, "h").select("key", "item").distinct())
+    found = asked.join(wanted.select("item", "h"), "item").join(near, ["key", "h"]).groupBy("key", "item").agg(F.count("*").alias("n_found"))
+    close = base.materialised(found.join(totals, "item").filter(F.col("n_found") >= F.lit(least) * F.col("n_windows")))
+
+    votes = close.select("key", "item").join(wanted, "item").join(hits, ["key", "h"]).groupBy("key", "item", (F.col("i") - F.col("j")).alias("shift")).agg(F.count("*").alias("n"))
+    shifts = votes.groupBy("key", "item").agg(F.max(F.struct("n", (-F.col("shift")).alias("back"))).alias("top")).select("key", "item", (-F.col("top.back")).alias("shift"))
+    slots = parts.select("item", "said", F.posexplode("words").alias("s", "word")).filter(F.col("word").isin(*SLOTS)).select("item", "s", F.get("said", F.col("s")).alias("value"))
+    spoken = with_slots(texts.join(close.select("key").distinct(), "key").dropDuplicates(["key"])).select("key", "said")
+    met = shifts.join(slots, "item").join(spoken, "key").select("key", "item", "value", F.get("said", (F.col("s") + F.col("shift")).cast("int")).alias("met"))
+    per_value = met.groupBy("key", "item", "value").agg(((F.countDistinct("met") == 1) & (F.count("met") == F.count("*"))).cast("int").alias("ok"))
+    verdict = per_value.groupBy("key", "item").agg(F.count("*").alias("n_slots"), F.avg("ok").alias("consistency"))
+    out = close.join(verdict, ["key", "item"], "left").select("key", "item", "n_windows", "n_found", F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"), F.coalesce("consistency", F.lit(1.0)).alias("consistency"))
+    return out.filter(F.col("consistency") >= consistent)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 5, least: float = 0.8, consistent: float = 0.8, broadcast_windows: int = 1_000_000) -> DataFrame:
-    """(doc_id, item_id, n_windows, n_found, coverage, n_slots, consistency) of every pair that counts."""
-    items = benchmark.select(F.col(base.quoted(item_col)).alias("id"), F.col(base.quoted(item_text_col)).alias("t")).filter("id is not null").dropDuplicates(["id"])
-    texts = docs.select(F.col(base.quoted(id_col)).alias("id"), F.col(base.quoted(text_col)).alias("t")).filter("id is not null")
-    item_words = items.select("id", template(F.col("t")).alias("words"), plain_words(F.col("t")).alias("plain"))
-    wanted = base.materialised(windows(item_words, window).select(F.col("id").alias("item_id"), F.col("i").alias("j"), "h"))
-    totals = wanted.groupBy(F.col("item_id").alias("item")).agg(F.countDistinct("h").alias("n_windows"))
-    n_wanted = wanted.count()
-    side = F.broadcast(wanted) if n_wanted <= broadcast_windows else wanted
-    hits = windows(texts.select("id", template(F.col("t")).alias("words")), window).join(side, "h").select(F.col("id").alias("doc_id"), "item_id", "h", "i", "j")
-    found = hits.groupBy("doc_id", "item_id", "h", (F.col("i") - F.col("j")).alias("shift")).count()
-    pairs = found.groupBy("doc_id", "item_id").agg(F.countDistinct("h").alias("n_found"))
-    by_shift = found.groupBy("doc_id", "item_id", "shift").agg(F.countDistinct("h").alias("n_shift"))
-    shifts = by_shift.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_shift", F.expr("-shift").alias("back"))).alias("top"))
-    close = pairs.join(totals, pairs["item_id"] == totals["item"]).filter(F.col("n_found") >= F.lit(least) * F.col("n_windows"))
-    slots = item_words.select(F.col("id").alias("item_id"), F.posexplode("words").alias("s", "word"), "plain").filter(F.col("word").isin(*SLOTS)).select("item_id", "s", F.get("plain", F.col("s")).alias("value"))
-    shape = close.select("doc_id", "item_id", "n_windows", "n_found")
-    if slots.isEmpty():  # every item is free of slots: nothing to compare
-        return shape.select("doc_id", "item_id", "n_windows", "n_found", (F.col("n_found") / F.col("n_windows")).alias("coverage"), F.lit(0).cast("long").alias("n_slots"), F.lit(1.0).alias("consistency"))
-    close = base.materialised(shape.join(shifts.select("doc_id", "item_id", (-F.col("top.back")).alias("shift")), ["doc_id", "item_id"]))
-    asked = close.join(slots, "item_id")
-    with_words = texts.join(close.select(F.col("doc_id").alias("id")).distinct(), "id").groupBy("id").agg(F.min("t").alias("t")).select(F.col("id").alias("doc_id"), plain_words(F.col("t")).alias("said"))
-    met = asked.join(with_words, "doc_id").select("doc_id", "item_id", "value", F.get("said", (F.col("s") + F.col("shift")).cast("int")).alias("met"))
-    per_value = met.groupBy("doc_id", "item_id", "value").agg(((F.countDistinct("met") == 1) & (F.count("met") == F.count("*"))).cast("int").alias("ok"))
-    verdict = per_value.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_slots"), F.avg("ok").alias("consistency"))
-    out = close.join(verdict, ["doc_id", "item_id"], "left").select("doc_id", "item_id", "n_windows", "n_found", (F.col("n_found") / F.col("n_windows")).alias("coverage"), F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"), F.coalesce("consistency", F.lit(1.0)).alias("consistency"))
-    return out.filter(F.col("consistency") >= consistent)
+    """(doc_id, item_id, n_windows, n_found, coverage, n_slots, consistency) of every pair of a text and an item that counts."""
+    pairs = base.materialised(_pairs(docs, benchmark, id_col, text_col, item_col, item_text_col, window, least, consistent, broadcast_windows))
+    ids = _keyed(docs, id_col, text_col).select("key", F.col("id").alias("doc_id")).join(pairs.select("key").distinct(), "key").distinct()
+    names = _keyed(benchmark, item_col, item_text_col).select(F.col("key").alias("item"), F.col("id").alias("item_id")).distinct()
+    return pairs.join(ids, "key").join(names, "item").filter("doc_id is not null").select("doc_id", "item_id", "n_windows", "n_found", (F.col("n_found") / F.col("n_windows")).alias("coverage"), "n_slots", "consistency")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that match no item, with their columns; rows without an id stay."""
-    leaked = contaminated(docs, benchmark, id_col=id_col, **options).select(F.col("doc_id").alias("__leaked__")).distinct()
-    return docs.join(leaked, F.col(base.quoted(id_col)) == F.col("__leaked__"), "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 5, least: float = 0.8, consistent: float = 0.8, broadcast_windows: int = 1_000_000) -> DataFrame:
+    """The rows of ``docs`` whose text matches no item, with their columns."""
+    leaked = _pairs(docs, benchmark, id_col, text_col, item_col, item_text_col, window, least, consistent, broadcast_windows).select(F.col("key").alias("__leaked__")).distinct()
+    i, t = F.col(base.quoted(id_col)), F.col(base.quoted(text_col))
+    return docs.join(leaked, F.xxhash64(i.isNull(), i, t) == F.col("__leaked__"), "left_anti")
 
 
 def oracle(documents: str = "documents", window: int = 5) -> str:
     """DuckDB SQL for ``contaminated`` at its defaults."""
-    joined = lambda t: f"regexp_replace(regexp_replace(coalesce({t}, ''), '{JOINED}', '\\1_\\2', 'g'), '{JOINED}', '\\1_\\2', 'g')"
-    words = lambda t: f"trim(regexp_replace(lower({t}), '{MARKS}', ' ', 'g'))"
-    named = lambda t: f"regexp_replace(regexp_replace({joined(t)}, '{NAMED}', '\\1xnamex', 'g'), '{NAMED}', '\\1xnamex', 'g')"
-    templ = lambda t: f"string_split(regexp_replace({words(f"regexp_replace({named(t)}, '{NUMBER}', 'xnumx', 'g')")}, '{UNIT}', '\\1xunitx', 'g'), ' ')"
-    plain = lambda t: f"string_split({words(joined(t))}, ' ')"
+    rx = lambda t, p, to: f"regexp_replace({t}, '{p}', '{to}', 'g')"
+    words = lambda t: f"trim({rx(f'lower({t})', MARKS, ' ')})"
+    plain = lambda t: f"string_split({words(rx(rx(f'''coalesce({t}, '')''', JOINED, chr(92) + '1_' + chr(92) + '2'), JOINED, chr(92) + '1_' + chr(92) + '2'))}, ' ')"
+    marked = lambda t: f"string_split({rx(words(rx(rx(f'''coalesce({t}, '')''', NUMBER, 'xnumx'), NAMED, chr(92) + '1xnamex')), UNIT, 'xnumx xunitx' + chr(92) + '1')}, ' ')"
     slots = ", ".join(f"'{s}'" for s in SLOTS)
+    side = lambda name, key, table: (
+        f"{name}0 AS (SELECT *, row_number() OVER () AS k FROM (SELECT DISTINCT {key}, text FROM {table} WHERE {key} IS NOT NULL)), "
+        f"{name}1 AS (SELECT k, {key}, {marked('text')} AS w, {plain('text')} AS p FROM {name}0), "
+        f"{name}2 AS (SELECT k, {key}, w, p, [i FOR i IN range(1, len(w) + 1) IF NOT (i > 1 AND w[i] = 'xnamex' AND w[i - 1] = 'xnamex')] AS st FROM {name}1 WHERE w[1] <> ''), "
+        f"{name} AS (SELECT k, {key}, [w[i] FOR i IN st] AS w, [array_to_string(p[st[n]:coalesce(st[n + 1] - 1, len(p))], '_') FOR n IN range(1, len(st) + 1)] AS p FROM {name}2), "
+        f"{name}w AS (SELECT k, i, array_to_string(w[i + 1:i + {window}], ' ') AS g FROM (SELECT k, w, unnest(range(0, len(w) - {window} + 1)) AS i FROM {name} WHERE len(w) >= {window}) UNION ALL SELECT k, 0, 'whole ' || array_to_string(w, ' ') FROM {name} WHERE len(w) < {window})"
+    )
     return f"""
-WITH d AS (SELECT doc_id, {templ("text")} AS w, {plain("text")} AS p FROM {documents} WHERE doc_id IS NOT NULL),
-b AS (SELECT item_id, {templ("text")} AS w, {plain("text")} AS p FROM benchmark WHERE item_id IS NOT NULL),
-bw AS (SELECT item_id, j, array_to_string(w[j + 1:j + {window}], ' ') AS g FROM (SELECT item_id, w, unnest(range(0, len(w) - {window} + 1)) AS j FROM b WHERE len(w) >= {window})),
-dw AS (SELECT doc_id, i, array_to_string(w[i + 1:i + {window}], ' ') AS g FROM (SELECT doc_id, w, unnest(range(0, len(w) - {window} + 1)) AS i FROM d WHERE len(w) >= {window})),
-hits AS (SELECT doc_id, item_id, g, i - j AS shift FROM dw JOIN bw USING (g)),
-pairs AS (SELECT doc_id, item_id, count(DISTINCT g) AS n_found FROM hits GROUP BY 1, 2),
-totals AS (SELECT item_id, count(DISTINCT g) AS n_windows FROM bw GROUP BY 1),
-close AS (SELECT * FROM pairs JOIN totals USING (item_id) WHERE n_found >= 0.8 * n_windows),
-shifts AS (SELECT doc_id, item_id, shift FROM (SELECT doc_id, item_id, shift, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY count(DISTINCT g) DESC, shift) AS r FROM hits GROUP BY 1, 2, 3) WHERE r = 1),
-slots AS (SELECT item_id, s, p[s + 1] AS value FROM (SELECT item_id, w, p, unnest(range(0, len(w))) AS s FROM b) WHERE w[s + 1] IN ({slots})),
-met AS (SELECT doc_id, item_id, value, CASE WHEN s + shift >= 0 THEN p[s + shift + 1] END AS met FROM close JOIN shifts USING (doc_id, item_id) JOIN slots USING (item_id) JOIN d USING (doc_id)),
-per_value AS (SELECT doc_id, item_id, value, CASE WHEN count(DISTINCT met) = 1 AND count(met) = count(*) THEN 1 ELSE 0 END AS ok FROM met GROUP BY 1, 2, 3),
-verdict AS (SELECT doc_id, item_id, count(*) AS n_slots, avg(ok) AS consistency FROM per_value GROUP BY 1, 2)
+WITH {side("d", "doc_id", documents)}, {side("b", "item_id", "benchmark")},
+bj AS (SELECT k AS item, g, min(i) AS j FROM bw GROUP BY 1, 2),
+hits AS (SELECT DISTINCT dw.k AS doc, item, g, i - j AS shift FROM dw JOIN bj USING (g)),
+pairs AS (SELECT doc, item, count(DISTINCT g) AS n_found FROM hits GROUP BY 1, 2),
+totals AS (SELECT item, count(*) AS n_windows FROM bj GROUP BY 1),
+close AS (SELECT * FROM pairs JOIN totals USING (item) WHERE n_found >= 0.8 * n_windows),
+shifts AS (SELECT doc, item, shift FROM (SELECT doc, item, shift, row_number() OVER (PARTITION BY doc, item ORDER BY count(*) DESC, shift) AS r FROM hits GROUP BY 1, 2, 3) WHERE r = 1),
+slots AS (SELECT k AS item, s, p[s + 1] AS value FROM (SELECT k, w, p, unnest(range(0, len(w))) AS s FROM b) WHERE w[s + 1] IN ({slots})),
+met AS (SELECT close.doc, close.item, value, CASE WHEN s + shift >= 0 THEN d.p[s + shift + 1] END AS met FROM close JOIN shifts USING (doc, item) JOIN slots USING (item) JOIN d ON d.k = close.doc),
+per_value AS (SELECT doc, item, value, CASE WHEN count(DISTINCT met) = 1 AND count(met) = count(*) THEN 1 ELSE 0 END AS ok FROM met GROUP BY 1, 2, 3),
+verdict AS (SELECT doc, item, count(*) AS n_slots, avg(ok) AS consistency FROM per_value GROUP BY 1, 2)
 SELECT doc_id, item_id, n_windows, n_found, CAST(n_found AS DOUBLE) / n_windows AS coverage, coalesce(n_slots, 0) AS n_slots, coalesce(consistency, 1.0) AS consistency
-FROM close LEFT JOIN verdict USING (doc_id, item_id) WHERE coalesce(consistency, 1.0) >= 0.8"""
+FROM close LEFT JOIN verdict USING (doc, item) JOIN d ON d.k = close.doc JOIN b ON b.k = close.item WHERE coalesce(consistency, 1.0) >= 0.8"""

@@ -76,10 +76,10 @@ class Model:
     switch_penalty: float
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 1500, switch_penalty: float = 12.0, max_langs: int = 64) -> Model:
-    """Learn from at most about ``per_lang`` labelled texts of each of the ``max_langs`` most frequent languages."""
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 1500, switch_penalty: float = 12.0, max_langs: int = 1024) -> Model:
+    """Learn from about ``per_lang`` labelled texts of every language; more than ``max_langs`` of them raise (the model has 128 KB for each)."""
     rows = docs.select(F.col(base.quoted(id_col)).alias("k"), F.col(base.quoted(text_col)).alias("t"), F.col(base.quoted(lang_col)).alias("g")).filter("t is not null and g is not null")
-    sample, sizes = base.bounded_sample(rows, "g", per_lang, "k", max_langs)
+    sample, sizes = base.bounded_sample(rows, "g", per_lang, ["k", "t"], max_langs)
     langs = list(sizes)
 
     def count(batches):

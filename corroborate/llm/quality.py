@@ -1,13 +1,14 @@
 """Quality scores by nearest-neighbour voting in a latent space.
 
-Terms are character-shape trigrams (lower, upper, digit, space, mark as itself) and repeats of the last two words. Terms
+Terms are words (lower-cased, hashed), character-shape trigrams (lower, upper, digit, space, mark as itself) and repeats of the last two words. Terms
 are weighted, centred and projected by a truncated singular value decomposition fitted on a bounded, hash-picked sample of
 labelled texts. The sample's vectors (``per_class`` x 2 rows of ``rank`` numbers) are broadcast; every text gets its exact
 cosine against all of them in blocks, and the ``k`` nearest (ties included) vote, weighted by similarity and by how far
 the sample's class shares differ from the labelled table's.
 
 Edge cases: null and empty texts score like a text without terms (the mean of the labels); with no labelled rows or a
-single class every score is that class's share (0.5 for none); repeated rows and extra columns do not matter.
+single class every score is that class's share (0.5 for none); repeated rows and extra columns do not matter; of several texts with
+one labelled id the least one is learned from.
 """
 
 from __future__ import annotations
@@ -22,8 +23,9 @@ from pyspark.sql import types as T
 
 from . import base
 
-BINS = 2048
-DIMS = BINS + 2
+BINS = 2048  # of shapes
+WORDS = 2048  # of words
+DIMS = BINS + WORDS + 2
 
 
 def _shapes(codes: np.ndarray) -> np.ndarray:
@@ -55,9 +57,12 @@ def term_shares(texts: list[str]) -> np.ndarray:
         word = np.add.reduceat(base.mixed(codes[at].astype(np.uint64) * np.uint64(0x100000001B3) + inside.astype(np.uint64)), np.cumsum(length) - length)
         of = doc[first]
         words = np.maximum(np.bincount(of, minlength=n), 1)
+        spelt = np.add.reduceat(base.mixed(base.lowered(codes[at]).astype(np.uint64) * np.uint64(0x100000001B3) + inside.astype(np.uint64)), np.cumsum(length) - length)
+        which = (base.mixed(spelt) >> np.uint64(53)).astype(np.int64)
+        out[:, BINS : BINS + WORDS] = np.bincount(of * WORDS + which, minlength=n * WORDS).reshape(n, WORDS) / words[:, None]
         for lag in (1, 2):
             same = (word[lag:] == word[:-lag]) & (of[lag:] == of[:-lag])
-            out[:, BINS + lag - 1] = np.bincount(of[lag:][same], minlength=n) / words
+            out[:, BINS + WORDS + lag - 1] = np.bincount(of[lag:][same], minlength=n) / words
     out[np.array([not t for t in texts], dtype=bool)] = 0
     return np.sqrt(out).astype(np.float32)
 
@@ -81,7 +86,7 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", per_class: int = 1500, rank: int = 48, k: int = 25) -> Model:
     """Learn from about ``per_class`` labelled texts of each class. ``labels`` holds (id, 0/1); repeated ids count once."""
     marked = labels.select(F.col(base.quoted(id_col)).alias("k"), F.col(base.quoted(label_col)).cast("int").alias("y")).filter("k is not null and y in (0, 1)").groupBy("k").agg(F.max("y").alias("y"))
-    sample, sizes = base.bounded_sample(marked, "y", per_class, "k", 2)
+    sample, sizes = base.bounded_sample(marked, "y", per_class, ["k"])
     texts = docs.select(F.col(base.quoted(id_col)).alias("k"), F.col(base.quoted(text_col)).alias("t"))
 
     def shares(batches):
@@ -91,8 +96,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 rows = term_shares(t[lo:hi])
                 yield pa.RecordBatch.from_arrays([b.column(1).slice(lo, hi - lo), b.column(2).slice(lo, hi - lo), pa.array([r.astype("<f2").tobytes() for r in rows], pa.binary())], names=["y", "k", "x"])
 
-    # The sample holds about 2 x per_class ids and labels, and reaches the driver as 4 KB a row.
-    got = texts.join(sample.hint("broadcast"), "k").select("t", "y", F.col("k").cast("string").alias("k")).mapInArrow(shares, "y int, k string, x binary").toPandas().sort_values(["k", "x"]) if sizes else None
+    # The sample holds at most 2 x per_class ids of each label, a hard bound, and reaches the driver as 8 KB a row.
+    one = texts.join(F.broadcast(sample), "k").groupBy("k", "y").agg(F.min("t").alias("t"))
+    got = one.select("t", "y", F.col("k").cast("string").alias("k")).mapInArrow(shares, "y int, k string, x binary").toPandas().sort_values(["k", "x"]) if sizes else None
     prior = sizes.get(1, 0) / max(1, sum(sizes.values())) if sizes else 0.5
     if got is None or not len(got) or got["y"].nunique() < 2:
         prior = float(got["y"].mean()) if got is not None and len(got) else prior

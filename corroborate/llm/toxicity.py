@@ -4,8 +4,13 @@ Categories are predicted in order; each model sees presence features of words an
 of the categories before it. Those probabilities are out-of-fold while training, so a later model meets the errors that it
 will meet in use. Fitted on a bounded, hash-picked sample (``per_class`` rows of each class of the last category).
 
+Where the labels have one category alone, others come from the sample: the positive rows that a model over the clearest features
+finds out of fold are the first kind, those it misses another, of which the same may be asked again. Features are picked for each kind apart,
+so that signs of the less open kinds are not crowded out, and the chain's last model combines the kinds as predicted out of fold.
+
 Edge cases: null and empty texts have no feature and get the intercepts' probabilities; with no labelled rows every
-probability is 0; a category with a single class gets its share as a constant; repeated rows and extra columns do not matter.
+probability is 0; a category with a single class gets its share as a constant; repeated rows and extra columns do not matter;
+of several texts with one labelled id the least one is learned from.
 """
 
 from __future__ import annotations
@@ -22,9 +27,6 @@ from . import base
 
 BITS = 17
 
-# Plain English insults; toxic texts that hold one form the category "insult", the others "coded".
-INSULTS = ("clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless")
-
 
 def word_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (text, feature) pairs: hashes of each lower-cased run of letters and of its first five letters."""
@@ -82,14 +84,63 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float = 1e-3
     return w[:-1], float(w[-1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str = "doc_id", text_col: str = "text", per_class: int = 1500, n_features: int = 1500, folds: int = 4) -> Chain:
-    """Learn the chain. ``labels`` has the id and a 0/1 column for each category; the last one balances the sample."""
+def _columns(ids: np.ndarray, row: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
+    """The ``n`` features whose presence differs most between the classes."""
+    pos, tot = np.bincount(ids, weights=y[row], minlength=1 << BITS), np.bincount(ids, minlength=1 << BITS)
+    expected = tot * y.sum() / len(y)
+    chi = np.where(tot > 1, (pos - expected) ** 2 / np.maximum(expected * (1 - tot / (len(y) + 1)), 1e-9), 0)
+    return np.argsort(-chi, kind="stable")[:n]
+
+
+def _matrix(ids: np.ndarray, row: np.ndarray, picked: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Presence of the picked features, and the column of each feature (-1 for none)."""
+    slot = np.full(1 << BITS, -1, np.int32)
+    slot[picked] = np.arange(len(picked), dtype=np.int32)
+    x = np.zeros((n, len(picked)), np.float32)
+    on = slot[ids] >= 0
+    x[row[on], slot[ids[on]]] = 1
+    return x, slot
+
+
+def _out_of_fold(x: np.ndarray, y: np.ndarray, weight: np.ndarray, folds: int) -> np.ndarray:
+    fold, out = np.arange(len(y)) % folds, np.full(len(y), y.mean() if len(y) else 0.0)
+    for f in range(folds):
+        train = fold != f
+        if train.any() and (~train).any():
+            w, b = _logistic(x[train], y[train], weight[train])
+            out[~train] = _sigmoid(x[~train] @ w + b)
+    return out
+
+
+def kinds_of(ids: np.ndarray, row: np.ndarray, y: np.ndarray, weight: np.ndarray, kinds: int, folds: int, n_features: int) -> np.ndarray:
+    """One 0/1 column for each kind of positive rows: those that a linear model over the clearest features finds out of fold, those of
+    the others that a model of theirs finds, and so on; the last kind is what is left."""
+    left, out = y.copy(), np.zeros((len(y), kinds))
+    for k in range(kinds):
+        found = left == 1
+        if k < kinds - 1 and left.sum() >= 2 * folds:
+            keep = (y == 0) | (left == 1)  # rows of earlier kinds are neither positive nor negative here
+            at = np.flatnonzero(keep)
+            where = np.searchsorted(at, row)
+            on = (where < len(at)) & (at[np.minimum(where, len(at) - 1)] == row)
+            x, _ = _matrix(ids[on], where[on], _columns(ids[on], where[on], left[at], n_features), len(at))
+            found = np.zeros(len(y), bool)
+            found[at] = (_out_of_fold(x, left[at], weight[at], folds) >= 0.5) & (left[at] == 1)
+        out[found, k] = 1
+        left = np.where(found, 0, left)
+    return out
+
+
+def fit(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str = "doc_id", text_col: str = "text", per_class: int = 1500, n_features: int = 1500, folds: int = 4, derived: int = 0) -> Chain:
+    """Learn the chain. ``labels`` has the id and a 0/1 column for each category; the last one balances the sample. ``derived`` kinds of
+    the last category, named after it, come before it."""
     y_cols = [F.max(F.col(base.quoted(c)).cast("int")).alias(f"y{j}") for j, c in enumerate(categories)]
     marked = labels.filter(F.col(base.quoted(id_col)).isNotNull()).groupBy(F.col(base.quoted(id_col)).alias("k")).agg(*y_cols).na.drop()
-    last = f"y{len(categories) - 1}"
-    sample, sizes = base.bounded_sample(marked, last, per_class, "k", 2)
-    texts = docs.select(F.col(base.quoted(id_col)).alias("k"), F.col(base.quoted(text_col)).alias("t"))
     n_y = len(categories)
+    last = f"y{n_y - 1}"
+    names = [*categories[:-1], *[f"{categories[-1]}_{i + 1}" for i in range(derived)], categories[-1]]
+    sample, sizes = base.bounded_sample(marked, last, per_class, ["k"])
+    texts = docs.select(F.col(base.quoted(id_col)).alias("k"), F.col(base.quoted(text_col)).alias("t"))
 
     def features(batches):
         for b in batches:
@@ -101,44 +152,33 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str =
                 yield pa.RecordBatch.from_arrays([*own, pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))], names=[f"c{i}" for i in range(n_y + 2)])
 
     schema = ", ".join(f"c{i} int" for i in range(n_y)) + f", c{n_y} string, c{n_y + 1} array<int>"
-    chain = Chain(categories, np.full(1 << BITS, -1, np.int32))
+    chain = Chain(names, np.full(1 << BITS, -1, np.int32))
     if not sizes:
-        chain.models, chain.thresholds = [(np.zeros(j), -30.0) for j in range(n_y)], [0.5] * n_y
+        chain.models, chain.thresholds = [(np.zeros(j), -30.0) for j in range(len(names))], [0.5] * len(names)
         return chain
-    # About 2 x per_class rows reach the driver, each with the features of its text.
-    got = texts.join(sample.hint("broadcast"), "k").select("t", *[f"y{j}" for j in range(n_y)], F.col("k").cast("string").alias("k")).mapInArrow(features, schema).toPandas().sort_values(f"c{n_y}")
+    # At most 2 x per_class rows of each class, a hard bound, are broadcast, and reach the driver with the features of their texts.
+    one = texts.join(F.broadcast(sample), "k").groupBy("k", *[f"y{j}" for j in range(n_y)]).agg(F.min("t").alias("t"))
+    got = one.select("t", *[f"y{j}" for j in range(n_y)], F.col("k").cast("string").alias("k")).mapInArrow(features, schema).toPandas().sort_values(f"c{n_y}")
     ids = np.concatenate([*got[f"c{n_y + 1}"], np.zeros(0)]).astype(np.int64)
     row = np.repeat(np.arange(len(got)), [len(v) for v in got[f"c{n_y + 1}"]])
     y = got[[f"c{j}" for j in range(n_y)]].to_numpy().astype(np.float64).reshape(len(got), n_y)
     if not len(y):
-        chain.models, chain.thresholds = [(np.zeros(j), -30.0) for j in range(n_y)], [0.5] * n_y
+        chain.models, chain.thresholds = [(np.zeros(j), -30.0) for j in range(len(names))], [0.5] * len(names)
         return chain
-    picked: list[int] = []
-    for j in range(n_y):  # the features whose presence differs most between the classes
-        pos = np.bincount(ids, weights=y[row, j], minlength=1 << BITS)
-        tot = np.bincount(ids, minlength=1 << BITS)
-        n, n1 = len(y), y[:, j].sum()
-        expected = tot * n1 / n
-        chi = np.where(tot > 1, (pos - expected) ** 2 / np.maximum(expected * (1 - tot / (n + 1)), 1e-9), 0)
-        picked += list(np.argsort(-chi, kind="stable")[: n_features // n_y])
-    picked = list(dict.fromkeys(picked))
-    chain.slot[picked] = np.arange(len(picked), dtype=np.int32)
-    x = np.zeros((len(y), len(picked)), np.float32)
-    on = chain.slot[ids] >= 0
-    x[row[on], chain.slot[ids[on]]] = 1
     share = y[:, -1].mean()
     prior = sizes.get(1, 0) / sum(sizes.values())
     weight = np.where(y[:, -1] == 1, prior / max(share, 1e-9), (1 - prior) / max(1 - share, 1e-9))
     weight = np.maximum(weight, 0.2)
-    fold = np.arange(len(y)) % folds  # rows are in the order of their ids as text
+    if derived:
+        y = np.concatenate([y[:, :-1], kinds_of(ids, row, y[:, -1], weight, derived, folds, 30), y[:, -1:]], axis=1)
+    n_y = len(names)
+    # Rows are in the order of their ids as text, and so are the folds.
+    picked = np.array(list(dict.fromkeys(np.concatenate([_columns(ids, row, y[:, j], n_features // n_y) for j in range(n_y)]).tolist())))
+    x, chain.slot = _matrix(ids, row, picked, len(y))
     out = np.zeros_like(y)
     for j in range(n_y):
         xj = np.concatenate([x, out[:, :j].astype(np.float32)], axis=1)
-        for f in range(folds):
-            train = fold != f
-            if train.any() and (~train).any():
-                w, b = _logistic(xj[train], y[train, j], weight[train])
-                out[~train, j] = _sigmoid(xj[~train] @ w + b)
+        out[:, j] = _out_of_fold(xj, y[:, j], weight, folds)
         chain.models.append(_logistic(xj, y[:, j], weight))
         grid = np.linspace(0.05, 0.95, 19)
         f1 = [2 * (weight * y[:, j])[out[:, j] >= t].sum() / max(1e-9, weight[out[:, j] >= t].sum() + (weight * y[:, j]).sum()) for t in grid]
@@ -163,13 +203,3 @@ def score(docs: DataFrame, chain: Chain, text_col: str = "text", keep: list[str]
 
     return base.map_text(docs, text_col, run, fields, docs.columns if keep is None else keep)
 
-
-CATEGORIES = ["insult", "coded", "toxic"]
-
-
-def labelled_categories(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, insult, coded, toxic): toxic rows are split by whether the text holds a plain insult."""
-    has = F.lower(F.coalesce(F.col("text"), F.lit(""))).rlike(r"\b(" + "|".join(INSULTS) + r")\b").cast("int")
-    plain = docs.select("doc_id", has.alias("h")).filter("h = 1").groupBy("doc_id").agg(F.max("h").alias("h"))
-    toxic = F.col("toxic").cast("int")
-    return labels.select("doc_id", toxic.alias("toxic")).join(plain, "doc_id", "left").select("doc_id", (toxic * F.coalesce("h", F.lit(0))).alias("insult"), (toxic * (1 - F.coalesce("h", F.lit(0)))).alias("coded"), "toxic")
