@@ -27,9 +27,9 @@ from . import base
 # The patterns, the same in SQL and here.
 JOINED = r"([0-9])[.,:/]([0-9])"
 NUMBER = r"[0-9]+(?:[.,:/][0-9]+)*"
-NAMED = r"(^|[^\p{L}\p{N}_])\p{Lu}\p{L}*"
 MARKS = r"[^\p{L}\p{N}_]+"
-NAMES = r"(^| )xnamex(?: xnamex)+( |$)"
+NAME = r" \p{Lu}[\p{L}\p{N}_]*"  # in words with one space before each
+NAMES = rf"{NAME}(?:{NAME})*"
 UNITS = (
     "km|cm|mm|m|kg|g|mg|lb|oz|l|ml|s|min|h|hour|hours|minute|minutes|second|seconds|day|days|week|weeks|month|months|year|years|meter|meters|metre|metres|kilometer|kilometers|kilometre|kilometres|"
     "mile|miles|foot|feet|inch|inches|yard|yards|gram|grams|kilogram|kilograms|pound|pounds|ounce|ounces|liter|liters|litre|litres|dollar|dollars|cent|cents|euro|euros|percent|degree|degrees"
@@ -38,21 +38,19 @@ UNIT = rf"xnumx (?:{UNITS})( |$)"
 SLOTS = ("xnumx", "xnamex", "xunitx")
 
 
-def _words(text: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(text), MARKS, " "))
+def _spaced(text: Column) -> Column:
+    """The words, case kept, with one space before each."""
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(text, MARKS, " ")))
 
 
-def _units(text: Column) -> Column:
-    return F.regexp_replace(text, UNIT, "xnumx xunitx$1")
-
-
-def _marked(text: Column) -> Column:
-    return _words(F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), NUMBER, "xnumx"), NAMED, "$1xnamex"))
+def _template(text: Column, names: str) -> Column:
+    named = F.regexp_replace(_spaced(F.regexp_replace(F.coalesce(text, F.lit("")), NUMBER, "xnumx")), names, " xnamex")
+    return F.split(F.substring(F.regexp_replace(F.lower(named), UNIT, "xnumx xunitx$1"), 2, 1 << 30), " ")
 
 
 def template(text: Column) -> Column:
     """Words of the template."""
-    return F.split(_units(F.regexp_replace(_marked(text), NAMES, "$1xnamex$2")), " ")
+    return _template(text, NAMES)
 
 
 def with_slots(texts: DataFrame) -> DataFrame:
@@ -60,7 +58,7 @@ def with_slots(texts: DataFrame) -> DataFrame:
     joined = F.coalesce("t", F.lit(""))
     for _ in range(2):  # all parts of a number: each pass joins every other pair
         joined = F.regexp_replace(joined, JOINED, "$1_$2")
-    each = texts.withColumns({"w": F.split(_units(_marked(F.col("t"))), " "), "p": F.split(_words(joined), " ")})
+    each = texts.withColumns({"w": _template(F.col("t"), NAME), "p": F.split(F.lower(F.substring(_spaced(joined), 2, 1 << 30)), " ")})
     name = lambda i: F.coalesce(F.get("w", i) == "xnamex", F.lit(False))
     each = each.withColumn("at", F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: ~((i > 0) & name(i) & name(i - 1))))
     said = F.transform("at", lambda i, k: F.array_join(F.slice("p", i + 1, F.coalesce(F.get("at", k + 1), F.size("p")) - i), "_"))
@@ -132,13 +130,14 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 def oracle(documents: str = "documents", window: int = 5) -> str:
     """DuckDB SQL for ``contaminated`` at its defaults."""
     rx = lambda t, p, to: f"regexp_replace({t}, '{p}', '{to}', 'g')"
-    words = lambda t: f"trim({rx(f'lower({t})', MARKS, ' ')})"
-    plain = lambda t: f"string_split({words(rx(rx(f'''coalesce({t}, '')''', JOINED, chr(92) + '1_' + chr(92) + '2'), JOINED, chr(92) + '1_' + chr(92) + '2'))}, ' ')"
-    marked = lambda t: f"string_split({rx(words(rx(rx(f'''coalesce({t}, '')''', NUMBER, 'xnumx'), NAMED, chr(92) + '1xnamex')), UNIT, 'xnumx xunitx' + chr(92) + '1')}, ' ')"
+    spaced = lambda t: f"concat(' ', trim({rx(t, MARKS, ' ')}))"
+    text, both = "coalesce(text, '')", chr(92) + "1_" + chr(92) + "2"
+    plain = f"string_split(lower(substring({spaced(rx(rx(text, JOINED, both), JOINED, both))}, 2)), ' ')"
+    marked = f"string_split(substring({rx(f'lower({rx(spaced(rx(text, NUMBER, "xnumx")), NAME, " xnamex")})', UNIT, 'xnumx xunitx' + chr(92) + '1')}, 2), ' ')"
     slots = ", ".join(f"'{s}'" for s in SLOTS)
     side = lambda name, key, table: (
         f"{name}0 AS (SELECT *, row_number() OVER () AS k FROM (SELECT DISTINCT {key}, text FROM {table} WHERE {key} IS NOT NULL)), "
-        f"{name}1 AS (SELECT k, {key}, {marked('text')} AS w, {plain('text')} AS p FROM {name}0), "
+        f"{name}1 AS (SELECT k, {key}, {marked} AS w, {plain} AS p FROM {name}0), "
         f"{name}2 AS (SELECT k, {key}, w, p, [i FOR i IN range(1, len(w) + 1) IF NOT (i > 1 AND w[i] = 'xnamex' AND w[i - 1] = 'xnamex')] AS st FROM {name}1 WHERE w[1] <> ''), "
         f"{name} AS (SELECT k, {key}, [w[i] FOR i IN st] AS w, [array_to_string(p[st[n]:coalesce(st[n + 1] - 1, len(p))], '_') FOR n IN range(1, len(st) + 1)] AS p FROM {name}2), "
         f"{name}w AS (SELECT k, i, array_to_string(w[i + 1:i + {window}], ' ') AS g FROM (SELECT k, w, unnest(range(0, len(w) - {window} + 1)) AS i FROM {name} WHERE len(w) >= {window}) UNION ALL SELECT k, 0, 'whole ' || array_to_string(w, ' ') FROM {name} WHERE len(w) < {window})"
