@@ -42,8 +42,10 @@ def term_shares(texts: list[str]) -> np.ndarray:
     size = np.diff(starts)
     n = len(texts)
     s = _shapes(codes)
-    p = np.concatenate((s, [np.uint32(10), np.uint32(10)]))
-    h = p[:-2] * np.uint32(0x9E3779B1) ^ p[1:-1] * np.uint32(0x85EBCA6B) ^ p[2:] * np.uint32(0xC2B2AE35)
+    last, feed = starts[1:] - 1, np.uint32(10)
+    one, two = np.append(s[1:], feed), np.append(s[2:], [feed, feed])[: len(s)]
+    one[last] = two[last] = two[last - 1] = feed  # trigrams do not reach into the next text
+    h = s * np.uint32(0x9E3779B1) ^ one * np.uint32(0x85EBCA6B) ^ two * np.uint32(0xC2B2AE35)
     bins = ((h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(21)).astype(np.int64)
     doc = np.repeat(np.arange(n), size)
     counts = np.bincount(doc * BINS + bins, minlength=n * BINS).reshape(n, BINS) / np.maximum(size, 1)[:, None]
@@ -131,7 +133,7 @@ def vote(model: Model, texts: list[str], block: int = 256) -> np.ndarray:
         part = texts[lo : lo + block]
         cos = model.latent(term_shares(part)) @ model.vectors
         least = np.partition(cos, -model.k, axis=1)[:, -model.k]
-        w = np.where(cos >= least[:, None], np.maximum(cos, 0.01) ** 2, 0) * model.weights
+        w = np.where(cos >= least[:, None] - 1e-6, np.maximum(cos, 0.01) ** 2, 0) * model.weights
         out[lo : lo + block] = np.where([bool(t) for t in part], np.round((w @ model.labels) / w.sum(1), 6), model.prior)
     return np.clip(out, 0, 1)
 

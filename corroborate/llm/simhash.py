@@ -6,19 +6,23 @@ fingerprints are one class before any pair is looked at. Two classes link where
 
 Shards: the 64 bits are cut into b blocks. Of two fingerprints within max_bits, at least b - max_bits blocks are equal, so
 for each choice of that many blocks the Hamming distance over those blocks alone (a pseudo-metric below the full one) puts
-both into the same ball of radius 0. Each class enters one ball for each choice, so that balls overlap and no link is
+both into the same ball of radius 0 around it. Each class enters one ball for each choice, so that balls overlap and no link is
 lost. b grows with the number of classes (5 below two million) to keep balls small; the links are the same for any b.
-Inside a ball a vantage-point tree halves the fingerprints by their distance to a vantage point, and branches that the
-triangle bound excludes are skipped. Balls of over ``ball_rows`` classes are dealt as pairs of parts over several tasks.
+(Balls of the full distance do not shard fingerprints that are nearly random: two in three lie within 4 bits of
+any vantage point's median distance, so that each halving would send two thirds of the queries both ways; see the README.)
+Inside every ball a vantage-point tree halves the fingerprints by their full distance to a vantage point; queries go to both halves
+where the boundary is within ``max_bits``, and branches that the triangle bound excludes are skipped. The trees of all balls of a
+batch grow side by side. Balls of over ``ball_rows`` classes are dealt as pairs of parts over several tasks.
 A ball gives the edges of a spanning forest, never all pairs of a group.
 
-Near copies (``copies``) take candidates from a fingerprint over single words, where edits move few bits, and a second one over
-longer shingles, and, as an inserted passage moves both far, from an exact prefix filter on the shingle sets; a pair counts
-only if the Jaccard similarity of the two shingle sets, counted exactly, is high enough.
+Near copies (``copies``) are texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, counted exactly.
+Candidates come from fingerprints over single words, where edits move few bits, and over shingles, a cheap way through large groups;
+and, as an inserted passage moves both far, from an exact prefix filter on the shingle sets, in which
+fingerprints of 256 bits rule out unlike pairs before any sets are fetched.
 
 Edge cases: null and empty texts have fingerprint zero and link like any other; repeated rows and equal texts share a
 class; an empty table gives an empty result; a null id takes part, and its component is the least id that is not null;
-extra columns do not matter.
+rows that share an id and differ in text are told apart by both; extra columns do not matter.
 """
 
 from __future__ import annotations
@@ -93,62 +97,88 @@ class _Union:
             self.up[max(x, y)] = min(x, y)
 
 
-def tree_links(fps: np.ndarray, radius: int, second: np.ndarray, second_radius: int, leaf: int = 256):
-    """Index pairs that connect all rows within both radii of each other, by a vantage-point tree over ``fps``.
+def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least row that each of n rows is connected to by the pairs (a, b)."""
+    root = np.arange(n)
+    while True:
+        least = np.minimum(root[a], root[b])
+        new = root.copy()
+        for x in (a, b, root[a], root[b]):
+            np.minimum.at(new, x, least)
+        new = new[new]
+        if np.array_equal(new, root):
+            return root
+        root = new
 
-    At a node, queries visit the inner half if their distance to the vantage point is at most the median plus the radius, and
-    the outer half if it is over the median less the radius.
+
+def tree_links(ball: np.ndarray, fps: np.ndarray, radius: int, second: np.ndarray, second_radius: int, leaf: int = 8, block: int = 1 << 20):
+    """Index pairs that connect all rows of the same ball within both radii of each other, by a vantage-point tree for each ball.
+
+    All trees grow together, a level at a time. A node's first row is its vantage point; its rows are halved at the median distance
+    to it. Queries visit the inner half if their distance is at most the median plus the radius, and the outer half if it
+    is over the median less the radius. In a leaf each query gives a pair with the first row near it, and the rows near one query are paired with
+    each other's first.
     """
-    todo = [(np.arange(len(fps)), np.arange(len(fps)))]
-    while todo:
-        members, queries = todo.pop()
-        if not len(queries) or not len(members):
-            continue
-        if len(members) > leaf:
-            vantage = fps[members[0]]
-            d, q = distance(fps[members], vantage), distance(fps[queries], vantage)
-            middle = np.sort(d)[len(d) // 2]
-            if (d > middle).any():
-                todo.append((members[d <= middle], queries[q <= middle + radius]))
-                todo.append((members[d > middle], queries[q.astype(np.int64) > int(middle) - radius]))
-                continue
-        for lo in range(0, len(members), leaf):
-            part = members[lo : lo + leaf]
-            for at in range(0, len(queries), 4096):
-                some = queries[at : at + 4096]
-                near = distance(fps[some][:, None], fps[part][None, :]) <= radius
-                r, c = np.nonzero(near)
-                if second_radius < 64:
-                    good = distance(second[some[r]], second[part[c]]) <= second_radius
-                    r, c = r[good], c[good]
-                if not len(r):
-                    continue
-                first = np.flatnonzero(np.diff(r, prepend=-1))
-                yield some[r[first]], part[c[first]]
-                lead = np.repeat(c[first], np.diff(np.append(first, len(r))))
-                pair = np.unique(lead * leaf + c)
-                yield part[pair // leaf], part[pair % leaf]
-
-
-def forest(fps: np.ndarray, radius: int, second: np.ndarray, second_radius: int) -> np.ndarray:
-    """Index of the root of each row's component under links within both radii."""
-    u = _Union(len(fps))
-    for a, b in tree_links(fps, radius, second, second_radius):
-        for x, y in zip(a.tolist(), b.tolist(), strict=True):
-            if x != y:
-                u.join(x, y)
-    return np.array([u.find(i) for i in range(len(fps))])
-
-
-def _small_links(key: np.ndarray, fps: np.ndarray, radius: int, second: np.ndarray, second_radius: int):
-    """Pairs within both radii in the same small ball; keys are sorted."""
-    for lag in range(1, len(key)):
-        same = key[lag:] == key[:-lag]
-        if not same.any():
-            return
-        i = np.flatnonzero(same)
-        hit = i[(distance(fps[i], fps[i + lag]) <= radius) & (distance(second[i], second[i + lag]) <= second_radius)]
-        yield from zip(hit.tolist(), (hit + lag).tolist(), strict=True)
+    start = np.flatnonzero(np.diff(ball, prepend=-1) != 0) if len(ball) else np.zeros(0, np.int64)
+    node = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(ball))))
+    members, queries = np.arange(len(ball)), np.arange(len(ball))
+    m_node, q_node = node, node.copy()
+    while len(members):
+        n = int(m_node[-1]) + 1
+        size = np.bincount(m_node, minlength=n)
+        first = np.cumsum(size) - size
+        vantage = fps[members[first[np.minimum(np.arange(n), n - 1)] * (size > 0)]]
+        d, q = distance(fps[members], vantage[m_node]).astype(np.int64), distance(fps[queries], vantage[q_node]).astype(np.int64)
+        order = np.lexsort((d, m_node))
+        members, d = members[order], d[order]
+        middle = d[np.minimum(first + (size - 1) // 2, len(d) - 1)]
+        top = d[np.minimum(first + np.maximum(size, 1) - 1, len(d) - 1)]
+        split = (size > leaf) & (top > middle)
+        # Leaves: every query against every row, in blocks.
+        on = np.flatnonzero(~split[q_node] & (size[q_node] > 0))
+        each = size[q_node[on]]
+        lo = 0
+        sums = np.cumsum(each)
+        while lo < len(on):
+            hi = max(lo + 1, int(np.searchsorted(sums, (sums[lo - 1] if lo else 0) + block, side="right")))
+            part, k = on[lo:hi], each[lo:hi]
+            row = np.repeat(np.arange(len(part)), k)
+            at = np.arange(int(k.sum())) - np.repeat(np.cumsum(k) - k, k) + np.repeat(first[q_node[part]], k)
+            x, y = queries[part][row], members[at]
+            near = distance(fps[x], fps[y]) <= radius
+            if second_radius < 64:
+                near &= distance(second[x], second[y]) <= second_radius
+            row, x, y = row[near], x[near], y[near]
+            if len(row):
+                begins = np.flatnonzero(np.diff(row, prepend=-1))
+                lead = np.repeat(y[begins], np.diff(np.append(begins, len(row))))
+                yield x[begins], y[begins]
+                both = np.unique(lead * len(fps) + y)
+                yield both // len(fps), both % len(fps)
+            lo = hi
+        # The others: two nodes each.
+        m_on, q_on = split[m_node], split[q_node]
+        outer = d > middle[m_node]
+        m_new = (2 * m_node + outer)[m_on]
+        inner_q, outer_q = q_on & (q <= middle[q_node] + radius), q_on & (q > middle[q_node] - radius)
+        q_new = np.concatenate((2 * q_node[inner_q], 2 * q_node[outer_q] + 1))
+        members, queries = members[m_on], np.concatenate((queries[inner_q], queries[outer_q]))
+        kept, m_new = np.unique(m_new, return_inverse=True)  # numbered anew, without empty nodes
+        at = np.searchsorted(kept, q_new)
+        fits = (at < len(kept)) & (kept[np.minimum(at, len(kept) - 1)] == q_new) if len(kept) else np.zeros(len(q_new), bool)
+        order = np.argsort(m_new, kind="stable")
+        members, m_node, queries, q_node = members[order], m_new[order], queries[fits], at[fits]
+
+
+def forest(fps: np.ndarray, radius: int, second: np.ndarray, second_radius: int, ball: np.ndarray | None = None) -> np.ndarray:
+    """Index of the root of each row's component under links within both radii in one ball."""
+    ball = np.zeros(len(fps), np.int64) if ball is None else ball
+    root = np.arange(len(fps))
+    for a, b in tree_links(ball, fps, radius, second, second_radius):
+        on = root[a] != root[b]
+        if on.any():
+            root = roots(len(fps), np.concatenate((np.arange(len(fps)), a[on])), np.concatenate((root, b[on])))
+    return root
 
 
 def _ball_edges(max_bits: int, second_bits: int):
@@ -165,20 +195,11 @@ def _ball_edges(max_bits: int, second_bits: int):
             if not cut:
                 continue
             group = np.concatenate(([0], np.cumsum(ball[: cut - 1])))
-            fps, second, ids = done[2].view(np.uint64), done[3].view(np.uint64), done[4]
-            size = np.bincount(group)
-            small = size[group] <= 64
-            u = _Union(cut)
-            at = np.flatnonzero(small)
-            for x, y in _small_links(group[at], fps[at], max_bits, second[at], second_bits):
-                u.join(int(at[x]), int(at[y]))
-            root = np.array([u.find(i) for i in range(cut)], np.int64)
-            starts = np.cumsum(size) - size
-            for g in np.flatnonzero(size > 64):
-                own = slice(starts[g], starts[g] + size[g])
-                root[own] = forest(fps[own], max_bits, second[own], second_bits) + starts[g]
-            at = np.flatnonzero(root != np.arange(cut))
-            yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(ids[root[at]])], names=["a", "b"])
+            alone = np.bincount(group)[group] == 1
+            done, group = np.ascontiguousarray(done[:, ~alone]), group[~alone]
+            root = forest(done[2].view(np.uint64), max_bits, done[3].view(np.uint64), second_bits, group)
+            at = np.flatnonzero(root != np.arange(len(root)))
+            yield pa.RecordBatch.from_arrays([pa.array(done[4][at]), pa.array(done[4][root[at]])], names=["a", "b"])
 
     return run
 
@@ -197,7 +218,7 @@ def links(classes: DataFrame, max_bits: int = 4, second_bits: int = 64, ball_row
     masks = [sum(((1 << int(edges[i + 1])) - (1 << int(edges[i]))) for i in chosen) for chosen in combinations(range(blocks), blocks - max_bits)]
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     ball = F.explode(F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(signed)])).alias("ball")
-    dealt = classes.filter("id is not null").select("fp", "fp2", "id", ball)
+    dealt = classes.select("fp", "fp2", "id", ball)
     hot = dealt.groupBy("ball").count().filter(F.col("count") > ball_rows).select("ball", F.ceil(F.col("count") / ball_rows).cast("int").alias("parts"))
     with_parts = dealt.join(hot, "ball", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     own = F.pmod(F.xxhash64("fp", F.lit(1)), F.col("parts")).cast("int")
@@ -210,15 +231,14 @@ def links(classes: DataFrame, max_bits: int = 4, second_bits: int = 64, ball_row
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, max_bits: int = 4) -> DataFrame:
     """The id, ``fp`` (signed long) and ``component_id``, the least id reachable, for every row. Ids are integers."""
     marked = base.materialised(with_fingerprint(docs, text_col, [id_col], words))
-    classes = base.materialised(marked.groupBy("fp").agg(F.min(F.col(base.quoted(id_col)).cast("long")).alias("id")).withColumn("fp2", F.lit(0).cast("long")))
-    return _named(marked, classes, components(links(classes, max_bits)), ["fp"])
-
-
-def _named(marked: DataFrame, classes: DataFrame, found: DataFrame, key: list[str]) -> DataFrame:
-    """``marked`` with the component of each row's class."""
-    named = classes.join(found, classes["id"] == found["node"], "left").select(*[F.col(c).alias(f"__{c}__") for c in key], F.coalesce("component", "id").alias("component_id"))
-    on = [marked[c] == named[f"__{c}__"] for c in key]
-    return marked.join(named, on, "left").drop(*[f"__{c}__" for c in key])
+    classes = base.materialised(marked.groupBy("fp").agg(F.min(F.col(base.quoted(id_col)).cast("long")).alias("least")))
+    nodes = classes.select("fp", F.lit(0).cast("long").alias("fp2"), F.col("fp").alias("id"))
+    found = components(links(nodes, max_bits))
+    of_class = classes.join(found, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    of_class = base.materialised(of_class)
+    least = of_class.groupBy(F.col("component").alias("c")).agg(F.min("least").alias("component_id"))
+    named = of_class.join(least, F.col("component") == F.col("c")).select(F.col("fp").alias("__fp__"), "component_id")
+    return marked.join(named, F.col("fp") == F.col("__fp__"), "left").drop("__fp__")
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -227,13 +247,32 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / union if (union := len(a) + len(b) - both) else 1.0
 
 
+SKETCH = ("fp2", "s1", "s2", "s3")  # 256 bits of fingerprint over shingles
+
+
+def sketches(shingles: list[list[int]]) -> list[np.ndarray]:
+    """Four fingerprints of each set, over as many hashes of its shingles; the first is the plain one."""
+    flat = np.array([x for h in shingles for x in h], np.uint64)
+    ends = np.cumsum([len(h) for h in shingles])
+    n = np.diff(ends, prepend=0)
+    out = []
+    for i in range(4):
+        bits = np.unpackbits((flat if i == 0 else base.mixed(flat + np.uint64(i))).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        fps, full = np.zeros(len(shingles), np.uint64), np.flatnonzero(n)
+        if len(full):
+            ones = np.add.reduceat(bits, (ends - n)[full], axis=0, dtype=np.int64)
+            fps[full] = np.packbits(2 * ones > n[full][:, None], axis=1, bitorder="little").view("<u8").ravel()
+        out.append(fps)
+    return out
+
+
 def _marks(words: int):
-    """Fingerprints over distinct words and over distinct shingles, and a hash and the size of the shingle set."""
+    """Fingerprints over distinct words and (four) over distinct shingles, and a hash and the size of the shingle set."""
 
     def run(texts: list[str]) -> list[pa.Array]:
         one, many = [list(set(shingle_hashes(t, 1))) for t in texts], [list(set(shingle_hashes(t, words))) for t in texts]
         content = np.array([base.mixed(np.array(h, np.uint64)).sum(dtype=np.uint64) for h in many], np.uint64)
-        return [pa.array(x.view(np.int64)) for x in (majority(one), majority(many), content)] + [pa.array([len(h) for h in many], pa.int64())]
+        return [pa.array(x.view(np.int64)) for x in (majority(one), *sketches(many), content)] + [pa.array([len(h) for h in many], pa.int64())]
 
     return run
 
@@ -246,18 +285,6 @@ def _sets(words: int):
     return run
 
 
-def _near_lead(least: float):
-    """Whether each row's shingle set is near that of its group's leader."""
-
-    def run(batches):
-        for b in batches:
-            own, lead = b.column("shingles").to_pylist(), b.column("lead").to_pylist()
-            near = [similarity(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")) >= least for x, y in zip(own, lead, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("lead_id"), pa.array(near, pa.bool_())], names=["id", "lead_id", "near"])
-
-    return run
-
-
 def _near_open(least: float, max_bits: int):
     """Edges (a, b) of near pairs of an open row (they come first in each task's group) and any row, less those that join nothing new."""
 
@@ -294,35 +321,43 @@ def _near_open(least: float, max_bits: int):
     return run
 
 
-def near_pairs(docs: DataFrame, groups: DataFrame, words: int, least: float, max_bits: int, task_bytes: int = 1 << 24, least_bytes: int = 1 << 18) -> DataFrame:
-    """Edges (a, b) that connect the rows of ``docs`` (id, text) in the same group of ``groups`` (id, comp) whose shingle sets have
-    at least that similarity.
+def _against(sets: DataFrame, open_: DataFrame, least: float, max_bits: int, task_bytes: int, least_bytes: int) -> DataFrame:
+    """Edges (a, b) between the rows of ``sets`` (comp, id, fp2, shingles) and the open ones of their group (open_: id, known).
 
-    First every row is held against its group's leader, the least id: one pass, however large the group. Only rows that are
-    not near it stay open, and only pairs with an open row are looked at again (fingerprints within ``max_bits`` and fitting
-    sizes, then exactly): other pairs are connected through the leader. A group's open rows are cut into parts of about ``task_bytes``, and
-    the rows they are held against into slices as large as its open rows (between ``least_bytes`` and ``task_bytes``): a group
-    spreads over many tasks, yet few open rows are copied no more often than there are rows.
+    A group's open rows are cut into parts of about ``task_bytes``, and the rows they are held against into slices as large as its open
+    rows (between ``least_bytes`` and ``task_bytes``): a group spreads over many tasks, and open rows are copied once for a slice.
+    Rows that are not open count as connected to each other if ``known``.
     """
-    sized = base.map_text(docs.join(groups, "id"), "text", _sets(words), [T.StructField("fp2", T.LongType()), T.StructField("shingles", T.BinaryType())], ["comp", "id"])
-    sets = base.materialised(sized)
-    lead = sets.groupBy("comp").agg(F.min("id").alias("lead_id"), F.min_by("shingles", "id").alias("lead"))
-    held = base.materialised(sets.join(lead, "comp").select("id", "shingles", "lead", "lead_id").mapInArrow(_near_lead(least), "id long, lead_id long, near boolean"))
-    first = held.filter("near").select(F.col("id").alias("a"), F.col("lead_id").alias("b"))
-    rest = held.filter("not near").select("id").distinct().withColumn("open", F.lit(True))
-    flagged = sets.join(rest, "id", "left").withColumn("open", F.coalesce("open", F.lit(False)))
+    flagged = sets.join(open_.withColumn("open", F.lit(True)), "id", "left").withColumn("open", F.coalesce("open", F.lit(False)))
     n_bytes = F.octet_length("shingles") + 64
-    sizes = flagged.groupBy("comp").agg(F.sum(F.when(F.col("open"), n_bytes)).alias("n_open"), F.sum(n_bytes).alias("n_all")).filter("n_open is not null")
+    sizes = flagged.groupBy("comp").agg(F.sum(F.when(F.col("open"), n_bytes)).alias("n_open"), F.sum(n_bytes).alias("n_all"), F.bool_or("known").alias("k")).filter("n_open is not null")
     slice_bytes = F.greatest(F.lit(least_bytes), F.least(F.col("n_open"), F.lit(task_bytes)))
-    parts = sizes.select("comp", F.ceil(F.col("n_open") / task_bytes).cast("int").alias("parts"), F.ceil(F.col("n_all") / slice_bytes).cast("int").alias("slices"))
+    parts = base.materialised(sizes.select("comp", F.ceil(F.col("n_open") / task_bytes).cast("int").alias("parts"), F.ceil(F.col("n_all") / slice_bytes).cast("int").alias("slices"), "k"))
     rows = flagged.join(parts, "comp")
-    fields = ["comp", "task", "member", F.col("open").alias("was_open"), "id", "fp2", "shingles"]
+    fields = ["comp", "task", "member", (~F.col("open") & F.col("k")).alias("covered"), "id", "fp2", "shingles"]
     own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int") * F.col("slices")
     open_rows = rows.filter("open").withColumn("task", F.explode(F.sequence(own, own + F.col("slices") - 1))).withColumn("member", F.lit(False)).select(*fields)
     mine = F.pmod(F.xxhash64("id", F.lit(1)), F.col("slices")).cast("int")
     members = rows.withColumn("task", F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: i * F.col("slices") + mine))).withColumn("member", F.lit(True)).select(*fields)
-    dealt = open_rows.unionByName(members).withColumn("covered", ~F.col("was_open")).drop("was_open")
-    again = dealt.repartition("comp", "task").sortWithinPartitions("comp", "task", "member").mapInArrow(_near_open(least, max_bits), "a long, b long")
+    return open_rows.unionByName(members).repartition("comp", "task").sortWithinPartitions("comp", "task", "member").mapInArrow(_near_open(least, max_bits), "a long, b long")
+
+
+def near_pairs(docs: DataFrame, groups: DataFrame, words: int, least: float, max_bits: int, task_bytes: int = 1 << 24, least_bytes: int = 1 << 18) -> DataFrame:
+    """Edges (a, b) that connect the rows of ``docs`` (id, text) in the same group of ``groups`` (id, comp) whose shingle sets have
+    at least that similarity.
+
+    First every row is held against its group's leader, the least id: one pass, however large the group. Only rows that are
+    not near it stay open, and only pairs with an open row are looked at again (fingerprints within ``max_bits`` and fitting
+    sizes, then exactly): other pairs are connected through the leader.
+    """
+    sized = base.map_text(docs.join(groups, "id"), "text", _sets(words), [T.StructField("fp2", T.LongType()), T.StructField("shingles", T.BinaryType())], ["comp", "id"])
+    sets = base.materialised(sized)
+    leaders = sets.groupBy("comp").agg(F.min("id").alias("id"))
+    first = base.materialised(_against(sets, leaders.select("id", F.lit(False).alias("known")), least, max_bits, task_bytes, least_bytes))
+    near = first.select(F.col("a").alias("id")).union(first.select(F.col("b").alias("id"))).union(leaders.select("id")).distinct()
+    rest = sets.select("id").distinct().join(near, "id", "left_anti").withColumn("known", F.lit(True))
+    again = base.materialised(_against(sets, rest, least, max_bits, task_bytes, least_bytes))
+    base.dropped(sets)
     return first.unionByName(again)
 
 
@@ -383,13 +418,13 @@ def _shared(batches):
         yield pa.RecordBatch.from_arrays([pa.array(both[i, keep]) for i in range(2)], names=["h", "id"])
 
 
-def _cross_pairs(least: float, max_bits: int, small: int):
+def _cross_pairs(least: float, max_bits: int, small_bits: int, small: int):
     """Pairs (a, b) in one list of rows that may be near and are not connected yet."""
 
     def run(batches):
         held = None
         for b in _and_last(batches):
-            now = None if b is None else np.stack([b.column(i).to_numpy() for i in range(6)])
+            now = None if b is None else np.stack([b.column(i).to_numpy() for i in range(9)])
             both = held if now is None else now if held is None else np.concatenate([held, now], axis=1)
             if both is None or not both.shape[1]:
                 continue
@@ -398,17 +433,16 @@ def _cross_pairs(least: float, max_bits: int, small: int):
             held, found = both[:, cut:], []
             bounds = [0, *[e for e in edge.tolist() if e < cut], cut]
             for lo, hi in zip(bounds, bounds[1:], strict=False):
-                _, _, id_, fp, size, comp = both[:, lo:hi]
-                fp = np.ascontiguousarray(fp).view(np.uint64)
+                id_, size, comp = both[2, lo:hi], both[3, lo:hi], both[4, lo:hi]
+                sketch = np.ascontiguousarray(both[5:, lo:hi]).view(np.uint64)
+                if (comp == comp[:1]).all():
+                    continue
                 for at in range(0, hi - lo, 1024):
                     i = slice(at, at + 1024)
-                    fit = comp[i, None] != comp[None, :]
-                    if not fit.any():
-                        continue
                     low, high = np.minimum(size[i, None], size[None, :]), np.maximum(size[i, None], size[None, :])
-                    fit &= (low >= least * high - 1e-9) & (id_[i, None] > id_[None, :])
-                    r, c = np.nonzero(fit)
-                    good = (distance(fp[r + at], fp[c]) <= max_bits) | (low[r, c] < small)
+                    r, c = np.nonzero((comp[i, None] != comp[None, :]) & (low >= least * high - 1e-9) & (id_[i, None] > id_[None, :]))
+                    bits = sum(distance(sketch[k][r + at], sketch[k][c]).astype(np.int64) for k in range(4))
+                    good = bits <= np.where(low[r, c] < small, small_bits, max_bits)
                     found.append(np.stack([id_[r[good] + at], id_[c[good]]]))
             if found:
                 pairs = np.unique(np.concatenate(found, axis=1), axis=1)
@@ -427,49 +461,79 @@ def _near_pair(least: float):
     return run
 
 
-def prefix_pairs(texts: DataFrame, known: DataFrame, words: int, least: float, list_rows: int = 1024, max_bits: int = 28, small: int = 32) -> DataFrame:
-    """Edges (a, b) of all near pairs of ``texts`` (id, text) that ``known`` (id, fp2, n, comp) does not connect yet.
+def prefix_pairs(texts: DataFrame, known: DataFrame, words: int, least: float, list_rows: int = 1024, max_bits: int = 78, small_bits: int = 100, small: int = 32) -> DataFrame:
+    """Edges (a, b) of all near pairs of ``texts`` (id, text) that ``known`` (id, n, comp and the four parts of ``SKETCH``) does not connect yet.
 
     Sets of at least that similarity share one of their rarest shingles (``prefix``), whatever was edited. Rows with such a
-    shingle in common form a list; a pair in it is counted exactly if its components differ, the sizes fit and, for sets of
-    ``small`` shingles and more, the fingerprints differ in at most ``max_bits`` bits (six standard deviations over the mean at
-    similarity 0.8). Lists of over ``list_rows`` rows are dealt as pairs of parts; lists within one component are left out.
+    shingle in common form a list; a pair in it is counted exactly if its components differ, the sizes fit and the sketches of 256 bits differ in
+    at most ``max_bits`` bits (``small_bits`` where one has under ``small`` shingles). At similarity 0.8 bits differ with a probability of 0.15, 39 of them on average
+    with a standard deviation of 5.7, so that the bound lies six of these beyond; in unlike sets 128 differ.
+    Lists of over ``list_rows`` rows are dealt as pairs of parts; lists within one component are left out.
     """
     common = common_shingles(texts, words)
     rows = _shingle_rows(texts, lambda t: prefix(np.unique(np.array(shingle_hashes(t, words), np.uint64)), least, common))
     shared = base.materialised(rows.repartition("h").sortWithinPartitions("h").mapInArrow(_shared, "h long, id long"))
-    listed = base.materialised(shared.join(known, "id"))
+    listed = base.materialised(shared.join(known, "id").select("h", "id", "n", "comp", *SKETCH))
+    base.dropped(shared)
     sizes = listed.groupBy("h").agg(F.count("*").alias("c"), (F.min("comp") != F.max("comp")).alias("open")).filter("open")
-    parts = listed.join(sizes.select("h", F.ceil(F.col("c") / list_rows).cast("int").alias("parts")), "h")
+    parts = listed.join(base.materialised(sizes.select("h", F.ceil(F.col("c") / list_rows).cast("int").alias("parts"))), "h")
     own = F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int")
     pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.least(F.col("own"), j) * F.col("parts") + F.greatest(F.col("own"), j))).alias("pair")
-    dealt = parts.withColumn("own", own).select("h", pair, "id", "fp2", "n", "comp").withColumn("pair", F.col("pair").cast("long"))
-    pairs = base.materialised(dealt.repartition("h", "pair").sortWithinPartitions("h", "pair").mapInArrow(_cross_pairs(least, max_bits, small), "a long, b long").distinct())
+    dealt = parts.withColumn("own", own).select("h", pair, "id", "n", "comp", *SKETCH).withColumn("pair", F.col("pair").cast("long"))
+    pairs = base.materialised(dealt.repartition("h", "pair").sortWithinPartitions("h", "pair").mapInArrow(_cross_pairs(least, max_bits, small_bits, small), "a long, b long").distinct())
+    base.dropped(listed)
     asked = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     sized = base.map_text(texts.join(asked, "id"), "text", _sets(words), [T.StructField("fp2", T.LongType()), T.StructField("shingles", T.BinaryType())], ["id"])
     sets = base.materialised(sized.select("id", "shingles"))
     left, right = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left")), sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(_near_pair(least), "a long, b long")
+    near = base.materialised(pairs.join(left, "a").join(right, "b").mapInArrow(_near_pair(least), "a long, b long").distinct())
+    base.dropped(sets, pairs)
+    return near
+
+
+def row_key(df: DataFrame, id_col: str, text_col: str):
+    """A hash of a row's id and text."""
+    i, t = F.col(base.quoted(id_col)), F.col(base.quoted(text_col))
+    return F.xxhash64(i.isNull(), t.isNull(), i, t)
 
 
 def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, least: float = 0.8, max_bits: int = 7, second_bits: int = 16) -> DataFrame:
-    """(id, component_id) of near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, counted exactly.
+    """(row_key, id, component_id, stays) for every row: near copies are texts whose sets of ``words``-word shingles have a Jaccard
+    similarity of ``least`` or more, counted exactly, and all that are connected through such pairs.
+
+    ``component_id`` is the least id of the group that is not null. ``stays`` marks one id and text of each group: the least id (a null one only where
+    there is no other), then the least key; repeated rows of both share the mark.
 
     First candidates are texts whose fingerprints over distinct words differ in at most ``max_bits`` bits and those over distinct
     shingles in at most ``second_bits`` (at similarity 0.8 the latter differ in 9.7 bits on average), or that are
     connected through such pairs: a cheap way through large groups. Pairs that these miss come from ``prefix_pairs``. Texts without words are copies of each other; texts under five words have one shingle.
     """
     long = T.LongType()
-    marked = base.materialised(base.map_text(docs, text_col, _marks(words), [T.StructField(c, long) for c in ("fp", "fp2", "content", "n")], [id_col]))
+    side = docs.select(row_key(docs, id_col, text_col).alias("rk"), F.col(base.quoted(id_col)).cast("long").alias("id"), F.col(base.quoted(text_col)).alias("text"))
     key = ["fp", "fp2", "content", "n"]
-    classes = base.materialised(marked.groupBy(*key).agg(F.min(F.col(base.quoted(id_col)).cast("long")).alias("id")))
-    loose = components(links(classes, max_bits, second_bits))
-    # The leader of a group is the least id, as components() names groups; it is a row of ``loose`` only as a component.
+    marked = base.materialised(base.map_text(side, "text", _marks(words), [T.StructField(c, long) for c in ("fp", *SKETCH, "content", "n")], ["rk", "id"]))
+    # A class's node is the key of its first row.
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "rk"))
+    classes = base.materialised(marked.groupBy(*key).agg(first.alias("first"), *[F.min(c).alias(c) for c in SKETCH[1:]]).withColumn("id", F.col("first.rk")))
+    loose = components(links(classes.select("fp", "fp2", "id"), max_bits, second_bits))
+    # The leader of a group is the least node, as components() names groups; it is a row of ``loose`` only as a component.
     groups = loose.select(F.col("node").alias("id"), F.col("component").alias("comp")).union(loose.select(F.col("component").alias("id"), F.col("component").alias("comp"))).distinct()
-    texts = docs.select(F.col(base.quoted(id_col)).cast("long").alias("id"), F.col(base.quoted(text_col)).alias("text"))
+    texts = side.select(F.col("rk").alias("id"), "text")
     close = components(near_pairs(texts, groups, words, least, second_bits + 6))
-    single = classes.filter("id is not null and n > 0").select("id", "fp2", "n")
-    known = base.materialised(single.join(close.withColumnRenamed("node", "id"), "id", "left").select("id", "fp2", "n", F.coalesce("component", "id").alias("comp")))
+    known = base.materialised(classes.filter("n > 0").join(close.withColumnRenamed("node", "id"), "id", "left").select("id", "n", F.coalesce("component", "id").alias("comp"), *SKETCH))
     more = prefix_pairs(base.materialised(texts.join(known.select("id"), "id", "left_semi")), known, words, least)
     found = components(close.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
-    return _named(marked, classes, found, key).drop(*key)
+    of_class = base.materialised(classes.join(found, F.col("id") == F.col("node"), "left").select(*[F.col(c).alias(f"__{c}") for c in key], "first", F.coalesce("component", "id").alias("comp")))
+    best = of_class.groupBy(F.col("comp").alias("comp2")).agg(F.min("first").alias("best"))
+    named = of_class.join(best, F.col("comp") == F.col("comp2"))
+    out = marked.join(named, [F.col(c) == F.col(f"__{c}") for c in key])
+    return out.select(F.col("rk").alias("row_key"), "id", F.col("best.id").alias("component_id"), (F.col("rk") == F.col("best.rk")).alias("stays"))
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row of each group of near copies, with the columns of ``docs``."""
+    found = base.materialised(copies(docs, id_col, text_col, **options))
+    keep = found.filter("stays").groupBy("row_key").agg(F.count("*").alias("times"))
+    rows = docs.select(row_key(docs, id_col, text_col).alias("rk"), F.struct(*[F.col(base.quoted(c)) for c in docs.columns]).alias("row"))
+    kept = rows.join(keep, F.col("rk") == F.col("row_key"))
+    return kept.filter("times = 1").select("row").union(kept.filter("times > 1").dropDuplicates(["rk"]).select("row")).select("row.*")
