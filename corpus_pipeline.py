@@ -1,65 +1,5 @@
-"""A text-cleaning pipeline: language, near duplicates, benchmark passages, personal data, tokens.
+"""The text-cleaning pipeline of the optional text subpackage, at the place where it is looked for."""
 
-Every stage takes the documents that the one before kept, written as Parquet and read again, and all but the last return the
-columns of ``documents``. Extra columns pass through.
-"""
+from corroborate.llm.pipeline import ORACLE_SQL, STAGES, run
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from corroborate.llm import base, decontamination, langid, pii, queries, sentencepiece_fst, simhash
-
-#: Texts whose main language holds less than this share of the letters are rejected, as are texts without letters.
-LEAST_SHARE = 0.5
-
-
-def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep texts with a known main language."""
-    model = langid.fit(docs.filter(base.not_held_out(F.col("doc_id"))))
-    found = langid.predict(docs, model)
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).select(*docs.columns)
-
-
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the row with the least id of every group of near copies (one of them if that row is repeated) and rows without an id."""
-    found = simhash.copies(docs)
-    other = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__copy__"))
-    kept = docs.join(other, docs["doc_id"] == other["__copy__"], "left_anti")
-    again = found.groupBy("doc_id").count().filter("count > 1 and doc_id is not null")
-    if again.isEmpty():
-        return kept
-    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
-
-
-def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop texts that hold a benchmark item."""
-    return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-
-
-def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace personal data; n_chars follows the new text."""
-    found = pii.find(docs, pii.fit(docs), redact=True)
-    text = F.when(F.col("text").isNotNull(), F.col(pii.REDACTED))
-    return found.select(*[text.alias(c) if c == "text" else F.length(text).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
-
-
-def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids, and whether they decode to the text."""
-    return sentencepiece_fst.encode(docs, queries.tokenizer_model(spark), keep=["doc_id"], with_ids=True, check=True)
-
-
-STAGES = [("language_id", language), ("simhash_near_dedup", near_duplicates), ("benchmark_decontamination", decontaminate), ("pii_redaction", redact), ("sentencepiece_encoding", tokens)]
-
-#: Models and connected components are not expressible in SQL; the tests hold the stages against brute force.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = base.materialised(docs)
-    return docs
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
