@@ -67,11 +67,15 @@ def with_slots(texts: DataFrame) -> DataFrame:
 
 
 def windows(texts: DataFrame, window: int) -> DataFrame:
-    """(key, i, h): hash of the window at word i; fewer words are one window. ``texts`` has key and words."""
-    some = texts.filter(F.col("words")[0] != "").select("key", "words")
-    full = some.filter(F.size("words") >= window).select("key", "words", F.explode(F.sequence(F.lit(0), F.size("words") - window)).alias("i"))
-    short = some.filter(F.size("words") < window).select("key", F.lit(0).alias("i"), F.xxhash64(F.array_join("words", " "), F.lit("whole")).alias("h"))
-    return full.select("key", "i", F.xxhash64(*[F.col("words")[F.col("i") + j] for j in range(window)]).alias("h")).unionByName(short)
+    """(key, i, h): hash of the window at word i; fewer words are one window. ``texts`` has key and words.
+
+    One pass and no filter before the outer explode, under which the template would be worked out again for each.
+    """
+    starts = F.when(F.col("words")[0] != "", F.sequence(F.lit(0), F.greatest(F.size("words") - window, F.lit(0))))
+    at = texts.select("key", "words", F.explode_outer(starts).alias("i"))
+    full = F.xxhash64(*[F.get("words", F.col("i") + j) for j in range(window)])
+    h = F.when(F.size("words") >= window, full).otherwise(F.xxhash64(F.array_join("words", " "), F.lit("whole")))
+    return at.select("key", "i", h.alias("h")).filter("i is not null")
 
 
 def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
