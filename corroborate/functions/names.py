@@ -13,17 +13,22 @@ def _col(c: Column | str) -> Column:
 
 
 def parse_name(c: Column | str) -> Column:
-    """struct(genus, species, cultivar, is_genus_only) of a scientific name; an empty name gives nulls."""
+    """struct(genus, species, cultivar, is_genus_only) of a scientific name; an empty name gives nulls.
+
+    The first quoted part is the cultivar, all quoted parts go. A closing sp. or spp. means the genus; a hybrid mark counts as second
+    word only; a rank, or a capitalised word without a full stop, in the species' place is none.
+    """
     raw = F.coalesce(_col(c), F.lit(""))
     cultivar = F.nullif(F.regexp_extract(raw, "'([^']+)'", 1), F.lit(""))
-    bare = F.trim(F.regexp_replace(F.regexp_replace(raw, "'[^']*'", " "), r"\s+", " "))
-    generic = bare.rlike(r"(?i)\ssp{1,2}\.?$")
-    words = F.filter(F.split(F.regexp_replace(bare, r"(?i)\ssp{1,2}\.?$", ""), " "), lambda w: ~F.lower(w).isin("x", "×", ""))
-    second = F.get(words, F.lit(1))
-    rank = F.regexp_replace(F.lower(second), r"\.$", "").isin("var", "subsp", "f")
+    bare = F.regexp_replace(F.regexp_replace(raw, "'[^']+'", ""), r"^\s+|\s+$", "")
+    words = F.split(bare, r"\s+")
+    genus = F.nullif(F.get(words, F.lit(0)), F.lit(""))
+    second = F.when(F.get(words, F.lit(1)).isin("x", "×"), F.get(words, F.lit(2))).otherwise(F.get(words, F.lit(1)))
+    generic = bare.rlike(r"(?i)\bspp?\.?\s*$")
+    rank = second.rlike(r"(?i)^(var|subsp|f)\.?$")
     author = second.rlike("^[A-Z]") & ~second.contains(".")
-    species = F.when(~generic & second.isNotNull() & ~rank & ~author, F.lower(second))
-    return F.struct(F.get(words, F.lit(0)).alias("genus"), species.alias("species"), cultivar.alias("cultivar"), (species.isNull() & F.get(words, F.lit(0)).isNotNull()).alias("is_genus_only"))
+    species = F.when(~generic & (second != "") & ~rank & ~author, second)
+    return F.struct(genus.alias("genus"), species.alias("species"), cultivar.alias("cultivar"), (species.isNull() & genus.isNotNull()).alias("is_genus_only"))
 
 
 def parse_full_name(c: Column | str) -> Column:

@@ -340,10 +340,15 @@ def catalog_summary(spark, d):
     return out.select("table", "n_rows", F.array_join("columns", ", ").alias("columns"), F.array_join("rows", "; ").alias("rows"))
 
 
-@register("SELECT category, concat(category, '-', lpad(CAST(max(n) + 1 AS STRING), CAST(greatest(2, length(CAST(max(n) + 1 AS STRING))) AS INTEGER), '0')) AS next_id FROM (SELECT CASE s_suppkey % 3 WHEN 0 THEN 'FIRE' WHEN 1 THEN 'WATER' ELSE 'DEER' END AS category, s_suppkey AS n FROM supplier) GROUP BY 1")
+@register("SELECT category, concat(prefix, '-', lpad(CAST(max(n) + 1 AS STRING), CAST(greatest(2, length(CAST(max(n) + 1 AS STRING))) AS INTEGER), '0')) AS next_id FROM (SELECT ['pollinators', 'traits', 'shade'][s_suppkey % 3 + 1] AS category, ['POLL', 'TRAIT', 'SHADE'][s_suppkey % 3 + 1] AS prefix, s_suppkey AS n FROM supplier) GROUP BY category, prefix")
 def next_source_id(spark, d):
-    s = ad.table(spark, d, "supplier").selectExpr("CASE s_suppkey % 3 WHEN 0 THEN 'FIRE' WHEN 1 THEN 'WATER' ELSE 'DEER' END AS category", "s_suppkey AS n")
-    return tables.next_source_id(s.selectExpr("category", "concat(category, '-', CAST(n AS STRING)) AS source_id"))
+    s = ad.table(spark, d, "supplier").selectExpr("element_at(array('pollinators', 'traits', 'shade'), CAST(s_suppkey % 3 AS INT) + 1) AS category", "s_suppkey AS n")
+    return tables.next_source_id(s.selectExpr("category", "concat('X-', CAST(n AS STRING)) AS source_id"))
+
+
+@register("SELECT p_partkey, p_name, p_size FROM part ORDER BY p_partkey LIMIT 10")
+def first_rows(spark, d):
+    return tables.first_rows(ad.table(spark, d, "part").select("p_partkey", "p_name", "p_size"), "p_partkey")
 
 
 @register("SELECT p_partkey, CAST(i AS INT) AS region, p_size + i AS use, p_size * i AS et0 FROM part, unnest(range(1, 7)) t(i)")

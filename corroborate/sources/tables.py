@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -27,7 +27,8 @@ def with_source_row(df: DataFrame) -> DataFrame:
 
 
 def read_delimited(spark: SparkSession, path: str, sep: str, encoding: str = "UTF-8") -> DataFrame:
-    return sanitize_columns(_trimmed(spark.read.csv(path, header=True, sep=sep, encoding=encoding, mode="PERMISSIVE", quote="" if sep in "|\t" else '"')))
+    """Delimited files with a header, columns named anew; short rows are filled with empty cells, surplus cells go."""
+    return sanitize_columns(_trimmed(spark.read.csv(path, header=True, sep=sep, encoding=encoding, mode="PERMISSIVE", enforceSchema=True, quote="" if sep in "|\t" else '"')))
 
 
 def sanitize_columns(df: DataFrame) -> DataFrame:
@@ -50,20 +51,35 @@ def scientific_name_col(df: DataFrame) -> Column:
 
 
 def pick_source_files(spark: SparkSession, folder: str) -> list[str]:
-    """plants.csv if it is a real file, else the plants_*.csv in order; pointer stubs of large-file storage are skipped."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "plants*.csv").load(folder).select("path", F.substring(F.col("content").cast("string"), 1, 27).alias("head"))
-    paths = sorted(r["path"] for r in files.filter("head not like 'version https://git-lfs%'").select("path").collect())  # names of files in one folder
+    """plants.csv if it is a real file, else the plants_*.csv in order; pointer stubs of large-file storage are skipped.
+
+    Pointers are small: only files of under a kilobyte are looked into, the others' contents are not read.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "plants*.csv").load(folder)
+    small = files.filter("length < 1024").filter(~F.col("content").cast("string").startswith("version https://git-lfs"))
+    paths = sorted(r["path"] for r in small.select("path").union(files.filter("length >= 1024").select("path")).collect())  # names of files in one folder
     main = [p for p in paths if p.endswith("/plants.csv")]
     return main or [p for p in paths if "/plants_" in p]
 
 
 def tables_from_sql_dump(spark: SparkSession, path: str) -> DataFrame:
-    """(table, columns, cells) for each row of the COPY blocks of a dump; \\N becomes empty."""
-    lines = spark.read.text(path, wholetext=True).select(F.explode(F.regexp_extract_all("value", F.lit(r"(?s)(COPY \S+ \([^)]*\) FROM stdin;\n.*?\n?\\\.)"), 1)).alias("block"))
-    head = r"^COPY (?:\w+\.)?(\S+) \(([^)]*)\) FROM stdin;"
-    body = F.filter(F.split(F.regexp_replace("block", r"^[^\n]*\n|\n?\\\.$", ""), "\n"), lambda x: x != "")
-    rows = lines.select(F.regexp_replace(F.regexp_extract("block", head, 1), '"', "").alias("table"), F.split(F.regexp_extract("block", head, 2), r",\s*").alias("columns"), F.explode(body).alias("line"))
-    return rows.select("table", "columns", F.transform(F.split("line", "\t"), lambda x: F.when(x == r"\N", "").otherwise(x)).alias("cells"))
+    """(table, columns, cells) for each row of the COPY blocks of a dump; \\N becomes empty.
+
+    Lines are read as rows, in the order of their split's start and their number in it. What block a split begins in is carried over from
+    the last head or end before it: one row for each split; within a split the last head or end above a line is its block.
+    """
+    at = F.struct(F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("line_no"))
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), at.alias("at")).select("value", "file", "at.split", "at.line_no")
+    head = r"^COPY (?:\w+\.)?(\S+) \(([^)]*)\) FROM stdin;$"
+    mark = F.when(F.col("value").rlike(head), F.col("value")).when(F.col("value") == "\\.", "")
+    marked = lines.withColumn("mark", mark)
+    ends = marked.groupBy("file", "split").agg(F.max_by("mark", F.when(F.col("mark").isNotNull(), F.col("line_no"))).alias("last_mark"))
+    carried = ends.withColumn("before", F.last("last_mark", ignorenulls=True).over(Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1))).drop("last_mark")
+    within = Window.partitionBy("file", "split").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    blocks = marked.join(carried, ["file", "split"]).withColumn("block", F.coalesce(F.last("mark", ignorenulls=True).over(within), "before"))
+    rows = blocks.filter("mark is null and block <> '' and value <> ''")
+    name = F.regexp_replace(F.regexp_extract("block", head, 1), '"', "")
+    return rows.select(name.alias("table"), F.split(F.regexp_extract("block", head, 2), r",\s*").alias("columns"), F.transform(F.split("value", "\t"), lambda x: F.when(x == r"\N", "").otherwise(x)).alias("cells"))
 
 
 def import_tables(spark: SparkSession, folder: str, names: list[str]) -> dict[str, DataFrame]:
@@ -97,8 +113,6 @@ def write_by_member(df: DataFrame, list_col: str, path: str, sep: str = ",") ->
 
 def profile_source(df: DataFrame, k: int = 20, order: str | None = None) -> DataFrame:
     """(column, n_rows, n_filled, values): up to ``k`` distinct non-empty values by first appearance (or in their order)."""
-    from pyspark.sql import Window
-
     at = F.col(order) if order else F.lit(0)
     cols = [c for c in df.columns if c != order]
     long = df.select(at.alias("at"), F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in cols])).alias("x")).select("at", "x.*")
@@ -109,17 +123,41 @@ def profile_source(df: DataFrame, k: int = 20, order: str | None = None) -> Data
     return counts.join(lists, "column", "left")
 
 
+def first_rows(df: DataFrame, order: str, n: int = 10) -> DataFrame:
+    """The first ``n`` rows of a source, as its profile shows them."""
+    return df.orderBy(order).limit(n)
+
+
+# What a dataset's papers say, and columns that tell a table of plants.
+SOURCE_ID = r"\b([A-Z]{2,}-[0-9]{2,})\b"
+
+
+def read_dataset_papers(spark: SparkSession, root: str) -> DataFrame:
+    """(dataset, text): README.md after DATA-DICTIONARY.md of each folder below ``root``, for ``dataset_registry``."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.md").load(root)
+    name, parent = F.regexp_extract("path", "([^/]+)$", 1), F.regexp_extract("path", "([^/]+)/[^/]+$", 1)
+    some = files.select(parent.alias("dataset"), name.alias("name"), F.col("content").cast("string").alias("text")).filter(F.col("name").isin("DATA-DICTIONARY.md", "README.md"))
+    return some.groupBy("dataset").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("name", "text"))), lambda x: x["text"]), "\n").alias("text"))
+
+
 def dataset_registry(readmes: DataFrame, counts: DataFrame) -> DataFrame:
     """(dataset, source_id, category, n_records): the README's number of records, else the counted rows.
 
     ``readmes`` has dataset and text, ``counts`` dataset and n_rows.
     """
-    source_id = F.nullif(F.regexp_extract("text", r"\b([A-Z]{2,}-[0-9]{2,})\b", 1), F.lit(""))
+    source_id = F.nullif(F.regexp_extract("text", SOURCE_ID, 1), F.lit(""))
     stated = F.replace(F.regexp_extract("text", r"([0-9][0-9,]*)\s+(?:records|rows|species|plants)", 1), F.lit(",")).try_cast("long")
     return readmes.join(counts, "dataset", "left").select("dataset", source_id.alias("source_id"), F.regexp_extract(source_id, "^([A-Z]+)", 1).alias("category"), F.coalesce(stated, F.col("n_rows")).alias("n_records"))
 
 
+# Prefixes of source ids by category; other categories are their own, in capitals.
+PREFIXES = {"fire": "FIRE", "deer": "DEER", "water": "WATER", "pollinators": "POLL", "birds": "BIRD", "native": "NATIVE", "invasive": "INVAS", "traits": "TRAIT", "taxonomy": "TAXON"}
+
+
 def next_source_id(registry: DataFrame) -> DataFrame:
-    """(category, next_id): one above the largest number of each category, two digits at least."""
-    number = F.regexp_extract("source_id", "-([0-9]+)$", 1).try_cast("int")
-    return registry.filter("source_id is not null").groupBy("category").agg((F.coalesce(F.max(number), F.lit(0)) + 1).alias("n")).select("category", F.concat("category", F.lit("-"), F.when(F.length(F.col("n").cast("string")) < 2, F.lpad(F.col("n").cast("string"), 2, "0")).otherwise(F.col("n").cast("string"))).alias("next_id"))
+    """(category, next_id): one above the largest closing number of each category, two digits at least, after its prefix."""
+    number = F.regexp_extract("source_id", "([0-9]+)$", 1).try_cast("int")
+    known = F.create_map(*[F.lit(x) for kv in PREFIXES.items() for x in kv])
+    top = registry.groupBy("category").agg((F.coalesce(F.max(number), F.lit(0)) + 1).cast("string").alias("n"))
+    padded = F.when(F.length("n") < 2, F.lpad("n", 2, "0")).otherwise(F.col("n"))
+    return top.select("category", F.concat(F.coalesce(F.try_element_at(known, F.col("category")), F.upper("category")), F.lit("-"), padded).alias("next_id"))

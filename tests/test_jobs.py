@@ -1,5 +1,7 @@
 """Small fixtures for operators without SQL and for rules that need care."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from corroborate.streaming import streams
     ("Acer rubrum", ("Acer", "rubrum", None, False)), ("Acer rubrum 'Red Sunset'", ("Acer", "rubrum", "Red Sunset", False)),
     ("Abelia x grandiflora", ("Abelia", "grandiflora", None, False)), ("Abelia × grandiflora", ("Abelia", "grandiflora", None, False)),
     ("Quercus spp.", ("Quercus", None, None, True)), ("Musa sp", ("Musa", None, None, True)), ("Cornus x 'Rutban'", ("Cornus", None, "Rutban", True)),
-    ("Acer Rubrum", ("Acer", None, None, True)), ("", (None, None, None, False)),
+    ("Acer Rubrum", ("Acer", None, None, True)), ("", (None, None, None, False)), ("Rosa canina x", ("Rosa", "canina", None, False)), ("Rosa X alba", ("Rosa", None, None, True)), ("Acer var. rubrum", ("Acer", None, None, True)), ("  Acer R.rubrum ", ("Acer", "R.rubrum", None, False)),
 ])
 def test_parse_name(spark, name, want):
     got = spark.createDataFrame([(name,)], "n string").select(names.parse_name("n").alias("p")).select("p.*").first()
@@ -101,6 +103,45 @@ def test_dump(spark, tmp_path):
     assert got == [("plants", ["id", "name"], ["1", "Acer"]), ("plants", ["id", "name"], ["2", ""])]
 
 
+def test_dump_over_several_splits(spark, tmp_path):
+    blocks = "".join(f"-- {t}\nCOPY public.{t} (id) FROM stdin;\n" + "".join(f"{t}{i}\n" for i in range(400)) + "\\.\n\nSET x = 1;\n" for t in ("a", "b", "c"))
+    (tmp_path / "d.sql").write_text(blocks)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "600")
+    try:
+        out = tables.tables_from_sql_dump(spark, str(tmp_path / "d.sql"))
+        got = sorted((r.table, r.cells[0]) for r in out.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == sorted((t, f"{t}{i}") for t in "abc" for i in range(400))
+
+
+def test_dataset_papers(spark, tmp_path):
+    for name, text in (("A", "Source: FIRE-07, 1,234 plants"), ("B", "nothing")):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "README.md").write_text(text)
+        (tmp_path / name / "notes.md").write_text("DEER-99")
+    (tmp_path / "B" / "DATA-DICTIONARY.md").write_text("DEER-02")
+    papers = tables.read_dataset_papers(spark, str(tmp_path))
+    counts = spark.createDataFrame([("A", 5), ("B", 6)], "dataset string, n_rows long")
+    assert sorted((r.dataset, r.source_id, r.category, r.n_records) for r in tables.dataset_registry(papers, counts).collect()) == [("A", "FIRE-07", "FIRE", 1234), ("B", "DEER-02", "DEER", 6)]
+
+
+def test_streams_drop_late_rows(spark, tmp_path):
+    """What comes after the watermark is left out: a first batch moves it, a second one is late."""
+    schema = "user_id long, event_type string, ts timestamp"
+    rows = [[(1, "a", "2024-01-10 00:00:00"), (1, "a", "2024-01-10 00:10:00"), (2, "b", "2024-01-20 00:00:00")], [(1, "late", "2024-01-01 00:00:00"), (2, "b", "2024-01-20 00:20:00")], [(3, "c", "2024-02-20 00:00:00")]]
+    for i, part in enumerate(rows):
+        spark.createDataFrame(part, "user_id long, event_type string, t string").selectExpr("user_id", "event_type", "CAST(t AS TIMESTAMP) AS ts").coalesce(1).write.parquet(str(tmp_path / f"part{i}"))
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (file,) = (tmp_path / f"part{i}").glob("*.parquet")
+        file.rename(tmp_path / "in" / f"{i}.parquet")
+        os.utime(tmp_path / "in" / f"{i}.parquet", (1_700_000_000 + i, 1_700_000_000 + i))
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    q = streams.stream_sessions(src).writeStream.format("memory").queryName("sessions").outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert sorted((r.user_id, r.n) for r in spark.table("sessions").collect()) == [(1, 2), (2, 2)]
+
+
 def test_html(spark):
     pages = spark.createDataFrame([(1, "<table><tr><th>N</th></tr><tr><td>a <b>b</b></td><td>c</td></tr></table>"), (2, None)], "page_id long, html string")
     got = [(r.row_no, r.cells, r.is_header) for r in harvest.html_tables(pages).orderBy("row_no").collect()]
