@@ -51,7 +51,17 @@ def enhance(mapped: DataFrame, names: DataFrame, matches: DataFrame, dataset: st
     return joined.select(F.sha2(key, 256).alias("id"), F.lit("external").alias("warrant_type"), F.lit("unreviewed").alias("status"), "plant_id", F.col("target_attribute_id").alias("attribute_id"), "value", "source_value", F.lit(dataset).alias("source_dataset"), "source_row", "source_column", F.col("match_type").alias("match_method"), F.col("confidence").alias("match_confidence"), ((F.col("confidence") < 0.8) | F.col("missed")).alias("flagged"), F.lit(batch_id).alias("batch_id"))
 
 
-def enhance_stats(warrants: DataFrame) -> DataFrame:
+def enhance_stats(warrants: DataFrame, mapped: DataFrame | None = None) -> DataFrame:
+    """One row of counts, which a dry run shows without writing the warrants. With the mapped cells also those that gave none, as their
+    row matched no entity."""
+    out = _enhance_counts(warrants)
+    if mapped is None:
+        return out
+    lost = mapped.join(warrants.select("source_row", "source_column").distinct(), ["source_row", "source_column"], "left_anti").agg(F.count("*").alias("skipped"))
+    return out.withColumn("skipped", lost.scalar())
+
+
+def _enhance_counts(warrants: DataFrame) -> DataFrame:
     return warrants.agg(F.count("*").alias("created"), F.count_if("flagged").alias("flagged"), F.countDistinct("plant_id").alias("entities"), F.countDistinct("attribute_id").alias("attributes"))
 
 
@@ -63,6 +73,11 @@ def validate_mapping(mapping: DataFrame, attributes: DataFrame) -> DataFrame:
     return out.withColumn("mapping_type", F.when(lost, "UNCERTAIN").otherwise(F.col("mapping_type"))).withColumn("target_attribute_id", F.when(~lost, F.col("target_attribute_id"))).drop("known_id")
 
 
+def unmapped_headers(headers: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Columns of a source (source_column) that no mapping names."""
+    return headers.select("source_column").distinct().join(mapping.select("source_column"), "source_column", "left_anti")
+
+
 def mapping_summary(mapping: DataFrame) -> DataFrame:
     return mapping.groupBy("mapping_type").agg(F.count("*").alias("n"))
 

@@ -84,6 +84,12 @@ def mapping_summary(spark, d):
     return evidence.mapping_summary(evidence.validate_mapping(_odd_mapping(spark, d), ad.attributes(spark, d)))
 
 
+@register("SELECT DISTINCT concat(p_brand, ' ', CAST(p_size AS STRING)) AS source_column FROM part WHERE concat(p_brand, ' ', CAST(p_size AS STRING)) NOT IN (SELECT concat(p_brand, ' ', CAST(p_size AS STRING)) FROM part WHERE p_type = 'ECONOMY')")
+def unmapped_headers(spark, d):
+    p = ad.table(spark, d, "part").selectExpr("p_type", "concat(p_brand, ' ', p_size) AS source_column")
+    return evidence.unmapped_headers(p, p.filter("p_type = 'ECONOMY'"))
+
+
 @register("SELECT DISTINCT concat('at ', column1) AS attribute_name, p_brand AS dataset, column1 AS \"column\" FROM part CROSS JOIN (VALUES ('p_type'), ('P_Size')) v(column1)")
 def attribute_sources(spark, d):
     cols = ad.table(spark, d, "part").selectExpr("p_brand AS dataset", "explode(array('p_type', 'P_Size', 'p_name')) AS column")

@@ -194,9 +194,13 @@ def enhance(spark, d):
     return _enhanced(spark, d).select("source_row", "source_column", "plant_id", "attribute_id", "value", "flagged")
 
 
-@register(f"SELECT count(*) AS created, count_if(flagged) AS flagged, count(DISTINCT plant_id) AS entities, count(DISTINCT attribute_id) AS attributes FROM ({ENHANCED_SQL})")
+@register(f"SELECT count(*) AS created, count_if(flagged) AS flagged, count(DISTINCT plant_id) AS entities, count(DISTINCT attribute_id) AS attributes, (SELECT 2 * count(*) FROM part WHERE length(split_part(p_name, ' ', 1)) % 2 = 1) AS skipped FROM ({ENHANCED_SQL}) JOIN part ON p_partkey = plant_id WHERE length(split_part(p_name, ' ', 1)) % 2 = 0")
 def enhance_stats(spark, d):
-    return evidence.enhance_stats(_enhanced(spark, d))
+    rows = ad.table(spark, d, "part").selectExpr("p_partkey AS source_row", "p_name AS name")
+    some = matching.match_exact(rows, ad.entities(spark, d).filter("length(genus) % 2 = 0")).filter("plant_id is not null")
+    m = some.select(F.lower("name").alias("name_key"), "plant_id", F.lit("EXACT").alias("match_type"), F.lit(1.0).alias("confidence"))
+    mapped = _mapped(spark, d)
+    return evidence.enhance_stats(evidence.enhance(mapped, rows, m, "parts", "b1"), mapped)
 
 
 YEARS = "SELECT id, min(year(created_at)) AS y FROM w GROUP BY 1"
