@@ -418,8 +418,20 @@ def _shared(batches):
         yield pa.RecordBatch.from_arrays([pa.array(both[i, keep]) for i in range(2)], names=["h", "id"])
 
 
-def _cross_pairs(least: float, max_bits: int, small_bits: int, small: int):
-    """Pairs (a, b) in one list of rows that may be near and are not connected yet."""
+def _cross_pairs(least: float, max_bits: int, small_bits: int, small: int, few: int = 64):
+    """Pairs (a, b) in one list of rows (h, pair, id, n, comp and the sketch, lists in one piece) that may be near and are not connected yet.
+
+    Lists of up to ``few`` rows are paired together, row by distance in the table; longer ones each by itself, in blocks.
+    """
+
+    def good(rows: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        low, high = np.minimum(rows[3, x], rows[3, y]), np.maximum(rows[3, x], rows[3, y])
+        on = (rows[4, x] != rows[4, y]) & (low >= least * high - 1e-9) & (rows[2, x] != rows[2, y])
+        x, y, low = x[on], y[on], low[on]
+        bits = sum(np.bitwise_count((rows[k, x] ^ rows[k, y]).view(np.uint64)).astype(np.int64) for k in range(5, 9))
+        near = bits <= np.where(low < small, small_bits, max_bits)
+        a, b = rows[2, x[near]], rows[2, y[near]]
+        return np.stack([np.maximum(a, b), np.minimum(a, b)])
 
     def run(batches):
         held = None
@@ -430,20 +442,24 @@ def _cross_pairs(least: float, max_bits: int, small_bits: int, small: int):
                 continue
             edge = np.flatnonzero((both[0, 1:] != both[0, :-1]) | (both[1, 1:] != both[1, :-1])) + 1
             cut = both.shape[1] if now is None else (int(edge[-1]) if len(edge) else 0)
-            held, found = both[:, cut:], []
-            bounds = [0, *[e for e in edge.tolist() if e < cut], cut]
-            for lo, hi in zip(bounds, bounds[1:], strict=False):
-                id_, size, comp = both[2, lo:hi], both[3, lo:hi], both[4, lo:hi]
-                sketch = np.ascontiguousarray(both[5:, lo:hi]).view(np.uint64)
-                if (comp == comp[:1]).all():
+            held, done = both[:, cut:], both[:, :cut]
+            begin = np.concatenate(([0], edge[edge < cut])) if cut else np.zeros(0, np.int64)
+            size = np.diff(np.append(begin, cut))
+            group = np.repeat(np.arange(len(begin)), size)
+            some, found = done[:, size[group] <= few], []
+            group = group[size[group] <= few]
+            for lag in range(1, few):
+                x = np.flatnonzero(group[lag:] == group[:-lag])
+                if not len(x):
+                    break
+                found.append(good(some, x, x + lag))
+            for lo, n in zip(begin[size > few].tolist(), size[size > few].tolist(), strict=True):
+                rows = done[:, lo : lo + n]
+                if (rows[4] == rows[4, 0]).all():
                     continue
-                for at in range(0, hi - lo, 1024):
-                    i = slice(at, at + 1024)
-                    low, high = np.minimum(size[i, None], size[None, :]), np.maximum(size[i, None], size[None, :])
-                    r, c = np.nonzero((comp[i, None] != comp[None, :]) & (low >= least * high - 1e-9) & (id_[i, None] > id_[None, :]))
-                    bits = sum(distance(sketch[k][r + at], sketch[k][c]).astype(np.int64) for k in range(4))
-                    good = bits <= np.where(low[r, c] < small, small_bits, max_bits)
-                    found.append(np.stack([id_[r[good] + at], id_[c[good]]]))
+                for at in range(0, n, 1024):
+                    x, y = np.nonzero(np.arange(at, min(at + 1024, n))[:, None] > np.arange(n)[None, :])
+                    found.append(good(rows, x + at, y))
             if found:
                 pairs = np.unique(np.concatenate(found, axis=1), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])

@@ -191,6 +191,28 @@ def test_pairs_of_a_long_list_in_parts(spark):
     assert got == {(i, j) for i in sets for j in sets if i > j and jaccard(sets[i], sets[j]) >= 0.8}
 
 
+@pytest.mark.parametrize("few", [1, 5, 64])
+def test_pairs_of_lists_brute_force(few):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(few)
+    h = np.sort(rng.integers(0, 40, 900))
+    h[:300] = 0
+    rows = np.stack([h, np.zeros(900, np.int64), rng.integers(0, 400, 900), rng.integers(20, 60, 900), rng.integers(0, 5, 900), *rng.integers(-1 << 62, 1 << 62, 12)[rng.integers(0, 3, (4, 900))]])
+    rows[5:] ^= 1 << rng.integers(0, 62, (4, 900))
+    got = set()
+    for out in simhash._cross_pairs(0.8, 60, 90, 32, few)(pa.RecordBatch.from_arrays([pa.array(x) for x in part], names=list("abcdefghi")) for part in np.array_split(rows, 7, axis=1)):
+        got |= set(zip(out.column(0).to_pylist(), out.column(1).to_pylist(), strict=True))
+    want = set()
+    for i in range(900):
+        for j in range(i):
+            x, y = rows[:, i], rows[:, j]
+            if x[0] == y[0] and x[2] != y[2] and x[4] != y[4] and min(x[3], y[3]) >= 0.8 * max(x[3], y[3]) - 1e-9:
+                if sum((int(a ^ b) % (1 << 64)).bit_count() for a, b in zip(x[5:], y[5:], strict=True)) <= (90 if min(x[3], y[3]) < 32 else 60):
+                    want.add((max(x[2], y[2]), min(x[2], y[2])))
+    assert got == want and len(want) > 50
+
+
 @pytest.mark.parametrize("task_bytes", [1 << 24, 1 << 14])
 def test_near_pairs_links_what_the_leader_does_not(spark, task_bytes):
     # A chain: each text moves on by a few words, so that only neighbours are near and one group holds them all.
