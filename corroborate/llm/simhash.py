@@ -419,9 +419,8 @@ def _shared(batches):
 
 
 def _cross_pairs(least: float, max_bits: int, small_bits: int, small: int, few: int = 64):
-    """Pairs (a, b) in one list of rows (h, pair, id, n, comp and the sketch, lists in one piece) that may be near and are not connected yet.
-
-    Lists of up to ``few`` rows are paired together, row by distance in the table; longer ones each by itself, in blocks.
+    """A spanning forest (a, b) of the pairs in one list of rows (h, pair, id, n, comp and the sketch, lists in one piece) that may be
+    near and are not connected yet: never more edges than rows. Lists of up to ``few`` rows are paired together, row by distance in the table; longer ones each by itself, in blocks.
     """
 
     def good(rows: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -430,8 +429,7 @@ def _cross_pairs(least: float, max_bits: int, small_bits: int, small: int, few:
         x, y, low = x[on], y[on], low[on]
         bits = sum(np.bitwise_count((rows[k, x] ^ rows[k, y]).view(np.uint64)).astype(np.int64) for k in range(5, 9))
         near = bits <= np.where(low < small, small_bits, max_bits)
-        a, b = rows[2, x[near]], rows[2, y[near]]
-        return np.stack([np.maximum(a, b), np.minimum(a, b)])
+        return x[near], y[near]
 
     def run(batches):
         held = None
@@ -446,33 +444,29 @@ def _cross_pairs(least: float, max_bits: int, small_bits: int, small: int, few:
             begin = np.concatenate(([0], edge[edge < cut])) if cut else np.zeros(0, np.int64)
             size = np.diff(np.append(begin, cut))
             group = np.repeat(np.arange(len(begin)), size)
-            some, found = done[:, size[group] <= few], []
-            group = group[size[group] <= few]
+            short, root = np.flatnonzero(size[group] <= few), np.arange(cut)
+            some, group, a, b = done[:, short], group[short], [], []
             for lag in range(1, few):
                 x = np.flatnonzero(group[lag:] == group[:-lag])
                 if not len(x):
                     break
-                found.append(good(some, x, x + lag))
+                x, y = good(some, x, x + lag)
+                a.append(short[x])
+                b.append(short[y])
+            if a:
+                root = roots(cut, np.concatenate(a), np.concatenate(b))
             for lo, n in zip(begin[size > few].tolist(), size[size > few].tolist(), strict=True):
                 rows = done[:, lo : lo + n]
                 if (rows[4] == rows[4, 0]).all():
                     continue
                 for at in range(0, n, 1024):
                     x, y = np.nonzero(np.arange(at, min(at + 1024, n))[:, None] > np.arange(n)[None, :])
-                    found.append(good(rows, x + at, y))
-            if found:
-                pairs = np.unique(np.concatenate(found, axis=1), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
-
-    return run
-
-
-def _near_pair(least: float):
-    def run(batches):
-        for b in batches:
-            x, y = b.column("left").to_pylist(), b.column("right").to_pylist()
-            near = pa.array([similarity(np.frombuffer(p, "<u8"), np.frombuffer(q, "<u8")) >= least for p, q in zip(x, y, strict=True)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column("a").filter(near), b.column("b").filter(near)], names=["a", "b"])
+                    x, y = good(rows, x + at, y)
+                    own = root[lo : lo + n] - lo
+                    root[lo : lo + n] = roots(n, np.concatenate((np.arange(n), x)), np.concatenate((own, y))) + lo
+            at = np.flatnonzero(root != np.arange(cut))
+            pairs = np.unique(np.stack([done[2, at], done[2, root[at]]]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
     return run
 
@@ -481,10 +475,11 @@ def prefix_pairs(texts: DataFrame, known: DataFrame, words: int, least: float, l
     """Edges (a, b) of all near pairs of ``texts`` (id, text) that ``known`` (id, n, comp and the four parts of ``SKETCH``) does not connect yet.
 
     Sets of at least that similarity share one of their rarest shingles (``prefix``), whatever was edited. Rows with such a
-    shingle in common form a list; a pair in it is counted exactly if its components differ, the sizes fit and the sketches of 256 bits differ in
+    shingle in common form a list; a pair in it may be near if its components differ, the sizes fit and the sketches of 256 bits differ in
     at most ``max_bits`` bits (``small_bits`` where one has under ``small`` shingles). At similarity 0.8 bits differ with a probability of 0.15, 39 of them on average
     with a standard deviation of 5.7, so that the bound lies six of these beyond; in unlike sets 128 differ.
-    Lists of over ``list_rows`` rows are dealt as pairs of parts; lists within one component are left out.
+    Lists of over ``list_rows`` rows are dealt as pairs of parts; lists within one component are left out. A list gives a forest of its pairs, and what the
+    forests connect are groups in which ``near_pairs`` counts exactly, so that large groups of near texts never become a table of pairs.
     """
     common = common_shingles(texts, words)
     rows = _shingle_rows(texts, lambda t: prefix(np.unique(np.array(shingle_hashes(t, words), np.uint64)), least, common))
@@ -498,13 +493,13 @@ def prefix_pairs(texts: DataFrame, known: DataFrame, words: int, least: float, l
     dealt = parts.withColumn("own", own).select("h", pair, "id", "n", "comp", *SKETCH).withColumn("pair", F.col("pair").cast("long"))
     pairs = base.materialised(dealt.repartition("h", "pair").sortWithinPartitions("h", "pair").mapInArrow(_cross_pairs(least, max_bits, small_bits, small), "a long, b long").distinct())
     base.dropped(listed)
-    asked = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sized = base.map_text(texts.join(asked, "id"), "text", _sets(words), [T.StructField("fp2", T.LongType()), T.StructField("shingles", T.BinaryType())], ["id"])
-    sets = base.materialised(sized.select("id", "shingles"))
-    left, right = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left")), sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
-    near = base.materialised(pairs.join(left, "a").join(right, "b").mapInArrow(_near_pair(least), "a long, b long").distinct())
-    base.dropped(sets, pairs)
-    return near
+    return near_pairs(texts, _groups(components(pairs)), words, least, 32)
+
+
+def _groups(found: DataFrame) -> DataFrame:
+    """(id, comp) of all rows of components. A group's leader is its least node, which is a row of ``found`` only as a component."""
+    comp = F.col("component")
+    return found.select(F.col("node").alias("id"), comp.alias("comp")).union(found.select(comp.alias("id"), comp.alias("comp"))).distinct()
 
 
 def row_key(df: DataFrame, id_col: str, text_col: str):
@@ -532,10 +527,8 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "rk"))
     classes = base.materialised(marked.groupBy(*key).agg(first.alias("first"), *[F.min(c).alias(c) for c in SKETCH[1:]]).withColumn("id", F.col("first.rk")))
     loose = components(links(classes.select("fp", "fp2", "id"), max_bits, second_bits))
-    # The leader of a group is the least node, as components() names groups; it is a row of ``loose`` only as a component.
-    groups = loose.select(F.col("node").alias("id"), F.col("component").alias("comp")).union(loose.select(F.col("component").alias("id"), F.col("component").alias("comp"))).distinct()
     texts = side.select(F.col("rk").alias("id"), "text")
-    close = components(near_pairs(texts, groups, words, least, second_bits + 6))
+    close = components(near_pairs(texts, _groups(loose), words, least, second_bits + 6))
     known = base.materialised(classes.filter("n > 0").join(close.withColumnRenamed("node", "id"), "id", "left").select("id", "n", F.coalesce("component", "id").alias("comp"), *SKETCH))
     more = prefix_pairs(base.materialised(texts.join(known.select("id"), "id", "left_semi")), known, words, least)
     found = components(close.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
