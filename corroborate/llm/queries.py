@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import base, decontamination, langid, media, pii, quality, repeats, secret_scan, sentencepiece_fst, simhash, toxicity
+from . import base, decontamination, langid, media, negatives, periodic, pii, quality, repeats, secret_scan, sentencepiece_fst, simhash, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +87,37 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.find(_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(_table(spark, sf_dir, "embeddings"), "vec_id", label, "embedding", F.col("id") % 100 == 0)
+
+
+def periodic_words(doc_id: int | None, words: list) -> list:
+    """The words of every tenth document, by crc32 of its id, go round from some word on, as the query asks."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find(_table(spark, sf_dir, "documents"), keep=["doc_id"], rewrite=periodic_words, rewrite_by="doc_id")
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    milli = F.floor(-1000 * best["l"] / best["period"])
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), (-best["l"]).alias("length"), best["period"].alias("period"), milli.alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"), url_filter.RULES, keep=["page_id"])
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -93,7 +125,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_language, op3_pii, op4_secrets, op5_quality, op6_media, op7_decontamination, op8_sentencepiece, op9_simhash, op10_repeats)
+    f.__name__: f for f in (op1_toxicity, op2_language, op3_pii, op4_secrets, op5_quality, op6_media, op7_decontamination, op8_sentencepiece, op9_simhash, op10_repeats, op11_hard_negatives, op12_periodic, op13_url_filter)
 }
 
-ORACLES: dict[str, str] = {"op7_decontamination": decontamination.oracle()}
+ORACLES: dict[str, str] = {"op7_decontamination": decontamination.oracle(), "op11_hard_negatives": negatives.oracle(), "op13_url_filter": url_filter.oracle()}
