@@ -139,16 +139,61 @@ def batch_record(pushed: DataFrame, batch_id: str, commit: str | None = None) ->
     return pushed.agg(n).filter("claims_generated > 0").select(*[F.lit(v).alias(k) for k, v in fixed.items()], "claims_generated", note, F.lit(commit).cast("string").alias("dolt_commit_hash"))
 
 
+def _aligned(old: DataFrame, new: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the columns of either; one that a side lacks is null there."""
+    cols = [*keys, *[c for c in old.columns if c not in keys], *[c for c in new.columns if c not in keys and c not in old.columns]]
+    kinds = {**dict(new.dtypes), **dict(old.dtypes)}
+    return tuple(df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(kinds[c]).alias(c) for c in cols]) for df in (old, new))
+
+
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, change, old, new): added, modified and removed rows. All columns are compared, nulls as equal to each other only."""
+    """(keys, change, old, new): added, modified and removed rows. The columns of either side are compared; nulls, in keys too, equal each other."""
+    old, new = _aligned(old, new, keys)
     cols = [c for c in old.columns if c not in keys]
     side = lambda df, p: df.select(*[F.col(k).alias(f"{p}_{k}") for k in keys], F.struct(*cols).alias(p))
-    on = [F.col(f"old_{k}") == F.col(f"new_{k}") for k in keys]
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(f"old_{k}").eqNullSafe(F.col(f"new_{k}"))
     j = side(old, "old").join(side(new, "new"), on, "full").filter("not (old <=> new)")
     change = F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "removed").otherwise("modified")
     return j.select(*[F.coalesce(f"old_{k}", f"new_{k}").alias(k) for k in keys], change.alias("change"), "old", "new")
 
 
+def range_bounds(df: DataFrame, key: str, n: int, sample: int = 10_000) -> list:
+    """Up to ``n`` - 1 bounds that cut a table into ranges of about equal size, from a sample of at most ``sample`` keys, picked by hash."""
+    some = sorted(r[0] for r in df.select(key).filter(F.col(key).isNotNull()).distinct().orderBy(F.xxhash64(key)).limit(sample).collect())
+    return sorted({some[len(some) * i // n] for i in range(1, n)}) if some else []
+
+
+def write_snapshot(df: DataFrame, path: str, keys: list[str], bounds: list) -> None:
+    """A snapshot in one folder a range of its first key, with a table of digests beside it: rows and two sums of hashes for each range.
+
+    Snapshots that are to be compared are written with the same bounds.
+    """
+    spread = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col(keys[0]))) if bounds else F.lit(0)
+    rows = df.withColumn("__range__", F.coalesce(spread, F.lit(0)))
+    rows.repartition("__range__", F.pmod(F.xxhash64(*keys), F.lit(8))).write.partitionBy("__range__").parquet(f"{path}/rows")
+    back = df.sparkSession.read.parquet(f"{path}/rows")
+    cols = sorted(df.columns)
+    # A column that is null everywhere adds nothing, so that a column which only one side has changes a digest where it has values.
+    cell = lambda c, seed: F.when(F.col(c).isNotNull(), F.xxhash64(F.lit(c), F.col(c), F.lit(seed))).otherwise(0)
+    row = lambda seed: F.xxhash64(F.array_sort(F.filter(F.array(*[cell(c, seed) for c in cols]), lambda x: x != 0)))
+    back.groupBy(F.col("__range__").alias("range")).agg(F.count("*").alias("n"), *[F.sum(row(s).cast("decimal(38,0)")).alias(f"digest_{s}") for s in (1, 2)]).write.parquet(f"{path}/digests")
+
+
+def stored_diff(spark, old_path: str, new_path: str, keys: list[str]) -> DataFrame:
+    """``snapshot_diff`` of two stored snapshots: digests are compared first, and only ranges that differ are read and joined.
+
+    The list of ranges that differ reaches the driver; there are as many ranges as bounds. Ranges that one side lacks differ.
+    """
+    digests = [spark.read.parquet(f"{p}/digests") for p in (old_path, new_path)]
+    names = ("n", "digest_1", "digest_2")
+    both = digests[0].select("range", F.struct(*names).alias("a")).join(digests[1].select("range", F.struct(*names).alias("b")), "range", "full")
+    differing = [r["range"] for r in both.filter("not (a <=> b)").select("range").collect()]
+    sides = [spark.read.parquet(f"{p}/rows").filter(F.col("__range__").isin(*differing) if differing else F.lit(False)).drop("__range__") for p in (old_path, new_path)]
+    return snapshot_diff(*sides, keys)
+
+
 def snapshot_log(log: DataFrame) -> DataFrame:
     """Commits, newest first, with the one before as parent. The log is one row a snapshot."""
     return log.withColumn("parent", F.lag("snapshot_id").over(Window.partitionBy("table").orderBy("committed_at", "snapshot_id"))).orderBy(F.desc("committed_at"), F.desc("snapshot_id"))
@@ -179,10 +224,12 @@ def revert(current: DataFrame, diff: DataFrame, keys: list[str], log: DataFrame
 
 
 def verify_run(warrants: DataFrame, conflicts: DataFrame) -> DataFrame:
-    """(check, n): rows, nulls in required fields, conflicts by type and severity where they have these, conflicts without their warrants."""
+    """(check, n): rows, nulls in required fields, conflicts by type and severity where they have these, conflicts that lack either warrant."""
     w = warrants.agg(F.count("*").alias("warrants"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in ("id", "plant_id", "attribute_id")])
     ids = warrants.select(F.col("id").alias("wid"))
-    lost = conflicts.join(ids, F.col("id_a") == F.col("wid"), "left_anti").agg(F.count("*").alias("n")).select(F.lit("orphan_conflicts").alias("check"), "n")
+    has = lambda x: ids.distinct().select(F.col("wid").alias(f"has_{x}"))
+    sides = conflicts.join(has("a"), F.col("id_a") == F.col("has_a"), "left").join(has("b"), F.col("id_b") == F.col("has_b"), "left")
+    lost = sides.filter("has_a is null or has_b is null").agg(F.count("*").alias("n")).select(F.lit("orphan_conflicts").alias("check"), "n")
     out = w.select(F.explode(F.array(*[F.struct(F.lit(c).alias("check"), F.col(c).alias("n")) for c in w.columns])).alias("x")).select("x.*").unionByName(lost)
     for c in ("conflict_type", "severity"):
         if c in conflicts.columns:

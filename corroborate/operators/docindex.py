@@ -8,26 +8,33 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import kept
+from .grams import containing
+
+
+def _query_words(queries: DataFrame, least: int) -> DataFrame:
+    return queries.select("query_id", F.explode(F.array_distinct(F.split(F.lower("query"), r"\s+"))).alias("word")).filter(F.length("word") >= least)
+
 
 def search_nodes(nodes: DataFrame, queries: DataFrame, k: int = 5, offset: int = 0) -> DataFrame:
     """(query_id, doc_id, node_id, score, rank): three points for each query word in a title and one in a summary, over zero.
 
-    Words of one letter do not count; repeated words of a query count once. Queries are few and broadcast by size.
+    Words of one letter do not count; repeated words of a query count once. Words are looked up in an index of letter groups over titles
+    and summaries, once for all queries.
     """
-    words = queries.select("query_id", F.explode(F.array_distinct(F.split(F.lower("query"), r"\s+"))).alias("word")).filter(F.length("word") >= 2)
-    title, summary = F.lower(F.coalesce("title", F.lit(""))), F.lower(F.coalesce("summary", F.lit("")))
-    points = 3 * title.contains(F.col("word")).cast("int") + summary.contains(F.col("word")).cast("int")
-    hit = nodes.select("doc_id", "node_id", "title", "summary").join(words, title.contains(F.col("word")) | summary.contains(F.col("word"))).withColumn("p", points)
-    scored = hit.groupBy("query_id", "doc_id", "node_id").agg(F.sum("p").alias("score"))
+    words = _query_words(queries, 2)
+    fields = F.array(*[F.struct(F.lit(points).alias("points"), F.lower(c).alias("text")) for c, points in (("title", 3), ("summary", 1))])
+    texts = nodes.select("doc_id", "node_id", F.explode(fields).alias("f")).select("doc_id", "node_id", "f.*").filter("text <> ''")
+    scored = containing(texts, words).drop("text").join(words, "word").groupBy("query_id", "doc_id", "node_id").agg(F.sum("points").alias("score"))
     r = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id", "node_id"))
     return scored.withColumn("rank", r).filter((F.col("rank") > offset) & (F.col("rank") <= offset + k))
 
 
 def search_terms(nodes: DataFrame, queries: DataFrame, least: int = 2, cap: int = 10) -> DataFrame:
     """Nodes that hold at least ``least`` query words of three letters or more, with 500 characters of summary; the top ``cap``."""
-    words = queries.select("query_id", F.explode(F.array_distinct(F.split(F.lower("query"), r"\s+"))).alias("word")).filter(F.length("word") > 2)
-    both = F.lower(F.concat_ws(" ", "title", "summary"))
-    hit = nodes.join(words, both.contains(F.col("word"))).groupBy("query_id", "doc_id", "node_id").agg(F.count("*").alias("n_terms"), F.min(F.substring("summary", 1, 500)).alias("summary")).filter(F.col("n_terms") >= least)
+    words = _query_words(queries, 3)
+    texts = nodes.select("doc_id", "node_id", F.lower(F.concat_ws(" ", "title", "summary")).alias("text"), F.substring("summary", 1, 500).alias("summary"))
+    hit = containing(texts, words).drop("text").join(words, "word").groupBy("query_id", "doc_id", "node_id").agg(F.count("*").alias("n_terms"), F.min("summary").alias("summary")).filter(F.col("n_terms") >= least)
     return hit.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("n_terms"), "doc_id", "node_id"))).filter(F.col("rank") <= cap)
 
 
@@ -97,28 +104,41 @@ def chunk_pages(pages: DataFrame, max_tokens: int, overlap: int = 1) -> DataFram
     """(doc_id, chunk, first_page, last_page, tokens): pages in order, tokens being characters // 4.
 
     A document within the budget is one chunk. Otherwise a chunk ends before the page that would take it over the even size,
-    half way between the budget and an equal share, and starts again with ``overlap`` pages of the one before. Sequential for
-    each document, of which a task holds the pages' sizes.
-    """
+    half way between the budget and an equal share, and starts again with ``overlap`` pages of the one before.
 
-    def pack(key, f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values("page")
-        page, size = f["page"].tolist(), [int(c) // 4 for c in f["chars"]]
-        total = sum(size)
-        even = total if total <= max_tokens else -(-(total / -(-total // max_tokens) + max_tokens) // 2)
-        out, start, held = [], 0, 0
-        for i, t in enumerate(size):
-            if held + t > even and total > max_tokens:
-                out.append((start, i - 1, held))
-                start = max(i - overlap, 0)
-                held = sum(size[start:i])
-            held += t
-        out.append((start, len(size) - 1, held))
-        rows = [(key[0], n, page[a] if a <= z else None, page[z] if a <= z else None, held) for n, (a, z, held) in enumerate(out)]
-        return pd.DataFrame(rows, columns=["doc_id", "chunk", "first_page", "last_page", "tokens"]).astype({"first_page": "Int64", "last_page": "Int64"})
-
-    kind = dict(pages.dtypes)["doc_id"]
-    return pages.select("doc_id", "page", F.length(F.coalesce("text", F.lit(""))).alias("chars")).groupBy("doc_id").applyInPandas(pack, f"doc_id {kind}, chunk int, first_page long, last_page long, tokens long")
+    Where the chunk after a break at a page would break again follows from prefix sums alone, so every page has a pointer to the next break. The
+    breaks are the pages that pointers reach from the start; pointers are doubled each round, so that a document of n chunks takes log2(n) + 1
+    rounds of joins on (document, page number), which spread one long document over tasks. Equal page numbers go by size.
+    """
+    doc = Window.partitionBy("doc_id").orderBy("page", "t")
+    size = F.floor(F.length(F.coalesce("text", F.lit(""))) / 4)
+    p = pages.select("doc_id", "page", size.alias("t")).withColumns({"i": F.row_number().over(doc) - 1, "sum": F.sum("t").over(doc.rowsBetween(Window.unboundedPreceding, 0))})
+    total = p.groupBy("doc_id").agg(F.max("sum").alias("total"), F.count("*").alias("n"))
+    parts = F.ceil(F.col("total") / max_tokens)
+    even = F.when(F.col("total") <= max_tokens, F.col("total")).otherwise(F.ceil((F.col("total") / parts + max_tokens) / 2))
+    p = kept(p.join(total.withColumn("even", even), "doc_id"))
+    # From a break at i a chunk starts ``overlap`` pages before it; before the first page stands a start of its own, i = -1.
+    held = p.select("doc_id", (F.col("i") + overlap).cast("int").alias("i"), (F.col("sum") - F.col("t")).alias("base"))
+    base = p.select("doc_id", "i", "n", "even").join(held, ["doc_id", "i"], "left").select("doc_id", "i", "n", (F.coalesce("base", F.lit(0)) + F.col("even")).alias("most"))
+    base = base.unionByName(p.filter("i = 0").select("doc_id", F.lit(-1).alias("i"), "n", F.col("even").alias("most")))
+    # The pages that fit, counted among the sums in order; the page after them is the next break.
+    mixed = base.select("doc_id", "i", "n", F.col("most").alias("v"), F.lit(1).alias("k")).unionByName(p.select("doc_id", "i", "n", F.col("sum").alias("v"), F.lit(0).alias("k")))
+    fit = F.count_if(F.col("k") == 0).over(Window.partitionBy("doc_id").orderBy("v", "k").rowsBetween(Window.unboundedPreceding, 0))
+    jump = kept(mixed.withColumn("fit", fit).filter("k = 1").select("doc_id", "i", F.when(F.greatest("fit", F.col("i") + 1) < F.col("n"), F.greatest("fit", F.col("i") + 1)).cast("int").alias("to")))
+    reached = kept(total.select("doc_id", F.lit(-1).alias("i"), F.lit(0).cast("long").alias("chunk")))
+    step = 1
+    while not jump.filter("to is not null").isEmpty():
+        more = reached.join(jump.filter("to is not null"), ["doc_id", "i"]).select("doc_id", F.col("to").alias("i"), (F.col("chunk") + step).alias("chunk"))
+        reached = kept(reached.unionByName(more))
+        then = jump.select("doc_id", F.col("i").alias("to"), F.col("to").alias("to2"))
+        jump = kept(jump.join(then, ["doc_id", "to"], "left").select("doc_id", "i", F.col("to2").alias("to")))
+        step *= 2
+    ends = reached.withColumn("next", F.lead("i").over(Window.partitionBy("doc_id").orderBy("chunk")))
+    at = lambda c, name: p.select("doc_id", F.col("i").alias(c), F.col("page").alias(f"{name}_page"), F.col("sum").alias(f"{name}_sum"), F.col("t").alias(f"{name}_t"))
+    out = ends.join(total.select("doc_id", "n"), "doc_id").select("doc_id", "chunk", F.greatest(F.col("i") - overlap, F.lit(0)).cast("int").alias("a"), (F.coalesce("next", "n") - 1).cast("int").alias("z"))
+    out = out.join(at("a", "first"), ["doc_id", "a"], "left").join(at("z", "last"), ["doc_id", "z"], "left")
+    some = F.col("z") >= F.col("a")
+    return out.select("doc_id", F.col("chunk").cast("int").alias("chunk"), F.when(some, F.col("first_page")).alias("first_page"), F.when(some, F.col("last_page")).alias("last_page"), F.when(some, F.col("last_sum") - F.col("first_sum") + F.col("first_t")).otherwise(0).cast("long").alias("tokens"))
 
 
 def large_nodes(nodes: DataFrame, pages: DataFrame, n: int, m: int) -> DataFrame:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import kept
+from .grams import containing
+
 
 def few(df: DataFrame, most: int = 100_000) -> DataFrame:
     """A one-row table with one array column; raises in the task where the array is longer than ``most``."""
@@ -152,38 +155,48 @@ def attribute_parents(attributes: DataFrame) -> DataFrame:
     return attributes.join(p, attributes["parent_attribute_id"] == p["pid"], "left").drop("pid")
 
 
-def attribute_paths(attributes: DataFrame, depth: int | None = None) -> DataFrame:
-    """(id, name, root_name, path, level): a walk up the tree, a join a level until no node has a parent left.
+#: Stands between the ids of a code; ids are taken not to hold it.
+STEP = "\x1f"
+
 
-    Without ``depth`` the levels are counted first; a tree whose walk does not end after as many levels as it has nodes is a
-    cycle and raises. A node whose parent is unknown counts as a root.
+def tree_codes(attributes: DataFrame) -> DataFrame:
+    """(id, name, names, code): the names from the root down to each node, and their ids in one text, so that a node and all below it have
+    the codes of one range (``below``).
+
+    Pointer doubling: each round joins every node's furthest known ancestor with that one's own way, so that a tree of depth d takes
+    log2(d) + 1 rounds, each written and read again. A way that reaches no root after as many steps as there are nodes is a cycle, which
+    raises. A node whose parent is unknown counts as a root.
     """
-    if depth is None:
-        depth = _depth(attributes)
-    edges = attributes.select(F.col("id").alias("eid"), F.col("name").alias("ename"), F.col("parent_attribute_id").alias("eparent"))
-    now = attributes.select("id", "name", F.col("name").alias("root_name"), F.col("name").alias("path"), F.lit(1).alias("level"), F.col("parent_attribute_id").alias("up"))
-    for _ in range(depth - 1):
-        j = now.join(edges, now["up"] == edges["eid"], "left")
-        hit = F.col("eid").isNotNull()
-        now = j.select("id", "name", F.when(hit, F.col("ename")).otherwise(F.col("root_name")).alias("root_name"), F.when(hit, F.concat_ws(" > ", "ename", "path")).otherwise(F.col("path")).alias("path"), (F.col("level") + hit.cast("int")).alias("level"), F.when(hit, F.col("eparent")).alias("up"))
-    return now.drop("up")
-
-
-def _depth(attributes: DataFrame) -> int:
-    """Levels of the tree; a dimension table, of which a count reaches the driver for each level."""
-    edges = attributes.select(F.col("id").alias("up"), F.col("parent_attribute_id").alias("next"))
-    now, levels, nodes = attributes.select(F.col("parent_attribute_id").alias("at")).filter("at is not null").distinct(), 1, None
-    while not (now := now.join(edges, F.col("at") == F.col("up")).select(F.col("next").alias("at")).distinct()).isEmpty():
-        levels += 1
+    ids = attributes.select(F.col("id").alias("up")).distinct().withColumn("known", F.lit(True))
+    now = attributes.select("id", "name", F.array("name").alias("names"), F.concat(F.col("id").cast("string"), F.lit(STEP)).alias("code"), F.col("parent_attribute_id").alias("up"))
+    now = kept(now.join(ids, "up", "left").withColumn("up", F.when(F.col("known"), F.col("up"))).drop("known"))
+    steps, nodes = 1, None
+    while not now.filter("up is not null").isEmpty():
         nodes = attributes.count() if nodes is None else nodes
-        if levels > nodes:
+        if steps > 2 * nodes:
             raise ValueError("the attributes' parents form a cycle")
-        now = now.filter("at is not null")
-    return levels
+        above = now.select(F.col("id").alias("up"), F.col("names").alias("n2"), F.col("code").alias("c2"), F.col("up").alias("up2"))
+        joined = now.join(above, "up", "left")
+        names = F.when(F.col("n2").isNotNull(), F.concat("n2", "names")).otherwise(F.col("names"))
+        now = kept(joined.select("id", "name", names.alias("names"), F.concat(F.coalesce("c2", F.lit("")), "code").alias("code"), F.col("up2").alias("up")))
+        steps *= 2
+    return now.select("id", "name", "names", "code")
+
+
+def below(coded: DataFrame, code: str) -> DataFrame:
+    """A node and all below it: a range of codes, which a table sorted by code reads a stretch of."""
+    return coded.filter((F.col("code") >= code) & (F.col("code") < code + "\U0010ffff"))
+
+
+def attribute_paths(attributes: DataFrame) -> DataFrame:
+    """(id, name, root_name, path, level) of every node."""
+    return tree_codes(attributes).select("id", "name", F.get("names", F.lit(0)).alias("root_name"), F.array_join("names", " > ").alias("path"), F.size("names").alias("level"))
 
 
 def subtree(attributes: DataFrame, root: str) -> DataFrame:
-    return attribute_paths(attributes).filter((F.col("root_name") == root) | F.col("path").startswith(root + " > "))
+    """(id, name, path, level) of the nodes named ``root``, wherever they stand, and of all below them."""
+    hit = tree_codes(attributes).filter(F.array_contains("names", root))
+    return hit.select("id", "name", F.array_join("names", " > ").alias("path"), F.size("names").alias("level"))
 
 
 def entity_values(values: DataFrame, attributes: DataFrame, sources: DataFrame) -> DataFrame:
@@ -246,12 +259,11 @@ def cross_reference(a: DataFrame, b: DataFrame, key: str = "name") -> DataFrame:
 
 
 def listing_status(names: DataFrame, listings: DataFrame) -> DataFrame:
-    """(name, listed_in): lists (list, text) whose entry contains the name; blocked on the first two words."""
+    """(name, listed_in): lists (list, text) an entry of which holds the name anywhere, case apart, also within a word; a blank name is in none."""
     n = names.select("name", F.lower(F.trim("name")).alias("k")).distinct()
-    words = F.split(F.lower(F.trim("text")), r"\s+")
-    entry = listings.select("list", F.lower("text").alias("t"), F.explode(F.array_distinct(words)).alias("w"))
-    hit = n.withColumn("w", F.get(F.split("k", r"\s+"), F.lit(0))).join(entry, "w").filter(F.col("t").contains(F.col("k")))
-    lists = hit.groupBy("name").agg(F.array_sort(F.collect_set("list")).alias("listed_in"))
+    entries = listings.select("list", F.lower("text").alias("text")).distinct()
+    hit = containing(entries, n.select(F.col("k").alias("word"))).select(F.col("word").alias("k"), "list").distinct()
+    lists = n.join(hit, "k").groupBy("name").agg(F.array_sort(F.collect_set("list")).alias("listed_in"))
     return names.select("name").distinct().join(lists, "name", "left").withColumn("listed_in", F.coalesce("listed_in", F.array().cast("array<string>")))
 
 
@@ -281,22 +293,51 @@ def taxonomy_profile(names: DataFrame, backbones: list[tuple[str, DataFrame]], c
     return out.select("name", *merged, F.array_compact(F.array(*[F.when(F.col(f"in_{label}"), F.lit(label)) for label, _ in backbones])).alias("sources"))
 
 
-def lookup_sources(names: DataFrame, long: DataFrame, genus_datasets: list[str], synonymy: DataFrame | None = None) -> DataFrame:
-    """Rows of a long source table (dataset, name, column, value) for each name: by full name (1.0), or by genus (0.8) in genus datasets.
+# Columns that tell no trait of a plant.
+STRUCTURAL_COLUMNS = ("id", "ID", "rowid", "taxon_id", "taxon_ID", "source_plant_id", "source_plant_ID", "source_leaf_id", "source_leaf_ID", "source_distrib_id", "source_distrib_ID", "source_ID", "source_id", "site_ID", "site_id", "symbol", "is_synonym")
+STRATEGIES = ("exact", "genus", "prefix", "synonymy")
 
-    Names without a row by full name are tried by the taxon_name that ``synonymy`` (original_name, taxon_name) gives them (0.9).
+
+def lookup_rows(names: DataFrame, rows: DataFrame, strategies: DataFrame, synonymy: DataFrame | None = None) -> DataFrame:
+    """(asked, dataset, source_row, matched_name, confidence): the first row (dataset, source_row, name) of each dataset for each name.
+
+    ``strategies`` (dataset, strategy) tells how a dataset is asked, a dataset that it does not name exactly: by the whole name, case apart
+    (exact, 1.0); by the name's first word (genus, 0.8); rows whose name, an author behind it, begins with the name (prefix, 1.0); exactly
+    and, where that finds nothing, by the taxon_name that ``synonymy`` (original_name, taxon_name) gives the name (synonymy, 0.9).
     """
-    n = names.select("name", F.lower(F.trim("name")).alias("k")).distinct().withColumn("g", F.get(F.split("k", " "), F.lit(0)))
-    src = long.filter(F.trim("value") != "").withColumn("k", F.lower(F.trim(F.regexp_replace("name", r"\s+[A-Z][a-z]*\.?.*$", "")))).drop("name")
-    exact = n.join(src.filter(~F.col("dataset").isin(*genus_datasets)), "k").withColumn("confidence", F.lit(1.0))
-    genus = n.drop("k").join(src.filter(F.col("dataset").isin(*genus_datasets)).withColumn("g", F.get(F.split("k", " "), F.lit(0))), "g").withColumn("confidence", F.lit(0.8))
-    cols = ["name", "dataset", "column", "value", "confidence"]
-    out = exact.select(*cols).unionByName(genus.select(*cols))
+    n = names.select(F.trim("name").alias("asked")).filter("asked <> ''").distinct().withColumn("k", F.lower("asked"))
+    r = rows.select("dataset", "source_row", F.col("name").alias("matched_name"), F.lower("name").alias("k")).join(strategies, "dataset", "left").withColumn("strategy", F.coalesce("strategy", F.lit("exact")))
+    first = lambda hit, sure: hit.groupBy("asked", "dataset").agg(F.min(F.struct("source_row", "matched_name")).alias("f")).select("asked", "dataset", "f.source_row", "f.matched_name", F.lit(sure).alias("confidence"))
+    whole = r.filter(F.col("strategy").isin("exact", "synonymy"))
+    exact = first(n.join(whole, "k"), 1.0)
+    genus = first(n.select("asked", F.get(F.split("k", r"\s+"), F.lit(0)).alias("k")).join(r.filter("strategy = 'genus'"), "k"), 0.8)
+    # A row is asked for at those of its lengths that some name has, and so by an equal key.
+    lengths = n.agg(F.array_sort(F.collect_set(F.length("asked"))).alias("lengths"))
+    cut = r.filter("strategy = 'prefix'").withColumn("lengths", lengths.scalar()).withColumn("at", F.explode("lengths")).filter(F.col("at") <= F.length("k"))
+    prefix = first(n.join(cut.select("dataset", "source_row", "matched_name", F.expr("left(k, at)").alias("k")), "k"), 1.0)
+    out = exact.unionByName(genus).unionByName(prefix)
     if synonymy is None:
         return out
-    known_as = synonymy.select(F.lower(F.trim("original_name")).alias("k"), F.lower(F.trim("taxon_name")).alias("k2")).distinct()
-    other = n.join(exact.select("name").distinct(), "name", "left_anti").join(known_as, "k").select("name", F.col("k2").alias("k"))
-    return out.unionByName(other.join(src.filter(~F.col("dataset").isin(*genus_datasets)), "k").withColumn("confidence", F.lit(0.9)).select(*cols))
+    # The first of a name's entries in the synonymy counts, in the order of the accepted names.
+    known_as = synonymy.groupBy(F.lower(F.trim("original_name")).alias("k")).agg(F.lower(F.min("taxon_name")).alias("to"))
+    asked = n.join(known_as, "k").select("asked", F.col("to").alias("k")).join(whole.filter("strategy = 'synonymy'"), "k")
+    return out.unionByName(first(asked.join(exact.select("asked", "dataset"), ["asked", "dataset"], "left_anti"), 0.9))
+
+
+def lookup_sources(names: DataFrame, long: DataFrame, strategies: DataFrame, synonymy: DataFrame | None = None, attributes: DataFrame | None = None) -> DataFrame:
+    """Every non-blank cell (dataset, source_row, name, column, value) of the rows that ``lookup_rows`` finds for a name:
+    (asked, dataset, matched_name, column, value, confidence), and the attribute of ``attributes`` (column, attribute_id, attribute_name), if there is one.
+
+    Columns that tell no trait are left out. Column names are compared case apart.
+    """
+    rows = long.select("dataset", "source_row", "name").distinct()
+    found = lookup_rows(names, rows, strategies, synonymy)
+    cells = long.filter((F.trim("value") != "") & ~F.col("column").isin(*STRUCTURAL_COLUMNS)).select("dataset", "source_row", "column", F.trim("value").alias("value"))
+    out = found.join(cells, ["dataset", "source_row"]).select("asked", "dataset", "matched_name", "column", "value", "confidence")
+    if attributes is None:
+        return out
+    a = attributes.groupBy(F.lower("column").alias("__c__")).agg(F.min(F.struct("attribute_id", "attribute_name")).alias("a"))
+    return out.join(a, F.lower("column") == F.col("__c__"), "left").select(*out.columns, "a.attribute_id", "a.attribute_name")
 
 
 def swap_pairs(df: DataFrame, bad: str = "bad", good: str = "good", sep: str = ";") -> DataFrame:

@@ -54,49 +54,109 @@ def join_continuations(lines: DataFrame, starts: str, doc: str = "doc", line_no:
     return lines.withColumn("g", group).groupBy(doc, "g").agg(F.min(line_no).alias(line_no), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(line_no, "line"))), lambda s: F.trim(s["line"])), " ").alias("line")).drop("g")
 
 
+class _Table:
+    """An open table: its rows as a grid in which cells that span rows or columns stand in every place that they cover."""
+
+    def __init__(self, number: int, name: str | None):
+        self.number, self.name = number, name
+        self.rows: list[tuple[int, list[str], bool, str | None]] = []
+        self.spans: dict[int, tuple[int, str]] = {}
+        self.row: list[str] | None = None
+        self.text: list[str] | None = None
+        self.spread, self.tall, self.head, self.link = 1, 1, False, None
+
+    def start_row(self) -> None:
+        self.end_row()
+        self.row, self.head, self.link = [], False, None
+
+    def start_cell(self, tag: str, spread: int, tall: int) -> None:
+        self.end_cell()
+        if self.row is None:
+            self.start_row()
+        self.text, self.spread, self.tall, self.head = [], spread, tall, self.head or tag == "th"
+
+    def _fill(self) -> None:
+        """Places that cells of earlier rows cover."""
+        while len(self.row) in self.spans:
+            left, text = self.spans.pop(len(self.row))
+            if left > 1:
+                self.later[len(self.row)] = (left - 1, text)
+            self.row.append(text)
+
+    def end_cell(self) -> None:
+        if self.text is None:
+            return
+        if not self.row:
+            self.later: dict[int, tuple[int, str]] = {}
+        text = " ".join("".join(self.text).split())
+        self._fill()
+        for _ in range(self.spread):
+            if self.tall > 1:
+                self.later[len(self.row)] = (self.tall - 1, text)
+            self.row.append(text)
+        self.text = None
+
+    def end_row(self) -> None:
+        self.end_cell()
+        if self.row:
+            self._fill()
+            self.rows.append((len(self.rows), self.row, self.head, self.link))
+            self.spans = {**self.spans, **self.later}
+        self.row = None
+
+
 class _Tables(HTMLParser):
-    """Cells of all tables of a page; headers are the th cells of a row."""
+    """All tables of a page. Open tables are a stack: an inner table's rows and text are its own, and the outer one goes on after it."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.rows: list[tuple[int, int, list[str], bool]] = []
-        self.table, self.row, self.cells, self.cell, self.head, self.depth = -1, 0, [], None, False, 0
+        self.open: list[_Table] = []
+        self.tables: list[_Table] = []
 
     def handle_starttag(self, tag, attrs):
+        a = dict(attrs)
         if tag == "table":
-            self.table, self.row, self.depth = self.table + 1, 0, self.depth + 1
-        elif self.depth and tag == "tr":
-            self._end_row()
-        elif self.depth and tag in ("td", "th"):
-            self._end_cell()
-            self.cell, self.head = [], self.head or tag == "th"
+            self.tables.append(_Table(len(self.tables), a.get("id")))
+            self.open.append(self.tables[-1])
+        elif self.open and tag == "tr":
+            self.open[-1].start_row()
+        elif self.open and tag in ("td", "th"):
+            self.open[-1].start_cell(tag, _span(a.get("colspan")), _span(a.get("rowspan")))
+        elif self.open and tag == "a" and self.open[-1].text is not None:
+            self.open[-1].link = a.get("href") or self.open[-1].link
 
     def handle_endtag(self, tag):
+        if not self.open:
+            return
         if tag in ("td", "th"):
-            self._end_cell()
-        elif tag in ("tr", "table"):
-            self._end_row()
-            self.depth -= tag == "table" and self.depth > 0
+            self.open[-1].end_cell()
+        elif tag == "tr":
+            self.open[-1].end_row()
+        elif tag == "table":
+            self.open.pop().end_row()
 
     def handle_data(self, data):
-        if self.cell is not None:
-            self.cell.append(data)
+        if self.open and self.open[-1].text is not None:
+            self.open[-1].text.append(data)
 
-    def _end_cell(self):
-        if self.cell is not None:
-            self.cells.append(" ".join("".join(self.cell).split()))
-            self.cell = None
+    def close(self):
+        super().close()
+        while self.open:
+            self.open.pop().end_row()
 
-    def _end_row(self):
-        self._end_cell()
-        if self.cells:
-            self.rows.append((self.table, self.row, self.cells, self.head))
-            self.row += 1
-        self.cells, self.head = [], False
 
+def _span(text: str | None) -> int:
+    """Between 1 and 1,000, as browsers take it; anything else is 1."""
+    text = (text or "").strip()
+    return max(1, min(int(text), 1000)) if text.isascii() and text.isdigit() else 1
 
-def html_tables(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """(key, table_no, row_no, cells, is_header) of every table row."""
+
+def html_tables(pages: DataFrame, key: str = "page_id", html: str = "html", table_id: str | None = None) -> DataFrame:
+    """(key, table_no, table_id, row_no, cells, is_header, link) of every table row, or those of the tables with one id.
+
+    Cells that span rows or columns are repeated in the places that they cover, so that a column stands at one place in every row. ``link``
+    is the last link in a row's cells. Tables within cells are tables of their own, numbered in the order in which they open.
+    """
 
     def parse(frames):
         for f in frames:
@@ -105,11 +165,16 @@ def html_tables(pages: DataFrame, key: str = "page_id", html: str = "html") -> D
                 p = _Tables()
                 p.feed(h or "")
                 p.close()
-                p._end_row()
-                out += [(k, *r) for r in p.rows]
-            yield pd.DataFrame(out, columns=[key, "table_no", "row_no", "cells", "is_header"])
+                out += [(k, t.number, t.name, *r) for t in p.tables if table_id is None or t.name == table_id for r in t.rows]
+            yield pd.DataFrame(out, columns=[key, "table_no", "table_id", "row_no", "cells", "is_header", "link"])
+
+    return pages.select(F.col(key).alias("k"), F.col(html).alias("h")).mapInPandas(parse, f"{key} {dict(pages.dtypes)[key]}, table_no int, table_id string, row_no int, cells array<string>, is_header boolean, link string")
+
 
-    return pages.select(F.col(key).alias("k"), F.col(html).alias("h")).mapInPandas(parse, f"{key} {dict(pages.dtypes)[key]}, table_no int, row_no int, cells array<string>, is_header boolean")
+def table_slug(link: Column | str, folder: str = "plants") -> Column:
+    """The part of a link after /folder/, up to the next slash or quote; null where there is none."""
+    c = F.col(link) if isinstance(link, str) else link
+    return F.nullif(F.regexp_extract(c, f'/{folder}/([^/"]+)', 1), F.lit(""))
 
 
 def extract_labels(pages: DataFrame, key: str, html: str, labels: dict[str, str]) -> DataFrame:

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions import names
 from ..operators import claims as cl
 from ..operators import eav, evidence, harvest, reports
 from ..sources import tables
-from ..streaming import streams
+from ..sources.scratch import folder
+from ..streaming import sinks, streams
 from . import adapters as ad
 from . import registry as rg
 from . import wider
@@ -119,7 +117,7 @@ PAGE = """concat('<table><tr><th>Name</th><th>Size</th></tr><tr><td>', p_name, '
 
 @register("SELECT p_partkey AS page_id, 0 AS table_no, 0 AS row_no, 'Name|Size' AS cells, TRUE AS is_header FROM part UNION ALL SELECT p_partkey, 0, 1, concat(p_name, ' x|', CAST(p_size AS STRING)), FALSE FROM part")
 def html_table_rows(spark, d):
-    return harvest.html_tables(ad.table(spark, d, "part").selectExpr("p_partkey AS page_id", PAGE)).withColumn("cells", F.array_join("cells", "|"))
+    return harvest.html_tables(ad.table(spark, d, "part").selectExpr("p_partkey AS page_id", PAGE)).drop("table_id", "link").withColumn("cells", F.array_join("cells", "|"))
 
 
 @register(sql("SELECT plant_id, attribute_id, count(*) AS n_warrants FROM w WHERE status <> 'excluded' AND warrant_type = 'existing' AND plant_id IN (1, 2, 3, 5, 8, 13, 21) AND attribute_id = 3 GROUP BY 1, 2 HAVING count(*) >= 3", "w"))
@@ -210,17 +208,9 @@ def update_reliability(spark, d):
 # Files: written from the tables, then read back.
 
 
-def _folder(spark) -> str:
-    """A new folder where the cluster keeps shared files; on one machine a temporary one."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir names no shared folder")
-    return f"{root or 'file://' + tempfile.mkdtemp(prefix='spark-')}/files-{uuid.uuid4().hex}"
-
-
 @register("SELECT concat('a, \"', p_name, '\"', chr(10), 'b') AS name, CASE WHEN p_size % 5 = 0 THEN '' ELSE CAST(p_size AS STRING) END AS size, p_brand AS brand FROM part")
 def read_source_csv(spark, d):
-    at = _folder(spark)
+    at = folder(spark)
     p = ad.table(spark, d, "part").selectExpr("concat('  a, \"', p_name, '\"', chr(10), 'b ') AS name", "CASE WHEN p_size % 5 <> 0 THEN concat(' ', p_size) END AS size", "p_brand AS brand")
     blank = spark.createDataFrame([("", " ", None)], "name string, size string, brand string")
     p.unionByName(blank).write.csv(at, header=True, escape='"', quoteAll=True)
@@ -229,24 +219,26 @@ def read_source_csv(spark, d):
 
 @register("SELECT name, size_in_ft FROM (SELECT p_name AS name, CAST(p_size AS STRING) AS size_in_ft FROM part)")
 def read_delimited(spark, d):
-    at = _folder(spark)
+    at = folder(spark)
     ad.table(spark, d, "part").selectExpr("p_name AS name", "CAST(p_size AS STRING) AS `size (in ft)`").write.csv(at, header=True, sep="|")
     return tables.read_delimited(spark, at, "|")
 
 
 @register("SELECT 'parts' AS \"table\", 'id, name' AS columns, concat_ws('|', CAST(p_partkey AS STRING), CASE WHEN p_size % 4 = 0 THEN '' ELSE p_name END) AS cells FROM part UNION ALL SELECT 'nations', 'name', n_name FROM nation")
 def tables_from_sql_dump(spark, d):
-    at = _folder(spark)
-    block = lambda df, head: df.agg(F.concat(F.lit(f"-- data\nCOPY public.{head} FROM stdin;\n"), F.array_join(F.collect_list("line"), "\n"), F.lit("\n\\.\n")).alias("value"))
-    parts = ad.table(spark, d, "part").selectExpr("concat_ws('\t', p_partkey, CASE WHEN p_size % 4 = 0 THEN '\\\\N' ELSE p_name END) AS line")
-    nations = ad.table(spark, d, "nation").selectExpr("n_name AS line")
-    block(parts, "parts (id, name)").unionByName(block(nations, '"nations" (name)')).coalesce(1).write.text(at)
+    """A folder of dumps, written side by side: each task writes whole blocks, their head before the rows and their end after them."""
+    at = folder(spark)
+    lines = ad.table(spark, d, "part").selectExpr("p_partkey % 8 AS block", "p_partkey AS at", "concat_ws('\t', p_partkey, CASE WHEN p_size % 4 = 0 THEN '\\\\N' ELSE p_name END) AS value")
+    nations = ad.table(spark, d, "nation").selectExpr("8 AS block", "n_nationkey AS at", "n_name AS value")
+    head = "CASE WHEN block < 8 THEN 'COPY public.parts (id, name) FROM stdin;' ELSE 'COPY public.\"nations\" (name) FROM stdin;' END"
+    marks = spark.range(9).selectExpr("id AS block").selectExpr("block", f"stack(3, -2L, '-- data', -1L, {head}, 9223372036854775807L, '\\\\.') AS (at, value)")
+    lines.unionByName(nations).unionByName(marks).repartition("block").sortWithinPartitions("block", "at").select("value").write.text(at)
     out = tables.tables_from_sql_dump(spark, at)
     return out.select("table", F.array_join("columns", ", ").alias("columns"), F.array_join("cells", "|").alias("cells"))
 
 
 def _mirror(spark, d):
-    at = _folder(spark)
+    at = folder(spark)
     for t in ("nation", "region"):
         ad.table(spark, d, t).write.csv(f"{at}/{t}.csv", header=True)
     return tables.import_tables(spark, at, ["nation", "region"])
@@ -265,7 +257,7 @@ def verify_counts(spark, d):
 
 @register("SELECT p_name AS name, member FROM (SELECT p_name, unnest(['a', CASE WHEN p_size % 2 = 0 THEN 'b' END]) AS member FROM part) WHERE member IS NOT NULL")
 def write_by_member(spark, d):
-    at = _folder(spark)
+    at = folder(spark)
     tables.write_by_member(ad.table(spark, d, "part").selectExpr("p_name AS name", "CASE WHEN p_size % 2 = 0 THEN 'a, b' ELSE 'a,' END AS lists"), "lists", at)
     return spark.read.parquet(at).select("name", "member")
 
@@ -288,10 +280,10 @@ def dataset_registry(spark, d):
 
 def _drained(stream, path: str, mode: str, schema_of):
     """All that a stream puts out, by way of files: appended, or what the last batch says."""
-    write = "append" if mode == "append" else "overwrite"
-    q = stream.writeStream.foreachBatch(lambda df, _: df.write.mode(write).parquet(f"{path}/out")).option("checkpointLocation", f"{path}/state").outputMode(mode).trigger(availableNow=True).start()
+    q = stream.writeStream.foreachBatch(sinks.once_per_batch(f"{path}/out")).option("checkpointLocation", f"{path}/state").outputMode(mode).trigger(availableNow=True).start()
     q.awaitTermination()
-    return schema_of.sparkSession.read.schema(stream.schema).parquet(f"{path}/out")
+    spark = schema_of.sparkSession
+    return sinks.batches(spark, f"{path}/out", stream.schema).drop("batch_id") if mode == "append" else sinks.latest(spark, f"{path}/out", stream.schema)
 
 
 def _stream(spark, d, name):
@@ -302,25 +294,25 @@ def _stream(spark, d, name):
 def stream_warrants(spark, d):
     src = _stream(spark, d, "events").selectExpr("user_id", "event_type", "date_trunc('day', ts) AS day", "ts AS created_at")
     out = streams.stream_warrants(src, ["user_id", "event_type", "day"], late="3650 days").select("user_id", "event_type", F.col("day").cast("timestamp_ntz").alias("day"))
-    return _drained(out, _folder(spark), "append", ad.table(spark, d, "events"))
+    return _drained(out, folder(spark), "append", ad.table(spark, d, "events"))
 
 
 @register("SELECT event_type AS source, count(*) AS n FROM events GROUP BY 1, date_trunc('day', ts)")
 def stream_evidence_counts(spark, d):
     out = streams.stream_evidence_counts(_stream(spark, d, "events"), "1 day", time="ts", source="event_type")
-    return _drained(out, _folder(spark), "complete", ad.table(spark, d, "events")).select("source", "n")
+    return _drained(out, folder(spark), "complete", ad.table(spark, d, "events")).select("source", "n")
 
 
 @register(sql("SELECT c.id AS claim_id, w.id AS warrant_id FROM c JOIN w USING (plant_id, attribute_id) WHERE c.status = 'approved' AND w.status <> 'excluded' AND w.created_at > c.approved_at", "w", "c"))
 def stream_stale(spark, d):
     out = streams.stream_stale(_stream(spark, d, "lineitem").selectExpr(*ad.WARRANTS), ad.claims(spark, d)).select("claim_id", "warrant_id")
-    return _drained(out, _folder(spark), "append", ad.table(spark, d, "events"))
+    return _drained(out, folder(spark), "append", ad.table(spark, d, "events"))
 
 
 @register("WITH g AS (SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER v + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events WINDOW v AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT user_id, count(*) AS n FROM s GROUP BY user_id, k")
 def stream_sessions(spark, d):
     out = streams.stream_sessions(_stream(spark, d, "events"))
-    return _drained(out, _folder(spark), "complete", ad.table(spark, d, "events")).select("user_id", "n")
+    return _drained(out, folder(spark), "complete", ad.table(spark, d, "events")).select("user_id", "n")
 
 
 _ = wider  # registered before this module

@@ -341,10 +341,17 @@ def consensus_claims(spark, d):
     return cl.consensus_claims(ad.warrants(spark, d), cl.auto_score(_reliability(spark, d)).withColumn("reliability_score", F.col("auto_score")))
 
 
+NAME = "CASE CAST(p_partkey % 10 AS INT) WHEN 0 THEN p_name WHEN 1 THEN substring(p_name, 1, length(p_name) - 1) WHEN 2 THEN concat(p_name, 'q') WHEN 3 THEN concat(split_part(p_name, ' ', 1), ' spp.') WHEN 4 THEN concat(p_name, ' ''Red''') WHEN 5 THEN concat('m', p_name) WHEN 6 THEN concat('former ', split_part(p_name, ' ', 2)) WHEN 7 THEN concat('former ', split_part(p_name, ' ', 2), ' ''Red''') WHEN 8 THEN concat('former x ', split_part(p_name, ' ', 2)) ELSE CASE WHEN p_size % 3 = 0 THEN 'former' WHEN p_size % 3 = 1 THEN concat(p_brand, ' ', p_type) ELSE concat(split_part(p_name, ' ', 1), ' ', lower(p_type)) END END"
+
+
+def _named(spark, d):
+    """Part names by key: as they are, with a letter dropped, a letter more, genus only, with a cultivar, with another genus, under a former name, that with a
+    cultivar or a hybrid mark, or alone, and names like no entity's, of a known genus or none."""
+    return ad.table(spark, d, "part").selectExpr("p_partkey AS source_row", f"{NAME} AS name")
+
+
 def _names(spark, d):
-    """Part names as they are, with a letter dropped, a letter more, genus only, with a cultivar, with another genus, and under a former name, by key."""
-    p = ad.table(spark, d, "part")
-    return p.selectExpr("CASE CAST(p_partkey % 7 AS INT) WHEN 0 THEN p_name WHEN 1 THEN substring(p_name, 1, length(p_name) - 1) WHEN 2 THEN concat(p_name, 'q') WHEN 3 THEN concat(split_part(p_name, ' ', 1), ' spp.') WHEN 4 THEN concat(p_name, ' ''Red''') WHEN 5 THEN concat('m', p_name) ELSE concat('former ', split_part(p_name, ' ', 2)) END AS name").distinct()
+    return _named(spark, d).select("name").distinct()
 
 
 def _former(spark, d):
@@ -353,12 +360,14 @@ def _former(spark, d):
     return last.selectExpr("symbol", "stack(2, concat('former ', symbol, ' L.'), 1, concat(first, ' L.'), 0) AS (name_full, is_synonym)")
 
 
-NAMES_SQL = "SELECT DISTINCT CASE p_partkey % 7 WHEN 0 THEN p_name WHEN 1 THEN left(p_name, -1) WHEN 2 THEN p_name || 'q' WHEN 3 THEN split_part(p_name, ' ', 1) || ' spp.' WHEN 4 THEN p_name || ' ''Red''' WHEN 5 THEN 'm' || p_name ELSE 'former ' || split_part(p_name, ' ', 2) END AS name FROM part"
-PARSED_SQL = "SELECT name, lower(split_part(regexp_replace(name, ' ''Red''', ''), ' ', 1)) AS g, CASE WHEN name LIKE '% spp.' THEN NULL ELSE lower(split_part(regexp_replace(name, ' ''Red''', ''), ' ', 2)) END AS s FROM names"
+NAMES_SQL = f"SELECT DISTINCT {NAME} AS name FROM part"
+BARE_SQL = "replace(replace(name, ' ''Red''', ''), ' x ', ' ')"
+PARSED_SQL = f"SELECT name, lower(split_part({BARE_SQL}, ' ', 1)) AS g, CASE WHEN name LIKE '% spp.' OR regexp_matches(split_part({BARE_SQL}, ' ', 2), '^[A-Z]') THEN NULL ELSE nullif(lower(split_part({BARE_SQL}, ' ', 2)), '') END AS s, split_part({BARE_SQL}, ' ', 1) AS genus FROM names"
 INDEX_SQL = "SELECT lower(genus) AS g, lower(species) AS s, min(id) AS plant_id, count(*) AS match_count FROM e GROUP BY 1, 2"
 MATCH_CTE = f"WITH e AS ({ad.CTE['e']}), names AS ({NAMES_SQL}), p AS ({PARSED_SQL}), i AS ({INDEX_SQL})"
-FUZZY_SQL = "SELECT name, plant_id, sim, row_number() OVER (PARTITION BY name ORDER BY sim DESC, plant_id) AS r FROM (SELECT p.name, i.plant_id, 1 - levenshtein(p.s, i.s) / greatest(length(p.s), length(i.s))::DOUBLE AS sim FROM p JOIN i ON p.g = i.g WHERE p.s IS NOT NULL UNION ALL SELECT p.name, i.plant_id, 1 - levenshtein(concat_ws(' ', p.g, p.s), concat(i.g, ' ', i.s)) / greatest(length(concat_ws(' ', p.g, p.s)), length(concat(i.g, ' ', i.s)))::DOUBLE FROM p CROSS JOIN i WHERE p.s IS NULL OR p.g NOT IN (SELECT g FROM i))"
-SYNONYM_SQL = "SELECT 'former ' || split_part(p_name, ' ', 2) AS name, min(p_name) AS accepted FROM part GROUP BY split_part(p_name, ' ', 2)"
+# Every name against every entity that it may be compared with.
+FUZZY_SQL = "SELECT *, row_number() OVER (PARTITION BY name ORDER BY sim DESC, plant_id) AS r FROM (SELECT p.name, i.plant_id, i.g, i.s, 1 - levenshtein(p.s, i.s) / greatest(length(p.s), length(i.s))::DOUBLE AS sim, TRUE AS in_genus FROM p JOIN i ON p.g = i.g WHERE p.s IS NOT NULL UNION ALL SELECT p.name, i.plant_id, i.g, i.s, 1 - levenshtein(concat_ws(' ', p.g, p.s), concat(i.g, ' ', i.s)) / greatest(length(concat_ws(' ', p.g, p.s)), length(concat(i.g, ' ', i.s)))::DOUBLE, FALSE FROM p CROSS JOIN i WHERE p.s IS NULL OR p.g NOT IN (SELECT g FROM i))"
+SYNONYM_SQL = "SELECT split_part(p_name, ' ', 2) AS w, min(p_name) AS accepted FROM part GROUP BY 1"
 
 
 @register(f"{MATCH_CTE} SELECT p.name, p.g, p.s, i.plant_id, i.match_count FROM p LEFT JOIN i ON p.g = i.g AND p.s = i.s")
@@ -366,17 +375,49 @@ def match_exact(spark, d):
     return matching.match_exact(_names(spark, d), ad.entities(spark, d)).select("name", "g", "s", "plant_id", "match_count")
 
 
-@register(f"{MATCH_CTE}, f AS ({FUZZY_SQL}) SELECT name, plant_id, round(sim, 9) AS sim FROM f WHERE r = 1 AND sim >= 0.85")
+ALTERNATIVES_SQL = "SELECT name, string_agg(concat(CAST(plant_id AS STRING), ':', g, ' ', s, ':', CAST(CAST(floor(sim * 10000 + 0.5) AS BIGINT) AS STRING)), '; ' ORDER BY r) AS alternatives FROM f WHERE r <= 3 GROUP BY 1"
+
+
+def _flat(alternatives):
+    """What ``ALTERNATIVES_SQL`` makes of the candidates: id, name and similarity in ten-thousandths."""
+    return F.array_join(F.transform(alternatives, lambda a: F.concat_ws(":", a["plant_id"], F.concat_ws(" ", a["genus"], a["species"]), F.floor(a["similarity"] * 10000 + 0.5))), "; ")
+
+
+@register(f"{MATCH_CTE}, f AS ({FUZZY_SQL}), l AS ({ALTERNATIVES_SQL}) SELECT x.name, x.plant_id, round(x.sim, 9) AS sim, coalesce(y.sim >= x.sim - 0.05::DOUBLE, FALSE) AS tie, l.alternatives FROM f x JOIN l USING (name) LEFT JOIN f y ON y.name = x.name AND y.r = 2 WHERE x.r = 1 AND x.sim >= 0.85")
 def match_fuzzy(spark, d):
-    return matching.match_fuzzy(_names(spark, d), ad.entities(spark, d)).select("name", "plant_id", F.round("sim", 9).alias("sim"))
+    return matching.match_fuzzy(_names(spark, d), ad.entities(spark, d)).select("name", "plant_id", F.round("sim", 9).alias("sim"), "tie", _flat("alternatives").alias("alternatives"))
 
 
-@register(f"{MATCH_CTE}, f AS ({FUZZY_SQL}), y AS (SELECT y.name, i.plant_id FROM ({SYNONYM_SQL}) y JOIN i ON i.g || ' ' || i.s = lower(y.accepted)), q AS (SELECT g, count(*) AS n, min(id) AS only_one FROM (SELECT lower(genus) AS g, id FROM e) GROUP BY 1), k AS (SELECT p.name, CASE WHEN i.plant_id IS NOT NULL THEN 'EXACT' WHEN y.plant_id IS NOT NULL THEN 'SYNONYM' WHEN p.s IS NULL AND q.g IS NOT NULL THEN 'GENUS_ONLY' WHEN f.sim >= 0.85 THEN 'FUZZY' ELSE 'NONE' END AS match_type, i.plant_id AS p1, y.plant_id AS p2, CASE WHEN q.n = 1 THEN q.only_one END AS p3, f.plant_id AS p4, f.sim FROM p LEFT JOIN i ON p.g = i.g AND p.s = i.s LEFT JOIN y ON y.name = p.name LEFT JOIN q ON q.g = p.g LEFT JOIN f ON f.name = p.name AND f.r = 1) SELECT name, match_type, CASE match_type WHEN 'EXACT' THEN p1 WHEN 'SYNONYM' THEN p2 WHEN 'GENUS_ONLY' THEN p3 WHEN 'FUZZY' THEN p4 END AS plant_id, round(CASE match_type WHEN 'EXACT' THEN 1 WHEN 'SYNONYM' THEN 0.95 WHEN 'GENUS_ONLY' THEN 0.5 WHEN 'FUZZY' THEN 0.9 * sim ELSE 0 END::DOUBLE, 9) AS confidence FROM k")
+@register(f"{MATCH_CTE}, f AS (SELECT p.name, i.plant_id, row_number() OVER (PARTITION BY p.name ORDER BY 1 - levenshtein(lower(p.name), concat(i.g, ' ', i.s)) / greatest(length(p.name), length(concat(i.g, ' ', i.s)))::DOUBLE DESC, i.plant_id) AS rank FROM p CROSS JOIN i) SELECT * FROM f WHERE rank <= 4")
+def nearest_names(spark, d):
+    """The four entities nearest to each whole name, however far."""
+    e = matching._index(ad.entities(spark, d)).select("plant_id", "g", "s", F.concat_ws(" ", "g", "s").alias("full"))
+    return matching.nearest_names(_names(spark, d).select("name", F.lower("name").alias("full")), e, 4).select("name", "plant_id", F.col("r").alias("rank"))
+
+
+MATCHED_SQL = f"""f AS ({FUZZY_SQL}), l AS ({ALTERNATIVES_SQL}), y AS (SELECT p.name, i.plant_id, y.accepted FROM p JOIN ({SYNONYM_SQL}) y ON p.g = 'former' AND p.s = y.w JOIN i ON i.g || ' ' || i.s = lower(y.accepted)), q AS (SELECT g, count(*) AS n, min(id) AS only_one FROM (SELECT lower(genus) AS g, id FROM e) GROUP BY 1),
+k AS (SELECT p.name, p.g, p.s, p.genus, CASE WHEN i.plant_id IS NOT NULL THEN 'EXACT' WHEN y.plant_id IS NOT NULL THEN 'SYNONYM' WHEN p.s IS NULL AND q.g IS NOT NULL THEN 'GENUS_ONLY' WHEN f.sim >= 0.85 THEN 'FUZZY' ELSE 'NONE' END AS match_type, i.plant_id AS p1, y.plant_id AS p2, y.accepted, q.n, CASE WHEN q.n = 1 THEN q.only_one END AS p3, f.plant_id AS p4, f.sim, f.in_genus, f.g AS fg, f.s AS fs, z.sim AS second, l.alternatives FROM p LEFT JOIN i ON p.g = i.g AND p.s = i.s LEFT JOIN y ON y.name = p.name LEFT JOIN q ON q.g = p.g LEFT JOIN f ON f.name = p.name AND f.r = 1 LEFT JOIN f z ON z.name = p.name AND z.r = 2 LEFT JOIN l ON l.name = p.name),
+t AS (SELECT name, match_type, CASE match_type WHEN 'EXACT' THEN p1 WHEN 'SYNONYM' THEN p2 WHEN 'GENUS_ONLY' THEN p3 WHEN 'FUZZY' THEN p4 END AS plant_id, round(CASE match_type WHEN 'EXACT' THEN 1 WHEN 'SYNONYM' THEN 0.95 WHEN 'GENUS_ONLY' THEN 0.5 WHEN 'FUZZY' THEN 0.9 * sim ELSE 0 END::DOUBLE, 9) AS confidence, match_type = 'FUZZY' AND coalesce(second >= sim - 0.05::DOUBLE, FALSE) AS tie, CASE WHEN match_type IN ('FUZZY', 'NONE') THEN alternatives ELSE '' END AS alternatives,
+CASE match_type WHEN 'EXACT' THEN 'Exact match on ' || genus || ' ' || s WHEN 'SYNONYM' THEN 'Synonym resolved via USDA_PLANTS: ' || genus || ' ' || s || ' → ' || accepted WHEN 'GENUS_ONLY' THEN 'Genus-only match: ' || n || ' plants in genus ' || genus WHEN 'FUZZY' THEN 'Fuzzy match: ' || CASE WHEN in_genus THEN 'genus exact, species ' ELSE 'full name ' END || CASE WHEN sim = 1 THEN 'exact' ELSE CAST(floor(sim * 100 + 0.5) AS BIGINT) || '% similar' END ELSE 'No match found for ' || name || ' (best fuzzy: ' || fg || ' ' || fs || ' at ' || CAST(floor(sim * 100 + 0.5) AS BIGINT) || '%)' END AS notes FROM k)"""
+
+
+def _matches(spark, d):
+    return matching.match_entities(_names(spark, d), ad.entities(spark, d), _former(spark, d))
+
+
+@register(f"{MATCH_CTE}, {MATCHED_SQL} SELECT * FROM t")
 def match_entities(spark, d):
-    return matching.match_entities(_names(spark, d), ad.entities(spark, d), _former(spark, d)).select("name", "match_type", "plant_id", F.round("confidence", 9).alias("confidence"))
+    return _matches(spark, d).select("name", "match_type", "plant_id", F.round("confidence", 9).alias("confidence"), "tie", _flat("alternatives").alias("alternatives"), "notes")
+
+
+@register(f"{MATCH_CTE}, {MATCHED_SQL} SELECT p_partkey AS source_row, coalesce(t.match_type, 'NONE') AS match_type, t.plant_id, coalesce(t.notes, 'No match found') AS notes FROM part LEFT JOIN t ON p_size % 11 <> 0 AND t.name = {NAME}")
+def match_rows(spark, d):
+    """A row for each part, some of which have no name."""
+    rows = _named(spark, d).join(ad.table(spark, d, "part").selectExpr("p_partkey AS source_row", "p_size % 11 = 0 AS blank"), "source_row").withColumn("name", F.when(~F.col("blank"), F.concat(F.lit(" "), "name")))
+    return matching.match_rows(rows, _matches(spark, d)).select("source_row", "match_type", "plant_id", "notes")
 
 
-@register(f"{MATCH_CTE} SELECT y.name, i.plant_id FROM ({SYNONYM_SQL}) y JOIN i ON i.g || ' ' || i.s = lower(y.accepted) WHERE y.name IN (SELECT name FROM names)")
+@register(f"{MATCH_CTE} SELECT p.name, i.plant_id FROM p JOIN ({SYNONYM_SQL}) y ON p.g = 'former' AND p.s = y.w JOIN i ON i.g || ' ' || i.s = lower(y.accepted)")
 def match_synonym(spark, d):
     return matching.match_synonym(_names(spark, d), ad.entities(spark, d), _former(spark, d))
 

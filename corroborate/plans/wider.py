@@ -16,7 +16,7 @@ from .registry import CONFLICTS, PAIRS, register
 # Names and scalar rules.
 
 
-@register(f"WITH names AS ({rg.NAMES_SQL}) SELECT name, split_part(name, ' ', 1) AS genus, CASE WHEN name LIKE '% spp.' THEN NULL ELSE split_part(name, ' ', 2) END AS species, CASE WHEN name LIKE '%''Red''' THEN 'Red' END AS cultivar, name LIKE '% spp.' AS is_genus_only FROM names")
+@register(f"WITH names AS ({rg.NAMES_SQL}) SELECT name, split_part(name, ' ', 1) AS genus, CASE WHEN name NOT LIKE '% spp.' AND NOT regexp_matches(split_part({rg.BARE_SQL}, ' ', 2), '^[A-Z]') THEN nullif(split_part({rg.BARE_SQL}, ' ', 2), '') END AS species, CASE WHEN name LIKE '%''Red''' THEN 'Red' END AS cultivar, species IS NULL AS is_genus_only FROM names")
 def parse_name(spark, d):
     return rg._names(spark, d).select("name", names.parse_name("name").alias("p")).select("name", "p.*")
 
@@ -46,13 +46,13 @@ def match_genus(spark, d):
 
 @register(f"SELECT match_type, count(*) AS n FROM ({rg.ORACLES['match_entities']}) GROUP BY 1")
 def match_summary(spark, d):
-    return matching.match_summary(matching.match_entities(rg._names(spark, d), ad.entities(spark, d), rg._former(spark, d)))
+    return matching.match_summary(rg._matches(spark, d))
 
 
 @register(f"WITH k AS ({rg.ORACLES['match_entities']}), e AS ({ad.CTE['e']}) SELECT k.name, match_type, plant_id FROM k WHERE NOT (match_type = 'GENUS_ONLY' AND plant_id IS NULL) UNION ALL SELECT k.name, match_type, e.id FROM k LEFT JOIN e ON lower(e.genus) = lower(split_part(k.name, ' ', 1)) WHERE match_type = 'GENUS_ONLY' AND plant_id IS NULL")
 def expand_genus(spark, d):
     e = ad.entities(spark, d)
-    return matching.expand_genus(matching.match_entities(rg._names(spark, d), e, rg._former(spark, d)), e).select("name", "match_type", "plant_id")
+    return matching.expand_genus(rg._matches(spark, d), e).select("name", "match_type", "plant_id")
 
 
 def _gaps(spark, d):
@@ -68,12 +68,6 @@ def enrichment_summary(spark, d):
     return out.withColumn("sources", F.array_join(F.transform("sources", lambda s: F.concat_ws(":", s["source"], s["n"])), ", "))
 
 
-@register("WITH n AS (SELECT DISTINCT p_name AS name FROM part), l AS (SELECT p_brand AS dataset, p_name AS src, p_type AS \"column\", CAST(p_size AS STRING) AS value FROM part) SELECT n.name, dataset, \"column\", value, 1.0::DOUBLE AS confidence FROM n JOIN l ON n.name = l.src WHERE dataset NOT IN ('Brand#1', 'Brand#2') UNION ALL SELECT n.name, dataset, \"column\", value, 0.8::DOUBLE FROM n JOIN l ON split_part(n.name, ' ', 1) = split_part(l.src, ' ', 1) WHERE dataset IN ('Brand#1', 'Brand#2')")
-def lookup_sources(spark, d):
-    p = ad.table(spark, d, "part")
-    return eav.lookup_sources(p.selectExpr("p_name AS name"), p.selectExpr("p_brand AS dataset", "p_name AS name", "p_type AS column", "CAST(p_size AS STRING) AS value"), ["Brand#1", "Brand#2"])
-
-
 @register("WITH n AS (SELECT DISTINCT p_name AS name FROM part), x AS (SELECT p_name AS name, min(p_brand) AS family FROM part WHERE p_size <= 3 GROUP BY 1), y AS (SELECT p_name AS name, min(p_brand) AS family, min(p_type) AS lifeform FROM part GROUP BY 1) SELECT n.name, coalesce(x.family, y.family) AS family, y.lifeform, concat_ws(', ', CASE WHEN x.name IS NOT NULL THEN 'few' END, CASE WHEN y.name IS NOT NULL THEN 'all' END) AS sources FROM n LEFT JOIN x USING (name) LEFT JOIN y USING (name)")
 def taxonomy_profile(spark, d):
     p = ad.table(spark, d, "part")
@@ -88,12 +82,6 @@ def cross_reference(spark, d):
     return eav.cross_reference(p.filter("p_brand = 'Brand#1'").selectExpr("p_name AS name"), p.filter("p_size > 40").selectExpr("p_name AS name"))
 
 
-@register("WITH n AS (SELECT DISTINCT p_name AS name FROM part), l AS (SELECT DISTINCT p_type AS list, lower(concat(p_name, ' listed')) AS t FROM part WHERE p_size > 45) SELECT name, coalesce(string_agg(DISTINCT list, ', ' ORDER BY list), '') AS listed_in FROM n LEFT JOIN l ON contains(t, lower(name)) AND list_contains(string_split(t, ' '), split_part(name, ' ', 1)) GROUP BY 1")
-def listing_status(spark, d):
-    p = ad.table(spark, d, "part")
-    return eav.listing_status(p.selectExpr("p_name AS name"), p.filter("p_size > 45").selectExpr("p_type AS list", "concat(p_name, ' listed') AS text").distinct()).withColumn("listed_in", F.array_join("listed_in", ", "))
-
-
 @register("WITH d AS (SELECT p_partkey, string_split(p_name, ' ') AS b, string_split(p_brand, '#') AS g FROM part) SELECT p_partkey, trim(bad) AS bad, trim(good) AS good FROM d, unnest(b) x(bad), unnest(g) y(good)")
 def swap_pairs(spark, d):
     return eav.swap_pairs(ad.table(spark, d, "part").selectExpr("p_partkey", "replace(p_name, ' ', ';') AS bad", "replace(p_brand, '#', ';') AS good"))
@@ -477,11 +465,6 @@ def large_nodes(spark, d):
     return docindex.large_nodes(nodes, c.selectExpr("conv_id AS doc_id", "turn AS page", "text"), 2, 100)
 
 
-@register()
-def chunk_pages(spark, d):
-    return docindex.chunk_pages(ad.table(spark, d, "conversations").selectExpr("conv_id AS doc_id", "turn AS page", "text"), 60, 1)
-
-
 @register(f"WITH n AS ({rg.NODES_SQL}), q AS (SELECT 1 AS query_id, unnest(['the', 'and', 'that']) AS word) SELECT query_id, doc_id, CAST(node_id AS BIGINT) AS node_id, n_terms, rank, left(summary, 500) AS summary FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY n_terms DESC, doc_id, node_id) AS rank FROM (SELECT query_id, doc_id, node_id, min(summary) AS summary, count(*) AS n_terms FROM n JOIN q ON contains(lower(concat_ws(' ', title, summary)), word) GROUP BY 1, 2, 3 HAVING count(*) >= 2)) WHERE rank <= 10")
 def search_terms(spark, d):
     return docindex.search_terms(rg._sections(spark, d), spark.createDataFrame([(1, "the and that of")], "query_id int, query string")).select("query_id", "doc_id", "node_id", "n_terms", "rank", "summary")

@@ -22,8 +22,18 @@ def read_source_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_source_row(df: DataFrame) -> DataFrame:
-    """``source_row``: the 1-based row of a file read as one split, the header counted."""
-    return df.withColumn("source_row", F.monotonically_increasing_id() + 2)
+    """``source_file`` and ``source_row``: the row's number in its file, the header being row 1, of rows read from files.
+
+    Rows of a split are counted where they are read, and the counts of a file's earlier splits, one row a split, are summed and joined
+    back, so that files of many splits and folders of files are numbered without a sort or a single task. Rows that were dropped before
+    have no number.
+    """
+    at = df.select("*", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("__split__"), F.monotonically_increasing_id().alias("__at__"))
+    sizes = at.groupBy("source_file", "__split__").agg(F.count("*").alias("__n__"), F.min("__at__").alias("__first__"))
+    before = F.sum("__n__").over(Window.partitionBy("source_file").orderBy("__split__").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("source_file", "__split__", "__first__", F.coalesce(before, F.lit(0)).alias("__before__"))
+    out = at.join(offsets, ["source_file", "__split__"])
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], "source_file", (F.col("__before__") + F.col("__at__") - F.col("__first__") + 2).alias("source_row"))
 
 
 def read_delimited(spark: SparkSession, path: str, sep: str, encoding: str = "UTF-8") -> DataFrame:

@@ -5,7 +5,7 @@ import datetime
 import duckdb
 import pytest
 
-from corroborate.plans import further, registry, wider  # noqa: F401
+from corroborate.plans import further, indexed, registry, wider  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
