@@ -607,6 +607,30 @@ def test_all_reparameterised_items_are_found(spark):
     assert sorted(db.sql(f"SELECT doc_id, item_id FROM ({decontamination.oracle()})").fetchall()) == sorted(mine)
 
 
+def test_items_in_any_case_are_found(spark):
+    """Items lower-cased, upper-cased and with single names lower-cased, as they stand and asked again with other numbers and names: recall, and as in SQL."""
+    import duckdb
+
+    rng = np.random.default_rng(3)
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    items = {r.item_id: r.text for r in bench.collect() if r.text and len(r.text.split()) >= 5}
+    again = lambda t: re.sub("[0-9]+", lambda m: str(rng.integers(2, 999)), re.sub(r"\b[A-Z][a-z]+", "Quentin", t))
+    one = lambda t: re.sub(r"\b[A-Z][a-z]+", lambda m: m[0].lower(), t, count=1)
+    rows = [(1000 * n + i, f"so then {f(g(t))} and on") for i, t in items.items() for n, (g, f) in enumerate((g, f) for g in (str, again) for f in (str.lower, str.upper, one))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = decontamination.contaminated(docs, bench)
+    mine = {(r.doc_id, r.item_id) for r in got.collect()}
+    for n in range(6):
+        assert sum((1000 * n + i, i) in mine for i in items) >= (1.0 if n < 3 else 0.9) * len(items), n
+    assert all(d % 1000 == i for d, i in mine)
+    db = duckdb.connect()
+    db.register("documents", docs.toPandas())
+    db.register("benchmark", bench.toPandas())
+    cols = got.columns
+    theirs = db.sql(f"SELECT {', '.join(cols)} FROM ({decontamination.oracle()})").fetchall()
+    assert sorted(theirs) == sorted(tuple(r) for r in got.collect())
+
+
 def test_viterbi_and_certificate_agree():
     rng = np.random.default_rng(1)
     s = rng.normal(0, 3, (300, 3))
