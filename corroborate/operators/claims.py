@@ -57,13 +57,25 @@ def update_reliability(rel: DataFrame, patch: DataFrame, by: str = "admin") -> D
     return out.withColumns(changed).drop("__hit__", *[f"__{c}" for c in cols])
 
 
-def consensus_claims(warrants: DataFrame, reliability: DataFrame, default: float = 0.5) -> DataFrame:
+def against_warrants(conflicts: DataFrame) -> DataFrame:
+    """(id): warrants that a specialist's recommendation on a conflict which is not dismissed prefers the other one to."""
+    c = conflicts.filter("status <> 'dismissed'")
+    a = c.filter("specialist_recommendation = 'PREFER_B'").select(F.col("warrant_a_id").alias("id"))
+    return a.union(c.filter("specialist_recommendation = 'PREFER_A'").select(F.col("warrant_b_id").alias("id"))).filter("id is not null").distinct()
+
+
+def consensus_claims(warrants: DataFrame, reliability: DataFrame, default: float = 0.5, conflicts: DataFrame | None = None, against: float = 0.5) -> DataFrame:
     """Per pair the value with the largest sum of reliabilities (then the smaller text), its share and a confidence band.
 
-    Bands are our own rule: high from 0.75 with two sources, moderate from 0.5, else low.
+    Bands are our own rule: high from 0.75 with two sources, moderate from 0.5, else low. So is the weight of warrants that specialists
+    prefer others to (``against_warrants`` of ``conflicts``): ``against`` of what it would be.
     """
     w = warrants.filter("status <> 'excluded' and value is not null").join(reliability.select("source_id", "reliability_score"), "source_id", "left")
-    per = w.groupBy(*PAIR, F.lower(F.trim("value")).alias("value")).agg(F.sum(F.coalesce("reliability_score", F.lit(default)).cast("decimal(10,4)")).alias("weight"), F.countDistinct("source_id").alias("n_sources"), F.count("*").alias("n"))
+    score = F.coalesce("reliability_score", F.lit(default))
+    if conflicts is not None:
+        w = w.join(against_warrants(conflicts).withColumn("less", F.lit(against)), "id", "left")
+        score = score * F.coalesce("less", F.lit(1.0))
+    per = w.groupBy(*PAIR, F.lower(F.trim("value")).alias("value")).agg(F.sum(score.cast("decimal(10,4)")).alias("weight"), F.countDistinct("source_id").alias("n_sources"), F.count("*").alias("n"))
     # Weights are decimals, so that the order of a sum does not decide. One aggregate picks the winner, without a window.
     best = per.groupBy(*PAIR).agg(F.min(F.struct((-F.col("weight")).alias("w"), (-F.col("n")).alias("c"), "value", "n_sources")).alias("b"), F.sum("weight").alias("total"), F.sum("n").alias("warrant_count"))
     share = F.round((-F.col("b.w")).cast("double") / F.col("total").cast("double") + 1e-9, 4)
@@ -76,11 +88,22 @@ def validate_categorical(df: DataFrame, attributes: DataFrame) -> DataFrame:
     return df.join(a, "attribute_id", "left").withColumn("valid", F.col("ok").isNull() | F.array_contains("ok", F.lower(F.trim("value")))).drop("ok")
 
 
-def build_claims(consensus: DataFrame, warrants: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Claims with ids from their pair and value, and the claim-warrant rows."""
+def build_claims(consensus: DataFrame, warrants: DataFrame, reliability: DataFrame | None = None, default: float = 0.5) -> tuple[DataFrame, DataFrame]:
+    """Claims with ids from their pair and value, and the claim-warrant rows.
+
+    Warrants of the claimed value are primary, others contextual. With ``reliability`` only those of the most reliable source that has the
+    value (of equal ones all) drive the claim; the others of that value are supporting.
+    """
     claims = consensus.withColumn("id", F.sha2(F.concat_ws("|", *PAIR, "value"), 256)).withColumn("status", F.lit("draft"))
     links = warrants.filter("status <> 'excluded'").join(claims.select(*PAIR, F.col("id").alias("claim_id"), F.col("value").alias("claimed")), PAIR)
-    return claims, links.select("claim_id", F.col("id").alias("warrant_id"), F.when(F.lower(F.trim("value")) == F.col("claimed"), "primary").otherwise("contextual").alias("inclusion_reason"))
+    agrees = F.coalesce(F.lower(F.trim("value")) == F.col("claimed"), F.lit(False))
+    reason = F.when(agrees, "primary").otherwise("contextual")
+    if reliability is not None:
+        links = links.join(reliability.select("source_id", F.col("reliability_score").alias("score")), "source_id", "left").withColumn("score", F.coalesce("score", F.lit(default)))
+        best = links.filter(agrees).groupBy("claim_id").agg(F.max("score").alias("best"))
+        links = links.join(best, "claim_id", "left")
+        reason = F.when(agrees & (F.col("score") < F.col("best")), "supporting").otherwise(reason)
+    return claims, links.select("claim_id", F.col("id").alias("warrant_id"), reason.alias("inclusion_reason"))
 
 
 def syncable_claims(claims: DataFrame) -> DataFrame:

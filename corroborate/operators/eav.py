@@ -150,6 +150,25 @@ def entity_list(entities: DataFrame, values: DataFrame, keys: list) -> DataFrame
     return entities.join(counts, entities["id"] == counts["plant_id"], "left").select(entities["*"], F.coalesce("n_attributes", F.lit(0)).alias("n_attributes"), F.coalesce("n_keys", F.lit(0)).alias("n_keys"))
 
 
+# Sort keys of the entity browser.
+BROWSER_ORDERS = {"scientific_name": ("genus", "species"), "common_name": ("common_name",), "attribute_count": ("attribute_count",), "completeness": ("completeness_pct",)}
+
+
+def entity_browser(entities: DataFrame, values: DataFrame, keys: list, search: str | None = None, sort: str = "scientific_name", descending: bool = False, number: int = 1, size: int = 50) -> tuple[DataFrame, DataFrame]:
+    """A page of entities with the number of their values and the share of the key attributes that they have, and one row with the ``total``.
+
+    ``search`` is looked for in the scientific and the common name, case apart. An unknown ``sort`` reads as scientific_name; nulls come last and ids
+    break ties.
+    """
+    found = entities if search is None or not search.strip() else search_entities(entities, search.strip())
+    counts = values.groupBy("plant_id").agg(F.count("*").alias("attribute_count"), F.countDistinct(F.when(F.col("attribute_id").isin(*keys), F.col("attribute_id"))).alias("filled"))
+    out = found.join(counts, found["id"] == counts["plant_id"], "left")
+    out = out.select(found["*"], F.coalesce("attribute_count", F.lit(0)).alias("attribute_count"), (F.floor(F.coalesce("filled", F.lit(0)) / len(keys) * 1000 + 0.5) / 10).alias("completeness_pct"))
+    by = BROWSER_ORDERS.get(sort, BROWSER_ORDERS["scientific_name"])
+    order = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last() for c in by]
+    return out.orderBy(*order, "id").offset((max(number, 1) - 1) * size).limit(size), found.agg(F.count("*").alias("total"))
+
+
 def attribute_parents(attributes: DataFrame) -> DataFrame:
     p = attributes.select(F.col("id").alias("pid"), F.col("name").alias("parent_name"))
     return attributes.join(p, attributes["parent_attribute_id"] == p["pid"], "left").drop("pid")

@@ -100,6 +100,12 @@ def warrant_groups(warrants: DataFrame, mode: str | None = None, min_size: int =
     return out.groupBy(*PAIR).agg(F.count("*").alias("n_warrants")).filter(F.col("n_warrants") >= min_size)
 
 
+def warrant_groups_page(warrants: DataFrame, limit: int = 50, offset: int = 0, **options) -> tuple[DataFrame, DataFrame]:
+    """``limit`` groups from ``offset`` on, the largest first (ids break ties), and one row with the ``total`` of all groups."""
+    groups = warrant_groups(warrants, **options)
+    return groups.orderBy(F.desc("n_warrants"), *PAIR).offset(offset).limit(limit), groups.agg(F.count("*").alias("total"))
+
+
 def warrant_group_members(warrants: DataFrame, mode: str | None = None, min_size: int = 2, strict_mode: bool = False, **options) -> DataFrame:
     """All active warrants of the groups that qualify in ``mode``; ``strict_mode`` keeps the mode for members too.
 
@@ -245,17 +251,21 @@ def audit_disagreements(values: DataFrame) -> DataFrame:
 
 
 def audit_values(values: DataFrame, attributes: DataFrame) -> DataFrame:
-    """Values outside the attribute's allowed list (JSON; an entry's displayName counts, its id only where it has none);
-    blank values and attributes without a readable list pass."""
+    """Values outside the attribute's allowed list (JSON; an entry's displayName counts, its id only where it has none), with the list as
+    text (allowed_set); blank values and attributes without a readable list pass."""
     allowed = F.from_json("values_allowed", "array<struct<id:string,displayName:string>>")
     names = F.filter(F.transform(allowed, lambda a: F.lower(F.trim(F.coalesce(a["displayName"], a["id"], F.lit(""))))), lambda x: x != "")
     ok = attributes.select(F.col("id").alias("attribute_id"), names.alias("names")).filter(F.size(F.coalesce("names", F.array())) > 0)
     v = F.lower(F.trim("value"))
-    return values.join(ok, "attribute_id").filter((v != "") & ~F.array_contains("names", v)).drop("names")
+    return values.join(ok, "attribute_id").filter((v != "") & ~F.array_contains("names", v)).withColumn("allowed_set", F.array_join("names", ", ")).drop("names")
 
 
 # What an audit warrant says about its scan.
-SCAN_NOTES = {1: None, 2: "Value validation failure", 3: "Missing provenance: value has no source_id"}
+MISSING_SOURCE = "Missing provenance: value has no source_id"
+
+
+def _failure(value: Column | str, allowed: Column | str) -> Column:
+    return F.concat(F.lit('Value validation failure: "'), value, F.lit('" not in allowed set ['), allowed, F.lit("]"))
 
 
 def run_audit(values: DataFrame, attributes: DataFrame, existing: DataFrame, entities: DataFrame | None = None, batch_id: str = "audit") -> DataFrame:
@@ -270,15 +280,15 @@ def run_audit(values: DataFrame, attributes: DataFrame, existing: DataFrame, ent
     scans = [audit_disagreements(known_values), audit_values(known_values, attributes.drop("name")), known_values.filter("source_id is null")]
     key = [*PAIR, F.coalesce("value", F.lit("null")).alias("key")]
     found = None
-    for i, s in enumerate(scans, 1):
-        part = s.select(*key, "attribute_name", "value", "source_id", F.lit(i).alias("scan"))
+    said = (F.lit(None).cast("string"), _failure("value", "allowed_set"), F.lit(MISSING_SOURCE))
+    for i, (s, notes) in enumerate(zip(scans, said, strict=True), 1):
+        part = s.select(*key, "attribute_name", "value", "source_id", F.lit(i).alias("scan"), notes.alias("notes"))
         found = part if found is None else found.unionByName(part)
-    first = found.groupBy(*PAIR, "key").agg(F.min(F.struct("scan", "source_id", "attribute_name", "value")).alias("f"))
+    first = found.groupBy(*PAIR, "key").agg(F.min(F.struct("scan", "source_id", "attribute_name", "value", "notes")).alias("f"))
     new = first.join(existing.select(*key), [*PAIR, "key"], "left_anti")
-    notes = F.create_map(*[F.lit(x) for k, v in SCAN_NOTES.items() if v for x in (k, v)])
     return new.select(
         F.sha2(F.concat_ws("|", F.lit(batch_id), *PAIR, "key"), 256).alias("id"), F.lit("internal_audit").alias("warrant_type"), F.lit("unreviewed").alias("status"), *PAIR, F.col("f.attribute_name").alias("attribute_name"),
-        F.when(F.col("f.scan") == 3, F.coalesce("f.value", F.lit(""))).otherwise(F.col("f.value")).alias("value"), F.col("f.source_id").alias("source_id"), F.lit("production").alias("source_dataset"), F.lit("INTERNAL_AUDIT").alias("source_id_code"), F.lit(batch_id).alias("batch_id"), F.try_element_at(notes, F.col("f.scan")).alias("notes"), F.col("f.scan").alias("scan"),
+        F.when(F.col("f.scan") == 3, F.coalesce("f.value", F.lit(""))).otherwise(F.col("f.value")).alias("value"), F.col("f.source_id").alias("source_id"), F.lit("production").alias("source_dataset"), F.lit("INTERNAL_AUDIT").alias("source_id_code"), F.lit(batch_id).alias("batch_id"), F.col("f.notes").alias("notes"), F.col("f.scan").alias("scan"),
     )
 
 
@@ -293,8 +303,11 @@ def audit_conflicts(new: DataFrame, batch_id: str = "audit") -> DataFrame:
     return first.join(rest, PAIR).select(*PAIR, F.col("a.attribute_name").alias("attribute_name"), *[F.lit(v).alias(k) for k, v in fixed.items()], *[F.col(f"{x}.{c}").alias(f"{n}_{x}") for x in ("a", "b") for n, c in (("warrant_id", "id"), ("value", "value"), ("source", "source_id"))])
 
 
-def audit_results(new: DataFrame, conflicts: DataFrame, values: DataFrame) -> DataFrame:
-    """One row of counts: groups that disagree, and what the run found and made."""
+def audit_results(new: DataFrame, conflicts: DataFrame, values: DataFrame, entities: DataFrame | None = None, attributes: DataFrame | None = None) -> DataFrame:
+    """One row of counts: groups of known entities and attributes that disagree, and what the run found and made."""
+    for known, key in ((entities, "plant_id"), (attributes, "attribute_id")):
+        if known is not None:
+            values = values.join(known.select(F.col("id").alias(key)), key, "left_semi")
     groups = audit_disagreements(values).select(*PAIR).distinct().agg(F.count("*").alias("disagreements_found"))
     made = new.agg(F.count_if(F.col("scan") == 2).alias("validation_failures"), F.count_if(F.col("scan") == 3).alias("missing_provenance"), F.count("*").alias("warrants_created"))
     n = conflicts.agg(F.count("*").alias("n"))

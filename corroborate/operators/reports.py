@@ -49,6 +49,23 @@ def page(df: DataFrame, key: str, number: int = 1, size: int = 50, descending: b
     return df.orderBy(order, *tie).offset(size * (max(number, 1) - 1)).limit(size), df.agg(F.count("*").alias("total"))
 
 
+def scan_report(pairs: DataFrame, conflicts: DataFrame, k: int = 10) -> DataFrame:
+    """(dimension, key, n, rank) of a scan: pairs that corroborate each other, pairs of which one side is missing (complementary), conflicts,
+    entities in conflict, and the ``k`` entities and attributes with most conflicts.
+
+    ``pairs`` have the verdict of ``classify_pairs``. The lists are first rows of counts, which each task cuts before they meet.
+    """
+    said = pairs.agg(F.count_if(F.col("verdict") == "corroborated").alias("corroborated"), F.count_if(F.col("verdict") == "COMPLETENESS_CONFLICT").alias("complementary"))
+    found = conflicts.agg(F.count("*").alias("conflicts"), F.countDistinct("plant_id").alias("entities"))
+    one = lambda df: df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("dimension"), F.lit("").alias("key"), F.col(c).alias("n"), F.lit(0).alias("rank")) for c in df.columns])).alias("x")).select("x.*")
+    out = one(said).unionByName(one(found))
+    for name, column in (("top_entity", "plant_id"), ("top_attribute", "attribute_id")):
+        top = conflicts.groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column).limit(k)
+        ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), column)))  # k rows
+        out = out.unionByName(ranked.select(F.lit(name).alias("dimension"), F.col(column).cast("string").alias("key"), "n", "rank"))
+    return out
+
+
 def conflict_matrix(conflicts: DataFrame) -> DataFrame:
     """Per ordered source pair: total, by severity, pending (annotated ones are neither) and resolved or dismissed."""
     by = [F.count_if(F.col("severity") == s).alias(f"n_{s}") for s in SEVERITIES]
@@ -100,18 +117,38 @@ def conflict_attributes(conflicts: DataFrame, warrants: DataFrame) -> DataFrame:
     return c.join(ids, ["plant_id", "attribute_name"], "left")
 
 
-def filter_options(conflicts: DataFrame) -> DataFrame:
-    """(option, value): distinct statuses, severities, types, modes, attribute categories and sources of either side, in one pass."""
+def filter_options(conflicts: DataFrame, claims: DataFrame | None = None, warrants: DataFrame | None = None) -> DataFrame:
+    """(option, value): distinct statuses, severities, types, modes, attribute categories and sources of either side, in one pass; the
+    statuses of ``claims`` and the sources of ``warrants``, where they are given."""
     options = [("status", F.col("status")), ("severity", F.col("severity")), ("type", F.col("conflict_type")), ("mode", F.col("conflict_mode")), ("category", attribute_category("attribute_name")), ("source", F.col("source_a")), ("source", F.col("source_b"))]
     both = F.explode(F.array(*[F.struct(F.lit(k).alias("option"), c.cast("string").alias("value")) for k, c in options])).alias("x")
-    return conflicts.select(both).select("x.*").filter("value is not null").distinct()
+    out = conflicts.select(both).select("x.*")
+    for df, name, column in ((claims, "claim_status", "status"), (warrants, "warrant_source", "source_id")):
+        if df is not None:
+            out = out.unionByName(df.select(F.lit(name).alias("option"), F.col(column).cast("string").alias("value")))
+    return out.filter("value is not null").distinct()
+
 
+def claims_worklist(warrants: DataFrame, claims: DataFrame, conflicts: DataFrame, has_conflicts: bool = False, claim_status: str | None = None, source: str | None = None) -> DataFrame:
+    """Each pair's warrants, their sources, the latest claim's status and whether it is in conflict.
 
-def claims_worklist(warrants: DataFrame, claims: DataFrame, conflicts: DataFrame) -> DataFrame:
+    ``has_conflicts`` keeps pairs in conflict, ``claim_status`` those whose claim has it (none: those without a claim); with ``source`` only its
+    warrants count. ``worklist_page`` puts them in order.
+    """
+    warrants = warrants if source is None else warrants.filter(F.col("source_id") == source)
     w = warrants.groupBy(*PAIR).agg(F.countDistinct("id").alias("n_warrants"), F.array_join(F.array_sort(F.collect_set("source_id")), ", ").alias("source_list"))
     c = claims.groupBy(*PAIR).agg(F.max_by("status", F.struct("created_at", "id")).alias("claim_status"))
     x = conflicts.select(*PAIR).distinct().withColumn("in_conflict", F.lit(True))
-    return w.join(c, PAIR, "left").join(x, PAIR, "left").withColumn("in_conflict", F.coalesce("in_conflict", F.lit(False)))
+    out = w.join(c, PAIR, "left").join(x, PAIR, "left").withColumn("in_conflict", F.coalesce("in_conflict", F.lit(False)))
+    out = out.filter("in_conflict") if has_conflicts else out
+    if claim_status is None:
+        return out
+    return out.filter(F.col("claim_status").isNull() if claim_status == "none" else F.col("claim_status") == claim_status)
+
+
+def worklist_page(worklist: DataFrame, most: int = 500) -> DataFrame:
+    """The first ``most`` pairs: those in conflict first, then those of most warrants; ids break ties."""
+    return worklist.orderBy(F.desc("in_conflict"), F.desc("n_warrants"), *PAIR).limit(most)
 
 
 def latest_claim(claims: DataFrame) -> DataFrame:
@@ -157,8 +194,19 @@ def curation_overlay(warrants: DataFrame, conflicts: DataFrame, claims: DataFram
     return w.join(x, "plant_id", "full").join(c, "plant_id", "full").join(n, "plant_id", "full").na.fill(0, ["n_approved"])
 
 
-def unreviewed_counts(warrants: DataFrame) -> DataFrame:
-    return warrants.filter("status = 'unreviewed'").groupBy("plant_id").agg(F.count("*").alias("n_unreviewed"))
+# Fixed value: warrants that the audit itself made.
+AUDIT_CODE = "INTERNAL_AUDIT"
+
+
+def unreviewed_counts(warrants: DataFrame, source: str | None = None, ordered: bool = False) -> DataFrame:
+    """Unreviewed warrants by entity, without those of the audit (column source_id_code, where there is one); of one ``source``, and with the
+    most first, if asked."""
+    out = warrants.filter("status = 'unreviewed'")
+    if "source_id_code" in warrants.columns:
+        out = out.filter(F.col("source_id_code").isNull() | (F.col("source_id_code") != AUDIT_CODE))
+    out = out if source is None else out.filter(F.col("source_id") == source)
+    out = out.groupBy("plant_id").agg(F.count("*").alias("n_unreviewed"))
+    return out.orderBy(F.desc("n_unreviewed"), "plant_id") if ordered else out
 
 
 def dashboard(warrants: DataFrame, conflicts: DataFrame, claims: DataFrame, batches: DataFrame) -> DataFrame:

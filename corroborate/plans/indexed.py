@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import names
 from ..operators import claims as cl
-from ..operators import docindex, eav, harvest
+from ..operators import docindex, eav, evidence, harvest, reports
 from ..sources import scratch, tables
-from ..streaming import sinks, streams
+from ..streaming import streams
 from . import adapters as ad
-from . import further, wider
+from . import further
 from . import registry as rg
 from .adapters import sql
 from .registry import register
@@ -178,4 +179,106 @@ def stream_counts_appended(spark, d):
     return further._drained(out, scratch.folder(spark), "append", ad.table(spark, d, "events")).select(F.unix_timestamp("window_start").alias("window_start"), "source", "n")
 
 
-_ = (wider, sinks)
+
+# Reports by page, order and filter.
+
+
+@register(sql("SELECT dimension, key, n, rank FROM (SELECT 'corroborated' AS dimension, '' AS key, count_if(value_a = value_b) AS n, 0 AS rank FROM pairs UNION ALL SELECT 'complementary', '', count_if(value_a <> value_b AND 'unknown' IN (value_a, value_b)), 0 FROM pairs UNION ALL SELECT 'conflicts', '', count(*), 0 FROM x UNION ALL SELECT 'entities', '', count(DISTINCT plant_id), 0 FROM x UNION ALL SELECT 'top_entity', CAST(plant_id AS STRING), n, r FROM (SELECT plant_id, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, plant_id) AS r FROM x GROUP BY 1) WHERE r <= 10 UNION ALL SELECT 'top_attribute', CAST(attribute_id AS STRING), n, r FROM (SELECT attribute_id, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, attribute_id) AS r FROM x GROUP BY 1) WHERE r <= 10)", *rg.CONFLICTS))
+def scan_report(spark, d):
+    return reports.scan_report(evidence.classify_pairs(rg._pairs(spark, d)), rg._conflicts(spark, d))
+
+
+@register(sql("SELECT plant_id, attribute_id, n_warrants, (SELECT count(*) FROM g) AS total FROM g ORDER BY n_warrants DESC, plant_id, attribute_id LIMIT 20 OFFSET 10", "w").replace(" SELECT plant_id", ", g AS (SELECT plant_id, attribute_id, count(*) AS n_warrants FROM w WHERE status <> 'excluded' AND warrant_type = 'external' GROUP BY 1, 2 HAVING count(*) >= 2) SELECT plant_id", 1))
+def warrant_groups_page(spark, d):
+    rows, total = evidence.warrant_groups_page(ad.warrants(spark, d), 20, 10, mode="external")
+    return rows.withColumn("total", total.scalar())
+
+
+@register(sql("SELECT 'status' AS option, status AS value FROM x UNION SELECT 'severity', severity FROM x UNION SELECT 'type', conflict_type FROM x UNION SELECT 'mode', conflict_mode FROM x UNION SELECT 'category', 'other' FROM x UNION SELECT 'source', source_a FROM x WHERE source_a IS NOT NULL UNION SELECT 'source', source_b FROM x WHERE source_b IS NOT NULL UNION SELECT 'claim_status', status FROM c UNION SELECT 'warrant_source', source_id FROM w WHERE source_id IS NOT NULL", "c", *rg.CONFLICTS))
+def filter_options_all(spark, d):
+    return reports.filter_options(rg._conflicts(spark, d), ad.claims(spark, d), ad.warrants(spark, d))
+
+
+WORKLIST = "SELECT w.plant_id, w.attribute_id, count(DISTINCT w.id) AS n_warrants, any_value(k.status) AS claim_status, bool_or(q.plant_id IS NOT NULL) AS in_conflict FROM (SELECT * FROM w{where}) w LEFT JOIN (SELECT plant_id, attribute_id, status FROM (SELECT *, row_number() OVER (PARTITION BY plant_id, attribute_id ORDER BY created_at DESC, id DESC) AS r FROM c) WHERE r = 1) k USING (plant_id, attribute_id) LEFT JOIN (SELECT DISTINCT plant_id, attribute_id FROM x) q ON q.plant_id = w.plant_id AND q.attribute_id = w.attribute_id GROUP BY 1, 2"
+
+
+@register(sql(f"SELECT * FROM ({WORKLIST.format(where='')}) WHERE in_conflict AND claim_status = 'approved' ORDER BY in_conflict DESC, n_warrants DESC, plant_id, attribute_id LIMIT 500", "c", *rg.CONFLICTS))
+def worklist_page(spark, d):
+    out = reports.claims_worklist(ad.warrants(spark, d), ad.claims(spark, d), rg._conflicts(spark, d), has_conflicts=True, claim_status="approved")
+    return reports.worklist_page(out).drop("source_list")
+
+
+@register(sql(f"SELECT * FROM ({WORKLIST.format(where=" WHERE source_id = 'S1'")}) WHERE claim_status IS NULL", "c", *rg.CONFLICTS))
+def worklist_of_source(spark, d):
+    return reports.claims_worklist(ad.warrants(spark, d), ad.claims(spark, d), rg._conflicts(spark, d), claim_status="none", source="S1").drop("source_list")
+
+
+@register(sql("SELECT id, name, attribute_count, completeness_pct, total FROM (SELECT e.id, e.name, count(w.id) AS attribute_count, floor(count(DISTINCT CASE WHEN w.attribute_id <= 3 THEN w.attribute_id END) / 3::DOUBLE * 1000 + 0.5) / 10 AS completeness_pct, (SELECT count(*) FROM e WHERE contains(lower(name), 'ar') OR contains(lower(common_name), 'ar')) AS total FROM e LEFT JOIN w ON w.plant_id = e.id WHERE contains(lower(e.name), 'ar') OR contains(lower(e.common_name), 'ar') GROUP BY 1, 2) ORDER BY completeness_pct DESC, id LIMIT 25 OFFSET 25", "e", "w"))
+def entity_browser(spark, d):
+    rows, total = eav.entity_browser(ad.entities(spark, d), ad.values(spark, d), [1, 2, 3], " AR ", "completeness", True, 2, 25)
+    return rows.select("id", "name", "attribute_count", "completeness_pct").withColumn("total", total.scalar())
+
+
+@register(sql("SELECT plant_id, count(*) AS n_unreviewed FROM w WHERE status = 'unreviewed' AND source_id = 'S2' AND attribute_id <> 3 GROUP BY 1", "w"))
+def unreviewed_of_source(spark, d):
+    w = ad.warrants(spark, d).withColumn("source_id_code", F.when(F.col("attribute_id") == 3, reports.AUDIT_CODE).when(F.col("attribute_id") == 4, "X"))
+    return reports.unreviewed_counts(w, "S2", ordered=True)
+
+
+@register(sql("SELECT id FROM x WHERE status = 'pending' AND severity = 'moderate' AND conflict_type = 'SCOPE_DIFFERENCE' AND conflict_mode = 'internal' AND contains(lower(attribute_name), 'bute 2') UNION ALL SELECT id FROM x WHERE source_a = 'S3' OR source_b = 'S3'", *rg.CONFLICTS))
+def filter_conflicts(spark, d):
+    x = rg._conflicts(spark, d)
+    every = reports.filter_conflicts(x, "pending", "moderate", "SCOPE_DIFFERENCE", "internal", "BUTE 2")
+    return every.select("id").unionByName(reports.filter_conflicts(x, source="S3").select("id"))
+
+
+# Every second conflict has a specialist's preference.
+ADVICE = "CASE (plant_id + attribute_id) % 4 WHEN 0 THEN 'PREFER_A' WHEN 1 THEN 'PREFER_B' WHEN 2 THEN 'KEEP_BOTH' END"
+ADVISED_SQL = f"WITH {', '.join(f'{n} AS ({ad.CTE[n]})' for n in rg.CONFLICTS)}, r AS ({rg.SCORE}), worse AS (SELECT DISTINCT CASE WHEN advice = 'PREFER_B' THEN warrant_a_id ELSE warrant_b_id END AS id FROM (SELECT *, {ADVICE} AS advice FROM x WHERE status <> 'dismissed') WHERE advice IN ('PREFER_A', 'PREFER_B')), p AS (SELECT plant_id, attribute_id, lower(trim(value)) AS value, sum(CAST(coalesce(auto_score, 0.5::DOUBLE) * CASE WHEN worse.id IS NULL THEN 1.0::DOUBLE ELSE 0.5::DOUBLE END AS DECIMAL(10, 4))) AS weight, count(*) AS n FROM w LEFT JOIN r USING (source_id) LEFT JOIN worse ON worse.id = w.id WHERE status <> 'excluded' GROUP BY 1, 2, 3)"
+
+
+@register(f"{ADVISED_SQL} SELECT plant_id, attribute_id, value, round(weight::DOUBLE / total::DOUBLE + 1e-9::DOUBLE, 4) AS support FROM (SELECT *, sum(weight) OVER (PARTITION BY plant_id, attribute_id) AS total, row_number() OVER (PARTITION BY plant_id, attribute_id ORDER BY weight DESC, n DESC, value) AS k FROM p) WHERE k = 1")
+def advised_claims(spark, d):
+    """Claims that take what specialists advised into account."""
+    x = rg._conflicts(spark, d).withColumn("specialist_recommendation", F.expr(ADVICE))
+    rel = cl.auto_score(rg._reliability(spark, d)).withColumn("reliability_score", F.col("auto_score"))
+    return cl.consensus_claims(ad.warrants(spark, d), rel, conflicts=x).select("plant_id", "attribute_id", "value", "support")
+
+
+@register(f"WITH k AS ({rg.ORACLES['consensus_claims']}), w AS ({ad.CTE['w']}), r AS ({rg.SCORE}), l AS (SELECT w.plant_id, w.attribute_id, w.id AS warrant_id, lower(trim(w.value)) = k.value AS agrees, coalesce(r.auto_score, 0.5::DOUBLE) AS score FROM w JOIN k USING (plant_id, attribute_id) LEFT JOIN r USING (source_id) WHERE w.status <> 'excluded') SELECT plant_id, attribute_id, inclusion_reason, count(*) AS n FROM (SELECT *, CASE WHEN NOT agrees THEN 'contextual' WHEN score < max(CASE WHEN agrees THEN score END) OVER (PARTITION BY plant_id, attribute_id) THEN 'supporting' ELSE 'primary' END AS inclusion_reason FROM l) GROUP BY 1, 2, 3")
+def claim_weights(spark, d):
+    """Primary, supporting and contextual warrants of each claim."""
+    rel = cl.auto_score(rg._reliability(spark, d)).withColumn("reliability_score", F.col("auto_score"))
+    claims, links = cl.build_claims(rg.QUERIES["consensus_claims"](spark, d), ad.warrants(spark, d), rel)
+    return links.join(claims.select(F.col("id").alias("claim_id"), "plant_id", "attribute_id"), "claim_id").groupBy("plant_id", "attribute_id", "inclusion_reason").agg(F.count("*").alias("n"))
+
+
+# Texts and files.
+
+
+@register("SELECT p_partkey, concat(p_name, ' x') AS text, p_size % 2 = 0 AS flagged FROM part")
+def flag_marker(spark, d):
+    p = ad.table(spark, d, "part").select("p_partkey", F.concat(F.when(F.col("p_size") % 2 == 0, F.lit("*!*  ")).otherwise("  "), "p_name", F.lit("\n\t x ")).alias("raw"))
+    return p.select("p_partkey", names.flag_marker("raw")["text"].alias("text"), names.flag_marker("raw")["flagged"].alias("flagged"))
+
+
+def _files(df, at):
+    """Files plants_<file>.csv in the folder ``at`` of the rows (file, value), side by side: a task for each, moved to its place."""
+    spark = df.sparkSession
+    df.repartition("file").write.partitionBy("file").text(f"{at}/.new")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(at).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for folder in fs.listStatus(path(f"{at}/.new")):
+        if "=" in (name := folder.getPath().getName()):
+            part = next(s.getPath() for s in fs.listStatus(folder.getPath()) if s.getPath().getName().startswith("part-"))
+            fs.rename(part, path(f"{at}/plants{name.split('=')[1].replace('~', '')}.csv"))
+
+
+@register("SELECT concat('plants_', CAST(p_partkey % 8 AS STRING), '.csv') AS file, p_name AS line FROM part")
+def pick_source_files(spark, d):
+    """A pointer in the place of the main file, so that the numbered ones are read; a pointer among those is left out."""
+    at, p = scratch.folder(spark), ad.table(spark, d, "part")
+    stub = spark.createDataFrame([(f, "version https://git-lfs.github.com/spec/v1") for f in ("~", "_9")], "file string, value string")
+    _files(p.selectExpr("concat('_', p_partkey % 8) AS file", "p_name AS value").unionByName(stub), at)
+    lines = spark.read.text(tables.pick_source_files(spark, at))
+    return lines.select(F.regexp_extract("_metadata.file_path", "[^/]*$", 0).alias("file"), F.col("value").alias("line"))

@@ -177,10 +177,11 @@ def test_stream_counts_match_batch(spark, tmp_path):
 
 
 def test_lookup_falls_back_on_synonyms(spark):
-    long = spark.createDataFrame([("A", "Acer rubrum", "c", "x"), ("G", "Rosa", "c", "y")], "dataset string, name string, column string, value string")
+    long = spark.createDataFrame([("A", 1, "Acer rubrum", "c", "x"), ("G", 1, "Rosa", "c", "y")], "dataset string, source_row int, name string, column string, value string")
+    kinds = spark.createDataFrame([("A", "synonymy"), ("G", "genus")], "dataset string, strategy string")
     syn = spark.createDataFrame([("Acer old", "Acer rubrum"), ("Acer rubrum", "Acer rubrum")], "original_name string, taxon_name string")
     names_df = spark.createDataFrame([("Acer old",), ("Acer rubrum",), ("Rosa canina",)], "name string")
-    got = sorted((r.name, r.value, r.confidence) for r in eav.lookup_sources(names_df, long, ["G"], syn).collect())
+    got = sorted((r.asked, r.value, r.confidence) for r in eav.lookup_sources(names_df, long, kinds, syn).collect())
     assert got == [("Acer old", "x", 0.9), ("Acer rubrum", "x", 1.0), ("Rosa canina", "y", 0.8)]
 
 
