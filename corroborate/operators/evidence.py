@@ -117,22 +117,22 @@ def warrant_group_members(warrants: DataFrame, mode: str | None = None, min_size
 def conflict_pairs(members: DataFrame, threshold: int = 5) -> DataFrame:
     """Pairs (a before b by source and id): all in groups of up to ``threshold``, else the first warrant of the modal value with each other.
 
-    Sizes, modes and anchors are aggregates of the rows, equal ones counted once. A group's info (its size, the anchor and its
-    count) is joined to the members, a join that adaptive execution splits when a group is hot. Members of small groups,
-    ``threshold`` of them at most, are then gathered into one row and paired there. A repeated anchor row is paired with its copies.
+    The first rows of every group, one more than ``threshold``, come together in one exchange; a rank with a limit cuts them in each task
+    before it. Groups that are whole with these are paired there. Only the others are counted: sizes, modes and anchors are aggregates of
+    their rows, equal ones counted once, and an info row of each group (its size, the anchor and its count) is joined to the
+    rows, a join that adaptive execution splits when a group is hot. A repeated anchor row is paired with its copies.
     """
     m = members.select(*PAIR, F.struct("source_id", "id", "value").alias("w"))
-    rows = m.groupBy(*PAIR, F.lower(F.trim("w.value")).alias("v"), "w").agg(F.count("*").alias("c"))
-    votes = rows.groupBy(*PAIR, "v").agg(F.sum("c").alias("votes"), F.min(F.struct("w", "c")).alias("first"))
-    info = votes.groupBy(*PAIR).agg(F.sum("votes").alias("n"), F.min(F.struct((-F.col("votes")).alias("votes"), "first"))["first"].alias("anchor")).filter("n > 1")
-    known = rows.select(*PAIR, "w", "c").join(info, PAIR)
-
-    alike = F.transform(F.sequence(F.lit(1), F.col("c").cast("int")), lambda i: F.struct("w", i.alias("i")))
-    small = known.filter(F.col("n") <= threshold).groupBy(*PAIR).agg(F.array_sort(F.flatten(F.collect_list(alike))).alias("all"))
-    at = F.transform("all", lambda a, i: F.transform(F.filter("all", lambda b: b > a), lambda b: F.struct(a["w"].alias("a"), b["w"].alias("b"))))
-    few = small.select(*PAIR, F.explode(F.flatten(at)).alias("p"))
+    first = m.withColumn("r", F.row_number().over(Window.partitionBy(*PAIR).orderBy("w"))).filter(F.col("r") <= threshold + 1)
+    groups = first.groupBy(*PAIR).agg(F.sort_array(F.collect_list("w")).alias("all"))
+    each = F.transform("all", lambda a, i: F.transform(F.slice("all", i + 2, F.lit(threshold)), lambda b: F.struct(a.alias("a"), b.alias("b"))))
+    few = groups.filter(F.size("all").between(2, threshold)).select(*PAIR, F.explode(F.flatten(each)).alias("p"))
 
-    large = known.filter(F.col("n") > threshold).withColumn("c", F.when(F.col("w") == F.col("anchor.w"), F.col("c") - 1).otherwise(F.col("c"))).filter("c > 0")
+    big = groups.filter(F.size("all") > threshold).select(*PAIR)
+    rows = m.join(big, PAIR, "left_semi").groupBy(*PAIR, F.lower(F.trim("w.value")).alias("v"), "w").agg(F.count("*").alias("c"))
+    votes = rows.groupBy(*PAIR, "v").agg(F.sum("c").alias("votes"), F.min(F.struct("w", "c")).alias("first"))
+    info = votes.groupBy(*PAIR).agg(F.min(F.struct((-F.col("votes")).alias("votes"), "first"))["first"].alias("anchor"))
+    large = rows.select(*PAIR, "w", "c").join(info, PAIR).withColumn("c", F.when(F.col("w") == F.col("anchor.w"), F.col("c") - 1).otherwise(F.col("c"))).filter("c > 0")
     many = large.select(*PAIR, F.struct(F.col("anchor.w").alias("a"), F.col("w").alias("b")).alias("p"), F.explode(F.sequence(F.lit(1), F.col("c").cast("int"))).alias("i")).drop("i")
     return few.unionByName(many).select(*PAIR, *[F.col(f"p.{x}.{c}").alias(f"{c}_{x}") for c in ("id", "value", "source_id") for x in ("a", "b")])
 

@@ -106,9 +106,10 @@ def nearest_names(names: DataFrame, known: DataFrame, k: int = 3, radii: tuple[f
     The radius grows until k are proven nearest. At each of ``radii`` the piece filter finds all pairs at least that similar, and names with
     k of them are done. The rest are compared by length: two texts are at most as similar as the shorter length over the
     longer one. Lengths within the last radius give a k-th best, and only lengths that could beat it are looked at after that.
+    Both tables are read in every round, so they had better be stored ones.
     """
-    known = kept(known.filter("full <> ''").select("plant_id", "g", "s", "full"))
-    left, found = kept(names.filter("full <> ''").select("name", "full").distinct()), None
+    known = known.filter("full <> ''").select("plant_id", "g", "s", "full")
+    left, found = names.filter("full <> ''").select("name", "full").distinct(), None
     for t in radii:
         pairs = kept(near_names(left, known, t))
         done = pairs.groupBy("name").agg(F.count("*").alias("n")).filter(F.col("n") >= k).select("name")
@@ -230,7 +231,6 @@ def match_entities(names: DataFrame, entities: DataFrame, backbone: DataFrame |
     p = kept(parsed(names)).join(_index(entities).select("g", "s", "plant_id"), ["g", "s"], "left").join(_genera(entities), "g", "left")
     found, synonym = F.col("plant_id").isNotNull(), F.lit(False)
     if backbone is not None:
-        p = kept(p)
         p = p.join(_synonyms(p.filter("plant_id is null").select("name", "g", "s"), entities, backbone).withColumnRenamed("plant_id", "p2"), "name", "left")
         synonym = F.col("p2").isNotNull()
     else:

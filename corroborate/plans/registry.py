@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import names
 from ..operators import claims as cl
 from ..operators import docindex, eav, evidence, harvest, matching, reports
+from ..sources.scratch import kept
 from . import adapters as ad
 from .adapters import sql
 
@@ -396,8 +397,8 @@ def match_fuzzy(spark, d):
 @register(f"{MATCH_CTE}, f AS (SELECT p.name, i.plant_id, row_number() OVER (PARTITION BY p.name ORDER BY 1 - levenshtein(lower(p.name), concat(i.g, ' ', i.s)) / greatest(length(p.name), length(concat(i.g, ' ', i.s)))::DOUBLE DESC, i.plant_id) AS rank FROM p CROSS JOIN i) SELECT * FROM f WHERE rank <= 4")
 def nearest_names(spark, d):
     """The four entities nearest to each whole name, however far."""
-    e = matching._index(ad.entities(spark, d)).select("plant_id", "g", "s", F.concat_ws(" ", "g", "s").alias("full"))
-    return matching.nearest_names(_names(spark, d).select("name", F.lower("name").alias("full")), e, 4).select("name", "plant_id", F.col("r").alias("rank"))
+    e = kept(matching._index(ad.entities(spark, d)).select("plant_id", "g", "s", F.concat_ws(" ", "g", "s").alias("full")))
+    return matching.nearest_names(kept(_names(spark, d).select("name", F.lower("name").alias("full"))), e, 4).select("name", "plant_id", F.col("r").alias("rank"))
 
 
 MATCHED_SQL = f"""f AS ({FUZZY_SQL}), l AS ({ALTERNATIVES_SQL}), y AS (SELECT p.name, i.plant_id, y.accepted FROM p JOIN ({SYNONYM_SQL}) y ON p.g = 'former' AND p.s = y.w JOIN i ON i.g || ' ' || i.s = lower(y.accepted)), q AS (SELECT g, count(*) AS n, min(id) AS only_one FROM (SELECT lower(genus) AS g, id FROM e) GROUP BY 1),
