@@ -9,7 +9,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -111,7 +111,8 @@ def bounded_sample(df: DataFrame, group: str, per_group: int, keys: list[str], m
     """About ``per_group`` rows of each group (all rows of smaller groups), picked by a hash of ``keys``, and the sizes of the groups.
 
     Rows whose hash falls below per_group / size of their group are taken; equal keys are taken together. In case a key is
-    repeated very often, twice the expected number of rows is a hard bound. Groups, of which there may be ``max_groups``, are not dropped: more raise.
+    repeated very often, twice the expected number of rows is a hard bound for each group, in the order of the hashes, so that no
+    key takes the place of another group and a sample does not depend on partitions. Groups, of which there may be ``max_groups``, are not dropped: more raise.
     """
     sizes = {r[0]: r[1] for r in df.filter(F.col(group).isNotNull()).groupBy(group).count().orderBy(F.desc("count"), group).limit(max_groups + 1).collect()}
     if len(sizes) > max_groups:
@@ -123,7 +124,9 @@ def bounded_sample(df: DataFrame, group: str, per_group: int, keys: list[str], m
         rate = F.when(F.col(group) == F.lit(value), F.lit(min(1.0, per_group / n))).otherwise(rate)
     hashed = F.xxhash64(*[F.col(k).cast("string") for k in keys], F.lit("sample"))
     u = F.shiftrightunsigned(hashed, 12) / F.lit(float(1 << 52))
-    return df.filter(F.col(group).isNotNull() & (u < rate)).limit(2 * sum(min(n, per_group) for n in sizes.values()) + 100), sizes
+    some = df.filter(F.col(group).isNotNull()).withColumns({"__h__": hashed, "__u__": u}).filter(F.col("__u__") < rate)
+    ranked = some.withColumn("__r__", F.row_number().over(Window.partitionBy(group).orderBy("__h__", *keys)))
+    return ranked.filter(F.col("__r__") <= 2 * per_group + 100).drop("__h__", "__u__", "__r__"), sizes
 
 
 class Spans:

@@ -272,14 +272,43 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_docs:
         if r <= most[k]:
             seen.setdefault(k, []).append(v)
     plain = sorted(seen.pop("", []))
+    return fitted({k: sorted(v) for k in KINDS if (v := seen.get(k))}, plain)
+
+
+#: Tokens count as unlabelled credentials if they score like the labelled ones but for this share of these, as long as they are no more than
+#: that share of all tokens.
+LOWEST, MOST_SUSPECT = 0.05, 0.1
+
+
+def _pair_model(tokens: list[str]) -> np.ndarray:
     pairs = np.full((128, 128), 0.05)
-    for t in plain:
+    for t in tokens:
         c = np.frombuffer(t.encode(), np.uint8)
         np.add.at(pairs, (np.concatenate(([32], c[:-1])), c), 1)
-    model = Model({k: infer(sorted(v)) for k in KINDS if (v := seen.get(k))}, np.log(pairs / pairs.sum(1, keepdims=True)), {})
-    most_like = model.likelihoods(plain)
+    return np.log(pairs / pairs.sum(1, keepdims=True))
+
+
+def fitted(known: dict[str, list[str]], plain: list[str]) -> Model:
+    """Automata of labelled credentials by kind, and what ordinary tokens are like: a model of neighbouring characters and a cut above all of them.
+
+    Among the tokens there are credentials that nobody labelled. Were they taken as ordinary, the cut would lie above them and the model of
+    characters would learn them. So tokens that score like credentials are set aside and the rest is fitted anew; unless they are
+    many, as then the kind's automaton fits ordinary tokens too, and nothing is set aside for it. What credentials score is told by halves: each
+    under an automaton of the other half, which has not seen it.
+    """
+    automata, nothing = {k: infer(v) for k, v in known.items()}, np.zeros((128, 128))
+    alone = lambda a, tokens: Model({"": a}, nothing, {}).likelihoods(tokens)[:, 0]  # noqa: E731  under the automaton only
+    suspect = np.zeros(len(plain), bool)
+    for k, v in known.items():
+        unseen = np.concatenate([alone(infer(v[1 - i :: 2] or v), v[i::2]) for i in range(2) if v[i::2]])
+        alike = alone(automata[k], plain) >= np.quantile(unseen, LOWEST) if plain else suspect
+        if len(plain) and alike.mean() <= MOST_SUSPECT:
+            suspect |= alike
+    rest = [t for t, out in zip(plain, suspect.tolist(), strict=True) if not out]
+    model = Model(automata, _pair_model(rest), {})
+    like = model.likelihoods(rest)
     for j, k in enumerate(model.automata):  # above all ordinary tokens seen, and no lower than 1 nat a character
-        model.cut[k] = max(1.0, 0.1 + float(most_like[:, j].max(initial=-np.inf))) if len(plain) else 1.0
+        model.cut[k] = max(1.0, 0.1 + float(like[:, j].max(initial=-np.inf))) if len(rest) else 1.0
     return model
 
 
