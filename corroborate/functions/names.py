@@ -149,14 +149,21 @@ def infer_methodology(c: Column | str) -> Column:
     return keyword_rule(c, METHODOLOGY, None)
 
 
-def infer_specificity(c: Column | str) -> Column:
+def infer_specificity(c: Column | str, word_boundary: bool = False) -> Column:
     """National or global by keyword, local if exactly one known state is named, else regional; null for no text.
 
-    "us" counts wherever it stands, also inside a word, as in the fixed rule; so does "national" in "international".
+    "us" counts wherever it stands, also inside a word, as in the fixed rule; so does "national" in "international". With ``word_boundary``
+    keywords count as whole words only.
     """
     text = F.nullif(F.lower(_col(c)), F.lit(""))
     named = sum((text.contains(s).cast("int") for s in STATES), F.lit(0))
-    return F.when(text.isNotNull(), F.coalesce(keyword_rule(text, SPECIFICITY, None), F.when(named == 1, "local").otherwise("regional")))
+    if word_boundary:
+        found = F.lit(None).cast("string")
+        for value, words in reversed(SPECIFICITY):
+            found = F.when(text.rlike(rf"\b({'|'.join(words)})\b"), F.lit(value)).otherwise(found)
+    else:
+        found = keyword_rule(text, SPECIFICITY, None)
+    return F.when(text.isNotNull(), F.coalesce(found, F.when(named == 1, "local").otherwise("regional")))
 
 
 def infer_currency(year: Column | str, as_of_year: int) -> Column:

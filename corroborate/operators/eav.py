@@ -24,12 +24,6 @@ def with_label(df: DataFrame, column: str, labels: dict[str, str], default: str)
     return df.withColumn(f"{column}_label", F.coalesce(F.try_element_at(m, F.col(column)), F.lit(default)))
 
 
-def page(df: DataFrame, sort_key: str, allowed: tuple[str, ...], tiebreak: str, descending: bool = False, number: int = 1, size: int = 50) -> DataFrame:
-    """One page in a total order; unknown sort keys fall back to the first allowed one."""
-    key = sort_key if sort_key in allowed else allowed[0]
-    return df.orderBy(F.col(key).desc() if descending else F.col(key).asc(), tiebreak).offset((number - 1) * size).limit(size)
-
-
 def search_entities(df: DataFrame, term: str) -> DataFrame:
     hit = F.lower(F.concat_ws(" ", "genus", "species")).contains(term.lower()) | F.lower(F.coalesce("common_name", F.lit(""))).contains(term.lower())
     return df.filter(hit)

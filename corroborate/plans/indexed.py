@@ -262,6 +262,13 @@ def flag_marker(spark, d):
     return p.select("p_partkey", names.flag_marker("raw")["text"].alias("text"), names.flag_marker("raw")["flagged"].alias("flagged"))
 
 
+@register("SELECT s_suppkey, CASE s_suppkey % 6 WHEN 0 THEN 'regional' WHEN 1 THEN 'national' WHEN 2 THEN 'global' WHEN 3 THEN 'local' WHEN 4 THEN 'regional' END AS as_words, CASE s_suppkey % 6 WHEN 0 THEN 'national' WHEN 1 THEN 'national' WHEN 2 THEN 'national' WHEN 3 THEN 'local' WHEN 4 THEN 'regional' END AS anywhere FROM supplier")
+def specificity(spark, d):
+    """Regions with a keyword within a word, as a word, and none."""
+    s = ad.table(spark, d, "supplier").selectExpr("s_suppkey", "CASE s_suppkey % 6 WHEN 0 THEN 'Australia' WHEN 1 THEN 'the US, all' WHEN 2 THEN 'International' WHEN 3 THEN 'N. California' WHEN 4 THEN 'Idaho and Nevada' ELSE '' END AS r")
+    return s.select("s_suppkey", names.infer_specificity("r", word_boundary=True).alias("as_words"), names.infer_specificity("r").alias("anywhere"))
+
+
 def _files(df, at):
     """Files plants_<file>.csv in the folder ``at`` of the rows (file, value), side by side: a task for each, moved to its place."""
     spark = df.sparkSession

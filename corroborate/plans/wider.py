@@ -105,7 +105,7 @@ def entity_values(spark, d):
 
 @register(sql("SELECT id, name, common_name FROM e ORDER BY common_name DESC, id LIMIT 50 OFFSET 50", "e"))
 def entity_page(spark, d):
-    return eav.page(ad.entities(spark, d), "common_name", ("name", "common_name"), "id", descending=True, number=2).select("id", "name", "common_name")
+    return reports.page(ad.entities(spark, d), "common_name", 2, descending=True, allowed=("name", "common_name"))[0].select("id", "name", "common_name")
 
 
 @register(sql("SELECT id, name FROM e WHERE contains(lower(concat(genus, ' ', species)), 'ring') OR contains(lower(common_name), 'ring')", "e"))
