@@ -325,7 +325,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
     back = mixed.join(answers, (F.col("h") == F.col("h2")) & (F.col("content") == F.col("content2")))
     part = back.select("rk", (first + F.col("a")).alias("a"), (first + F.col("z") + length - 1).alias("z"))
     spans = whole.select(*full).union(part).select("rk", F.shiftleft("a", 32).bitwiseOR(F.col("z")).alias("span"))
-    spans = spans.repartition("rk").groupBy(F.col("rk").alias("rk2")).agg(F.collect_list("span").alias("spans"))
+    spans = spans.repartition("rk").groupBy(F.col("rk").alias("rk2")).agg(F.collect_set("span").alias("spans"))  # equal rows have equal spans
 
     fields = [T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType())] + [T.StructField("kept_text", T.StringType())] * with_text
     schema = T.StructType([T.StructField(c, docs.schema[c].dataType) for c in keep] + fields)
