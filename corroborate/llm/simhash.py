@@ -366,8 +366,8 @@ def common_shingles(texts: DataFrame, words: int, sample: int = 20_000, most: in
     n = texts.count()
     some = texts.filter(F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1_000_000)) < F.lit(1_000_000 * sample / max(n, sample)))
     each = _shingle_rows(some, lambda t: np.unique(np.array(shingle_hashes(t, words), np.uint64)))
-    top = each.groupBy("h").count().filter("count > 2").orderBy(F.desc("count"), "h").limit(most).collect()
-    h, c = np.array([r[0] for r in top], np.int64).view(np.uint64), np.array([r[1] for r in top], np.int64)
+    top = each.groupBy("h").count().filter("count > 2").orderBy(F.desc("count"), "h").limit(most).toArrow()  # 16 bytes a row, without an object for each
+    h, c = top.column("h").to_numpy().view(np.uint64), top.column("count").to_numpy()
     order = np.argsort(h)
     return h[order], c[order]
 
