@@ -1,4 +1,8 @@
-"""Connected components of a distributed edge table by alternating star contractions."""
+"""Connected components of a distributed edge table by alternating star contractions.
+
+Edge cases: edges from a node to itself and edges with a null end connect nothing; repeated edges count once; the least node names a component, so
+that there are no ties; an empty table gives an empty one; other columns are not looked at.
+"""
 
 from __future__ import annotations
 

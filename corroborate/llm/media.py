@@ -8,7 +8,8 @@ A frame's pixels are decoded in chunks, and pictures of more than ``max_pixels``
 neither many nor large frames are held at once; the histograms are the same for any ``max_pixels``.
 
 Edge cases: null or broken bytes give status ``invalid``, with the frames before the fault; a stream that ends early keeps the pixels
-decoded so far (the rest of that frame is index 0) with status ``truncated``; nothing raises.
+decoded so far (the rest of that frame is index 0) with status ``truncated``; nothing raises. Null texts are stored as empty ones, very long ones
+whole; equal texts, and so repeated rows, get equal values; columns named as a result give way; an empty table gives an empty one.
 """
 
 from __future__ import annotations
