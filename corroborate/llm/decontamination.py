@@ -204,12 +204,14 @@ def oracle(documents: str = "documents", window: int = 5) -> str:
     rows = lambda name, key, table: f"{name}0 AS MATERIALIZED (SELECT *, row_number() OVER () AS k FROM (SELECT DISTINCT {key}, text FROM {table} WHERE {key} IS NOT NULL))"
     cut = lambda v, name: f"{v}{name}w AS (SELECT k, i, array_to_string(w[i + 1:i + {window}], ' ') AS g, list_contains(kinds[i + 1:i + {window}], 'xnamex') AS named FROM (SELECT k, w, kinds, unnest(range(0, len(w) - {window} + 1)) AS i FROM {v}{name} WHERE len(w) >= {window}) UNION ALL SELECT k, 0, 'whole ' || array_to_string(w, ' '), list_contains(kinds, 'xnamex') FROM {v}{name} WHERE len(w) < {window})"
 
+    merged = "[w[i] FOR i IN st] AS w, [array_to_string(p[st[n]:coalesce(st[n + 1] - 1, len(p))], '_') FOR n IN range(1, len(st) + 1)] AS p"
+
     def side(v: str, name: str) -> str:
         if v == "c":
             own = (
                 f"c{name}1 AS (SELECT k, {words(f"lower({rx(numbered, NAME, ' xnamex')})")} AS w, {plain} AS p FROM {name}0), "
                 f"c{name}2 AS (SELECT k, w, p, [i FOR i IN range(1, len(w) + 1) IF NOT (i > 1 AND w[i] = 'xnamex' AND w[i - 1] = 'xnamex')] AS st FROM c{name}1 WHERE w[1] <> ''), "
-                f"c{name} AS (SELECT *, [CASE WHEN x IN ({slots}) THEN x END FOR x IN w] AS kinds FROM (SELECT k, [w[i] FOR i IN st] AS w, [array_to_string(p[st[n]:coalesce(st[n + 1] - 1, len(p))], '_') FOR n IN range(1, len(st) + 1)] AS p FROM c{name}2))"
+                f"c{name} AS (SELECT *, [CASE WHEN x IN ({slots}) THEN x END FOR x IN w] AS kinds FROM (SELECT k, {merged} FROM c{name}2))"
             )
         else:
             own = f"u{name} AS (SELECT k, w, p, [CASE WHEN w[i] IN ({slots}) THEN w[i] WHEN n[i] = 'xnamex' THEN 'xnamex' END FOR i IN range(1, len(w) + 1)] AS kinds FROM (SELECT k, {words(folded(f"lower({numbered})"))} AS w, list_transform({plain}, lambda x: {folded("x")}) AS p, {words(f"lower({rx(numbered, NAME, ' xnamex')})")} AS n FROM {name}0) WHERE w[1] <> '')"
@@ -224,7 +226,9 @@ def oracle(documents: str = "documents", window: int = 5) -> str:
 {v}close AS (SELECT doc, item, n_found, n_windows FROM (SELECT doc, item, count(DISTINCT g) AS n_found FROM {v}hits GROUP BY 1, 2) JOIN (SELECT item, count(*) AS n_windows FROM {v}bj GROUP BY 1) USING (item) WHERE n_found >= 0.8 * n_windows),
 {v}shifts AS (SELECT doc, item, shift FROM (SELECT doc, item, shift, row_number() OVER (PARTITION BY doc, item ORDER BY count(*) DESC, shift) AS r FROM {v}hits GROUP BY 1, 2, 3) WHERE r = 1),
 {v}places AS (SELECT k AS item, s, p[s + 1] AS value, w[s + 1] AS word, kinds[s + 1] IS NOT NULL AS slot FROM (SELECT k, w, p, kinds, unnest(range(0, len(w))) AS s FROM {v}b)),
-{v}met AS (SELECT c.doc, c.item, value, slot, CASE WHEN s + shift >= 0 THEN d.p[s + shift + 1] END AS met, CASE WHEN s + shift >= 0 THEN d.w[s + shift + 1] END = word AS same FROM {v}close c JOIN {v}shifts USING (doc, item) JOIN {v}places USING (item) JOIN {v}d d ON d.k = c.doc),
+{v}near AS MATERIALIZED (SELECT * FROM {"cd2" if v == "c" else "ud"} WHERE k IN (SELECT doc FROM {v}close)),
+{v}there AS (SELECT k, unnest(range(0, len(w))) AS place, unnest(w) AS w, unnest(p) AS p FROM {f"(SELECT k, {merged} FROM cnear)" if v == "c" else "unear"}),
+{v}met AS (SELECT c.doc, c.item, value, slot, d.p AS met, d.w = word AS same FROM {v}close c JOIN {v}shifts USING (doc, item) JOIN {v}places USING (item) LEFT JOIN {v}there d ON d.k = c.doc AND d.place = s + shift),
 {v}values AS (SELECT doc, item, slot, CASE WHEN slot THEN value END AS value, CASE WHEN count(DISTINCT met) = 1 AND count(met) = count(*) THEN 1 ELSE 0 END AS ok, count_if(same) AS n_same, count(*) AS n FROM {v}met GROUP BY 1, 2, 3, 4),
 {v}verdict AS (SELECT doc, item, count_if(slot) AS n_slots, avg(ok) FILTER (slot) AS consistency, sum(n_same) FILTER (NOT slot) AS n_same, sum(n) FILTER (NOT slot) AS n_fixed FROM {v}values GROUP BY 1, 2),
 {v}out AS (SELECT doc, item, n_windows, n_found, coalesce(n_slots, 0) AS n_slots, coalesce(consistency, 1.0) AS consistency FROM {v}close LEFT JOIN {v}verdict USING (doc, item) WHERE coalesce(consistency, 1.0) >= 0.8 {agree})"""
