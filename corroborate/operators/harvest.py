@@ -60,14 +60,15 @@ class _Table:
     def __init__(self, number: int, name: str | None):
         self.number, self.name = number, name
         self.rows: list[tuple[int, list[str], bool, str | None]] = []
-        self.spans: dict[int, tuple[int, str]] = {}
+        self.spans: dict[int, tuple[int, str]] = {}  # by column: rows still to cover, and the text
+        self.later: dict[int, tuple[int, str]] = {}
         self.row: list[str] | None = None
         self.text: list[str] | None = None
         self.spread, self.tall, self.head, self.link = 1, 1, False, None
 
     def start_row(self) -> None:
         self.end_row()
-        self.row, self.head, self.link = [], False, None
+        self.row, self.head, self.link, self.later = [], False, None, {}
 
     def start_cell(self, tag: str, spread: int, tall: int) -> None:
         self.end_cell()
@@ -86,8 +87,6 @@ class _Table:
     def end_cell(self) -> None:
         if self.text is None:
             return
-        if not self.row:
-            self.later: dict[int, tuple[int, str]] = {}
         text = " ".join("".join(self.text).split())
         self._fill()
         for _ in range(self.spread):
@@ -98,10 +97,12 @@ class _Table:
 
     def end_row(self) -> None:
         self.end_cell()
-        if self.row:
+        if self.row or self.row is not None and self.spans:
             self._fill()
-            self.rows.append((len(self.rows), self.row, self.head, self.link))
-            self.spans = {**self.spans, **self.later}
+            beyond = {c: (left - 1, text) for c, (left, text) in self.spans.items() if left > 1}  # columns that this row does not reach
+            self.spans = beyond | self.later
+            if self.row:
+                self.rows.append((len(self.rows), self.row, self.head, self.link))
         self.row = None
 
 

@@ -168,6 +168,9 @@ def test_nested_and_spanning_tables(spark):
     df = spark.createDataFrame([(1, page), (2, None), (3, "")], "page_id int, html string")
     got = sorted((r.table_no, r.row_no, r.cells, r.is_header, r.table_id) for r in harvest.html_tables(df).collect())
     assert got == [(0, 0, ["A", "B", "B"], True, "plantsList"), (0, 1, ["A", "1", "2"], False, "plantsList"), (0, 2, ["x link y", "z"], False, "plantsList"), (1, 0, ["in", "ner"], False, None), (2, 0, ["r", "1"], False, None), (2, 1, ["r", "2"], False, None)]
+    gaps = """<table><tr><td>a</td><td rowspan=3>b</td><td rowspan=2>c</td></tr><tr></tr><tr><td>d</td></tr><tr><td>e</td></tr></table>"""
+    rows = harvest.html_tables(spark.createDataFrame([(1, gaps)], "page_id int, html string")).orderBy("row_no").collect()
+    assert [r.cells for r in rows] == [["a", "b", "c"], ["d", "b"], ["e"]]
     one = harvest.html_tables(df, table_id="plantsList").select("row_no", harvest.table_slug("link").alias("slug")).collect()
     assert {(r.row_no, r.slug) for r in one} == {(0, None), (1, None), (2, "acer-rubrum")}
 
