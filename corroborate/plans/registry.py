@@ -118,42 +118,46 @@ def audit_disagreements(spark, d):
     return evidence.audit_disagreements(ad.values(spark, d)).select("id", "plant_id", "attribute_id", "value")
 
 
-AUDIT_SQL = (
-    "g AS (SELECT plant_id, attribute_id FROM w WHERE plant_id % 5 <> 0 AND attribute_id <> 7 AND source_id IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT value) > 1 AND count(DISTINCT source_id) > 1), "
-    "f AS (SELECT w.plant_id, w.attribute_id, w.value, w.source_id, 1 AS scan FROM w JOIN g ON g.plant_id = w.plant_id AND g.attribute_id = w.attribute_id WHERE source_id IS NOT NULL "
-    "UNION ALL SELECT plant_id, attribute_id, value, source_id, 2 FROM w WHERE value NOT IN ('NO', 'AF') UNION ALL SELECT plant_id, attribute_id, value, NULL, 3 FROM w WHERE source_id IS NULL), "
-    "new AS (SELECT plant_id, attribute_id, value, scan, source_id FROM (SELECT *, row_number() OVER (PARTITION BY plant_id, attribute_id, value ORDER BY scan, source_id NULLS FIRST) AS r FROM f WHERE plant_id IN (SELECT id FROM e WHERE id % 5 <> 0) AND attribute_id <> 7) n "
-    "WHERE r = 1 AND NOT EXISTS (SELECT 1 FROM w k WHERE k.status = 'excluded' AND k.plant_id = n.plant_id AND k.attribute_id = n.attribute_id AND k.value = n.value)), "
-    "two AS (SELECT *, row_number() OVER (PARTITION BY plant_id, attribute_id ORDER BY source_id, value) AS r FROM new WHERE scan = 1)"
-)
-_audit_sql = lambda body: f"WITH w AS ({ad.CTE['w']}), e AS ({ad.CTE['e']}), {AUDIT_SQL} {body}"
-
-
-def _audit(spark, d):
-    attrs = ad.attributes(spark, d).filter("id <> 7").withColumn("values_allowed", F.lit('[{"id":"01","displayName":"no"},{"id":"AF"}]'))
+def _audit_sql(body: str, known: bool = True) -> str:
+    """``known``: groups and values of some entities and of one attribute are left out, as unknown ones."""
+    group, entity, attribute = ("plant_id % 5 <> 0 AND attribute_id <> 7 AND ", " WHERE id % 5 <> 0", " AND attribute_id <> 7") if known else ("", "", "")
+    return (
+        f"WITH w AS ({ad.CTE['w']}), e AS ({ad.CTE['e']}), "
+        f"g AS (SELECT plant_id, attribute_id FROM w WHERE {group}source_id IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT value) > 1 AND count(DISTINCT source_id) > 1), "
+        "f AS (SELECT w.plant_id, w.attribute_id, w.value, w.source_id, 1 AS scan FROM w JOIN g ON g.plant_id = w.plant_id AND g.attribute_id = w.attribute_id WHERE source_id IS NOT NULL "
+        "UNION ALL SELECT plant_id, attribute_id, value, source_id, 2 FROM w WHERE value NOT IN ('NO', 'AF') UNION ALL SELECT plant_id, attribute_id, value, NULL, 3 FROM w WHERE source_id IS NULL), "
+        f"new AS (SELECT plant_id, attribute_id, value, scan, source_id FROM (SELECT *, row_number() OVER (PARTITION BY plant_id, attribute_id, value ORDER BY scan, source_id NULLS FIRST) AS r FROM f WHERE plant_id IN (SELECT id FROM e{entity}){attribute}) n "
+        "WHERE r = 1 AND NOT EXISTS (SELECT 1 FROM w k WHERE k.status = 'excluded' AND k.plant_id = n.plant_id AND k.attribute_id = n.attribute_id AND k.value = n.value)), "
+        f"two AS (SELECT *, row_number() OVER (PARTITION BY plant_id, attribute_id ORDER BY source_id, value) AS r FROM new WHERE scan = 1) {body}"
+    )
+
+
+def _audit(spark, d, entities, attributes):
+    attrs = attributes.withColumn("values_allowed", F.lit('[{"id":"01","displayName":"no"},{"id":"AF"}]'))
     v = ad.values(spark, d).drop("attribute_name")
-    return evidence.run_audit(v, attrs, v.filter("status = 'excluded'"), _audited(spark, d))
+    return evidence.run_audit(v, attrs, v.filter("status = 'excluded'"), entities)
 
 
 def _audited(spark, d):
-    """All entities but some, so that values of unknown ones (and of one attribute) are there to be left out."""
-    return ad.entities(spark, d).filter("id % 5 <> 0")
+    """All entities but some and all attributes but one, so that values of unknown ones are there to be left out."""
+    return ad.entities(spark, d).filter("id % 5 <> 0"), ad.attributes(spark, d).filter("id <> 7")
 
 
 @register(_audit_sql("SELECT plant_id, attribute_id, concat('attribute ', CAST(attribute_id AS STRING)) AS attribute_name, value, source_id, scan, CASE scan WHEN 2 THEN concat('Value validation failure: ', chr(34), value, chr(34), ' not in allowed set [no, af]') WHEN 3 THEN 'Missing provenance: value has no source_id' END AS notes FROM new"))
 def run_audit(spark, d):
-    return _audit(spark, d).select("plant_id", "attribute_id", "attribute_name", "value", "source_id", "scan", "notes")
+    return _audit(spark, d, *_audited(spark, d)).select("plant_id", "attribute_id", "attribute_name", "value", "source_id", "scan", "notes")
 
 
-@register(_audit_sql("SELECT a.plant_id, a.attribute_id, a.value AS value_a, b.value AS value_b, a.source_id AS source_a, b.source_id AS source_b FROM two a JOIN two b USING (plant_id, attribute_id) WHERE a.r = 1 AND b.r = 2"))
+@register(_audit_sql("SELECT a.plant_id, a.attribute_id, a.value AS value_a, b.value AS value_b, a.source_id AS source_a, b.source_id AS source_b FROM two a JOIN two b USING (plant_id, attribute_id) WHERE a.r = 1 AND b.r = 2", known=False))
 def audit_conflicts(spark, d):
-    return evidence.audit_conflicts(_audit(spark, d)).select("plant_id", "attribute_id", "value_a", "value_b", "source_a", "source_b")
+    return evidence.audit_conflicts(_audit(spark, d, ad.entities(spark, d), ad.attributes(spark, d))).select("plant_id", "attribute_id", "value_a", "value_b", "source_a", "source_b")
 
 
 @register(_audit_sql("SELECT (SELECT count(*) FROM g) AS disagreements_found, (SELECT count(*) FROM new WHERE scan = 2) AS validation_failures, (SELECT count(*) FROM new WHERE scan = 3) AS missing_provenance, (SELECT count(*) FROM new) AS warrants_created, (SELECT count(*) FROM two WHERE r = 2) AS conflicts_created"))
 def audit_results(spark, d):
-    new = _audit(spark, d)
-    return evidence.audit_results(new, evidence.audit_conflicts(new), ad.values(spark, d), _audited(spark, d), ad.attributes(spark, d).filter("id <> 7"))
+    known = _audited(spark, d)
+    new = _audit(spark, d, *known)
+    return evidence.audit_results(new, evidence.audit_conflicts(new), ad.values(spark, d), *known)
 
 
 @register(sql("SELECT sha256(concat('existing|', w.id)) AS id, 'existing' AS warrant_type, 'unreviewed' AS status, 'b1' AS batch_id, w.plant_id, e.genus AS plant_genus, e.species AS plant_species, w.attribute_id, a.name AS attribute_name, w.value, w.value AS source_value, w.source_id, s.region AS source_region, s.name AS source_dataset, 'production' AS match_method, 1.0::DOUBLE AS match_confidence FROM w JOIN e ON w.plant_id = e.id JOIN a ON w.attribute_id = a.id LEFT JOIN s ON w.source_id = s.id", "w", "e", "a", "s"))
