@@ -334,12 +334,15 @@ def _against(sets: DataFrame, open_: DataFrame, least: float, max_bits: int, tas
     slice_bytes = F.greatest(F.lit(least_bytes), F.least(F.col("n_open"), F.lit(task_bytes)))
     parts = base.materialised(sizes.select("comp", F.ceil(F.col("n_open") / task_bytes).cast("int").alias("parts"), F.ceil(F.col("n_all") / slice_bytes).cast("int").alias("slices"), "k"))
     rows = flagged.join(parts, "comp")
-    fields = ["comp", "task", "member", (~F.col("open") & F.col("k")).alias("covered"), "id", "fp2", "shingles"]
     own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int") * F.col("slices")
-    open_rows = rows.filter("open").withColumn("task", F.explode(F.sequence(own, own + F.col("slices") - 1))).withColumn("member", F.lit(False)).select(*fields)
     mine = F.pmod(F.xxhash64("id", F.lit(1)), F.col("slices")).cast("int")
-    members = rows.withColumn("task", F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: i * F.col("slices") + mine))).withColumn("member", F.lit(True)).select(*fields)
-    return open_rows.unionByName(members).repartition("comp", "task").sortWithinPartitions("comp", "task", "member").mapInArrow(_near_open(least, max_bits), "a long, b long")
+    place = lambda member: lambda task: F.struct(task.alias("task"), F.lit(member).alias("member"))
+    held = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: place(True)(i * F.col("slices") + mine))
+    copied = F.when(F.col("open"), F.transform(F.sequence(own, own + F.col("slices") - 1), place(False))).otherwise(F.array().cast("array<struct<task:int,member:boolean>>"))
+    covered = (~F.col("open") & F.col("k")).alias("covered")
+    # Both roles of a row in one pass: the sets are shuffled once.
+    dealt = rows.select("comp", F.explode(F.concat(held, copied)).alias("at"), covered, "id", "fp2", "shingles").select("comp", "at.task", "at.member", "covered", "id", "fp2", "shingles")
+    return dealt.repartition("comp", "task").sortWithinPartitions("comp", "task", "member").mapInArrow(_near_open(least, max_bits), "a long, b long")
 
 
 def near_pairs(docs: DataFrame, groups: DataFrame, words: int, least: float, max_bits: int, task_bytes: int = 1 << 24, least_bytes: int = 1 << 18) -> DataFrame:
