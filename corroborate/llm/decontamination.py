@@ -126,17 +126,29 @@ def _wanted(parts: DataFrame, window: int, cased: bool) -> DataFrame:
     return each.join(enough, "item").filter("free or not enough").select("item", "h", "j")
 
 
-def _view(texts: DataFrame, items: DataFrame, window: int, least: float, consistent: float, broadcast_windows: int, cased: bool) -> DataFrame:
-    """(key, item, n_windows, n_found, n_slots, consistency) by one way to read texts and items: with case, or without."""
-    parts = base.materialised(with_slots(items, cased).select(F.col("key").alias("item"), "words", "said", "kinds"))
-    wanted = base.materialised(_wanted(parts, window, cased))
+def _both(read) -> DataFrame:
+    """What ``read`` makes with case, and without it, in one table with the column ``cased``."""
+    return read(True).withColumn("cased", F.lit(True)).unionByName(read(False).withColumn("cased", F.lit(False)))
+
+
+def _apart(name: str, cased: bool) -> Column:
+    """A hash, other for each way to read: items and windows of the two never meet."""
+    return (F.col(name) if cased else F.xxhash64(name, F.lit("without case"))).alias(name)
+
+
+def _views(texts: DataFrame, items: DataFrame, window: int, least: float, consistent: float, broadcast_windows: int) -> DataFrame:
+    """(cased, key, item, n_windows, n_found, n_slots, consistency) by both ways to read texts and items, with case and without it, in the same jobs."""
+    parts = base.materialised(_both(lambda c: with_slots(items, c).select("key", F.col("key").alias("item"), "words", "said", "kinds").withColumn("item", _apart("item", c))))
+    of = lambda df, c: df.filter("cased" if c else "not cased").drop("cased")
+    wanted = base.materialised(_both(lambda c: _wanted(of(parts, c), window, c).select("item", _apart("h", c), "j")))
     hashes = wanted.select("h").distinct()
     side = F.broadcast(hashes) if hashes.count() <= broadcast_windows else hashes
-    hits = base.materialised(windows(texts.select("key", template(F.col("t"), cased).alias("words")), window).join(side, "h").distinct())
+    read = lambda c: windows(texts.select("key", template(F.col("t"), c).alias("words")), window).select("key", "i", _apart("h", c)).join(side, "h")
+    hits = base.materialised(read(True).unionByName(read(False)).distinct())
 
     # The item's rarest windows, one more than a pair may lack.
     often = hits.groupBy("h").agg(F.count("*").alias("n"))
-    totals = wanted.groupBy("item").agg(F.count("*").alias("n_windows"))
+    totals = wanted.groupBy("item").agg(F.count("*").alias("n_windows"), F.bool_and("cased").alias("cased"))
     ranked = wanted.join(often, "h").withColumn("r", F.row_number().over(Window.partitionBy("item").orderBy("n", "h"))).join(totals, "item")
     # Windows that no text has are not among the ranked ones; a pair lacks them all, and may lack so many fewer others.
     absent = F.col("n_windows") - F.count("*").over(Window.partitionBy("item"))
@@ -148,18 +160,19 @@ def _view(texts: DataFrame, items: DataFrame, window: int, least: float, consist
 
     votes = close.select("key", "item").join(wanted, "item").join(hits, ["key", "h"]).groupBy("key", "item", (F.col("i") - F.col("j")).alias("shift")).agg(F.count("*").alias("n"))
     shifts = votes.groupBy("key", "item").agg(F.max(F.struct("n", (-F.col("shift")).alias("back"))).alias("top")).select("key", "item", (-F.col("top.back")).alias("shift"))
-    places = parts.select("item", "said", "words", F.posexplode("kinds").alias("s", "kind")).select("item", "s", F.get("said", F.col("s")).alias("value"), F.get("words", F.col("s")).alias("word"), F.col("kind").isNotNull().alias("slot"))
-    places = places.filter("slot") if cased else places
-    spoken = with_slots(texts.join(close.select("key").distinct(), "key").dropDuplicates(["key"]), cased).select("key", "said", F.col("words").alias("there"))
+    places = parts.select("item", "cased", "said", "words", F.posexplode("kinds").alias("s", "kind")).select("item", "cased", "s", F.get("said", F.col("s")).alias("value"), F.get("words", F.col("s")).alias("word"), F.col("kind").isNotNull().alias("slot"))
+    places = places.filter("slot or not cased")
+    near_texts = base.materialised(texts.join(close.select("key", "cased").distinct(), "key").dropDuplicates(["key", "cased"]))
+    spoken = _both(lambda c: with_slots(of(near_texts, c), c).select("key", "said", F.col("words").alias("there")))
     there = lambda c: F.get(c, (F.col("s") + F.col("shift")).cast("int"))
-    met = shifts.join(places, "item").join(spoken, "key").select("key", "item", "value", "slot", there("said").alias("met"), F.coalesce(there("there") == F.col("word"), F.lit(False)).alias("same"))
+    met = shifts.join(places, "item").join(spoken, ["key", "cased"]).select("key", "item", "value", "slot", there("said").alias("met"), F.coalesce(there("there") == F.col("word"), F.lit(False)).alias("same"))
     per_value = met.groupBy("key", "item", "slot", F.when(F.col("slot"), F.col("value")).alias("value")).agg(((F.countDistinct("met") == 1) & (F.count("met") == F.count("*"))).cast("int").alias("ok"), F.count_if("same").alias("n_same"), F.count("*").alias("n"))
     verdict = per_value.groupBy("key", "item").agg(F.count_if("slot").alias("n_slots"), F.avg(F.when(F.col("slot"), F.col("ok"))).alias("consistency"), F.sum(F.when(~F.col("slot"), F.col("n_same"))).alias("n_same"), F.sum(F.when(~F.col("slot"), F.col("n"))).alias("n_fixed"))
     out = close.join(verdict, ["key", "item"], "left")
-    out = out.select("key", "item", "n_windows", "n_found", F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"), F.coalesce("consistency", F.lit(1.0)).alias("consistency"), F.coalesce("n_same", F.lit(0)).alias("n_same"), F.coalesce("n_fixed", F.lit(0)).alias("n_fixed"))
+    out = out.select("cased", "key", "item", "n_windows", "n_found", F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"), F.coalesce("consistency", F.lit(1.0)).alias("consistency"), F.coalesce("n_same", F.lit(0)).alias("n_same"), F.coalesce("n_fixed", F.lit(0)).alias("n_fixed"))
     # Without case few windows may stand for the item, so its fixed words have to stand where they belong.
-    out = out if cased else out.filter(F.col("n_same") >= F.lit(least) * F.col("n_fixed"))
-    return out.filter(F.col("consistency") >= consistent).drop("n_same", "n_fixed")
+    out = out.filter(F.col("cased") | (F.col("n_same") >= F.lit(least) * F.col("n_fixed")))
+    return out.filter(F.col("consistency") >= consistent).drop("n_same", "n_fixed").join(parts.select("item", F.col("key").alias("of")), "item").drop("item").withColumnRenamed("of", "item")
 
 
 def _pairs(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, window: int, least: float, consistent: float, broadcast_windows: int) -> DataFrame:
@@ -167,7 +180,8 @@ def _pairs(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, it
     found without it besides."""
     texts = _keyed(docs, id_col, text_col)
     items = _keyed(benchmark, item_col, item_text_col).filter("id is not null").dropDuplicates(["key"])
-    cased, plain = (base.materialised(_view(texts, items, window, least, consistent, broadcast_windows, c)) for c in (True, False))
+    found = base.materialised(_views(texts, items, window, least, consistent, broadcast_windows))
+    cased, plain = (found.filter(c).drop("cased") for c in ("cased", "not cased"))
     return cased.unionByName(plain.join(cased.select("key", "item"), ["key", "item"], "left_anti"))
 
 

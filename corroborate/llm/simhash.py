@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import base
-from .components import components
+from .components import components, roots
 
 
 def shingle_hashes(text: str, words: int) -> list[int]:
@@ -97,20 +97,6 @@ class _Union:
             self.up[max(x, y)] = min(x, y)
 
 
-def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The least row that each of n rows is connected to by the pairs (a, b)."""
-    root = np.arange(n)
-    while True:
-        least = np.minimum(root[a], root[b])
-        new = root.copy()
-        for x in (a, b, root[a], root[b]):
-            np.minimum.at(new, x, least)
-        new = new[new]
-        if np.array_equal(new, root):
-            return root
-        root = new
-
-
 def tree_links(ball: np.ndarray, fps: np.ndarray, radius: int, second: np.ndarray, second_radius: int, leaf: int = 8, block: int = 1 << 20):
     """Index pairs that connect all rows of the same ball within both radii of each other, by a vantage-point tree for each ball.
 
@@ -233,7 +219,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marked = base.materialised(with_fingerprint(docs, text_col, [id_col], words))
     classes = base.materialised(marked.groupBy("fp").agg(F.min(F.col(base.quoted(id_col)).cast("long")).alias("least")))
     nodes = classes.select("fp", F.lit(0).cast("long").alias("fp2"), F.col("fp").alias("id"))
-    found = components(links(nodes, max_bits))
+    found = components(links(nodes, max_bits), joined_up=True)
     of_class = classes.join(found, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     of_class = base.materialised(of_class)
     least = of_class.groupBy(F.col("component").alias("c")).agg(F.min("least").alias("component_id"))
@@ -321,25 +307,21 @@ def _near_open(least: float, max_bits: int):
     return run
 
 
-def _against(sets: DataFrame, open_: DataFrame, least: float, max_bits: int, task_bytes: int, least_bytes: int) -> DataFrame:
-    """Edges (a, b) between the rows of ``sets`` (comp, id, fp2, shingles) and the open ones of their group (open_: id, known).
+def _against(rows: DataFrame, known: bool, least: float, max_bits: int, task_bytes: int, least_bytes: int) -> DataFrame:
+    """Edges (a, b) between ``rows`` (comp, id, fp2, shingles) and those of their group that are ``open``, of which the group has ``n_open`` bytes of ``n_all``.
 
     A group's open rows are cut into parts of about ``task_bytes``, and the rows they are held against into slices as large as its open
     rows (between ``least_bytes`` and ``task_bytes``): a group spreads over many tasks, and open rows are copied once for a slice.
     Rows that are not open count as connected to each other if ``known``.
     """
-    flagged = sets.join(open_.withColumn("open", F.lit(True)), "id", "left").withColumn("open", F.coalesce("open", F.lit(False)))
-    n_bytes = F.octet_length("shingles") + 64
-    sizes = flagged.groupBy("comp").agg(F.sum(F.when(F.col("open"), n_bytes)).alias("n_open"), F.sum(n_bytes).alias("n_all"), F.bool_or("known").alias("k")).filter("n_open is not null")
     slice_bytes = F.greatest(F.lit(least_bytes), F.least(F.col("n_open"), F.lit(task_bytes)))
-    parts = base.materialised(sizes.select("comp", F.ceil(F.col("n_open") / task_bytes).cast("int").alias("parts"), F.ceil(F.col("n_all") / slice_bytes).cast("int").alias("slices"), "k"))
-    rows = flagged.join(parts, "comp")
+    rows = rows.withColumns({"parts": F.ceil(F.col("n_open") / task_bytes).cast("int"), "slices": F.ceil(F.col("n_all") / slice_bytes).cast("int")})
     own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int") * F.col("slices")
     mine = F.pmod(F.xxhash64("id", F.lit(1)), F.col("slices")).cast("int")
     place = lambda member: lambda task: F.struct(task.alias("task"), F.lit(member).alias("member"))
     held = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: place(True)(i * F.col("slices") + mine))
     copied = F.when(F.col("open"), F.transform(F.sequence(own, own + F.col("slices") - 1), place(False))).otherwise(F.array().cast("array<struct<task:int,member:boolean>>"))
-    covered = (~F.col("open") & F.col("k")).alias("covered")
+    covered = (~F.col("open") & F.lit(known)).alias("covered")
     # Both roles of a row in one pass: the sets are shuffled once.
     dealt = rows.select("comp", F.explode(F.concat(held, copied)).alias("at"), covered, "id", "fp2", "shingles").select("comp", "at.task", "at.member", "covered", "id", "fp2", "shingles")
     return dealt.repartition("comp", "task").sortWithinPartitions("comp", "task", "member").mapInArrow(_near_open(least, max_bits), "a long, b long")
@@ -351,17 +333,21 @@ def near_pairs(docs: DataFrame, groups: DataFrame, words: int, least: float, max
 
     First every row is held against its group's leader, the least id: one pass, however large the group. Only rows that are
     not near it stay open, and only pairs with an open row are looked at again (fingerprints within ``max_bits`` and fitting
-    sizes, then exactly): other pairs are connected through the leader.
+    sizes, then exactly): other pairs are connected through the leader. Sizes are worked out on a narrow table, without the sets.
     """
     sized = base.map_text(docs.join(groups, "id"), "text", _sets(words), [T.StructField("fp2", T.LongType()), T.StructField("shingles", T.BinaryType())], ["comp", "id"])
     sets = base.materialised(sized)
-    leaders = sets.groupBy("comp").agg(F.min("id").alias("id"))
-    first = base.materialised(_against(sets, leaders.select("id", F.lit(False).alias("known")), least, max_bits, task_bytes, least_bytes))
-    near = first.select(F.col("a").alias("id")).union(first.select(F.col("b").alias("id"))).union(leaders.select("id")).distinct()
-    rest = sets.select("id").distinct().join(near, "id", "left_anti").withColumn("known", F.lit(True))
-    again = base.materialised(_against(sets, rest, least, max_bits, task_bytes, least_bytes))
-    base.dropped(sets)
-    return first.unionByName(again)
+    bytes_ = base.materialised(sets.groupBy("comp", "id").agg(F.sum(F.octet_length("shingles") + 64).alias("n")))
+    led = base.materialised(bytes_.groupBy("comp").agg(F.min("id").alias("leader"), F.min_by("n", "id").alias("n_open"), F.sum("n").alias("n_all")))
+    first = base.materialised(_against(sets.join(led, "comp").withColumn("open", F.col("id") == F.col("leader")), False, least, max_bits, task_bytes, least_bytes))
+    # An edge's second end is the leader.
+    near = first.select(F.col("a").alias("id")).union(led.select(F.col("leader").alias("id")))
+    rest = base.materialised(bytes_.join(near, "id", "left_anti"))
+    again = rest.groupBy("comp").agg(F.sum("n").alias("n_open")).join(led.select("comp", "n_all"), "comp")
+    rows = sets.join(again, "comp").join(rest.select("id", F.lit(True).alias("open")), "id", "left").withColumn("open", F.coalesce("open", F.lit(False)))
+    more = base.materialised(_against(rows, True, least, max_bits, task_bytes, least_bytes))
+    base.dropped(sets, bytes_)
+    return first.unionByName(more)
 
 
 def common_shingles(texts: DataFrame, words: int, sample: int = 20_000, most: int = 200_000) -> tuple[np.ndarray, np.ndarray]:
@@ -496,7 +482,7 @@ def prefix_pairs(texts: DataFrame, known: DataFrame, words: int, least: float, l
     dealt = parts.withColumn("own", own).select("h", pair, "id", "n", "comp", *SKETCH).withColumn("pair", F.col("pair").cast("long"))
     pairs = base.materialised(dealt.repartition("h", "pair").sortWithinPartitions("h", "pair").mapInArrow(_cross_pairs(least, max_bits, small_bits, small), "a long, b long").distinct())
     base.dropped(listed)
-    return near_pairs(texts, _groups(components(pairs)), words, least, 32)
+    return near_pairs(texts, _groups(components(pairs, joined_up=True)), words, least, 32)
 
 
 def _groups(found: DataFrame) -> DataFrame:
@@ -529,12 +515,12 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     # A class's node is the key of its first row.
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "rk"))
     classes = base.materialised(marked.groupBy(*key).agg(first.alias("first"), *[F.min(c).alias(c) for c in SKETCH[1:]]).withColumn("id", F.col("first.rk")))
-    loose = components(links(classes.select("fp", "fp2", "id"), max_bits, second_bits))
+    loose = components(links(classes.select("fp", "fp2", "id"), max_bits, second_bits), joined_up=True)
     texts = side.select(F.col("rk").alias("id"), "text")
-    close = components(near_pairs(texts, _groups(loose), words, least, second_bits + 6))
+    close = components(near_pairs(texts, _groups(loose), words, least, second_bits + 6), joined_up=True)
     known = base.materialised(classes.filter("n > 0").join(close.withColumnRenamed("node", "id"), "id", "left").select("id", "n", F.coalesce("component", "id").alias("comp"), *SKETCH))
     more = prefix_pairs(base.materialised(texts.join(known.select("id"), "id", "left_semi")), known, words, least)
-    found = components(close.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+    found = components(close.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), joined_up=True)
     of_class = base.materialised(classes.join(found, F.col("id") == F.col("node"), "left").select(*[F.col(c).alias(f"__{c}") for c in key], "first", F.coalesce("component", "id").alias("comp")))
     best = of_class.groupBy(F.col("comp").alias("comp2")).agg(F.min("first").alias("best"))
     named = of_class.join(best, F.col("comp") == F.col("comp2"))

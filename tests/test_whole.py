@@ -94,3 +94,30 @@ def test_stars_take_no_round_of_components(spark, monkeypatch):
     # A chain of two edges is hung on its least node in one round, which is the last.
     assert found([(1, 2), (2, 3)]) == {(2, 1), (3, 1)} and len(rounds) == 2
     assert found([(i, i + 1) for i in range(-20, 20)]) == {(i, -20) for i in range(-19, 21)}
+
+
+def test_edges_joined_up_in_tasks_need_few_rounds(spark, monkeypatch):
+    from corroborate.llm import components as module
+
+    rounds, star = [], module._star
+    monkeypatch.setattr(module, "_star", lambda edges, large: rounds.append(large) or star(edges, large))
+    chain = spark.createDataFrame([(i, i + 1) for i in range(-20, 20)] + [(50, 40), (None, 3)], "a long, b long")
+    assert {(r.node, r.component) for r in module.components(chain.coalesce(1), joined_up=True).collect()} == {(i, -20) for i in range(-19, 21)} | {(50, 40)}
+    assert len(rounds) <= 2
+    # Cut into pieces, edges still connect the same nodes, and no piece has more of them than it was given.
+    import pyarrow as pa
+
+    monkeypatch.setattr(module, "HELD_EDGES", 4)
+    rnd = random.Random(5)
+    edges = [(rnd.randrange(60), rnd.randrange(60)) for _ in range(70)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges[i : i + 3]], pa.int64()) for k in (0, 1)], names=["a", "b"]) for i in range(0, 70, 3)]
+    out = [e for b in module._joined_up(batches) for e in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+
+    def least(pairs):
+        at = list(range(60))
+        for _ in range(60):
+            for a, b in pairs:
+                at[a] = at[b] = min(at[a], at[b])
+        return at
+
+    assert least(out) == least(edges) and len(out) <= len(edges)
