@@ -9,6 +9,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,20 +34,32 @@ def chunks(texts: list[str], budget: int = CHUNK_CHARS) -> Iterator[tuple[int, i
         yield lo, len(texts)
 
 
-def map_text(df: DataFrame, text_col: str, fn: Callable[[list[str]], list[pa.Array]], fields: list[T.StructField], keep: list[str]) -> DataFrame:
-    """``keep`` columns plus what ``fn`` makes of the texts (null reads as empty); input columns named as a field give way."""
+def pieces(texts: pa.Array, budget: int = CHUNK_CHARS) -> Iterator[tuple[int, int, list[str]]]:
+    """The same runs of a column, each with its texts (null reads as empty): the other texts are not held as objects meanwhile."""
+    ends = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    lo = 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + budget, side="right")))
+        yield lo, hi, ["" if t is None else t for t in texts.slice(lo, hi - lo).to_pylist()]
+        lo = hi
+
+
+def map_text(df: DataFrame, text_col: str, fn: Callable[[list[str]], list[pa.Array]], fields: list[T.StructField], keep: list[str], budget: int = CHUNK_CHARS) -> DataFrame:
+    """``keep`` columns plus what ``fn`` makes of the texts (null reads as empty); input columns named as a field give way.
+
+    ``fn`` gets texts of ``budget`` characters at a time, unless a single one is longer."""
     names = {f.name for f in fields}
     keep = [c for c in keep if c not in names]
     out = T.StructType([T.StructField(c, df.schema[c].dataType) for c in keep] + fields)
-    src = df.select(*[F.col(quoted(c)) for c in keep], F.col(quoted(text_col)).alias("__text__"))
+    src = df.select(*[F.col(quoted(c)) for c in keep], F.col(quoted(text_col)).cast("string").alias("__text__"))
     n, labels = len(keep), [*keep, *[f.name for f in fields]]
 
     def run(batches):
         for b in batches:
-            texts = ["" if t is None else t for t in b.column(n).to_pylist()]
-            for lo, hi in chunks(texts):
+            for lo, hi, texts in pieces(b.column(n), budget):
                 kept = [b.column(i).slice(lo, hi - lo) for i in range(n)]
-                yield pa.RecordBatch.from_arrays(kept + fn(texts[lo:hi]), names=labels)
+                yield pa.RecordBatch.from_arrays(kept + fn(texts), names=labels)
+            b = kept = None  # the next batch is read without this one
 
     return src.mapInArrow(run, out)
 

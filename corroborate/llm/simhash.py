@@ -39,6 +39,11 @@ from pyspark.sql import types as T
 from . import base
 from .components import components, roots
 
+#: Characters whose shingles are held as objects at once, unless a single text is longer; rows of sets likewise; pairs compared at once.
+SET_CHARS = 1 << 17
+SET_ROWS = 256
+PAIRS = 1 << 18
+
 
 def shingle_hashes(text: str, words: int) -> list[int]:
     """XXH64 of every shingle, repeats included. bytes.lower and bytes.split know just A-Z and the six ASCII white spaces."""
@@ -97,7 +102,7 @@ class _Union:
             self.up[max(x, y)] = min(x, y)
 
 
-def tree_links(ball: np.ndarray, fps: np.ndarray, radius: int, second: np.ndarray, second_radius: int, leaf: int = 8, block: int = 1 << 20):
+def tree_links(ball: np.ndarray, fps: np.ndarray, radius: int, second: np.ndarray, second_radius: int, leaf: int = 8, block: int = PAIRS):
     """Index pairs that connect all rows of the same ball within both radii of each other, by a vantage-point tree for each ball.
 
     All trees grow together, a level at a time. A node's first row is its vantage point; its rows are halved at the median distance
@@ -276,7 +281,7 @@ def _near_open(least: float, max_bits: int):
 
     def run(batches):
         now, open_rows, joined = None, [], None
-        for batch in batches:
+        for batch in (b.slice(lo, SET_ROWS) for b in batches for lo in range(0, b.num_rows, SET_ROWS)):
             edges = []
             for group, task, member, covered, id_, fp, raw in zip(*[batch.column(c).to_pylist() for c in ("comp", "task", "member", "covered", "id", "fp2", "shingles")], strict=True):
                 if (group, task) != now:
@@ -335,7 +340,7 @@ def near_pairs(docs: DataFrame, groups: DataFrame, words: int, least: float, max
     not near it stay open, and only pairs with an open row are looked at again (fingerprints within ``max_bits`` and fitting
     sizes, then exactly): other pairs are connected through the leader. Sizes are worked out on a narrow table, without the sets.
     """
-    sized = base.map_text(docs.join(groups, "id"), "text", _sets(words), [T.StructField("fp2", T.LongType()), T.StructField("shingles", T.BinaryType())], ["comp", "id"])
+    sized = base.map_text(docs.join(groups, "id"), "text", _sets(words), [T.StructField("fp2", T.LongType()), T.StructField("shingles", T.BinaryType())], ["comp", "id"], SET_CHARS)
     sets = base.materialised(sized)
     bytes_ = base.materialised(sets.groupBy("comp", "id").agg(F.sum(F.octet_length("shingles") + 64).alias("n")))
     led = base.materialised(bytes_.groupBy("comp").agg(F.min("id").alias("leader"), F.min_by("n", "id").alias("n_open"), F.sum("n").alias("n_all")))
@@ -376,9 +381,8 @@ def _shingle_rows(texts: DataFrame, chosen) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            raw = ["" if t is None else t for t in b.column(1).to_pylist()]
-            for lo, hi in base.chunks(raw):
-                own = [chosen(t) for t in raw[lo:hi]]
+            for lo, hi, raw in base.pieces(b.column(1), SET_CHARS):
+                own = [chosen(t) for t in raw]
                 at = np.repeat(np.arange(lo, hi), [len(x) for x in own])
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own).astype(np.uint64).view(np.int64)), b.column(0).take(pa.array(at))], names=["h", "id"])
 
@@ -448,8 +452,9 @@ def _cross_pairs(least: float, max_bits: int, small_bits: int, small: int, few:
                 rows = done[:, lo : lo + n]
                 if (rows[4] == rows[4, 0]).all():
                     continue
-                for at in range(0, n, 1024):
-                    x, y = np.nonzero(np.arange(at, min(at + 1024, n))[:, None] > np.arange(n)[None, :])
+                step = max(1, PAIRS // n)
+                for at in range(0, n, step):
+                    x, y = np.nonzero(np.arange(at, min(at + step, n))[:, None] > np.arange(n)[None, :])
                     x, y = good(rows, x + at, y)
                     own = root[lo : lo + n] - lo
                     root[lo : lo + n] = roots(n, np.concatenate((np.arange(n), x)), np.concatenate((own, y))) + lo
@@ -511,7 +516,7 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     long = T.LongType()
     side = docs.select(row_key(docs, id_col, text_col).alias("rk"), F.col(base.quoted(id_col)).cast("long").alias("id"), F.col(base.quoted(text_col)).alias("text"))
     key = ["fp", "fp2", "content", "n"]
-    marked = base.materialised(base.map_text(side, "text", _marks(words), [T.StructField(c, long) for c in ("fp", *SKETCH, "content", "n")], ["rk", "id"]))
+    marked = base.materialised(base.map_text(side, "text", _marks(words), [T.StructField(c, long) for c in ("fp", *SKETCH, "content", "n")], ["rk", "id"], SET_CHARS))
     # A class's node is the key of its first row.
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "rk"))
     classes = base.materialised(marked.groupBy(*key).agg(first.alias("first"), *[F.min(c).alias(c) for c in SKETCH[1:]]).withColumn("id", F.col("first.rk")))

@@ -2,13 +2,16 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from test_plain import plain_language
 
@@ -751,3 +754,46 @@ def test_pipeline(spark, docs):
                     assert texts_now[r.doc_id, r.score] == r.text
     last = cp.STAGES[-1][1](spark, now, SF)
     assert last.filter("round_trip").count() == now.count()
+
+
+def traced_mb(call):
+    tracemalloc.start()
+    try:
+        call()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_pieces_are_chunks():
+    texts = ["é" * 5, None, "", "ab", "c" * 20, "\U0001f600" * 3, "d", ""]
+    column = pa.concat_arrays([pa.array(["other"]), pa.array(texts)]).slice(1)
+    read = ["" if t is None else t for t in texts]
+    for budget in (1, 5, 8, 100):
+        assert list(base.pieces(column, budget)) == [(lo, hi, read[lo:hi]) for lo, hi in base.chunks(read, budget)]
+    assert list(base.pieces(pa.array([], pa.string()))) == []
+
+
+def test_text_batches_are_not_held_as_objects(spark, monkeypatch):
+    df = spark.createDataFrame([(0, "a")], "id long, text string")
+    runs = []
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, run, schema: runs.append(run))
+    base.map_text(df, "text", lambda t: [pa.array([len(x) for x in t], pa.int64())], [T.StructField("n", T.LongType())], ["id"])
+    simhash._shingle_rows(df, lambda t: np.zeros(1, np.uint64))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(20_000)), pa.array(["x" * 1024] * 20_000)], names=["id", "text"])
+    for run in runs:
+        assert traced_mb(lambda run=run: [out.num_rows for out in run(iter([batch]))]) < 8
+
+
+def test_near_copies_of_large_groups_take_little_memory():
+    # Two lists of unlike rows, as long as a dealt pair of parts gets; open and other rows of a group in one batch.
+    n, rng = 2048, np.random.default_rng(1)
+    columns = [np.zeros(n, np.int64), np.zeros(n, np.int64), np.arange(n), np.full(n, 100), np.arange(n), *rng.integers(-1 << 62, 1 << 62, (4, n))]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "pair", "id", "n", "comp", *simhash.SKETCH])
+    assert traced_mb(lambda: list(simhash._cross_pairs(0.8, 78, 100, 32)(iter([batch])))) < 40
+    raw = [np.arange(i, i + 300, dtype="<u8").tobytes() for i in range(8000)]
+    names = {"comp": [0] * 8000, "task": [0] * 8000, "member": [i > 0 for i in range(8000)], "covered": [False] * 8000, "id": list(range(8000)), "fp2": [0] * 8000, "shingles": raw}
+    batch = pa.RecordBatch.from_pydict(names)
+    edges = []
+    assert traced_mb(lambda: edges.extend(e for out in simhash._near_open(0.8, 64)(iter([batch])) for e in out.column(0).to_pylist())) < 8
+    assert edges == list(range(1, 34))  # 267 of 333 shingles are shared at least
