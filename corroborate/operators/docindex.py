@@ -16,6 +16,28 @@ def _query_words(queries: DataFrame, least: int) -> DataFrame:
     return queries.select("query_id", F.explode(F.array_distinct(F.split(F.lower("query"), r"\s+"))).alias("word")).filter(F.length("word") >= least)
 
 
+def _asked(queries: DataFrame, least: int) -> DataFrame:
+    """(query_id, asked): the distinct words of each query, in order."""
+    words = F.filter(F.split(F.lower("query"), r"\s+"), lambda w: F.length(w) >= least)
+    return queries.filter("query is not null").select("query_id", F.explode(words).alias("word")).groupBy("query_id").agg(F.array_sort(F.collect_set("word")).alias("asked"))
+
+
+def _best(hits: DataFrame, lists: DataFrame, k: int, least: int = 1) -> DataFrame:
+    """(asked, doc_id, node_id, score, rank): for each list of words the ``k`` nodes with most points, of those with ``least`` or more.
+
+    ``hits``: doc_id, node_id, word, points. Nodes that hold the same words with the same points score alike for every list, so that only
+    the first ``k`` of each such group can be among the best. A group meets the lists in the task that has it.
+    """
+    each = hits.repartition("doc_id", "node_id").groupBy("doc_id", "node_id", "word").agg(F.sum("points").alias("points"))
+    held = each.groupBy("doc_id", "node_id").agg(F.array_sort(F.collect_list(F.struct("word", "points"))).alias("held"))
+    first = held.withColumn("r", F.row_number().over(Window.partitionBy("held").orderBy("doc_id", "node_id"))).filter(F.col("r") <= k)
+    alike = first.groupBy("held").agg(F.collect_list(F.struct("doc_id", "node_id")).alias("nodes"))
+    met = alike.withColumn("h", F.explode("held")).select("held", "nodes", "h.*").join(lists.select("asked", F.explode("asked").alias("word")), "word")
+    scored = met.groupBy("held", "asked").agg(F.sum("points").alias("score"), F.first("nodes").alias("nodes")).filter(F.col("score") >= least)
+    nodes = scored.select("asked", "score", F.explode("nodes").alias("n")).select("asked", "n.*", "score")
+    return nodes.withColumn("rank", F.row_number().over(Window.partitionBy("asked").orderBy(F.desc("score"), "doc_id", "node_id"))).filter(F.col("rank") <= k)
+
+
 def search_nodes(nodes: DataFrame, queries: DataFrame, k: int = 5, offset: int = 0) -> DataFrame:
     """(query_id, doc_id, node_id, score, rank): three points for each query word in a title and one in a summary, over zero.
 
@@ -32,10 +54,16 @@ def search_nodes(nodes: DataFrame, queries: DataFrame, k: int = 5, offset: int =
 
 def search_terms(nodes: DataFrame, queries: DataFrame, least: int = 2, cap: int = 10) -> DataFrame:
     """Nodes that hold at least ``least`` query words of three letters or more, with 500 characters of summary; the top ``cap``."""
-    words = _query_words(queries, 3)
-    texts = nodes.select("doc_id", "node_id", F.lower(F.concat_ws(" ", "title", "summary")).alias("text"), F.substring("summary", 1, 500).alias("summary"))
-    hit = containing(texts, words).drop("text").join(words, "word").groupBy("query_id", "doc_id", "node_id").agg(F.count("*").alias("n_terms"), F.min("summary").alias("summary")).filter(F.col("n_terms") >= least)
-    return hit.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("n_terms"), "doc_id", "node_id"))).filter(F.col("rank") <= cap)
+    asked = kept(_asked(queries, 3))
+    lists = kept(asked.select("asked").distinct())
+    text = F.explode(F.array(F.lower(F.concat_ws(" ", "title", "summary")))).alias("text")
+    texts = nodes.select("doc_id", "node_id", text, F.substring("summary", 1, 500).alias("summary"))
+    hits = containing(texts.drop("summary"), lists.select(F.explode("asked").alias("word"))).withColumn("points", F.lit(1))
+    best = kept(_best(hits, lists, cap, least).withColumnRenamed("score", "n_terms"))
+    same = F.col("t.doc_id").eqNullSafe(F.col("b.doc_id")) & F.col("t.node_id").eqNullSafe(F.col("b.node_id"))
+    said = texts.alias("t").join(best.alias("b"), same).filter(F.exists("asked", lambda w: F.col("text").contains(w))).select("b.*", "summary")
+    said = said.groupBy("asked", "doc_id", "node_id", "n_terms", "rank").agg(F.min("summary").alias("summary"))
+    return asked.join(said, "asked").select("query_id", "doc_id", "node_id", "n_terms", "summary", "rank")
 
 
 def flatten_nodes(docs: DataFrame, key: str = "doc_name", tree: str = "structure") -> DataFrame:
