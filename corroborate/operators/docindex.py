@@ -12,10 +12,6 @@ from ..sources.scratch import kept
 from .grams import containing
 
 
-def _query_words(queries: DataFrame, least: int) -> DataFrame:
-    return queries.select("query_id", F.explode(F.array_distinct(F.split(F.lower("query"), r"\s+"))).alias("word")).filter(F.length("word") >= least)
-
-
 def _asked(queries: DataFrame, least: int) -> DataFrame:
     """(query_id, asked): the distinct words of each query, in order."""
     words = F.filter(F.split(F.lower("query"), r"\s+"), lambda w: F.length(w) >= least)
@@ -41,15 +37,15 @@ def _best(hits: DataFrame, lists: DataFrame, k: int, least: int = 1) -> DataFram
 def search_nodes(nodes: DataFrame, queries: DataFrame, k: int = 5, offset: int = 0) -> DataFrame:
     """(query_id, doc_id, node_id, score, rank): three points for each query word in a title and one in a summary, over zero.
 
-    Words of one letter do not count; repeated words of a query count once. Words are looked up in an index of letter groups over titles
-    and summaries, once for all queries.
+    Words of one letter do not count; repeated words of a query count once. Words are looked up in titles and summaries once for all
+    queries, and queries of the same words are answered once.
     """
-    words = _query_words(queries, 2)
+    asked = kept(_asked(queries, 2))
+    lists = kept(asked.select("asked").distinct())
     fields = F.array(*[F.struct(F.lit(points).alias("points"), F.lower(c).alias("text")) for c, points in (("title", 3), ("summary", 1))])
     texts = nodes.select("doc_id", "node_id", F.explode(fields).alias("f")).select("doc_id", "node_id", "f.*").filter("text <> ''")
-    scored = containing(texts, words).drop("text").join(words, "word").groupBy("query_id", "doc_id", "node_id").agg(F.sum("points").alias("score"))
-    r = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id", "node_id"))
-    return scored.withColumn("rank", r).filter((F.col("rank") > offset) & (F.col("rank") <= offset + k))
+    best = _best(containing(texts, lists.select(F.explode("asked").alias("word"))), lists, offset + k)
+    return asked.join(best.filter(F.col("rank") > offset), "asked").select("query_id", "doc_id", "node_id", "score", "rank")
 
 
 def search_terms(nodes: DataFrame, queries: DataFrame, least: int = 2, cap: int = 10) -> DataFrame:

@@ -50,3 +50,12 @@ def test_terms_of_many_queries_and_nodes_of_one_id(spark):
         want |= {(q, *k, n[k], min((s for s in said[k] if s is not None), default=None), r) for r, k in enumerate(best, 1)}
     got = docindex.search_terms(spark.createDataFrame(nodes, "doc_id string, node_id int, title string, summary string"), spark.createDataFrame(asked, "query_id int, query string"))
     assert {(r.query_id, r.doc_id, r.node_id, r.n_terms, r.summary, r["rank"]) for r in got.collect()} == want and len(want) > 100
+
+
+def test_queries_of_the_same_words_are_answered_once(spark):
+    nodes = spark.createDataFrame([(f"d{i % 90:02}", i, "the fire", f"an oak {i % 3}") for i in range(3000)], "doc_id string, node_id int, title string, summary string")
+    asked = spark.createDataFrame([(q, "an FIRE the" if q % 2 else "the the an fire") for q in range(200)], "query_id int, query string")
+    got, n = shuffled(docindex.search_nodes(nodes, asked, 2, 1))
+    assert {(r.query_id, r.doc_id, r.node_id, r.score, r["rank"]) for r in got} == {(q, "d00", i, 7, k) for q in range(200) for k, i in ((2, 90), (3, 180))}
+    # Each node's three words go through one shuffle; the rest is a few rows for each kind of node.
+    assert n < 3 * 3000 + 500
