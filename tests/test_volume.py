@@ -59,3 +59,27 @@ def test_queries_of_the_same_words_are_answered_once(spark):
     assert {(r.query_id, r.doc_id, r.node_id, r.score, r["rank"]) for r in got} == {(q, "d00", i, 7, k) for q in range(200) for k, i in ((2, 90), (3, 180))}
     # Each node's three words go through one shuffle; the rest is a few rows for each kind of node.
     assert n < 3 * 3000 + 500
+
+
+def test_searches_of_many_words(spark):
+    rnd = random.Random(13)
+    words = [f"{a}{b}{c}" for a in "kl" for b in "aeiou" for c in "mnprst"] + ["ka", "lo", "x"]
+    say = lambda n: " ".join(rnd.choice(words) for _ in range(rnd.randint(0, n)))
+    nodes = [(f"d{i % 7}", i % 90, None if i % 11 == 0 else say(4).upper(), None if i % 9 == 0 else say(6)) for i in range(200)]
+    asked = [(q, say(6)) for q in range(60)] + [(60, "KAM kam  lo x"), (60, "lit"), (61, None)]
+    lists = {q: {w for p, t in asked if p == q and t for w in t.lower().split() if len(w) > 1} for q, _ in asked}
+    want = set()
+    for q, own in lists.items():
+        n = Counter()
+        for d, i, title, summary in nodes:
+            n[d, i] += sum(3 * (w in (title or "").lower()) + (w in (summary or "")) for w in own)
+        best = sorted((k for k in n if n[k]), key=lambda k: (-n[k], k))[2:6]
+        want |= {(q, *k, n[k], r) for r, k in enumerate(best, 3)}
+    got = docindex.search_nodes(spark.createDataFrame(nodes, "doc_id string, node_id int, title string, summary string"), spark.createDataFrame(asked, "query_id int, query string"), 4, 2)
+    assert {(r.query_id, r.doc_id, r.node_id, r.score, r["rank"]) for r in got.collect()} == want and len(want) > 150
+    assert len(set().union(*lists.values())) < grams.FEW
+    old, grams.FEW = grams.FEW, 5
+    try:
+        assert {(r.query_id, r.doc_id, r.node_id, r.score, r["rank"]) for r in docindex.search_nodes(spark.createDataFrame(nodes, "doc_id string, node_id int, title string, summary string"), spark.createDataFrame(asked, "query_id int, query string"), 4, 2).collect()} == want
+    finally:
+        grams.FEW = old
