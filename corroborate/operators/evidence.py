@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import is_nullish, parse_name
+from ..sources.scratch import kept
 
 PAIR = ["plant_id", "attribute_id"]
 
@@ -243,19 +244,28 @@ def resolution_queue(conflicts: DataFrame) -> DataFrame:
     return conflicts.withColumn("priority", priority.otherwise(5)).orderBy("priority", "id")
 
 
+def _disagreeing(values: DataFrame) -> DataFrame:
+    """Pairs on which more than one source gives more than one value: the least and the greatest of each differ."""
+    named = values.filter("source_id is not null")
+    ends = named.groupBy(*PAIR).agg(*[f(c).alias(f"{n}_{c}") for c in ("value", "source_id") for n, f in (("least", F.min), ("most", F.max))])
+    return ends.filter("least_value < most_value and least_source_id < most_source_id").select(*PAIR)
+
+
 def audit_disagreements(values: DataFrame) -> DataFrame:
     """Values with a source of pairs on which more than one source gives more than one value."""
-    named = values.filter("source_id is not null")
-    bad = named.groupBy(*PAIR).agg(F.countDistinct("value").alias("nv"), F.countDistinct("source_id").alias("ns")).filter("nv > 1 and ns > 1")
-    return named.join(bad.select(*PAIR), PAIR, "left_semi")
+    return values.filter("source_id is not null").join(_disagreeing(values), PAIR, "left_semi")
+
+
+def _allowed() -> Column:
+    """The names of an attribute's allowed list, in lower case."""
+    allowed = F.from_json("values_allowed", "array<struct<id:string,displayName:string>>")
+    return F.filter(F.transform(allowed, lambda a: F.lower(F.trim(F.coalesce(a["displayName"], a["id"], F.lit(""))))), lambda x: x != "")
 
 
 def audit_values(values: DataFrame, attributes: DataFrame) -> DataFrame:
     """Values outside the attribute's allowed list (JSON; an entry's displayName counts, its id only where it has none), with the list as
     text (allowed_set); blank values and attributes without a readable list pass."""
-    allowed = F.from_json("values_allowed", "array<struct<id:string,displayName:string>>")
-    names = F.filter(F.transform(allowed, lambda a: F.lower(F.trim(F.coalesce(a["displayName"], a["id"], F.lit(""))))), lambda x: x != "")
-    ok = attributes.select(F.col("id").alias("attribute_id"), names.alias("names")).filter(F.size(F.coalesce("names", F.array())) > 0)
+    ok = attributes.select(F.col("id").alias("attribute_id"), _allowed().alias("names")).filter(F.size(F.coalesce("names", F.array())) > 0)
     v = F.lower(F.trim("value"))
     return values.join(ok, "attribute_id").filter((v != "") & ~F.array_contains("names", v)).withColumn("allowed_set", F.array_join("names", ", ")).drop("names")
 
@@ -274,18 +284,27 @@ def run_audit(values: DataFrame, attributes: DataFrame, existing: DataFrame, ent
 
     Scans: disagreeing sources, values outside the allowed list, no source. Keys of ``existing`` warrants are left out, as are
     values of unknown attributes and, where ``entities`` are given, unknown entities. A null value counts as a value of its own.
+    One row a pair and value goes through the shuffles, and the pairs' other values are looked at where an entity's rows have come together.
     """
-    known_values = values if entities is None else values.join(entities.select(F.col("id").alias("plant_id")), "plant_id", "left_semi")
-    known_values = known_values.join(attributes.select(F.col("id").alias("attribute_id"), F.col("name").alias("attribute_name")), "attribute_id")
-    scans = [audit_disagreements(known_values), audit_values(known_values, attributes.drop("name")), known_values.filter("source_id is null")]
-    key = [*PAIR, F.coalesce("value", F.lit("null")).alias("key")]
-    found = None
-    said = (F.lit(None).cast("string"), _failure("value", "allowed_set"), F.lit(MISSING_SOURCE))
-    for i, (s, notes) in enumerate(zip(scans, said, strict=True), 1):
-        part = s.select(*key, "attribute_name", "value", "source_id", F.lit(i).alias("scan"), notes.alias("notes"))
-        found = part if found is None else found.unionByName(part)
-    first = found.groupBy(*PAIR, "key").agg(F.min(F.struct("scan", "source_id", "attribute_name", "value", "notes")).alias("f"))
-    new = first.join(existing.select(*key), [*PAIR, "key"], "left_anti")
+    name, names = F.min(F.struct("name"))["name"].alias("attribute_name"), F.collect_set(F.when(F.size(_allowed()) > 0, _allowed())).alias("lists")
+    attrs = kept(attributes.groupBy(F.col("id").alias("attribute_id")).agg(name, names))
+    rows = values.select(*PAIR, "value", "source_id", F.col("source_id").isNull().alias("missing"), F.lit(False).alias("old"))
+    rows = rows.unionByName(existing.select(*PAIR, "value", F.lit(None).cast("string").alias("source_id"), F.lit(False).alias("missing"), F.lit(True).alias("old")))
+    each = rows.join(attrs.select("attribute_id"), "attribute_id", "left_semi").groupBy(*PAIR, "value").agg(F.min("source_id").alias("least"), F.max("source_id").alias("most"), F.max("missing").alias("missing"), F.max("old").alias("old"))
+    if entities is not None:
+        each = each.join(entities.select(F.col("id").alias("plant_id")), "plant_id", "left_semi")
+    pair, named = Window.partitionBy(*PAIR), F.when(F.col("least").isNotNull(), F.col("value"))
+    disagree = F.coalesce((F.min(named).over(pair) < F.max(named).over(pair)) & (F.min("least").over(pair) < F.max("most").over(pair)), F.lit(False))
+    v = F.lower(F.trim("value"))
+    failed = F.array_min(F.transform(F.filter("lists", lambda x: (v != "") & ~F.array_contains(x, v)), lambda x: F.array_join(x, ", ")))
+    each = each.withColumn("disagree", disagree).join(attrs, "attribute_id").withColumn("failed", failed)
+    # Of a value's scans the first; an outside value without a source comes before those with one.
+    scan = F.when(F.col("disagree") & F.col("least").isNotNull(), 1).when(F.col("failed").isNotNull() & (F.col("missing") | F.col("least").isNotNull()), 2).when(F.col("missing"), 3)
+    notes = F.when(F.col("scan") == 2, _failure("value", "failed")).when(F.col("scan") == 3, MISSING_SOURCE)
+    source = F.when((F.col("scan") == 1) | ~F.col("missing"), F.col("least"))
+    found = each.withColumn("scan", scan).select(*PAIR, F.coalesce("value", F.lit("null")).alias("key"), "old", F.when(F.col("scan").isNotNull(), F.struct("scan", source.alias("source_id"), "attribute_name", "value", notes.alias("notes"))).alias("f"))
+    new = found.groupBy(*PAIR, "key").agg(F.min("f").alias("f"), F.max("old").alias("old")).filter("not old and f is not null")
+    new = new.select(*[F.col(c).cast(values.schema[c].dataType).alias(c) for c in PAIR], "key", "f")
     return new.select(
         F.sha2(F.concat_ws("|", F.lit(batch_id), *PAIR, "key"), 256).alias("id"), F.lit("internal_audit").alias("warrant_type"), F.lit("unreviewed").alias("status"), *PAIR, F.col("f.attribute_name").alias("attribute_name"),
         F.when(F.col("f.scan") == 3, F.coalesce("f.value", F.lit(""))).otherwise(F.col("f.value")).alias("value"), F.col("f.source_id").alias("source_id"), F.lit("production").alias("source_dataset"), F.lit("INTERNAL_AUDIT").alias("source_id_code"), F.lit(batch_id).alias("batch_id"), F.col("f.notes").alias("notes"), F.col("f.scan").alias("scan"),
@@ -295,20 +314,21 @@ def run_audit(values: DataFrame, attributes: DataFrame, existing: DataFrame, ent
 def audit_conflicts(new: DataFrame, batch_id: str = "audit") -> DataFrame:
     """One conflict for each pair with two new warrants of the first scan: its first two by source and value."""
     side = F.struct("source_id", F.coalesce("value", F.lit("null")).alias("k"), "id", "value", "attribute_name")
-    one = new.filter("scan = 1")
-    # Two aggregates instead of a window, so that a pair of very many values is combined before the shuffle.
-    first = one.groupBy(*PAIR).agg(F.min(side).alias("a"), F.count("*").alias("n")).filter("n > 1")
-    rest = one.join(first.select(*PAIR, F.col("a.id").alias("a_id")), PAIR).filter("id <> a_id").groupBy(*PAIR).agg(F.min(side).alias("b"))
+    # A rank with a limit cuts a pair of very many values in each task, before a shuffle.
+    rank = F.dense_rank().over(Window.partitionBy(*PAIR).orderBy("source_id", F.coalesce("value", F.lit("null")), "id"))
+    two = new.filter("scan = 1").withColumn("r", rank).filter("r <= 2").groupBy(*PAIR).agg(F.min(side).alias("a"), F.max(side).alias("b"), F.max("r").alias("n")).filter("n > 1")
     fixed = {"conflict_type": "value_disagreement", "conflict_mode": "internal", "severity": "moderate", "status": "pending", "batch_id": batch_id, "classifier_explanation": "Internal audit: multiple sources disagree on value"}
-    return first.join(rest, PAIR).select(*PAIR, F.col("a.attribute_name").alias("attribute_name"), *[F.lit(v).alias(k) for k, v in fixed.items()], *[F.col(f"{x}.{c}").alias(f"{n}_{x}") for x in ("a", "b") for n, c in (("warrant_id", "id"), ("value", "value"), ("source", "source_id"))])
+    return two.select(*PAIR, F.col("a.attribute_name").alias("attribute_name"), *[F.lit(v).alias(k) for k, v in fixed.items()], *[F.col(f"{x}.{c}").alias(f"{n}_{x}") for x in ("a", "b") for n, c in (("warrant_id", "id"), ("value", "value"), ("source", "source_id"))])
 
 
 def audit_results(new: DataFrame, conflicts: DataFrame, values: DataFrame, entities: DataFrame | None = None, attributes: DataFrame | None = None) -> DataFrame:
     """One row of counts: groups of known entities and attributes that disagree, and what the run found and made."""
-    for known, key in ((entities, "plant_id"), (attributes, "attribute_id")):
-        if known is not None:
-            values = values.join(known.select(F.col("id").alias(key)), key, "left_semi")
-    groups = audit_disagreements(values).select(*PAIR).distinct().agg(F.count("*").alias("disagreements_found"))
+    if attributes is not None:
+        values = values.join(kept(attributes.select(F.col("id").alias("attribute_id")).distinct()), "attribute_id", "left_semi")
+    groups = _disagreeing(values)
+    if entities is not None:
+        groups = groups.join(entities.select(F.col("id").alias("plant_id")), "plant_id", "left_semi")
+    groups = groups.agg(F.count("*").alias("disagreements_found"))
     made = new.agg(F.count_if(F.col("scan") == 2).alias("validation_failures"), F.count_if(F.col("scan") == 3).alias("missing_provenance"), F.count("*").alias("warrants_created"))
     n = conflicts.agg(F.count("*").alias("n"))
     return made.withColumn("disagreements_found", groups.scalar()).withColumn("conflicts_created", n.scalar())

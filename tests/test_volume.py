@@ -3,7 +3,7 @@
 import random
 from collections import Counter
 
-from corroborate.operators import docindex, grams
+from corroborate.operators import docindex, evidence, grams
 
 
 def shuffled(df):
@@ -83,3 +83,46 @@ def test_searches_of_many_words(spark):
         assert {(r.query_id, r.doc_id, r.node_id, r.score, r["rank"]) for r in docindex.search_nodes(spark.createDataFrame(nodes, "doc_id string, node_id int, title string, summary string"), spark.createDataFrame(asked, "query_id int, query string"), 4, 2).collect()} == want
     finally:
         grams.FEW = old
+
+
+def _plain_audit(values, attributes, old, entities):
+    """The scans one after the other, value by value."""
+    pairs = {}
+    for plant, attribute, value, source in values:
+        if plant in entities and attribute in attributes:
+            pairs.setdefault((plant, attribute), []).append((value, source))
+    known, out = {(p, a, v if v is not None else "null") for p, a, v in old}, {}
+    for pair, said in pairs.items():
+        named, (name, allowed) = [(v, s) for v, s in said if s is not None], attributes[pair[1]]
+        bad = len({v for v, _ in named if v is not None}) > 1 and len({s for _, s in named}) > 1
+        for v, s in said:
+            low = v.strip(" ").lower() if v is not None else None
+            scans = [1] * (bad and s is not None) + [2] * bool(allowed and low and low not in allowed) + [3] * (s is None)
+            for scan in scans:
+                note = {2: f'Value validation failure: "{v}" not in allowed set [{", ".join(allowed)}]', 3: evidence.MISSING_SOURCE}.get(scan)
+                key = (*pair, v if v is not None else "null")
+                found = (scan, s is not None, s or "", v is not None, v or "", name, note)
+                out[key] = min(out.get(key, found), found)
+    return {(p, a, name, v if known_v else "" if scan == 3 else None, s if named else None, scan, note) for (p, a, k), (scan, named, s, known_v, v, name, note) in out.items() if (p, a, k) not in known}
+
+
+def _audit_tables(spark, rows=400):
+    rnd = random.Random(17)
+    values = [(rnd.randint(1, 14), rnd.randint(1, 5), rnd.choice(["a", "B ", "c", "null", None, "", " "]), rnd.choice(["S1", "S2", "S3", None])) for _ in range(rows)]
+    lists = {1: ("one", ["a", "b"]), 2: ("two", []), 3: ("three", ["c"]), 4: ("four", [])}
+    old = [(p, a, v) for p, a, v, _ in values[::9]] + [(99, 1, "a"), (1, 77, "c"), (2, 1, "none such")]
+    attributes = spark.createDataFrame([(i, n, '[{"id":"%s"}]' % '"},{"displayName":"'.join(x) if x else None) for i, (n, x) in lists.items()], "id long, name string, values_allowed string")
+    return values, lists, old, spark.createDataFrame(values, "plant_id long, attribute_id long, value string, source_id string"), attributes, spark.createDataFrame(old, "plant_id long, attribute_id long, value string")
+
+
+def test_audit_reads_values_through_two_shuffles(spark):
+    values, lists, old, v, attributes, existing = _audit_tables(spark)
+    for known in (set(range(1, 15)), {1, 2, 3, 5, 8, 13}):
+        entities = None if len(known) == 14 else spark.createDataFrame([(i,) for i in known], "id long")
+        new = evidence.run_audit(v, attributes, existing, entities)
+        got, n = shuffled(new)
+        assert {(r.plant_id, r.attribute_id, r.attribute_name, r.value, r.source_id, r.scan, r.notes) for r in got} == _plain_audit(values, lists, old, known) and {r.scan for r in got} == {1, 2, 3}
+        assert n < 2 * (len(values) + len(old)) + 20
+        bad, n = shuffled(evidence.audit_results(new, evidence.audit_conflicts(new), v, entities, attributes))
+        by = Counter(r.scan for r in got)
+        assert (bad[0].validation_failures, bad[0].missing_provenance, bad[0].warrants_created) == (by[2], by[3], len(got))
