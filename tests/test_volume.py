@@ -126,3 +126,18 @@ def test_audit_reads_values_through_two_shuffles(spark):
         bad, n = shuffled(evidence.audit_results(new, evidence.audit_conflicts(new), v, entities, attributes))
         by = Counter(r.scan for r in got)
         assert (bad[0].validation_failures, bad[0].missing_provenance, bad[0].warrants_created) == (by[2], by[3], len(got))
+
+
+def test_audit_conflicts_take_no_shuffle_of_their_own(spark):
+    values, lists, old, v, attributes, existing = _audit_tables(spark)
+    entities = spark.range(1, 15)
+    new = evidence.run_audit(v, attributes, existing, entities)
+    said, m = shuffled(new)
+    got, n = shuffled(evidence.audit_conflicts(new))
+    first = {}
+    for r in said:
+        if r.scan == 1:
+            first.setdefault((r.plant_id, r.attribute_id), []).append((r.source_id, "null" if r.value is None else r.value, r.id, r.value))
+    want = {(pair, x[0][2], x[1][2], x[0][3], x[1][3], x[0][0], x[1][0]) for pair, x in ((p, sorted(x, key=lambda y: y[:3])) for p, x in first.items()) if len(x) > 1}
+    assert {((r.plant_id, r.attribute_id), r.warrant_id_a, r.warrant_id_b, r.value_a, r.value_b, r.source_a, r.source_b) for r in got} == want and len(want) > 10
+    assert n <= m
