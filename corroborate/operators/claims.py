@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import infer_currency, infer_methodology, infer_specificity
+from ..sources import scratch
 from .evidence import PAIR
 
 # The parts of the reliability score; unknown values count as the default after each table.
@@ -142,10 +143,13 @@ def upsert_values(values: DataFrame, claims: DataFrame) -> DataFrame:
     """The store after syncing (claims: PAIR, new_value, approved_at, id): the least row id of each pair is updated, or a row is
     added; of several claims for a pair the last approved counts. ``action`` is updated, inserted or kept."""
     last = claims.groupBy(*PAIR).agg(F.max_by("new_value", F.struct("approved_at", "id")).alias("new_value"))
-    first = values.groupBy(*PAIR).agg(F.min("id").alias("id"))
-    target = first.join(last, PAIR).select("id", F.col("new_value").alias("__new__"))
-    kept = values.join(target, "id", "left").withColumn("action", F.when(F.col("__new__").isNotNull(), "updated").otherwise("kept")).withColumn("value", F.coalesce("__new__", "value")).drop("__new__")
-    fresh = last.join(first, PAIR, "left_anti").select(F.concat_ws("-", F.lit("new"), *PAIR).alias("id"), *PAIR, F.col("new_value").alias("value"), F.lit("inserted").alias("action"))
+    # Written, so that their size is known: where claims are few beside the store, its rows meet them in their own tasks.
+    last = scratch.kept(last)
+    first = values.join(last.select(*PAIR), PAIR, "left_semi").groupBy(*PAIR).agg(F.min("id").alias("id"), F.lit(True).alias("stored"))
+    target = scratch.kept(last.join(first, PAIR, "left"))
+    update = target.filter("stored").select("id", F.col("new_value").alias("__new__"))
+    kept = values.join(update, "id", "left").withColumn("action", F.when(F.col("__new__").isNotNull(), "updated").otherwise("kept")).withColumn("value", F.coalesce("__new__", "value")).drop("__new__")
+    fresh = target.filter("stored is null").select(F.concat_ws("-", F.lit("new"), *PAIR).alias("id"), *PAIR, F.col("new_value").alias("value"), F.lit("inserted").alias("action"))
     return kept.unionByName(fresh, allowMissingColumns=True)
 
 
@@ -184,18 +188,22 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
 def range_bounds(df: DataFrame, key: str, n: int, sample: int = 10_000) -> list:
     """Up to ``n`` - 1 bounds that cut a table into ranges of about equal size, from a sample of at most ``sample`` keys, picked by hash."""
-    some = sorted(r[0] for r in df.select(key).filter(F.col(key).isNotNull()).distinct().orderBy(F.xxhash64(key)).limit(sample).collect())
+    keys = df.select(key).filter(F.col(key).isNotNull())
+    # One key in so many is looked at, so that only these are shuffled to be told apart.
+    one_in = max(1, keys.agg(F.approx_count_distinct(key)).first()[0] // (2 * sample))
+    some = keys.filter(F.pmod(F.xxhash64(key), F.lit(one_in)) == 0).distinct().orderBy(F.xxhash64(key)).limit(sample)
+    some = sorted(r[0] for r in some.collect())
     return sorted({some[len(some) * i // n] for i in range(1, n)}) if some else []
 
 
 def write_snapshot(df: DataFrame, path: str, keys: list[str], bounds: list) -> None:
     """A snapshot in one folder a range of its first key, with a table of digests beside it: rows and two sums of hashes for each range.
 
-    Snapshots that are to be compared are written with the same bounds.
+    Snapshots that are to be compared are written with the same bounds. Each task writes a file for each range that it has rows of: the rows are
+    not shuffled to bring a range's together.
     """
     spread = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col(keys[0]))) if bounds else F.lit(0)
-    rows = df.withColumn("__range__", F.coalesce(spread, F.lit(0)))
-    rows.repartition("__range__", F.pmod(F.xxhash64(*keys), F.lit(8))).write.partitionBy("__range__").parquet(f"{path}/rows")
+    df.withColumn("__range__", F.coalesce(spread, F.lit(0))).write.partitionBy("__range__").parquet(f"{path}/rows")
     back = df.sparkSession.read.parquet(f"{path}/rows")
     cols = sorted(df.columns)
     # A column that is null everywhere adds nothing, so that a column which only one side has changes a digest where it has values.

@@ -159,12 +159,12 @@ def html_table_grid(spark, d):
 
 @register(rg.ORACLES["snapshot_diff"])
 def stored_diff(spark, d):
-    """The diff of two snapshots that were stored by range of id with digests."""
+    """The diff of two snapshots that were stored by range of id with digests; the second is made from the first as it is stored."""
     at = scratch.folder(spark)
-    old, new = rg._snapshots(spark, d)
-    bounds = cl.range_bounds(old, "id", 16)
-    for df, name in ((old, "old"), (new, "new")):
-        cl.write_snapshot(df, f"{at}/{name}", ["id"], bounds)
+    bounds = cl.range_bounds(ad.values(spark, d), "id", 16)
+    cl.write_snapshot(rg._values_once(spark, d), f"{at}/old", ["id"], bounds)
+    old = spark.read.parquet(f"{at}/old/rows").drop("__range__")
+    cl.write_snapshot(rg._synced(spark, d, old), f"{at}/new", ["id"], bounds)
     return cl.stored_diff(spark, f"{at}/old", f"{at}/new", ["id"]).select("id", "change", F.col("old.value").alias("old_value"), F.col("new.value").alias("new_value"))
 
 

@@ -265,11 +265,16 @@ def upsert_values(spark, d):
     return cl.upsert_values(_values_once(spark, d), cl.syncable_claims(ad.claims(spark, d)))
 
 
+def _synced(spark, d, old):
+    """The store after a sync that also loses the rows of one attribute and blanks the values of another."""
+    new = cl.upsert_values(old, cl.syncable_claims(ad.claims(spark, d))).drop("action").filter("attribute_id <> 6 or id like 'new%'")
+    return new.withColumn("value", F.when(F.col("attribute_id") != 5, F.col("value")))
+
+
 def _snapshots(spark, d):
-    """The store before and after a sync that also loses the rows of one attribute and blanks the values of another."""
+    """The store before and after the sync."""
     old = _values_once(spark, d)
-    new = cl.upsert_values(old, cl.syncable_claims(ad.claims(spark, d))).drop("action").filter("attribute_id <> 6 or id like 'new%'")
-    return old, new.withColumn("value", F.when(F.col("attribute_id") != 5, F.col("value")))
+    return old, _synced(spark, d, old)
 
 
 SNAPSHOTS = f"WITH w AS ({ad.CTE['w']}), c AS ({ad.CTE['c']}), {UPSERT}, after AS (SELECT id, plant_id, attribute_id, CASE WHEN attribute_id <> 5 THEN value END AS value FROM u WHERE attribute_id <> 6 OR id LIKE 'new%')"

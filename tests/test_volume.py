@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+from corroborate.operators import claims as cl
 from corroborate.operators import docindex, evidence, grams
 
 
@@ -141,3 +142,28 @@ def test_audit_conflicts_take_no_shuffle_of_their_own(spark):
     want = {(pair, x[0][2], x[1][2], x[0][3], x[1][3], x[0][0], x[1][0]) for pair, x in ((p, sorted(x, key=lambda y: y[:3])) for p, x in first.items()) if len(x) > 1}
     assert {((r.plant_id, r.attribute_id), r.warrant_id_a, r.warrant_id_b, r.value_a, r.value_b, r.source_a, r.source_b) for r in got} == want and len(want) > 10
     assert n <= m
+
+
+def test_few_claims_meet_the_store_where_it_is(spark, tmp_path):
+    store = spark.createDataFrame([(f"i{i}", i % 900, i % 2, f"v{i}") for i in range(3000)] + [(None, 1, 7, "x"), ("n", None, 1, "y")], "id string, plant_id long, attribute_id long, value string").repartition(3)
+    claims = spark.createDataFrame([("a", 5, 1, "new", 1), ("b", 5, 1, "newer", 2), ("c", 5000, 1, "added", 1), ("d", 1, 7, "lost", 1), ("e", 7, 1, None, 1), ("f", None, 1, "none", 1)], "id string, plant_id long, attribute_id long, new_value string, approved_at int")
+    store.write.parquet(str(tmp_path / "store"))
+    got, n = shuffled(cl.upsert_values(spark.read.parquet(str(tmp_path / "store")), claims))
+    said = {r.id: (r.value, r.action) for r in got}
+    least = min(f"i{i}" for i in range(3000) if i % 900 == 5 and i % 2 == 1)
+    assert len(got) == 3004 and said[least] == ("newer", "updated") and said["new-5000-1"] == ("added", "inserted") and said["new-1"] == ("none", "inserted")
+    assert Counter(r.action for r in got) == {"kept": 3001, "updated": 1, "inserted": 2}
+    assert n == 0
+
+
+def test_snapshots_are_written_without_a_shuffle(spark, tmp_path, monkeypatch):
+    def never(self, *a, **b):
+        raise AssertionError("rows were dealt out anew")
+
+    df = spark.range(20_000).selectExpr("concat('k', id % 15000) AS k", "id AS v")
+    bounds = cl.range_bounds(df, "k", 16, 2000)
+    assert len(bounds) == 15 and all(400 < n < 3200 for n in Counter(sum(b <= r.k for b in bounds) for r in df.collect()).values())
+    assert cl.range_bounds(df.filter("k = 'k7'"), "k", 4, 10) == ["k7"] and cl.range_bounds(df.filter("false"), "k", 4) == []
+    monkeypatch.setattr(type(df), "repartition", never)
+    cl.write_snapshot(df, str(tmp_path / "s"), ["k"], bounds)
+    assert spark.read.parquet(str(tmp_path / "s/rows")).count() == 20_000
