@@ -339,11 +339,12 @@ def orphans(children: DataFrame, parents: DataFrame, child_key: str, parent_key:
     return children.join(parents.select(F.col(parent_key).alias("__p__")), F.col(child_key) == F.col("__p__"), "left_anti")
 
 
-def evidence_bundle(conflicts: DataFrame, warrants: DataFrame, docs: DataFrame | None = None, nodes: DataFrame | None = None, k: int = 5) -> DataFrame:
+def evidence_bundle(conflicts: DataFrame, warrants: DataFrame, docs: DataFrame | None = None, nodes: DataFrame | None = None, k: int = 5, attributes: DataFrame | None = None) -> DataFrame:
     """Both sides' provenance beside each conflict, the start of both sources' documents, and the ``k`` best sections of the index.
 
     ``docs`` (source_dataset, dictionary, readme): 3,000 and 2,000 characters are kept. ``nodes`` (doc_id, node_id, title, summary)
-    are searched for the attribute's name, once for each distinct name.
+    are searched for the attribute's name, once for each distinct name: those of ``attributes`` (name) where they are given, so that the
+    conflicts are not worked out once more for their names, else those of the conflicts.
     """
     cols = [c for c in ("source_methodology", "source_region", "source_year", "source_dataset") if c in warrants.columns]
     side = lambda x: warrants.select(F.col("id").alias(f"warrant_{x}_id"), *[F.col(c).alias(f"{c}_{x}") for c in cols])
@@ -354,8 +355,10 @@ def evidence_bundle(conflicts: DataFrame, warrants: DataFrame, docs: DataFrame |
     if nodes is not None:
         from .docindex import search_nodes
 
-        asked = conflicts.select(F.col("attribute_name").alias("query_id"), F.col("attribute_name").alias("query")).filter("query is not null").distinct()
+        named = conflicts.select("attribute_name") if attributes is None else attributes.select(F.col("name").alias("attribute_name"))
+        asked = named.select(F.col("attribute_name").alias("query_id"), F.col("attribute_name").alias("query")).filter("query is not null").distinct()
         hits = search_nodes(nodes, asked, k).join(nodes.select("doc_id", "node_id", "title", "summary"), ["doc_id", "node_id"])
         top = hits.groupBy(F.col("query_id").alias("attribute_name")).agg(F.array_sort(F.collect_list(F.struct("rank", "doc_id", "node_id", "title", "summary"))).alias("sections"))
-        out = out.join(top, "attribute_name", "left")
+        # Written, so that its size is known: a row an attribute meets the conflicts in their own tasks.
+        out = out.join(kept(top), "attribute_name", "left")
     return out

@@ -161,7 +161,7 @@ def _documents(spark, d):
 def _bundle(spark, d):
     w = ad.warrants(spark, d).groupBy("id").agg(F.min("source_id").alias("source_dataset"), F.min("batch_id").alias("source_year")).withColumn("source_region", F.lit("Oregon"))
     nodes = ad.table(spark, d, "customer").selectExpr("c_mktsegment AS doc_id", "c_custkey AS node_id", "concat('attribute ', c_custkey % 40) AS title", "CAST(NULL AS STRING) AS summary")
-    return evidence.evidence_bundle(rg._conflicts(spark, d), w, _documents(spark, d), nodes)
+    return evidence.evidence_bundle(rg._conflicts(spark, d), w, _documents(spark, d), nodes, attributes=ad.attributes(spark, d))
 
 
 @register(sql("WITHX SELECT x.id, a.y AS source_year_a, b.y AS source_year_b, CASE WHEN da.s_name IS NOT NULL THEN least(3000, 300 * length(da.s_name)) END AS dictionary_length_a, db.s_name AS readme_b, (SELECT string_agg(CAST(node_id AS STRING), ',' ORDER BY r) FROM (SELECT k.attribute_id, c_custkey AS node_id, row_number() OVER (PARTITION BY k.attribute_id ORDER BY CASE WHEN contains(concat('attribute ', CAST(c_custkey % 40 AS STRING)), CAST(k.attribute_id AS STRING)) THEN 6 ELSE 3 END DESC, c_mktsegment, c_custkey) AS r FROM customer CROSS JOIN (SELECT DISTINCT attribute_id FROM x) k) z WHERE z.attribute_id = x.attribute_id AND r <= 5) AS sections FROM x LEFT JOIN (SELECT id, min(source_id) AS s, min(batch_id) AS y FROM w GROUP BY 1) a ON a.id = x.warrant_a_id LEFT JOIN (SELECT id, min(source_id) AS s, min(batch_id) AS y FROM w GROUP BY 1) b ON b.id = x.warrant_b_id LEFT JOIN supplier da ON a.s = concat('S', CAST(da.s_suppkey AS STRING)) LEFT JOIN supplier db ON b.s = concat('S', CAST(db.s_suppkey AS STRING))", *CONFLICTS).replace("WITHX ", "").replace("CASE WHEN contains(concat('attribute ', CAST(c_custkey % 40 AS STRING)), CAST(k.attribute_id AS STRING)) THEN 6 ELSE 3 END", "CASE WHEN length(CAST(k.attribute_id AS STRING)) >= 2 AND contains(concat('attribute ', CAST(c_custkey % 40 AS STRING)), CAST(k.attribute_id AS STRING)) THEN 6 ELSE 3 END"))

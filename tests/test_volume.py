@@ -167,3 +167,26 @@ def test_snapshots_are_written_without_a_shuffle(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(type(df), "repartition", never)
     cl.write_snapshot(df, str(tmp_path / "s"), ["k"], bounds)
     assert spark.read.parquet(str(tmp_path / "s/rows")).count() == 20_000
+
+
+def test_sections_of_attributes_meet_conflicts_where_they_are(spark, tmp_path):
+    tables = {
+        "x": spark.createDataFrame([(f"c{i}", f"w{i % 40}", f"w{(i + 1) % 40}", None if i % 50 == 9 else f"fire {i % 3}") for i in range(600)], "id string, warrant_a_id string, warrant_b_id string, attribute_name string"),
+        "w": spark.createDataFrame([(f"w{i}", f"{1900 + i}", f"S{i % 4}") for i in range(39)], "id string, source_year string, source_dataset string"),
+        "docs": spark.createDataFrame([(f"S{i}", "d" * 4000, f"r{i}") for i in range(3)], "source_dataset string, dictionary string, readme string"),
+        "nodes": spark.createDataFrame([("d", i, f"Fire {i}", "smoke 1") for i in range(9)], "doc_id string, node_id int, title string, summary string"),
+        "attributes": spark.createDataFrame([(f"fire {i}",) for i in range(2)] + [("none",), (None,)], "name string"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / name))
+    t = {name: spark.read.parquet(str(tmp_path / name)) for name in tables}
+    for attributes in (t["attributes"], None):
+        got, n = shuffled(evidence.evidence_bundle(t["x"], t["w"], t["docs"], t["nodes"], 2, **({"attributes": attributes} if attributes else {})))
+        assert len(got) == 600 and n < 600
+        for r in got:
+            i = int(r.id[1:])
+            a, b = i % 40, (i + 1) % 40
+            assert (r.source_year_a, r.source_year_b) == tuple(f"{1900 + k}" if k < 39 else None for k in (a, b)) and r.readme_a == (f"r{a % 4}" if a < 39 and a % 4 < 3 else None) and len(r.dictionary_b or "") in (0, 3000)
+            # Two words of a name: the section that has both in its title comes first, then by number.
+            want = None if r.attribute_name is None or (attributes and r.attribute_name == "fire 2") else [0, 1]
+            assert want == (None if r.sections is None else [s.node_id for s in r.sections])
